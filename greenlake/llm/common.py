@@ -85,15 +85,16 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         name,
     )
     while True:
-        parents = e.groupBy("u").agg(F.count("*").alias("n"))
-        many = parents.where("n > 1").limit(1).count()
-        deep = 0 if many else e.select(F.col("v").alias("u")).distinct().join(e, "u", "left_semi").limit(1).count()
-        if not many and not deep:
+        # Done when every id points to one other and none that is pointed to points on.
+        ups = e.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ups = ups.unionByName(e.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        open_ = ups.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not open_.where("up > 1 or (up = 1 and down = 1)").limit(1).count():
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.where("u <> v").distinct(), name)
+        large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         e = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)

@@ -157,15 +157,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, bits: int = 26
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4, bits: int = 26
 ) -> DataFrame:
     """Every row's id, n_shingles and component_id under links of Jaccard 0.8 or more.
 
     Sets are of distinct five-word shingles; a shorter text is one shingle, and a null or blank one is an
     empty set that links with nothing and has its own id as component. component_id is the smallest id
-    that links reach. Equal sets are one class, so copies are never paired; ``rounds`` times each
-    segment's classes are checked against one of them, and only classes that no link has joined by then
-    are paired with each other. Rows that share an id count as separate documents; null ids take part in
+    that links reach. Equal sets are one class, so copies are never paired. Each segment's classes are
+    checked against one of them, up to ``rounds`` times while that joins many; then only classes that no
+    chain of links has joined are paired with each other. Rows that share an id count as separate documents; null ids take part in
     links but are smallest only among themselves. Other columns are not read.
     """
     percent = 80  # the bands above are made for it
@@ -185,6 +185,11 @@ def similar_documents(
     x = written(x.select("segment", "class", "size"), "prefixes")
 
     alike = F.least("size", "r_size") * 100 >= F.greatest("size", "r_size") * percent
+    total = known.count()
+
+    def grouped(links):
+        return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "jaccard")
+
     links, component = None, None
     for r in range(rounds):
         if component is None:
@@ -200,7 +205,9 @@ def similar_documents(
         pairs = near.select(F.least("class", "r_class").alias("a"), F.greatest("class", "r_class").alias("b")).distinct()
         found = written(_verified(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
-        component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "jaccard")
+        component = grouped(links)
+        if found.count() * 20 < total:
+            break  # few classes are joined this way; the rest is cheaper at once
     # What is left: classes that share a segment and that no chain of links has joined.
     own = x.join(component, x["class"] == component["id"], "left").select(
         "segment", "class", "size", F.coalesce("component", "class").alias("component")
@@ -211,7 +218,7 @@ def similar_documents(
     pairs = own.join(other, "segment").where("class < r_class and component <> r_component").where(alike)
     pairs = pairs.select(F.col("class").alias("a"), F.col("r_class").alias("b")).distinct()
     links = links.unionByName(written(_verified(pairs, sets, percent), "links"))
-    component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "jaccard")
+    component = grouped(links)
 
     roots = rows.select("id", "n", "class").join(component.withColumnRenamed("id", "c_id"), F.col("class") == F.col("c_id"), "left")
     roots = roots.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "class").alias("root"))
