@@ -64,12 +64,22 @@ def _bands(n: int):
         yield band + 1, 2 * top, (n + partner) // 9
 
 
+#: Most bytes of a sketch that goes along with a document into large buckets.
+SKETCH_BYTES = 640
+#: Buckets up to this size are paired by a join; larger ones are compared in blocks of BLOCK.
+SMALL, BLOCK = 32, 512
+
+
 def slack_of(band: int) -> int:
     return 1 + (3 << band) // 100
 
 
 def segments(sh: np.ndarray):
-    """(band, slack, segment names) that a shingle set hands on."""
+    """(band, slack, segment names, sketch bytes) that a shingle set hands on.
+
+    The sketch has a byte for each segment, or for runs of them in large bands; two sketches differ in at
+    most as many bytes as their sets differ in shingles.
+    """
     for band, top, d in _bands(len(sh)):
         count = -(-8 * top // 25) + 2
         slack = slack_of(band)
@@ -81,13 +91,18 @@ def segments(sh: np.ndarray):
         value, seg = np.bitwise_xor.reduceat(bit, starts), seg[starts]
         full = value != 0
         seg, value = seg[full], value[full]
+        sketch = np.zeros(count, np.uint8)
+        sketch[seg] = _mix(value).astype(np.uint8)
+        run = -(-count // SKETCH_BYTES)
+        if run > 1:
+            sketch = np.bitwise_xor.reduceat(sketch, np.arange(0, count, run))
         want = d + slack
         if len(seg) < want:  # small sets also hand on their empty segments
             bare = np.setdiff1d(np.arange(count, dtype=np.uint64), seg)
             seg, value = np.concatenate([seg, bare]), np.concatenate([value, np.zeros(len(bare), np.uint64)])
         else:
             seg, value = seg[:want], value[:want]
-        yield band, slack, _mix(value ^ _mix(seg * np.uint64(64) + np.uint64(band))).view(np.int64)
+        yield band, slack, _mix(value ^ _mix(seg * np.uint64(64) + np.uint64(band))).view(np.int64), sketch.tobytes()
 
 
 def _segment_rows(docs: DataFrame, text_col: str) -> DataFrame:
@@ -98,7 +113,7 @@ def _segment_rows(docs: DataFrame, text_col: str) -> DataFrame:
                 sh = shingles(text)
                 if len(sh):
                     c = class_of(sh)
-                    for _, _, s in segments(sh):
+                    for _, _, s, _ in segments(sh):
                         names.append(s)
                         classes.append(np.full(len(s), c))
             return pa.array(np.concatenate(names)), pa.array(np.concatenate(classes))
@@ -129,11 +144,11 @@ def _candidates(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str,
                 classes.append(c)
                 own = []
                 if c is not None and c not in done:
-                    for band, slack, s in segments(sh):
+                    for band, slack, s, sketch in segments(sh):
                         at = s & mask
                         hit = s[(table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
                         if len(hit) >= slack:
-                            own.append({"band": band, "slack": slack, "segments": hit})
+                            own.append({"band": band, "slack": slack, "segments": hit, "sketch": sketch})
                     done.add(c)
                 bands.append(own)
                 sets.append(sh.view(np.int64) if own else None)
@@ -143,10 +158,47 @@ def _candidates(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str,
 
     return map_batches(
         docs.select(id_col, text_col), make,
-        f"id {kind}, n int, class bigint, bands array<struct<band: int, slack: int, segments: array<bigint>>>, shingles array<bigint>",
+        f"id {kind}, n int, class bigint, bands array<struct<band: int, slack: int, segments: array<bigint>, sketch: binary>>, shingles array<bigint>",
     )
 
 
+def _compared(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket's classes of different components whose sketches differ in few enough bytes.
+
+    Buckets are cut into blocks by their counted sizes, and each pair of blocks is a group of bounded size;
+    only pairs that the sketches' bound lets pass are handed on.
+    """
+    x = rows.join(sketches, ["class", "band"]).withColumn("blocks", F.ceil(F.col("bucket") / BLOCK).cast("int"))
+    x = x.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    x = x.withColumns({"b0": F.least("own", "other"), "b1": F.greatest("own", "other")})
+    x = x.select("segment", "b0", "b1", "own", "class", "size", "component", "sketch")
+
+    def compare(key, batch):
+        b0, b1 = key[1].as_py(), key[2].as_py()
+        names, sizes = batch["class"].to_numpy(), batch["size"].to_numpy().astype(np.int64)
+        groups, own = batch["component"].to_numpy(), batch["own"].to_numpy()
+        sketch = np.frombuffer(b"".join(batch["sketch"].to_pylist()), np.uint8).reshape(len(names), -1)
+        kinds, n = np.unique(groups, return_counts=True)
+        major = kinds[np.argmax(n)]
+        out_a, out_b = [], []
+        for i in np.nonzero(groups != major)[0]:  # of two components one is not the most common
+            there = (groups != groups[i]) & ((groups == major) | (names > names[i]))
+            if b0 != b1:
+                there &= own != own[i]
+            low, high = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
+            at = np.nonzero(there & (low * 100 >= high * percent))[0]
+            if len(at):
+                far = (sketch[at] != sketch[i]).sum(1)
+                at = at[far * (100 + percent) <= (sizes[at] + sizes[i]) * (100 - percent)]
+                out_a.append(np.minimum(names[at], names[i]))
+                out_b.append(np.maximum(names[at], names[i]))
+        none = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
+
+    return x.groupBy("segment", "b0", "b1").applyInArrow(compare, "a bigint, b bigint")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets are similar enough."""
     x = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("s_a")), "a")
@@ -178,11 +230,12 @@ def similar_documents(
     known = written(known, "classes")
     sets = known.select("class", "shingles")
     x = known.select("class", F.col("n").alias("size"), F.explode("bands").alias("b"))
+    sketches = x.select("class", F.col("b.band").alias("band"), F.col("b.sketch").alias("sketch"))
     x = x.select("class", "size", F.col("b.band").alias("band"), F.col("b.slack").alias("slack"), F.explode("b.segments").alias("segment"))
     x = x.join(shared, "segment")
     rarest = Window.partitionBy("class", "band").orderBy(F.desc("n"), "segment")
     x = x.withColumn("place", F.row_number().over(rarest)).where(F.col("place") >= F.col("slack"))
-    x = written(x.select("segment", "class", "size"), "prefixes")
+    x = written(x.select("segment", "band", "class", "size"), "prefixes")
 
     alike = F.least("size", "r_size") * 100 >= F.greatest("size", "r_size") * percent
     total = known.count()
@@ -210,13 +263,15 @@ def similar_documents(
             break  # few classes are joined this way; the rest is cheaper at once
     # What is left: classes that share a segment and that no chain of links has joined.
     own = x.join(component, x["class"] == component["id"], "left").select(
-        "segment", "class", "size", F.coalesce("component", "class").alias("component")
+        "segment", "band", "class", "size", F.coalesce("component", "class").alias("component")
     )
-    open_ = own.groupBy("segment").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-    own = written(own.join(open_.select("segment"), "segment", "left_semi"), "open")
-    other = own.select("segment", F.col("class").alias("r_class"), F.col("size").alias("r_size"), F.col("component").alias("r_component"))
-    pairs = own.join(other, "segment").where("class < r_class and component <> r_component").where(alike)
-    pairs = pairs.select(F.col("class").alias("a"), F.col("r_class").alias("b")).distinct()
+    open_ = own.groupBy("segment").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("bucket"))
+    own = written(own.join(open_.where("c0 <> c1").select("segment", "bucket"), "segment"), "open")
+    small, large = own.where(F.col("bucket") <= SMALL), own.where(F.col("bucket") > SMALL)
+    other = small.select("segment", F.col("class").alias("r_class"), F.col("size").alias("r_size"), F.col("component").alias("r_component"))
+    pairs = small.join(other, "segment").where("class < r_class and component <> r_component").where(alike)
+    pairs = pairs.select(F.col("class").alias("a"), F.col("r_class").alias("b"))
+    pairs = pairs.unionByName(_compared(large, sketches, percent)).distinct()
     links = links.unionByName(written(_verified(pairs, sets, percent), "links"))
     component = grouped(links)
 
