@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from greenlake.functions import classify, geo, text
 from greenlake.operators import grid, growth, linkage, property, quality, raster, scenarios, spatial_join, species, versions, weather
 from greenlake.plans.adapters import load, oracle
+from greenlake.sources import inventories
+from greenlake.streaming import weather as weather_stream
 
 AS_OF = "2024-01-15 12:00:00"
 _SPARK = {"l": "CAST({0} AS BIGINT)", "s": "CAST({0} AS STRING)", "d": "floor(CAST({0} AS DOUBLE) * 100000D + 0.50017D) / 100000D", "t": "CAST({0} AS DATE)", "b": "{0}"}
@@ -659,6 +661,160 @@ def redirects(t):
     return linkage.resolve_redirects(t("customer").where("c_custkey > 0").selectExpr("c_custkey AS source", "c_custkey DIV 3 AS target"))
 
 
+# -- sources --------------------------------------------------------------------------------------------------------
+
+
+@query("source_tree_id:s, scientific_name:s, display_name:s, taxonomic_precision:s, height_m:d, dbh_max_cm:d, n:l", """
+    WITH r AS (SELECT l_orderkey, l_partkey, p_name, l_quantity q, l_linenumber k FROM lineitem JOIN part ON p_partkey = l_partkey),
+    u AS (SELECT 'yarra:R' || l_orderkey source_tree_id, p_name scientific_name, p_name display_name, 'species' taxonomic_precision, q height_m, CAST(NULL AS DOUBLE) dbh_max_cm FROM r WHERE k % 2 = 0
+          UNION ALL SELECT 'hobsons_bay:' || substr(sha256(CAST(l_partkey AS VARCHAR) || '.0|1.0|street|' || p_name), 1, 32), p_name, p_name, 'species', NULL, round(q * 10 * 0.1::DOUBLE, 4) FROM r WHERE k % 2 = 1)
+    SELECT *, count(*) n FROM u GROUP BY ALL""")
+def council_trees(t):
+    r = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).withColumns({"g": F.expr("split_part(p_name, ' ', 1)"), "e": F.expr("split_part(p_name, ' ', 2)")})
+    yarra = r.where("l_linenumber % 2 = 0").selectExpr("map('ref', concat(' R', l_orderkey), 'genus', g, 'species', concat('X. ', e), 'height', CAST(l_quantity AS STRING), 'common', 'TBD') AS properties", "CAST(l_partkey AS DOUBLE) AS longitude", "1D AS latitude")
+    bay = r.where("l_linenumber % 2 = 1").selectExpr("map('Genus', g, 'Species', e, 'type', 'street', 'dbh_mm', concat('5 - ', CAST(CAST(l_quantity * 10 AS INT) AS STRING))) AS properties", "CAST(l_partkey AS DOUBLE) AS longitude", "1D AS latitude")
+    x = inventories.normalise_councils({"yarra": yarra, "hobsons_bay": bay})
+    keys = ["source_tree_id", "scientific_name", "display_name", "taxonomic_precision", "height_m", "dbh_max_cm"]
+    return x.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+@query("station_code:s, observed_at:s, wind_speed_ms:d, rainfall_since_9am_mm:d, air_temperature_c:d, n:l", """
+    SELECT CAST(user_id AS VARCHAR) station_code, strftime(ts, '%Y-%m-%d %H:%M:%S') observed_at, round(value / 3.6, 3) wind_speed_ms, CASE WHEN event_id % 5 = 0 THEN 0.0 WHEN event_id % 7 <> 0 THEN value END rainfall_since_9am_mm,
+           CASE WHEN event_id % 9 <> 0 THEN value END air_temperature_c, count(*) n FROM events GROUP BY ALL""")
+def weather_normalise(t):
+    x = t("events").selectExpr(
+        "' ' AS wmo", "CAST(user_id AS STRING) AS history_product", "event_type AS name", "date_format(ts, 'yyyyMMddHHmmss') AS aifstime_utc", "CASE WHEN event_id % 9 = 0 THEN '-' ELSE CAST(value AS STRING) END AS air_temp", "'-' AS apparent_t",
+        "'50' AS rel_hum", "CAST(value AS STRING) AS wind_spd_kmh", "CASE WHEN event_id % 5 = 0 THEN 'Trace' WHEN event_id % 7 = 0 THEN '-' ELSE CAST(value AS STRING) END AS rain_trace", "'-37.8' AS lat", "'144.9' AS lon",
+    )
+    n = inventories.normalise_weather(x).withColumn("observed_at", F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss"))
+    return n.groupBy("station_code", "observed_at", "wind_speed_ms", "rainfall_since_9am_mm", "air_temperature_c").agg(F.count("*").alias("n"))
+
+
+@query("requested:l, succeeded:l, coverage_pct:d, publish:b", """
+    WITH f AS (SELECT user_id % 50 a, array_agg(DISTINCT CASE WHEN user_id % 50 = 3 THEN user_id ELSE user_id % 50 END) c FROM events WHERE user_id % 50 <> 9 GROUP BY 1), r AS (SELECT DISTINCT user_id % 50 s FROM events)
+    SELECT count(*) requested, count_if(len(c) = 1 AND c[1] = s) succeeded, round(count_if(len(c) = 1 AND c[1] = s) / count(*) * 100, 2) coverage_pct, count_if(len(c) = 1 AND c[1] = s) / count(*) * 100 >= 80 publish FROM r LEFT JOIN f ON s = a""")
+def station_coverage(t):
+    e = t("events")
+    feeds = e.where("user_id % 50 <> 9").selectExpr("user_id % 50 AS requested_code", "CASE WHEN user_id % 50 = 3 THEN user_id ELSE user_id % 50 END AS station_code")
+    return inventories.feed_coverage(e.selectExpr("user_id % 50 AS station_code").distinct(), feeds)
+
+
+@query("p_partkey:l, reasons:s", """
+    SELECT p_partkey, concat_ws('; ', CASE WHEN p_size % 6 = 5 THEN 'unknown status' END, CASE WHEN p_size % 4 = 3 THEN 'unknown size' END, CASE WHEN p_size % 5 = 0 THEN 'dates out of order' END, CASE WHEN p_size % 30 > 24 THEN 'unknown council code' END) reasons FROM part""")
+def guidance_rejects(t):
+    rows = t("part").selectExpr(
+        "p_partkey", "p_size % 30 AS lga_code", "element_at(array('approved', 'recommended', 'conditional', 'approval_required', 'not_recommended', 'maybe'), p_size % 6 + 1) AS guidance_status", "element_at(array('small', 'medium', 'large', 'huge'), p_size % 4 + 1) AS mature_size_class",
+        "p_name AS scientific_name", "p_brand AS common_name", "DATE '2024-02-01' AS effective_from", "CASE WHEN p_size % 5 = 0 THEN DATE '2024-01-01' END AS effective_to",
+    )
+    lga = t("lga").selectExpr("lga_id AS lga_code")
+    x = inventories.normalise_guidance(rows, lga, ["approved", "recommended", "conditional", "approval_required", "not_recommended"], ["small", "medium", "large"])
+    return x.select("p_partkey", F.array_join("reject_reasons", "; ").alias("reasons"))
+
+
+@query("c_custkey:l, tile_x:l, tile_y:l", """
+    SELECT c_custkey, floor((144.5 + c_custkey % 1000 / 1000.0::DOUBLE + 180) / 360 * 65536) tile_x, floor((1 - asinh(tan(radians(-38.2 + c_custkey % 997 / 1000.0::DOUBLE))) / pi()) / 2 * 65536) tile_y FROM customer""")
+def web_tiles(t):
+    lon, lat = F.expr("144.5D + c_custkey % 1000 / 1000D"), F.expr("-38.2D + c_custkey % 997 / 1000D")
+    x, y = geo.web_tile(lon, lat, 16)
+    return t("customer").select("c_custkey", x.alias("tile_x"), y.alias("tile_y"))
+
+
+@query("parcel_id:l, area_m2:d, x:d, y:d, valid:b, covers:b, clipped_m2:d", """
+    SELECT parcel_id, area_m2, x, y, true AS valid, parcel_id % 2 = 0 AS covers, area_m2 / 4.0 clipped_m2 FROM parcel""", "parcel")
+def parcel_polygons(t):
+    x = t("parcel").withColumn("polygon", geo.box_polygon("xmin", "ymin", "xmax", "ymax"))
+    inner = geo.interior_point(F.col("polygon"))
+    at = F.when(F.col("parcel_id") % 2 == 0, F.col("xmin")).otherwise(F.col("xmin") - 1)
+    quarter = geo.clip_to_convex(F.col("polygon")[0], geo.box_polygon(F.col("x"), F.col("y"), F.col("xmax") + 9, F.col("ymax") + 9)[0])
+    return x.select(
+        "parcel_id", geo.polygon_area(F.col("polygon")).alias("area_m2"), inner["x"].alias("x"), inner["y"].alias("y"), geo.valid_polygon(F.col("polygon")).alias("valid"),
+        geo.in_polygon(F.col("polygon"), at, F.col("ymin")).alias("covers"), geo.ring_area(quarter).alias("clipped_m2"),
+    )
+
+
+@query("c_custkey:l, easting:d, northing:d")
+def map_grid(t):
+    x, y = geo.to_map_grid(F.expr("144.5D + c_custkey % 1000 / 1000D"), F.expr("-38.2D + c_custkey % 997 / 1000D"))
+    return t("customer").select("c_custkey", x.alias("easting"), y.alias("northing"))
+
+
+@query("model_code:s, missing:s, unlicensed:s, n_blockers:l, ready:b", """
+    WITH d AS (SELECT DISTINCT p_type dataset, p_type <> 'STANDARD' available, p_type <> 'PROMO' licensed FROM part), m AS (SELECT DISTINCT p_brand model_code, p_type dataset FROM part WHERE p_size < 3)
+    SELECT model_code, string_agg(DISTINCT CASE WHEN NOT available THEN dataset END, ',' ORDER BY CASE WHEN NOT available THEN dataset END) missing, string_agg(DISTINCT CASE WHEN available AND NOT licensed THEN dataset END, ',' ORDER BY CASE WHEN available AND NOT licensed THEN dataset END) unlicensed,
+           count_if(NOT available OR NOT licensed) n_blockers, count_if(NOT available OR NOT licensed) = 0 ready FROM m JOIN d USING (dataset) GROUP BY 1""")
+def model_readiness(t):
+    part = t("part")
+    d = part.selectExpr("p_type AS dataset", "p_type <> 'STANDARD' AS available", "p_type <> 'PROMO' AS licensed").distinct()
+    m = part.where("p_size < 3").groupBy(F.col("p_brand").alias("model_code")).agg(F.collect_set("p_type").alias("required"))
+    r = scenarios.readiness(m, d)
+    return r.withColumns({"missing": F.nullif("missing", F.lit("")), "unlicensed": F.nullif("unlicensed", F.lit(""))})
+
+
+@query("n_pass:l, n_warn:l, n_fail:l, o_orderpriority:s, status:s", """
+    SELECT o_orderpriority, count_if(s = 'PASS') n_pass, count_if(s = 'WARN') n_warn, count_if(s = 'FAIL') n_fail, CASE WHEN count_if(s = 'FAIL') > 0 THEN 'FAIL' WHEN count_if(s = 'WARN') > 0 THEN 'WARN' ELSE 'PASS' END status
+    FROM (SELECT o_orderpriority, CASE o_orderstatus WHEN 'F' THEN 'PASS' WHEN 'O' THEN 'WARN' ELSE CASE WHEN o_custkey % 100 = 7 THEN 'FAIL' ELSE 'PASS' END END s FROM orders) GROUP BY 1""")
+def status_roll_up(t):
+    x = t("orders").selectExpr("o_orderpriority", "CASE o_orderstatus WHEN 'F' THEN 'PASS' WHEN 'O' THEN 'WARN' ELSE CASE WHEN o_custkey % 100 = 7 THEN 'FAIL' ELSE 'PASS' END END AS status")
+    return quality.roll_up(x, ["o_orderpriority"])
+
+
+# -- streams --------------------------------------------------------------------------------------------------------
+
+
+def _stream(name: str, sql: str, columns: str):
+    """Register a stream over ``events`` that is run to its end; its batches are written to a shared folder and read back."""
+
+    def register(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from greenlake.sources.scratch import scratch_path
+
+            source = spark.read.parquet(f"{sf_dir}/events.parquet")
+            stream = weather_stream.observations(spark, f"{sf_dir}/events.parquet*", source.schema)
+            x = stream.selectExpr("CAST(user_id % 40 AS STRING) AS station_code", "CAST(ts AS TIMESTAMP) AS observed_at", "value / 10 AS air_temperature_c", "event_id")
+            out = scratch_path(spark, name)
+            return fn(spark, x, out)
+
+        pairs = [c.strip().split(":") for c in columns.split(",")]
+        cast = ", ".join(f"{_DUCK[k].format(c)} AS {c}" for c, k in pairs)
+        shaped = lambda spark, d: run(spark, d).selectExpr(*(f"{_SPARK[k].format(c)} AS {c}" for c, k in pairs))
+        QUERIES[name] = Query(shaped, f"WITH _result AS ({sql}) SELECT {cast} FROM _result")
+        return fn
+
+    return register
+
+
+@_stream("stream_latest", "SELECT CAST(user_id % 40 AS VARCHAR) station_code, max(event_id) event_id FROM events e WHERE ts = (SELECT max(ts) FROM events g WHERE g.user_id % 40 = e.user_id % 40) GROUP BY 1", "station_code:s, event_id:l")
+def stream_latest(spark, x, out):
+    q = weather_stream.without_repeats(weather_stream.timely(x)).writeStream.foreachBatch(weather_stream.latest_state(f"{out}/state"))
+    q = q.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    last = q.lastProgress["batchId"] if q.lastProgress else 0
+    return spark.read.parquet(f"{out}/state/batch={last}")
+
+
+@_stream("stream_daily", """
+    WITH x AS (SELECT DISTINCT ON (user_id % 40, ts) user_id % 40 s, ts, value / 10 v FROM events)
+    SELECT CAST(s AS VARCHAR) station_code, CAST(ts AS DATE) observed_on, avg(v) mean_c, min(v) min_c, max(v) max_c, count(*) n FROM x GROUP BY ALL""", "station_code:s, observed_on:t, mean_c:d, min_c:d, max_c:d, n:l")
+def stream_daily(spark, x, out):
+    daily = weather_stream.daily(weather_stream.without_repeats(weather_stream.timely(x)))
+
+    def keep(batch, number):
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/days/batch_no={number}")
+
+    q = daily.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = spark.read.parquet(f"{out}/days").drop("batch_no")
+    return rows.groupBy("station_code", "observed_on").agg(F.max_by(F.struct("mean_c", "min_c", "max_c", "n"), "batch").alias("d")).select("station_code", "observed_on", "d.*")
+
+
+@_stream("stream_gated", "SELECT CAST(user_id % 40 AS VARCHAR) station_code, count(*) n FROM events WHERE value / 10 BETWEEN 0 AND 60 GROUP BY 1", "station_code:s, n:l")
+def stream_gated(spark, x, out):
+    rules = [{"code": "RANGE", "type": "range", "field": "air_temperature_c", "minimum": 0, "maximum": 60}]
+    write = weather_stream.gated(rules, f"{out}/facts", f"{out}/evidence", "weather", 50.0)
+    x.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/facts").groupBy("station_code").agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in QUERIES.items()}
 
