@@ -35,20 +35,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def map_batches(df: DataFrame, make, schema: str | T.StructType) -> DataFrame:
     """Apply ``make()(*columns) -> output columns`` to each Arrow batch of ``df``.
 
-    ``make`` runs once in each task and returns the function, so it may load tables once.
+    ``make`` runs once in each task and returns the function, so it may load tables once; it may also return
+    a pair of that function and one that gives the columns that are left when the task's batches are over.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(kind)
 
     def run(batches):
-        fn = make()
-        for batch in batches:
-            cols = fn(*(c.to_pylist() for c in batch.columns))
-            yield pa.RecordBatch.from_arrays(
+        made = make()
+        fn, rest = made if isinstance(made, tuple) else (made, None)
+
+        def packed(cols):
+            return pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, out)], schema=out
             )
 
+        for batch in batches:
+            yield packed(fn(*(c.to_pylist() for c in batch.columns)))
+        if rest:
+            yield packed(rest())
+
     return df.mapInArrow(run, kind)
 
 

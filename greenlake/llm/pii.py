@@ -94,22 +94,26 @@ def term_counts(docs: DataFrame, text_col: str = "text", window: int = 8, flush:
     """
 
     def make():
-        held: Counter = Counter()
+        terms, held = Counter(), Counter()
+
+        def rest():
+            rows = [(None, w, n) for w, n in terms.items()] + [(*k, n) for k, n in held.items()]
+            terms.clear()
+            held.clear()
+            return [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
 
         def fn(texts):
+            held[None, None] += len(texts)
             for text in texts:
                 text = text or ""
-                held[None, None] += 1
-                held.update((None, w) for w in set(WORD.findall(text.lower())))
+                terms.update(set(WORD.findall(text.lower())))
                 if spans := base_spans(text):
-                    for entity, terms in _near(text, spans, window).items():
+                    for entity, near in _near(text, spans, window).items():
                         held[entity, None] += 1
-                        held.update((entity, w) for w in terms)
-            rows = list(held.items())
-            held.clear()
-            return [r[0][0] for r in rows], [r[0][1] for r in rows], [r[1] for r in rows]
+                        held.update((entity, w) for w in near)
+            return rest() if len(terms) + len(held) > flush else ([], [], [])
 
-        return fn
+        return fn, rest
 
     df = map_batches(docs.select(text_col), make, "entity string, term string, n bigint")
     return df.groupBy("entity", "term").agg(F.sum("n").alias("n"))
