@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from greenlake.llm.common import written
+
 #: (window, stride, fewest words of an item, most words): runs of window + stride - 1 words are always hashed.
 FAMILIES = ((12, 4, 15, 1 << 30), (6, 2, 7, 14))
 PHASES = 3
@@ -43,6 +45,7 @@ def _seeds(hashes: str, window: int, stride: int) -> Column:
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", overlap: int = 20, similarity: float = 0.8, broadcast_seeds: int = 1_000_000,
+    broadcast_hits: int = 100_000,
 ) -> DataFrame:
     """Rows (id, text_hash, item, n_match, n_words, doc_word) of documents that hold benchmark text.
 
@@ -52,7 +55,8 @@ def contaminated(
     item's length and doc_word the first such alignment's position in the document's words. Null or
     empty texts and items hold nothing; repeated rows give one row; null ids are kept apart by their
     text; other columns are not read. The seeds of the benchmark are broadcast up to
-    ``broadcast_seeds`` rows and joined by shuffle beyond.
+    ``broadcast_seeds`` rows and joined by shuffle beyond; so are the documents with hits, up to
+    ``broadcast_hits`` of them, when their texts are fetched again.
     """
     items = benchmark.where(F.col(item_text_col).isNotNull()).select(
         F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("i_hashes")
@@ -80,7 +84,9 @@ def contaminated(
         hits = d.where("false").join(items.where("false"), F.lit(True)).select("id", "text_hash", "item", F.lit(0).alias("shift"))
     # A document's alignments are bounded by its own length; its text is fetched once for all of them.
     hits = hits.groupBy("id", "text_hash", "item", "shift").agg(F.lit(1).alias("_"))
-    hits = hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "shift")).alias("aligned"))
+    hits = written(hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "shift")).alias("aligned")), "seed-hits")
+    if hits.limit(broadcast_hits + 1).count() <= broadcast_hits:
+        hits = F.broadcast(hits)  # then no text is shuffled
     at = d.alias("d").join(hits.alias("h"), F.expr("d.id <=> h.id and d.text_hash = h.text_hash"))
     at = at.select("d.id", "d.text_hash", "h.aligned", word_hashes(F.col("d.body")).alias("hashes"))
     at = at.select("id", "text_hash", "hashes", F.explode("aligned").alias("a"))
@@ -107,4 +113,6 @@ def contaminated(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark text, with all their columns; null texts stay."""
     bad = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_b"), F.col("text_hash").alias("_h")).distinct()
+    bad, most = written(bad, "contaminated"), options.get("broadcast_hits", 100_000)
+    bad = F.broadcast(bad) if bad.limit(most + 1).count() <= most else bad
     return docs.join(bad, docs[id_col].eqNullSafe(F.col("_b")) & (F.xxhash64(docs[text_col]) == F.col("_h")), "left_anti")

@@ -186,7 +186,7 @@ def sanitise(
     terms = written(disclosing_terms(docs, text_col, window, min_support, threshold), "pii-terms")
     few = terms.limit(broadcast_terms + 1).count() <= broadcast_terms
     table = {r["term"]: r["replacement"] for r in terms.select("term", "replacement").collect()} if few else {}
-    keep = [c for c in docs.columns if c != text_col and c not in new]
+    keep = [c for c in docs.columns if c != text_col and c.lower() not in new]
     rows = docs.select(*keep, text_col)
     if not few:
         rows = rows.withColumns({"_id": F.col(id_col), "_hash": F.xxhash64(text_col)})

@@ -116,7 +116,7 @@ def grade(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
     independent; repeated rows each get their grade. A model without ratings keeps everything.
     """
     new = ["expected_grade", "tail_probability", "kept"]
-    keep = [c for c in docs.columns if c not in new]
+    keep = [c for c in docs.columns if c.lower() not in new]
     rows = docs.select(*keep)
     at = keep.index(text_col)
     used = np.nonzero(model[0])[0]

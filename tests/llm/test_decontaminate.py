@@ -45,7 +45,7 @@ def test_against_brute_force(frame):
     assert len(want) > 15
     got = d.contaminated(frame([(k, t, "n") for k, t in docs], "doc_id long, text string, item string"), frame(items, "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
-    joined = d.contaminated(frame(docs, schema), frame(items, "item_id long, text string"), broadcast_seeds=0).collect()
+    joined = d.contaminated(frame(docs, schema), frame(items, "item_id long, text string"), broadcast_seeds=0, broadcast_hits=0).collect()
     assert {(r["doc_id"], r["item_id"]) for r in joined} == want
 
 
