@@ -49,21 +49,6 @@ def split(df: DataFrame, id_col: str, share: float = 0.8, seed: int = 42) -> Dat
     return x.withColumn("is_train", F.col("_rn") <= F.ceil(F.col("_n") * share)).drop("_rn", "_n")
 
 
-def quantile_line(x: np.ndarray, y: np.ndarray, q: float, rounds: int = 200) -> tuple[float, float]:
-    """Intercept and slope that minimise the pinball loss, by iteratively reweighted least squares."""
-    a = np.column_stack([np.ones(len(x)), x])
-    b = np.linalg.lstsq(a, y, rcond=None)[0]
-    for _ in range(rounds):
-        r = y - a @ b
-        w = np.where(r > 0, q, 1 - q) / np.maximum(np.abs(r), 1e-6)
-        aw = a * w[:, None]
-        new = np.linalg.solve(a.T @ aw + 1e-12 * np.eye(2), aw.T @ y)
-        if np.max(np.abs(new - b)) < 1e-9:
-            break
-        b = new
-    return float(b[0]), float(b[1])
-
-
 def fit_lines(train: DataFrame, target: str, cells: int = 64) -> DataFrame:
     """Lines ln(target) = a + b ln(age + 1) at p10, p50 and p90 for each species that has 30 rows or more.
 
@@ -92,7 +77,8 @@ def fit_lines(train: DataFrame, target: str, cells: int = 64) -> DataFrame:
     return points.groupBy("species").applyInPandas(fit, LINES)
 
 
-def _weighted_line(x, y, n, q, rounds: int = 300):
+def _weighted_line(x: np.ndarray, y: np.ndarray, n: np.ndarray, q: float, rounds: int = 300) -> tuple[float, float]:
+    """Intercept and slope that minimise the pinball loss of counted points, by iteratively reweighted least squares."""
     a = np.column_stack([np.ones(len(x)), x])
     b = np.linalg.lstsq(a * np.sqrt(n)[:, None], y * np.sqrt(n), rcond=None)[0]
     for _ in range(rounds):

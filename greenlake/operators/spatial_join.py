@@ -56,9 +56,8 @@ def areas_meet(left: DataFrame, right: DataFrame, how: str = "left_semi", size:
     meet = (F.col("xmin") <= F.col("r_xmax")) & (F.col("xmax") >= F.col("r_xmin")) & (F.col("ymin") <= F.col("r_ymax")) & (F.col("ymax") >= F.col("r_ymin"))
     if polygons:
         meet = meet & geo.polygons_meet(F.col(polygons[0]), F.col(f"r_{polygons[1]}"))
-    keys = left.columns
     x = bucketed_boxes(left, size).join(r, (F.col("bx") == F.col("r_bx")) & (F.col("by") == F.col("r_by")) & meet, how)
-    return x.select(*keys).dropDuplicates() if how in ("left_semi",) else x.drop("bx", "by", "r_bx", "r_by").dropDuplicates()
+    return x.drop("bx", "by", "r_bx", "r_by").dropDuplicates()
 
 
 def count_in_areas(areas: DataFrame, points: DataFrame, key: str, name: str = "n_points", size: float = BUCKET, polygon: str | None = None) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greenlake.functions import geo
 from greenlake.operators.property import distance_status
 
 PAST, AHEAD = "3 hours", "5 minutes"
@@ -35,7 +34,3 @@ def nearest_recent(places: DataFrame, observations: DataFrame, as_of: Column, ke
         key, "station_code", F.round(F.col("distance_m") / 1000, 2).alias("distance_km"), F.round(age, 1).alias("age_minutes"),
         distance_status("distance_m").alias("context_status"), F.when(shown, F.col("air_temperature_c")).alias("air_temperature_c"),
     )
-
-
-def with_distance(places: DataFrame, stations: DataFrame) -> Column:
-    return geo.distance(places["x"], places["y"], stations["x"], stations["y"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from greenlake.functions import classify, geo, text
 from greenlake.operators import grid, growth, linkage, property, quality, raster, scenarios, spatial_join, species, versions, weather
+from greenlake.plans import pipelines
 from greenlake.plans.adapters import load, oracle
 from greenlake.sources import inventories
 from greenlake.streaming import weather as weather_stream
@@ -758,6 +759,88 @@ def status_roll_up(t):
     return quality.roll_up(x, ["o_orderpriority"])
 
 
+# -- jobs -----------------------------------------------------------------------------------------------------------
+
+
+@query("version_id:l, n_in:l, n_out:l, n_excluded:l, retention_pct:d", f"""
+    WITH f AS (SELECT floor(x / 20000) version_id, EXISTS (SELECT 1 FROM lga WHERE lga_id % 2 = 0 AND {_IN}) k FROM urban_tree)
+    SELECT version_id, count(*) n_in, count_if(k) n_out, count_if(NOT k) n_excluded, round(count_if(k) / count(*) * 100, 2) retention_pct FROM f GROUP BY 1""", "urban_tree lga")
+def clip_report(t):
+    facts = t("urban_tree").withColumn("version_id", F.floor(F.col("x") / 20000))
+    return pipelines.clip(facts, t("lga").where("lga_id % 2 = 0"), "clip")[1]
+
+
+@query("orderkey:l, n:l", """
+    SELECT l_orderkey orderkey, count(*) n FROM lineitem WHERE l_quantity <= 48 AND (l_orderkey * 31) % 60000 < 36000 AND (SELECT count_if(l_quantity <= 48) / count(*) FROM lineitem) >= 0.9 GROUP BY 1""")
+def gated_ingest(t):
+    rows = t("lineitem").selectExpr("l_orderkey AS orderkey", "l_quantity AS quantity", "(l_orderkey * 31) % 60000 AS x", "1D AS y")
+    boundary = t("lga").where("ymin = 0").groupBy().agg(F.lit(0).alias("xmin"), F.lit(0).alias("ymin"), F.lit(35999).alias("xmax"), F.lit(12000).alias("ymax"))
+    facts, _ = pipelines.ingest(rows, [{"code": "Q", "type": "range", "field": "quantity", "maximum": 48}], "lineitem", "v1", boundary, 90.0)
+    return facts.groupBy("orderkey").agg(F.count("*").alias("n"))
+
+
+@query("cell_id:l, observed_on:t, band:s", """
+    WITH q AS (SELECT quantile_cont(heat_value, 1.0::DOUBLE / 3) a, quantile_cont(heat_value, 2.0::DOUBLE / 3) b FROM heat)
+    SELECT cell_id, observed_on, max(CASE WHEN heat_value <= a THEN '1Low' WHEN heat_value <= b THEN '2Medium' ELSE '3High' END) band FROM heat, q GROUP BY ALL""", "heat")
+def scheme_bands(t):
+    scheme = pipelines.classification_scheme(t("heat"), ["heat_value"], "v1")
+    x = pipelines.by_scheme(t("heat"), scheme, "heat_value")
+    rank = F.concat(F.when(F.col("band") == "Low", "1").when(F.col("band") == "Medium", "2").otherwise("3"), "band")
+    return x.groupBy("cell_id", "observed_on").agg(F.max(rank).alias("band"))
+
+
+@query("parcel_id:l, n_trees:l, crown_pct:d", """
+    SELECT p.parcel_id, count(t.x) n_trees, round(coalesce(sum(pi() * radius * radius), 0) / any_value(area_m2) * 100, 2) crown_pct FROM parcel p LEFT JOIN urban_tree t ON t.x BETWEEN xmin AND xmax AND t.y BETWEEN ymin AND ymax GROUP BY ALL""", "parcel urban_tree")
+def lot_canopy(t):
+    return pipelines.lot_canopy(t("parcel"), t("urban_tree"))
+
+
+@query("parcel_id:l, failures:s, warnings:s, status:s", """
+    WITH x AS (SELECT parcel_id, parcel_id % 11 > 0 i, area_m2 - 500 a, 144.2 + parcel_id % 100 / 50.0 lon, parcel_id % 90 h, parcel_id % 101 c, DATE '2023-01-01' + CAST(parcel_id % 500 AS INTEGER) d FROM parcel),
+    y AS (SELECT parcel_id, concat_ws('; ', CASE WHEN NOT i THEN 'address point is not covered by the boundary' END, CASE WHEN a <= 0 THEN 'parcel geometry/area is missing or invalid' END, CASE WHEN lon > 146 THEN 'coordinates fall outside the reasonableness box' END,
+                 CASE WHEN h > 80 THEN 'heat baseline is missing or implausible' END, CASE WHEN d > DATE '2024-02-01' THEN 'heat observation date is missing or in the future' END) failures,
+                 concat_ws('; ', CASE WHEN DATE '2024-02-01' - d > 365 THEN 'heat observation is over a year old' END, CASE WHEN c <= 1 OR c >= 90 THEN 'extreme canopy value' END) warnings FROM x)
+    SELECT *, CASE WHEN failures <> '' THEN 'FAIL' WHEN warnings <> '' THEN 'WARN' ELSE 'PASS' END status FROM y""", "parcel")
+def property_sanity(t):
+    x = t("parcel").selectExpr(
+        "parcel_id", "parcel_id % 11 > 0 AS inside_boundary", "CAST(area_m2 - 500 AS DOUBLE) AS area_m2", "144.2D + parcel_id % 100 / 50D AS longitude", "-38D AS latitude", "CAST(parcel_id % 90 AS DOUBLE) AS heat_value", "CAST(parcel_id % 101 AS DOUBLE) AS canopy_pct",
+        "date_add(DATE '2023-01-01', CAST(parcel_id % 500 AS INT)) AS heat_observed_on", "'Low' AS heat_class",
+    )
+    return pipelines.property_sanity(x, F.lit("2024-02-01").cast("date"))
+
+
+@query("c_custkey:l, area_m2:d, difference_pct:d, keyed:b", """
+    SELECT c_custkey, c_acctbal area_m2, CASE WHEN c_nationkey > 0 THEN abs(c_acctbal - c_nationkey * 100) / (c_nationkey * 100) * 100 END difference_pct, true AS keyed FROM customer""")
+def canopy_snapshots(t):
+    x = t("customer").selectExpr("c_custkey", "map('shape_area', CAST(c_acctbal AS STRING)) AS properties", "c_name AS geometry", "CAST(c_nationkey * 100 AS DOUBLE) AS measured_m2")
+    n = inventories.normalise_canopy_snapshot(x, 2021)
+    keyed = x.select("c_custkey", F.sha2("geometry", 256).alias("source_feature_key"))
+    return n.join(keyed, "source_feature_key").selectExpr("c_custkey", "source_area_m2 AS area_m2", "source_area_difference_pct AS difference_pct", "length(source_feature_key) = 64 AS keyed")
+
+
+@query("lga_code:s, lga_official_name:s, source_feature_id:s", "SELECT CAST(n_nationkey AS VARCHAR) lga_code, CASE WHEN n_nationkey % 2 = 0 THEN 'City of ' || n_name ELSE n_name END lga_official_name, CASE WHEN n_nationkey % 3 = 0 THEN 'U' || n_nationkey ELSE CAST(n_nationkey AS VARCHAR) END source_feature_id FROM nation")
+def lga_features(t):
+    x = t("nation").selectExpr("map_concat(map('LGA_CODE', CAST(n_nationkey AS STRING), 'Lga_Name', n_name), IF(n_nationkey % 2 = 0, map('LGA_OFFICIAL_NAME', concat('City of ', n_name)), map('LGA_OFFICIAL_NAME', ' ')), IF(n_nationkey % 3 = 0, map('ufi', concat('U', n_nationkey)), map('x', 'y'))) AS properties", "'g' AS geometry")
+    return inventories.normalise_lga(x)
+
+
+@query("lga_code:l, species_key:s, guidance_status:s, n_trees:l", """
+    WITH g AS (SELECT p_size % 25 lga_code, 'scientific:' || lower(p_name) species_key, CASE p_partkey % 2 WHEN 0 THEN 'approved' ELSE 'conditional' END s FROM part WHERE p_partkey % 9 = 0), o AS (SELECT l_partkey % 30 lga_code, 'scientific:' || lower(scientific_name) species_key, count(*) n FROM tree GROUP BY ALL)
+    SELECT g.lga_code, g.species_key, s guidance_status, coalesce(n, 0) n_trees FROM g LEFT JOIN o USING (lga_code, species_key) UNION ALL SELECT lga_code, species_key, 'not_in_loaded_guidance', n FROM o WHERE (lga_code, species_key) NOT IN (SELECT lga_code, species_key FROM g)""", "tree")
+def guidance_options(t):
+    g = t("part").where("p_partkey % 9 = 0").selectExpr("CAST(p_size % 25 AS BIGINT) AS lga_code", "p_name AS scientific_name", "p_brand AS common_name", "CASE p_partkey % 2 WHEN 0 THEN 'approved' ELSE 'conditional' END AS guidance_status")
+    o = t("tree").groupBy((F.col("l_partkey") % 30).alias("lga_code"), species.species_key().alias("species_key")).agg(F.count("*").alias("n_trees"))
+    return species.species_options(g, o)
+
+
+@query("scenario_id:l, added_m2:d, added_pct:d, total_pct:d, carbon_kg:d", """
+    WITH s AS (SELECT l_suppkey scenario_id, sum(pi() * l_quantity * l_quantity / 100) a FROM lineitem GROUP BY 1)
+    SELECT scenario_id, round(a, 2) added_m2, round(a / 90000 * 100, 2) added_pct, round(least(10 + a / 90000 * 100, 100), 2) total_pct, round(a, 2) * 0.65 carbon_kg FROM s""")
+def scenario_canopy(t):
+    x = t("lineitem").selectExpr("l_suppkey AS scenario_id", "l_quantity / 10 AS radius", "90000D AS site_area_m2", "10D AS baseline_pct")
+    return scenarios.benefits(scenarios.scenario_canopy(x))
+
+
 # -- streams --------------------------------------------------------------------------------------------------------
 
 
@@ -822,5 +905,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {name: q.sql for name, q in QUERIES.items() if q.sql}
 
-
-__all__ = ["geo", "oracle_sql", "queries"]

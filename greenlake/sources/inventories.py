@@ -263,3 +263,85 @@ def split_tiles(tiles: DataFrame) -> DataFrame:
     box = lambda a, b, c, d: F.struct(a.alias("xmin"), b.alias("ymin"), c.alias("xmax"), d.alias("ymax"))
     lo_x, lo_y, hi_x, hi_y = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
     return tiles.select(F.inline(F.array(box(lo_x, lo_y, mx, my), box(mx, lo_y, hi_x, my), box(lo_x, my, mx, hi_y), box(mx, my, hi_x, hi_y))))
+
+
+def _text(name: str) -> Column:
+    return F.nullif(F.trim(p(name)), F.lit(""))
+
+
+def normalise_melbourne_trees(features: DataFrame) -> DataFrame:
+    """The central city's own tree extract as rows of the tree contract, with its useful life in years."""
+    common, botanical = clean(p("common_name")), clean(p("scientific_name"))
+    num = lambda n, k="double": clean(p(n)).try_cast(k)
+    own = {
+        "inventory_source_key": F.lit("melbourne"), "municipality": F.lit("City of Melbourne"), "source_tree_id": clean(p("com_id")), "longitude": num("longitude"), "latitude": num("latitude"), "active_record": F.lit(True),
+        "common_name": common, "scientific_name": botanical, "display_name": F.coalesce(common, botanical), "genus": clean(p("genus")), "family": clean(p("family")), "diameter_breast_height_cm": num("diameter_breast_height"),
+        "year_planted": num("year_planted", "int"), "date_planted": iso_date(p("date_planted")), "age_description": clean(p("age_description")), "useful_life_expectancy": clean(p("useful_life_expectency")),
+        "precinct": clean(p("precinct")), "located_in": clean(p("located_in")),
+    }
+    x = features.select(*((own[c] if c in own else F.lit(None)).cast(k).alias(c) for c, k in CONTRACT.items()), num("useful_life_expectency_value", "int").alias("useful_life_expectancy_years"))
+    return x
+
+
+def normalise_address(features: DataFrame) -> DataFrame:
+    """Address points: texts trimmed, blanks null, the place as WKT."""
+    names = {"source_address_id": "pfi", "source_property_id": "property_pfi", "full_address": "ezi_address", **{n: n for n in ("locality_name", "postcode", "lga_code", "is_primary", "address_class")}}
+    place = F.when(F.col("longitude").isNotNull() & F.col("latitude").isNotNull(), F.format_string("POINT (%s %s)", F.col("longitude").cast("string"), F.col("latitude").cast("string")))
+    return features.select(*(_text(v).alias(k) for k, v in names.items()), place.alias("geometry_wkt"))
+
+
+def normalise_parcel(features: DataFrame) -> DataFrame:
+    names = {"source_parcel_id": "prop_pfi", "property_number": "prop_propnum", "property_type": "prop_property_type", "property_status": "prop_status", "lga_code": "prop_lga_code"}
+    return features.select(*(_text(v).alias(k) for k, v in names.items()), _text("Shape__Area").try_cast("double").alias("parcel_area_m2"), F.col("geometry").alias("geometry_wkt"))
+
+
+def normalise_lga(features: DataFrame) -> DataFrame:
+    """Council areas, their properties looked up whatever the case of their names."""
+    low = F.transform_keys("properties", lambda k, _: F.lower(k))
+    got = {n: first_of(low, n) for n in ("lga_code", "lga_name", "lga_official_name", "abs_lga_code", "gazettal_registration", "ufi")}
+    return features.select(
+        F.coalesce(got["ufi"], got["lga_code"]).alias("source_feature_id"), got["lga_code"].alias("lga_code"), got["lga_name"].alias("lga_name"), F.coalesce(got["lga_official_name"], got["lga_name"]).alias("lga_official_name"),
+        got["abs_lga_code"].alias("abs_lga_code"), got["gazettal_registration"].alias("gazettal_registration"), F.col("geometry").alias("geometry_wkt"),
+    )
+
+
+def normalise_canopy_snapshot(features: DataFrame, year: int) -> DataFrame:
+    """Canopy polygons of one snapshot: a key from the geometry, the source's area, and how far it is off the measured one.
+
+    ``features`` has properties, geometry (text) and measured_m2.
+    """
+    source = F.coalesce(*(_text(n).try_cast("double") for n in ("area", "shape_area", "shape__area")))
+    return features.select(
+        F.sha2("geometry", 256).alias("source_feature_key"), F.lit(year).alias("observed_year"), F.lit(f"{year}-12-31").cast("date").alias("observed_on"), F.col("geometry").alias("geometry_wkt"),
+        F.col("measured_m2").alias("calculated_area_m2"), source.alias("source_area_m2"), F.when(F.col("measured_m2") > 0, F.abs(source - F.col("measured_m2")) / F.col("measured_m2") * 100).alias("source_area_difference_pct"),
+    )
+
+
+def normalise_traits(rows: DataFrame) -> DataFrame:
+    """Trait rows with texts trimmed, blanks null, and the value also as a number."""
+    texts = [c for c, k in rows.dtypes if k == "string"]
+    x = rows.withColumns({c: F.nullif(F.trim(c), F.lit("")) for c in texts if c not in ("value", "trait_name")})
+    n = F.trim("value").try_cast("double")
+    return x.withColumns({"value_text": F.trim("value"), "value_numeric": F.when(~F.isnan(n) & (F.abs(n) != float("inf")), n), "trait_name": F.trim("trait_name")})
+
+
+# Licence addresses that an image may carry, and their names.
+LICENCES = {
+    "https://creativecommons.org/publicdomain/zero/1.0": "CC0 1.0", "https://creativecommons.org/licenses/by/4.0": "CC BY 4.0", "https://creativecommons.org/licenses/by-sa/4.0": "CC BY-SA 4.0",
+    "https://creativecommons.org/licenses/by/3.0": "CC BY 3.0", "https://creativecommons.org/licenses/by-sa/3.0": "CC BY-SA 3.0",
+}
+
+
+def licence_name(address) -> Column:
+    """The name of an approved licence by its address, or null."""
+    a = F.regexp_replace(F.regexp_replace(F.lower(F.trim(address)), "^http://", "https://"), "(/legalcode|/deed[^/]*)?/*$", "")
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in LICENCES.items() for x in pair)), a)
+
+
+def asset_source(role) -> tuple[Column, Column]:
+    """Source type of a canopy asset's role, and whether it only stands in for analytical data."""
+    r = F.col(role) if isinstance(role, str) else role
+    proxy = r == "canopy_api_tile_mosaic"
+    analytical = r.isin("canopy_source_raster", "canopy_analytical_geotiff")
+    kind = F.when(proxy, "api_tile_proxy").when(analytical, "analytical_geotiff").otherwise(F.raise_error(F.concat(F.lit("unsupported canopy asset role: "), r)))
+    return kind, proxy

@@ -160,7 +160,8 @@ def test_growth(spark):
     assert status.count("ok") == 2 and {"unsupported species", "years must be >= 0", "give exactly one of size or start_width_m", "past the training range", "size must be S, M or L"} <= set(status)
     m = spark.createDataFrame([("1", "Mature", 4.0, 5.0, None, "A b", 1), ("1", "Mature", 6.0, 5.0, None, "A b", 2), ("2", "Young", 4.0, 5.0, None, "A b", 3), ("3", "Over mature", 9.0, None, 40.0, None, 4), ("3", "Over mature", 9.0, None, 40.0, "C d", 5)], "source_tree_id string, age_description string, canopy_width_m double, height_m double, dbh_cm double, scientific_name string, row_number int")
     assert rows(growth.mature_rows(m), "source_tree_id", "width_m") == [("1", 4.0), ("3", 9.0)]
-    assert [round(r[0], 6) for r in spark.range(1).select(growth.added_area(F.lit(2.0).alias("a"), F.lit(4.0).alias("b")) if False else F.lit(3 * math.pi)).collect()] == [round(3 * math.pi, 6)]
+    gain = spark.sql("SELECT 2D a, 4D b").select(growth.added_area("a", "b"), growth.added_area("b", "a")).first()
+    assert tuple(gain) == (pytest.approx(3 * math.pi), 0)
 
 
 def test_mature_width_model(spark):
