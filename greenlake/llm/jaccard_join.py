@@ -64,8 +64,8 @@ def _bands(n: int):
         yield band + 1, 2 * top, (n + partner) // 9
 
 
-#: Most bytes of a sketch that goes along with a document into large buckets.
-SKETCH_BYTES = 640
+#: Most bytes of a sketch that goes along with a document into large buckets; small sets get three a shingle.
+SKETCH_BYTES = 2048
 #: Buckets up to this size are paired by a join; larger ones are compared in blocks of BLOCK.
 SMALL, BLOCK = 32, 512
 
@@ -74,10 +74,10 @@ def slack_of(band: int) -> int:
     return 1 + (3 << band) // 100
 
 
-def segments(sh: np.ndarray):
+def segments(sh: np.ndarray, with_sketch: bool = True):
     """(band, slack, segment names, sketch bytes) that a shingle set hands on.
 
-    The sketch has a byte for each segment, or for runs of them in large bands; two sketches differ in at
+    The sketch folds the parities into bytes, each shingle into one of them, so two sketches differ in at
     most as many bytes as their sets differ in shingles.
     """
     for band, top, d in _bands(len(sh)):
@@ -91,11 +91,9 @@ def segments(sh: np.ndarray):
         value, seg = np.bitwise_xor.reduceat(bit, starts), seg[starts]
         full = value != 0
         seg, value = seg[full], value[full]
-        sketch = np.zeros(count, np.uint8)
-        sketch[seg] = _mix(value).astype(np.uint8)
-        run = -(-count // SKETCH_BYTES)
-        if run > 1:
-            sketch = np.bitwise_xor.reduceat(sketch, np.arange(0, count, run))
+        sketch = np.zeros(min(3 * top, SKETCH_BYTES) * with_sketch, np.uint8)
+        if with_sketch:
+            np.bitwise_xor.at(sketch, (_mix(sh + np.uint64(band)) >> np.uint64(8)) % np.uint64(len(sketch)), sh.astype(np.uint8))
         want = d + slack
         if len(seg) < want:  # small sets also hand on their empty segments
             bare = np.setdiff1d(np.arange(count, dtype=np.uint64), seg)
@@ -113,7 +111,7 @@ def _segment_rows(docs: DataFrame, text_col: str) -> DataFrame:
                 sh = shingles(text)
                 if len(sh):
                     c = class_of(sh)
-                    for _, _, s, _ in segments(sh):
+                    for _, _, s, _ in segments(sh, False):
                         names.append(s)
                         classes.append(np.full(len(s), c))
             return pa.array(np.concatenate(names)), pa.array(np.concatenate(classes))
