@@ -19,6 +19,7 @@ from greenlake.llm.common import connected_components, map_batches, written
 
 WIDTH = 2.0
 BLOCK = 1024
+GROUP_ROWS = 16384
 
 
 def collision(distance: float, width: float = WIDTH) -> float:
@@ -50,6 +51,33 @@ def _unit(vs) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _rows_of(column):
+    """(row numbers, matrix) of a list column's rows, one for each length."""
+    lists = column.combine_chunks()
+    flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    offsets = offsets - offsets[0]
+    sizes = np.diff(offsets)
+    out = []
+    for size in np.unique(sizes):
+        at = np.nonzero(sizes == size)[0]
+        out.append((at, flat[offsets[at][:, None] + np.arange(size)]))
+    return out
+
+
+def _forest(i: list[int], j: list[int]):
+    """The pairs that join two trees when added in turn."""
+    parent: dict[int, int] = {}
+    for p, q in zip(i, j):
+        a, b = p, q
+        while parent.setdefault(a, a) != a:
+            parent[a] = a = parent[parent[a]]
+        while parent.setdefault(b, b) != b:
+            parent[b] = b = parent[parent[b]]
+        if a != b:
+            parent[b] = a
+            yield p, q
+
+
 def _usable(v) -> bool:
     return v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(x != 0 for x in v)
 
@@ -106,42 +134,48 @@ def near_duplicates(
     x = x.withColumn("own", F.pmod(F.xxhash64("class", F.lit(seed)), F.col("blocks")).cast("int"))
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     x = x.withColumns({"b0": F.least("own", "other"), "b1": F.greatest("own", "other")})
-    schema = "a bigint, b bigint, n bigint"
+    # A task takes many small groups at a time; a group of two blocks has at most about 2 * BLOCK rows.
+    parts = 1 + classes.count() * tables // GROUP_ROWS
+    x = x.withColumn("part", F.pmod(F.xxhash64("label", "t", "key", "b0", "b1"), F.lit(parts)))
 
     def compare(key, batch):
-        t, b0, b1 = key[1].as_py(), key[3].as_py(), key[4].as_py()
-        names, own = batch["class"].to_numpy(), batch["own"].to_numpy()
-        weights = batch["weight"].to_numpy()
-        vs = batch["v"].to_pylist()
-        keys = np.array(batch["keys"].to_pylist(), np.int32)
+        names, own, weights = (batch[c].to_numpy() for c in ("class", "own", "weight"))
+        label = batch["label"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        t, b0, b1 = (batch[c].to_numpy() for c in ("t", "b0", "b1"))
+        keys = _rows_of(batch["keys"])[0][1]
+        unit, size = np.zeros(len(names), object), np.zeros(len(names), np.int64)
+        for at, vs in _rows_of(batch["v"]):
+            vs = _unit(vs)
+            size[at] = vs.shape[1]
+            for i, v in zip(at, vs):
+                unit[i] = v
+        order = np.lexsort((b1, b0, batch["key"].to_numpy(), t, label, size))
+        rank = [c[order] for c in (size, label, t, batch["key"].to_numpy(), b0, b1)]
+        starts = np.nonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in rank], axis=0)]))[0]
         links, ea, eb = np.zeros(len(names), np.int64), [], []
-        for size in {len(v) for v in vs}:
-            mine = np.array([i for i, v in enumerate(vs) if len(v) == size])
-            m = _unit([vs[i] for i in mine])
-            left, right = (mine, mine) if b0 == b1 else (mine[own[mine] == b0], mine[own[mine] == b1])
+        for lo, hi in zip(starts, np.append(starts[1:], len(order))):
+            if hi - lo < 2:
+                continue
+            mine = order[lo:hi]
+            same = b0[mine[0]] == b1[mine[0]]
+            left = mine if same else mine[own[mine] == b0[mine[0]]]
+            right = mine if same else mine[own[mine] == b1[mine[0]]]
             if not len(left) or not len(right):
                 continue
-            at = {j: p for p, j in enumerate(mine)}
-            cos = m[[at[j] for j in left]] @ m[[at[j] for j in right]].T
-            i, j = np.nonzero(cos >= min_cosine)
+            i, j = np.nonzero(np.stack(unit[left]) @ np.stack(unit[right]).T >= min_cosine)
             i, j = left[i], right[j]
-            if b0 == b1:
+            if same:
                 i, j = i[i < j], j[i < j]
-            if t:  # a pair counts in the first table that brings it together
-                fresh = np.array([not np.any(keys[p, :t] == keys[q, :t]) for p, q in zip(i, j)], bool)
-                i, j = (i[fresh], j[fresh]) if len(i) else (i, j)
+            if len(i) and t[mine[0]]:  # a pair counts in the first table that brings it together
+                fresh = ~np.any(keys[i, : t[mine[0]]] == keys[j, : t[mine[0]]], axis=1)
+                i, j = i[fresh], j[fresh]
+            if not len(i):
+                continue
             np.add.at(links, i, weights[j])
             np.add.at(links, j, weights[i])
-            parent = list(range(len(names)))
-            for p, q in zip(i.tolist(), j.tolist()):
-                while parent[p] != p:
-                    parent[p] = p = parent[parent[p]]
-                while parent[q] != q:
-                    parent[q] = q = parent[parent[q]]
-                if p != q:
-                    parent[q] = p
-                    ea.append(names[p])
-                    eb.append(names[q])
+            for p, q in _forest(i.tolist(), j.tolist()):
+                ea.append(names[p])
+                eb.append(names[q])
         some = np.nonzero(links)[0]
         return pa.table({
             "a": np.concatenate([names[some], np.array(ea, np.int64)]),
@@ -149,7 +183,7 @@ def near_duplicates(
             "n": np.concatenate([links[some], np.zeros(len(ea), np.int64)]),
         })
 
-    found = x.groupBy("label", "t", "key", "b0", "b1").applyInArrow(compare, schema)
+    found = x.groupBy("part").applyInArrow(compare, "a bigint, b bigint, n bigint")
     found = written(found, "vector-links")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("linked"))
     component = connected_components(found.where("b is not null").select(F.col("a").alias("u"), F.col("b").alias("v")), "vectors")
