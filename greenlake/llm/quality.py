@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from greenlake.llm.common import map_batches
 
-BITS = 18
+BITS = 20
+#: Lengths of the word beginnings that are features beside whole words, for inflected forms.
+STEMS = (4, 5, 6)
 TOKEN = re.compile(r"\S+")
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
@@ -43,20 +45,36 @@ def features(text: str | None) -> np.ndarray:
         ("length", int(np.log2(len(tokens)))), ("word", min(24, letters // len(tokens))), ("bars", min(6, text.count("|"))),
     )
     said = ["w " + w for w in words] + [f"s {k} {v}" for k, v in shape]
+    for n in STEMS:
+        said += {f"{n} {w[:n]}" for w in words if len(w) > n}
     return np.unique(np.array([zlib.crc32(s.encode("utf-8", "replace")) & (1 << BITS) - 1 for s in said], np.int32))
 
 
-def fit_ordinal(examples: list[np.ndarray], grades: np.ndarray, epochs: int = 250, rate: float = 0.05, ridge: float = 2e-4, min_docs: int = 3):
-    """Weights and ordered thresholds by full-batch Adam; features in under ``min_docs`` examples keep weight 0."""
+def fit_ordinal(
+    examples: list[np.ndarray], grades: np.ndarray, epochs: int = 300, rate: float = 0.2, ridge: float = 1e-5, min_docs: int = 5, min_z: float = 5.0
+):
+    """Weights and ordered thresholds by full-batch Adam with a falling rate.
+
+    Features are screened first: one stays when it is in at least ``min_docs`` examples and, for some grade,
+    at least ``min_z`` standard deviations more of them than usual are no better than that grade. So copies of
+    good documents do not make their rare words a sign of quality.
+    """
     levels = int(grades.max()) if len(grades) else 0
     if not levels or len(set(grades.tolist())) < 2:
         return np.zeros(1 << BITS), np.full(max(levels, 1), -4.0)
     at = np.concatenate(examples)
-    starts = np.concatenate([[0], np.cumsum([len(e) for e in examples])[:-1]])
-    size = np.diff(np.append(starts, len(at)))
-    row = np.repeat(np.arange(len(examples)), size)
-    seen = np.bincount(at, minlength=1 << BITS) >= min_docs
-    p = np.zeros((1 << BITS) + levels)
+    row = np.repeat(np.arange(len(examples), dtype=np.int32), [len(e) for e in examples])
+    total = np.bincount(at, minlength=1 << BITS)
+    z = np.full(1 << BITS, -np.inf)
+    for k in range(levels):
+        low = np.bincount(at, weights=(grades <= k)[row], minlength=1 << BITS)
+        usual = np.clip((grades <= k).mean(), 1e-3, 1 - 1e-3)
+        z = np.maximum(z, (low - total * usual) / np.sqrt(np.maximum(total, 1) * usual * (1 - usual)))
+    seen = (total >= min_docs) & (z >= min_z)
+    at, row = at[seen[at]], row[seen[at]]
+    used, at = np.unique(at, return_inverse=True)
+    n = len(used)
+    p = np.zeros(n + levels)
     share = np.array([np.clip((grades > k).mean(), 0.01, 0.99) for k in range(levels)])
     theta = np.log((1 - share) / share)
     theta = np.maximum.accumulate(theta + np.arange(levels) * 1e-3)
@@ -64,9 +82,9 @@ def fit_ordinal(examples: list[np.ndarray], grades: np.ndarray, epochs: int = 25
     p[len(p) - levels + 1 :] = np.log(np.maximum(np.diff(theta), 1e-2))
     m, v = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, epochs + 1):
-        w, gaps = p[: 1 << BITS], np.exp(p[len(p) - levels + 1 :])
+        w, gaps = p[:n], np.exp(p[len(p) - levels + 1 :])
         theta = p[-levels] + np.concatenate([[0], np.cumsum(gaps)])
-        score = np.add.reduceat(w[at], starts)
+        score = np.bincount(row, weights=w[at], minlength=len(grades))
         tail = 1 / (1 + np.exp(np.clip(theta - score[:, None], -30, 30)))
         # The likelihood of grade g is tail_{g-1} - tail_g.
         above = np.concatenate([np.ones((len(tail), 1)), tail], 1)
@@ -79,16 +97,17 @@ def fit_ordinal(examples: list[np.ndarray], grades: np.ndarray, epochs: int = 25
             use[:, k] = slope[:, k] * ((grades == k + 1).astype(float) - (grades == k)) / like
         by_score = use.sum(1) / len(tail)
         g = np.zeros_like(p)
-        g[: 1 << BITS] = -np.bincount(at, weights=by_score[row], minlength=1 << BITS) + ridge * w
-        g[: 1 << BITS][~seen] = 0
+        g[:n] = -np.bincount(at, weights=by_score[row], minlength=n) + ridge * w
         by_theta = use.sum(0) / len(tail)
         g[-levels] = by_theta.sum()
         for k in range(1, levels):
             g[len(p) - levels + k] = by_theta[k:].sum() * gaps[k - 1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        p -= rate * (0.5 + 0.5 * np.cos(np.pi * step / epochs)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     theta = p[-levels] + np.concatenate([[0], np.cumsum(np.exp(p[len(p) - levels + 1 :]))])
-    return p[: 1 << BITS], theta
+    w = np.zeros(1 << BITS)
+    w[used] = p[:n]
+    return w, theta
 
 
 def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_examples: int = 8000):
@@ -102,11 +121,11 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(id_col, text_col).join(F.broadcast(sample), id_col)
 
     def make():
-        return lambda grades, texts: (grades, [features(t).tolist() for t in texts])
+        return lambda grades, texts: (grades, [features(t).tobytes() for t in texts])
 
-    got = map_batches(rows.select("grade", text_col), make, "grade int, at array<int>").collect()
+    got = map_batches(rows.select("grade", text_col), make, "grade int, at binary").collect()
     got.sort(key=lambda r: (r["grade"], r["at"]))
-    return fit_ordinal([np.array(r["at"], np.int64) for r in got], np.array([r["grade"] for r in got], np.int64))
+    return fit_ordinal([np.frombuffer(r["at"], np.int32) for r in got], np.array([r["grade"] for r in got], np.int64))
 
 
 def grade(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", min_tail: float = 0.5) -> DataFrame:

@@ -27,9 +27,9 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(labels: DataFrame) -> DataFrame:
-    """Grades 0 for junk, 1 for well-formed but toxic, 2 for good documents."""
+    """Grades 0 for toxic documents, 1 for junk, 2 for good ones."""
     toxic = F.coalesce(F.col("toxic"), F.lit(0)) == 1
-    return labels.select("doc_id", F.when(F.col("quality") == 0, 0).when(toxic, 1).when(F.col("quality") == 1, 2).alias("grade"))
+    return labels.select("doc_id", F.when(toxic, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2).alias("grade"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
