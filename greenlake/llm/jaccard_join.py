@@ -238,10 +238,18 @@ def similar_documents(
     alike = F.least("size", "r_size") * 100 >= F.greatest("size", "r_size") * percent
     total = known.count()
 
-    def grouped(links):
-        return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "jaccard")
-
-    links, component = None, None
+    def grouped(found, component):
+        """Components after further links: only the links between components so far are worked on."""
+        if component is None:
+            return connected_components(found.select(F.col("a").alias("u"), F.col("b").alias("v")), "jaccard")
+        of = component.select("id", "component")
+        e = found.join(of.toDF("a", "u"), "a", "left").join(of.toDF("b", "v"), "b", "left")
+        e = e.select(F.coalesce("u", "a").alias("u"), F.coalesce("v", "b").alias("v"))
+        more = connected_components(e, "jaccard")
+        old = of.join(more.toDF("component", "_to"), "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+        return written(old.unionByName(more.join(of.select("id"), "id", "left_anti")), "jaccard-groups")
+
+    component = None
     for r in range(rounds):
         if component is None:
             own = x.withColumn("component", F.col("class"))
@@ -255,8 +263,7 @@ def similar_documents(
         near = own.join(ends, "segment").where(F.col("component") != F.col("r_component")).where(alike)
         pairs = near.select(F.least("class", "r_class").alias("a"), F.greatest("class", "r_class").alias("b")).distinct()
         found = written(_verified(pairs, sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        component = grouped(links)
+        component = grouped(found, component)
         if found.count() * 20 < total:
             break  # few classes are joined this way; the rest is cheaper at once
     # What is left: classes that share a segment and that no chain of links has joined.
@@ -270,8 +277,7 @@ def similar_documents(
     pairs = small.join(other, "segment").where("class < r_class and component <> r_component").where(alike)
     pairs = pairs.select(F.col("class").alias("a"), F.col("r_class").alias("b"))
     pairs = pairs.unionByName(_compared(large, sketches, percent)).distinct()
-    links = links.unionByName(written(_verified(pairs, sets, percent), "links"))
-    component = grouped(links)
+    component = grouped(written(_verified(pairs, sets, percent), "links"), component)
 
     roots = rows.select("id", "n", "class").join(component.withColumnRenamed("id", "c_id"), F.col("class") == F.col("c_id"), "left")
     roots = roots.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "class").alias("root"))
