@@ -41,7 +41,7 @@ FURNITURE_WORDS = frozenset(
 )
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + RAW + r")\b[^>]*+(?:/>|>.*?(?:</\1\s*>|\Z))"
+    r"<!--.*?(?:-->|\Z)|<(" + RAW + r")(?=[\s/>])(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|/(?!>)|[^>/])*+(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>|<[!?][^>]*+>",
     re.S | re.I,
 )
@@ -70,13 +70,13 @@ def _style(tag: str, attrs: str) -> tuple[str, bool]:
 def parse(page: str | None):
     """Blocks and nodes of a page in page order.
 
-    Blocks are (path, text, furniture, inside article); nodes are (path, child labels) of the elements
+    Blocks are (path, text, furniture, path of the innermost article or main around it); nodes are (path, child labels) of the elements
     that hold others. White space inside a block is one space.
     """
     page = page or ""
     stack: list[list] = []  # tag, path, furniture, in article, children
     blocks, nodes, buffer = [], [], []
-    here = ["", "", False, False, []]
+    here = ["", "", False, "", []]
 
     def flush():
         if buffer:
@@ -154,10 +154,11 @@ def parse(page: str | None):
         if tag not in INLINE:
             top = next((x for x in reversed(stack) if x[0] not in INLINE), here)
             top[4].append(label)
-        article = up[3] or tag in ("article", "main")
+        path = f"{up[1]}/{label}" if tag not in INLINE else up[1]
+        article = path if tag in ("article", "main") else up[3]
         if tag == "header" and not up[3]:
             furniture = True
-        stack.append([tag, f"{up[1]}/{label}" if tag not in INLINE else up[1], up[2] or furniture, article, []])
+        stack.append([tag, path, up[2] or furniture, article, []])
         if m[4].endswith("/") and tag not in INLINE:
             pop()
     if at < len(page):
@@ -220,16 +221,24 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def main_text(page: str | None, low: frozenset | set = frozenset()) -> str:
-    """The page's article blocks joined by two line ends, without the branches below paths in ``low``."""
+    """The page's article blocks joined by two line ends, without the branches below paths in ``low``.
+
+    A path that holds an article or main element on this page is never cut.
+    """
     blocks, _ = parse(page)
     inside = any(b[3] and not b[2] for b in blocks)
+    holds = set()
+    for at in {b[3] for b in blocks} if low else ():
+        while at:
+            holds.add(at)
+            at = at.rpartition("/")[0]
     out = []
     for path, text, furniture, article in blocks:
         if furniture or (inside and not article):
             continue
         at = path
         while at and low:
-            if at in low and not _holds_article(at):
+            if at in low and at not in holds and not _holds_article(at):
                 break
             at = at.rpartition("/")[0]
         else:

@@ -55,3 +55,25 @@ def test_edge_rows(frame):
     rows = h.extract_main_text(frame([(1, None, PAGE), (1, None, PAGE), (None, "x", None), (3, "http://a", "")], schema)).collect()
     assert sorted(r["n_chars"] for r in rows)[:2] == [0, 0] and len(rows) == 4
     assert h.extract_main_text(frame([], schema)).count() == 0
+
+
+def test_wrapped_articles_stay(frame):
+    # The wrapper's child sequence is the same on every page and half of its blocks are fixed.
+    strip = "".join(f"<nav><a>Go {i}</a></nav>" for i in range(7))
+    rows = [(i, f"http://h.com/{i}", f"<body><div class=page>{strip}<article><p>Own {i} a</p><p>Own {i} b</p></article></div></body>") for i in range(40)]
+    low = {r["path"] for r in h.style_tree(frame(rows, "page_id long, url string, html string")).where("importance < 0.4").collect()}
+    assert "/body/div.page" in low
+    got = h.extract_main_text(frame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"Own {i} a\n\nOwn {i} b" for i in range(40)}
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', "one two\n\nthree"),
+        ("<p>a</p><title-bar>b</title-bar><p>c</p>", "a\n\nb\n\nc"), ("<p>a<svg><path d='x'/>no</svg>b</p>", "ab"),
+        ("<p>a<script src=/x/y.js data-t='>'>no</script>b</p>", "ab"), ("<p>a<video src='a/b'/>b</p>", "ab"), ("<p>a<svg/>b", "ab"),
+    ],
+)
+def test_raw_tags_end_where_they_end(page, text):
+    assert h.main_text(page) == text
