@@ -1,21 +1,32 @@
-"""Benchmark decontamination by spaced-seed hashing (DataFrame functions only).
+"""Benchmark decontamination by word-run hashing (DataFrame functions only).
 
-A seed is a fixed mask over a window of words that ignores every third position, at one of three
-phases, so any one substituted word is ignored by one of the masks. Benchmark items are hashed at every
-position and documents at every ``stride``-th; equal hashes are hits, and each hit's alignment is then
-verified word by word.
+Where m of w consecutive words agree, the w - m others part them into at most w - m + 1 runs, so one run
+has at least ceil(m / (w - m + 1)) words: 4 where 16 of 20 agree, and 3 or 4 for shorter items. Items and
+documents are hashed over so many words at every position, so no alignment that passes is without a hit;
+each hit's alignment is then verified word by word.
 """
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greenlake.llm.common import written
 
-#: (window, stride, fewest words of an item, most words): runs of window + stride - 1 words are always hashed.
-FAMILIES = ((12, 4, 15, 1 << 30), (6, 2, 7, 14))
-PHASES = 3
+#: Fewest words of an item.
+LEAST = 7
+
+
+def families(overlap: int, similarity: float) -> dict[int, list[int]]:
+    """Compared widths by the length of the run that agrees wherever the share does."""
+    out = defaultdict(list)
+    for wide in range(min(LEAST, overlap), overlap + 1):
+        need = math.ceil(wide * similarity)
+        out[max(1, math.ceil(need / (wide - need + 1)))].append(wide)
+    return dict(out)
 
 
 def words(text) -> Column:
@@ -27,19 +38,13 @@ def word_hashes(text) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: str, window: int, stride: int) -> Column:
-    """Hashes of all masks at every ``stride``-th position, phases next to each other."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - window, F.lit(stride))
-
-    def at(i):
-        return F.array(
-            *(
-                F.xxhash64(F.lit(window * PHASES + p), *(F.get(hashes, i + k) for k in range(window) if k % PHASES != p))
-                for p in range(PHASES)
-            )
-        )
-
-    return F.when(F.size(hashes) >= window, F.flatten(F.transform(starts, at)))
+def _seeds(hashes: str, window: int) -> Column:
+    """Hashes of the ``window`` words from every position."""
+    starts = F.sequence(F.lit(0), F.size(hashes) - window)
+    return F.when(
+        F.size(hashes) >= window,
+        F.transform(starts, lambda i: F.xxhash64(F.lit(window), *(F.get(hashes, i + k) for k in range(window)))),
+    )
 
 
 def contaminated(
@@ -66,17 +71,16 @@ def contaminated(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("body")
     )
     hits = None
-    for window, stride, least, most in FAMILIES:
-        own = items.where(F.col("n_words").between(least, most))
-        seeds = own.select("item", F.posexplode(_seeds("i_hashes", window, 1)).alias("p", "seed"))
-        seeds = seeds.select("item", F.floor(F.col("p") / PHASES).cast("int").alias("j"), "seed")
+    for window, widths in families(overlap, similarity).items():
+        own = items.where((F.col("n_words") >= LEAST) & F.least(F.lit(overlap), F.col("n_words")).isin(widths))
+        seeds = own.select("item", F.posexplode(_seeds("i_hashes", window)).alias("j", "seed"))
         n = seeds.limit(broadcast_seeds + 1).count()
         if not n:
             continue
         hashed = d.select("id", "text_hash", word_hashes(F.col("body")).alias("hashes"))
-        x = hashed.select("id", "text_hash", F.posexplode(_seeds("hashes", window, stride)).alias("p", "seed"))
+        x = hashed.select("id", "text_hash", F.posexplode(_seeds("hashes", window)).alias("p", "seed"))
         found = x.join(F.broadcast(seeds) if n <= broadcast_seeds else seeds, "seed").select(
-            "id", "text_hash", "item", (F.floor(F.col("p") / PHASES) * stride - F.col("j")).cast("int").alias("shift")
+            "id", "text_hash", "item", (F.col("p") - F.col("j")).alias("shift")
         )
         hits = found if hits is None else hits.unionByName(found)
     kind = docs.schema[id_col].dataType.simpleString()

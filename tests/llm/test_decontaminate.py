@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 from greenlake.llm import decontaminate as d
 
@@ -63,3 +64,33 @@ def test_rows_kept_and_edges(frame):
 def test_no_python_in_the_plan(frame):
     plan = d.contaminated(frame([(1, "a")], "doc_id long, text string"), frame([(1, " ".join(VOCAB[:20]))], "item_id long, text string"))
     assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().executedPlan().toString())
+
+
+def test_substitutions_at_every_offset(frame):
+    rng = random.Random(8)
+    items = [(i, " ".join(rng.choices(VOCAB, k=n))) for i, n in enumerate([7, 10, 11, 15, 20, 30, 40])]
+    docs = []
+    for i, text in items:
+        n = len(text.split())
+        changes = [rng.sample(range(n), k) for k in (1, 2, 3, 4) for _ in range(3)] + [range(4, n, 5)]  # every fifth word too
+        if n == 20:
+            changes.append((6, 11))
+        for places in changes:
+            piece = text.split()
+            for j in places:
+                piece[j] = "changed"
+            docs += [(len(docs) + k, " ".join(["before"] * k + piece + ["after"])) for k in range(4)]
+    want = brute(docs, items)
+    assert len(want) > 150
+    got = d.contaminated(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+
+
+def test_every_pattern_has_a_run():
+    for window, widths in d.families(20, 0.8).items():
+        for wide in widths:
+            need = -(-wide * 4 // 5)
+            for off in combinations(range(wide), wide - need):
+                ends = (-1, *off, wide)
+                assert max(b - a - 1 for a, b in zip(ends, ends[1:])) >= window
+    assert sorted(w for x in d.families(20, 0.8).values() for w in x) == list(range(7, 21))
