@@ -82,6 +82,22 @@ def _usable(v) -> bool:
     return v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(x != 0 for x in v)
 
 
+def block_pairs(x: DataFrame, buckets: DataFrame, seed: int = 7) -> DataFrame:
+    """The rows of ``x`` for every pair of blocks that holds their own, with the group ``part`` that compares it.
+
+    ``buckets`` has the size of every bucket (label, t, key). A group takes many small block pairs, about
+    GROUP_ROWS rows in all; one pair has about 2 * BLOCK rows.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK)
+    rows = buckets.agg(F.sum(F.col("size") * blocks)).first()[0] or 0  # a row goes to as many pairs as its bucket has blocks
+    x = x.join(buckets, ["label", "t", "key"]).withColumn("blocks", blocks.cast("int"))
+    x = x.withColumn("own", F.pmod(F.xxhash64("class", F.lit(seed)), F.col("blocks")).cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    x = x.withColumns({"b0": F.least("own", "other"), "b1": F.greatest("own", "other")})
+    parts = 1 + int(rows) // GROUP_ROWS
+    return x.withColumn("part", F.pmod(F.xxhash64("label", "t", "key", "b0", "b1"), F.lit(parts)))
+
+
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
     min_cosine: float = 0.98, miss: float = 1e-6, seed: int = 7,
@@ -128,15 +144,8 @@ def near_duplicates(
         classes.select("class", "label", "weight", "v"), hashed,
         f"label {label_kind}, t int, key int, class bigint, weight bigint, v array<double>, keys array<int>",
     )
-    # Buckets are cut into blocks by their counted sizes; a row goes to the pairs of blocks that hold its own.
-    slim = x.groupBy("label", "t", "key").agg(F.count("*").alias("size")).where("size > 1")
-    x = x.join(slim, ["label", "t", "key"]).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    x = x.withColumn("own", F.pmod(F.xxhash64("class", F.lit(seed)), F.col("blocks")).cast("int"))
-    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    x = x.withColumns({"b0": F.least("own", "other"), "b1": F.greatest("own", "other")})
-    # A task takes many small groups at a time; a group of two blocks has at most about 2 * BLOCK rows.
-    parts = 1 + classes.count() * tables // GROUP_ROWS
-    x = x.withColumn("part", F.pmod(F.xxhash64("label", "t", "key", "b0", "b1"), F.lit(parts)))
+    slim = written(x.groupBy("label", "t", "key").agg(F.count("*").alias("size")).where("size > 1"), "vector-buckets")
+    x = block_pairs(x, slim, seed)
 
     def compare(key, batch):
         names, own, weights = (batch[c].to_numpy() for c in ("class", "own", "weight"))

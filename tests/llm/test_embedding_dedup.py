@@ -71,3 +71,23 @@ def test_repeated_ids_and_empty(frame):
     rows = e.near_duplicates(frame([(3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (1, [1.0, 0.01], 1), (None, [1.0, 0.0], 1)], schema)).collect()
     assert [r["n_links"] for r in rows] == [3] * 4 and {r["component_id"] for r in rows} == {1}
     assert e.near_duplicates(frame([], schema)).count() == 0
+
+
+def test_groups_stay_bounded(frame, monkeypatch):
+    monkeypatch.setattr(e, "BLOCK", 16)
+    monkeypatch.setattr(e, "GROUP_ROWS", 256)
+    groups = []
+
+    def counted(x, buckets, seed=7):
+        out = pairs(x, buckets, seed)
+        groups.extend(r["count"] for r in out.groupBy("part").count().collect())
+        return out
+
+    pairs = e.block_pairs
+    monkeypatch.setattr(e, "block_pairs", counted)
+    rng = np.random.default_rng(1)
+    base = rng.standard_normal(16)
+    rows = [(i, [float(v) for v in base + rng.standard_normal(16) * 1e-3], 0) for i in range(400)]
+    got = e.near_duplicates(frame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(399, 0)}
+    assert sum(groups) > 100_000 // 8 and max(groups) < 4 * 256
