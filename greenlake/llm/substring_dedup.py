@@ -59,32 +59,35 @@ def spans(parts, min_sentences: int = 3, min_words: int = 24):
 def repeated_sentences(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_sentences: int = 3, min_words: int = 24, piece_words: int = 16
 ) -> DataFrame:
-    """Rows (id, removed) of the documents that lose sentences, with their sentence numbers from 0, sorted.
+    """Rows (id, text_hash, removed) of the documents that lose sentences, with their sentence numbers from 0, sorted.
 
     The first of equal spans is the one with the smallest id, then position; rows with null ids come
-    last and count as one document, as do rows that share an id. Null, empty and short texts have no
+    last. Rows that share an id are told apart by the hash of their text; those that share both count as one
+    document. Null, empty and short texts have no
     span. Other columns are not read. A span on very many documents is counted by a partial aggregate
     and joined back by its hash; only the numbers of one document's sentences are ever gathered.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
-        def fn(ids, texts):
-            out = ([], [], [], [])
-            for i, text in zip(ids, texts):
+        def fn(ids, hashes, texts):
+            out = ([], [], [], [], [])
+            for i, key, text in zip(ids, hashes, texts):
                 for at, n, h in spans(sentences(text, piece_words), min_sentences, min_words):
-                    for column, x in zip(out, (i, at, n, h)):
+                    for column, x in zip(out, (i, key, at, n, h)):
                         column.append(x)
             return out
 
         return fn
 
-    found = map_batches(docs.select(id_col, text_col), make, f"id {kind}, at int, n int, span bigint")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "at")
-    first = found.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    later = found.join(first, "span").where((F.col("id").isNull() != F.col("first.none")) | ~F.col("id").eqNullSafe(F.col("first.id")) | (F.col("at") != F.col("first.at")))
-    covered = later.select("id", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("at"))
-    return covered.groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("removed")).select(F.col("id").alias(id_col), "removed")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), text_col)
+    found = map_batches(rows, make, f"id {kind}, text_hash bigint, at int, n int, span bigint")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "at")
+    first = found.groupBy("span").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
+    later = found.join(first, "span").where(~place.eqNullSafe(F.col("first"))).drop("first")
+    covered = later.select("id", "text_hash", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("at"))
+    gone = covered.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("removed"))
+    return gone.select(F.col("id").alias(id_col), "text_hash", "removed")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", only_changed: bool = False, **options) -> DataFrame:
@@ -94,9 +97,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with ``only_changed`` they are left out. See :func:`repeated_sentences`.
     """
     piece_words = options.get("piece_words", 16)
-    gone = repeated_sentences(docs, id_col, text_col, **options).select(F.col(id_col).alias("_id"), "removed")
+    gone = repeated_sentences(docs, id_col, text_col, **options).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "removed")
     keep = [c for c in docs.columns if c.lower() not in ("n_sentences", "n_removed")]
-    rows = docs.select(*keep).join(gone, docs[id_col].eqNullSafe(F.col("_id")), "inner" if only_changed else "left").select(*keep, "removed")
+    same = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_hash"))
+    rows = docs.select(*keep).join(gone, same, "inner" if only_changed else "left").select(*keep, "removed")
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema) + "n_sentences bigint, n_removed bigint"
     at = keep.index(text_col)
 

@@ -50,3 +50,14 @@ def test_texts(frame):
     assert rows[3]["text"] is None and rows[None]["text"].strip() == ""
     assert {r["doc_id"] for r in s.remove_repeats(docs, only_changed=True).collect()} == {2, None}
     assert s.remove_repeats(docs.where("false")).count() == 0
+
+
+def test_rows_that_share_an_id(frame):
+    passage = "The first sentence has eight words in it. The second one also has some more words. And then a third follows with yet more words."
+    own = " ".join(f"Sentence {i} of this row says a few things of its own." for i in range(8))
+    docs = frame([(1, passage), (None, passage), (None, own), (5, "Other text. " + passage), (5, own.upper() + " X")], "doc_id long, text string")
+    rows = sorted((r["text"].strip(), r["n_removed"]) for r in s.remove_repeats(docs).collect() if r["doc_id"] != 1)
+    # ``own`` is first in document 5, so the row without an id loses its copy; nothing else is touched.
+    assert rows == sorted([("", 3), ("", 8), ("Other text.", 3), (own.upper() + " X", 0)])
+    alone = s.remove_repeats(docs.where("doc_id is null or doc_id = 1"))
+    assert {r["text"].strip() for r in alone.collect()} == {passage, "", own}
