@@ -1,25 +1,34 @@
 """Substring dedup by sliding sentence spans.
 
-Sentences end at ``.``, ``!``, ``?`` or a line end; a longer sentence counts as consecutive pieces of at
-most ``piece_words`` words. From every sentence a span runs over several consecutive ones, as few as
-reach ``min_words``. Spans are hashed and joined over the whole corpus; in order of document id and
-position, sentences that any span but the first of its kind covers are removed.
+Sentences end at ``.``, ``!``, ``?`` or a line end; a sentence of more than ``piece_words`` words counts as
+consecutive pieces of at most so many, cut after the word of smallest hash in each window of
+``piece_words // 2 + 1`` words, so equal passages are cut alike wherever their sentences begin. Spans run from
+every sentence and, with ``both_ends``, up to every sentence over several consecutive ones, as few as reach ``min_words``: both
+together cover every repeated run of sentences that is long enough. Spans are hashed and joined over the whole
+corpus; in order of document id and position, sentences that any span but the first of its kind covers are removed.
 """
 
 from __future__ import annotations
 
 import re
+from zlib import crc32
 
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenlake.llm.common import map_batches
+from greenlake.llm.common import map_batches, written
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\S+")
 
 
+def _cuts(words: list[str], window: int) -> list[int]:
+    """Positions after the last word of smallest hash in each window of words, in order."""
+    keys = [(crc32(w.encode("utf-8", "replace")) << 32) - i for i, w in enumerate(words)]
+    return sorted({1 + -min(keys[i : i + window]) % (1 << 32) for i in range(len(words) - window + 1)})
+
+
 def sentences(text: str | None, piece_words: int = 16) -> list[tuple[int, int, str, int]]:
     """(start, end, normal form, words) of a text's sentences, without those that hold no word."""
     out = []
@@ -33,32 +42,47 @@ def sentences(text: str | None, piece_words: int = 16) -> list[tuple[int, int, s
                 out.append((m.start(), m.end(), " ".join(said), len(said)))
                 continue
         found = list(_WORD.finditer(body))
-        for i in range(0, len(found), piece_words):
-            part = found[i : i + piece_words]
-            end = m.end() if i + piece_words >= len(found) else m.start() + part[-1].end()
+        ends = [*_cuts([w[0].lower() for w in found], piece_words // 2 + 1), len(found)]
+        for i, j in zip([0, *ends], ends):
+            if i == j:
+                continue
+            part = found[i:j]
+            end = m.end() if j == len(found) else m.start() + part[-1].end()
             out.append((m.start() + part[0].start(), end, " ".join(w[0].lower() for w in part), len(part)))
     return out
 
 
-def spans(parts, min_sentences: int = 3, min_words: int = 24):
-    """(first sentence, sentences, hash) of the span from each sentence, where the text is long enough."""
-    n, end, words = len(parts), 0, 0
-    for i in range(n):
+def spans(parts, min_sentences: int = 3, min_words: int = 24, both_ends: bool = False):
+    """(first sentence, sentences, hash) of the shortest spans from each sentence (and up to each), where the text is long enough."""
+    n, start, end, words = len(parts), 0, 0, 0
+    found = []
+    for i in range(n):  # from each sentence
         if end < i:
             end, words = i, 0
         while end < n and (words < min_words or end - i < min_sentences):
             words += parts[end][3]
             end += 1
         if words < min_words or end - i < min_sentences:
-            return
+            break
+        found.append((i, end))
+        words -= parts[i][3]
+    own, words = set(found), 0
+    for j in range(n if both_ends else 0):  # up to each sentence
+        words += parts[j][3]
+        while words - parts[start][3] >= min_words and j - start >= min_sentences:
+            words -= parts[start][3]
+            start += 1
+        if words >= min_words and j + 1 - start >= min_sentences and (start, j + 1) not in own:
+            found.append((start, j + 1))
+    for i, end in found:
         said = "\n".join(p[2] for p in parts[i:end])
         yield i, end - i, xxhash.xxh3_64_intdigest(said.encode("utf-8", "replace")) - (1 << 63)
-        words -= parts[i][3]
 
 
 def repeated_sentences(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_sentences: int = 3, min_words: int = 24, piece_words: int = 16
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_sentences: int = 3, min_words: int = 24, piece_words: int = 16,
+    both_ends: bool = False,
+) -> DataFrame:
     """Rows (id, text_hash, removed) of the documents that lose sentences, with their sentence numbers from 0, sorted.
 
     The first of equal spans is the one with the smallest id, then position; rows with null ids come
@@ -73,7 +97,7 @@ def repeated_sentences(
         def fn(ids, hashes, texts):
             out = ([], [], [], [], [])
             for i, key, text in zip(ids, hashes, texts):
-                for at, n, h in spans(sentences(text, piece_words), min_sentences, min_words):
+                for at, n, h in spans(sentences(text, piece_words), min_sentences, min_words, both_ends):
                     for column, x in zip(out, (i, key, at, n, h)):
                         column.append(x)
             return out
@@ -81,7 +105,7 @@ def repeated_sentences(
         return fn
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), text_col)
-    found = map_batches(rows, make, f"id {kind}, text_hash bigint, at int, n int, span bigint")
+    found = written(map_batches(rows, make, f"id {kind}, text_hash bigint, at int, n int, span bigint"), "sentence-spans")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "at")
     first = found.groupBy("span").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
     later = found.join(first, "span").where(~place.eqNullSafe(F.col("first"))).drop("first")
@@ -94,10 +118,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """All columns of ``docs`` with the repeated sentences cut from the text, plus n_sentences and n_removed.
 
     Existing columns of those two names are replaced. Documents without repeats keep their text as it is;
-    with ``only_changed`` they are left out. See :func:`repeated_sentences`.
+    with ``only_changed`` they are left out. Spans run from and up to every sentence. See :func:`repeated_sentences`.
     """
     piece_words = options.get("piece_words", 16)
-    gone = repeated_sentences(docs, id_col, text_col, **options).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "removed")
+    gone = repeated_sentences(docs, id_col, text_col, **{"both_ends": True} | options).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "removed")
     keep = [c for c in docs.columns if c.lower() not in ("n_sentences", "n_removed")]
     same = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_hash"))
     rows = docs.select(*keep).join(gone, same, "inner" if only_changed else "left").select(*keep, "removed")

@@ -61,3 +61,22 @@ def test_rows_that_share_an_id(frame):
     assert rows == sorted([("", 3), ("", 8), ("Other text.", 3), (own.upper() + " X", 0)])
     alone = s.remove_repeats(docs.where("doc_id is null or doc_id = 1"))
     assert {r["text"].strip() for r in alone.collect()} == {passage, "", own}
+
+
+def test_repeats_inside_long_sentences(frame):
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(50)]
+    docs = [(0, " ".join([word() for _ in range(20)] + passage + [word() for _ in range(20)]) + ".")]
+    docs += [(k, " ".join([word() for _ in range(20 + k)] + passage + [word() for _ in range(30 - k)]) + ".") for k in range(1, 17)]
+    for r in s.remove_repeats(frame(docs, "doc_id long, text string")).collect():
+        left = sum(w in r["text"].split() for w in passage)
+        # Windows of 9 words leave at most 8 words on either side of the cuts that all copies share.
+        assert left == 50 if r["doc_id"] == 0 else left <= 16
+
+
+def test_runs_end_where_the_repeat_ends(frame):
+    said = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n)) + "."
+    run = " ".join([said("a", 16), said("b", 5), said("c", 4), said("d", 3)])
+    rows = frame([(1, f"{run} {said('x', 9)}"), (2, f"{run} {said('y', 9)}")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in s.remove_repeats(rows).collect()} == {1: 0, 2: 4}
