@@ -6,11 +6,10 @@ thresholds. The expected grade is the sum of the tail probabilities; the last on
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenlake.llm.common import map_batches
@@ -18,107 +17,178 @@ from greenlake.llm.common import map_batches
 BITS = 20
 #: Lengths of the word beginnings that are features beside whole words, for inflected forms.
 STEMS = (4, 5, 6)
-TOKEN = re.compile(r"\S+")
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
-def _bucket(x: float) -> int:
-    return int(min(19, x * 20))
+def _levels(name: str, value: float, top: int = 19) -> list[str]:
+    """One feature for each level that a measure reaches, so that near values share most of them."""
+    return [f"s {name} {k}" for k in range(1, min(int(value), top) + 1)]
 
 
 def features(text: str | None) -> np.ndarray:
-    """Distinct hashed features of a text: its words, and buckets of its shape."""
-    text = text or ""
-    tokens = TOKEN.findall(text)
+    """Distinct hashed features of a text: its words and their beginnings, word endings of signs, and levels of its shape."""
+    tokens = (text or "").split()
     if not tokens:
         return np.array([zlib.crc32(b"empty") & (1 << BITS) - 1], np.int32)
-    distinct = set(tokens)
-    words = {t.strip(_EDGE).lower() for t in distinct}
-    letters = sum(map(len, tokens))
-    odd = sum(1 for t in distinct if not t.strip(_EDGE).isalpha()) / len(distinct)
-    tail = sum(1 for t in distinct if t[-1] in "#$%&*!|@=<>") / len(distinct)
-    upper = sum(1 for t in distinct if len(t) > 1 and t.isupper()) / len(distinct)
+    bare = {t: t.strip(_EDGE) for t in set(tokens)}
+    words = {b.lower() for b in bare.values()}
+    n, d = len(tokens), len(bare)
+    ends: dict[str, int] = {}
+    for t in bare:
+        if end := t[len(t.rstrip(_EDGE)) :]:
+            ends[end] = ends.get(end, 0) + 1
+    odd_ends = sum(c for e, c in ends.items() if len(e) > 1 or e not in ".,;:!?)'\"")
     lines = text.split("\n")
-    shape = (
-        ("odd", _bucket(odd)), ("tail", _bucket(tail)), ("upper", _bucket(upper)),
-        ("distinct", _bucket(len(distinct) / len(tokens))), ("lines", _bucket(len(set(lines)) / len(lines))),
-        ("length", int(np.log2(len(tokens)))), ("word", min(24, letters // len(tokens))), ("bars", min(6, text.count("|"))),
-    )
-    said = ["w " + w for w in words] + [f"s {k} {v}" for k, v in shape]
-    for n in STEMS:
-        said += {f"{n} {w[:n]}" for w in words if len(w) > n}
+    said = ["w " + w for w in words] + ["e " + e for e in ends]
+    said += _levels("odd", 20 * sum(not b.isalpha() for b in bare.values()) / d)
+    said += _levels("upper", 20 * sum(len(b) > 1 and b.isupper() for b in bare.values()) / d)
+    said += _levels("ends", 20 * odd_ends / d)
+    said += _levels("same", 20 * sum(map(str.__eq__, tokens, tokens[1:])) / n)
+    said += _levels("repeat", 20 * (1 - d / n))
+    said += _levels("lines", 20 * (1 - len(set(lines)) / len(lines)))
+    said += _levels("length", np.log2(n), 24) + _levels("word", sum(map(len, tokens)) / n, 24)
+    for k in STEMS:
+        said += {f"{k} {w[:k]}" for w in words if len(w) > k}
     return np.unique(np.array([zlib.crc32(s.encode("utf-8", "replace")) & (1 << BITS) - 1 for s in said], np.int32))
 
 
-def fit_ordinal(
-    examples: list[np.ndarray], grades: np.ndarray, epochs: int = 300, rate: float = 0.2, ridge: float = 1e-5, min_docs: int = 5, min_z: float = 5.0
-):
-    """Weights and ordered thresholds by full-batch Adam with a falling rate.
+def _losses(score: np.ndarray, theta: np.ndarray, grades: np.ndarray):
+    """Mean negative log-likelihood, and the log-likelihood's slope by each ``score - theta_k``."""
+    tail = 1 / (1 + np.exp(np.clip(theta - score[:, None], -30, 30)))
+    # The likelihood of grade g is tail_{g-1} - tail_g.
+    above = np.concatenate([np.ones((len(tail), 1)), tail], 1)
+    below = np.concatenate([tail, np.zeros((len(tail), 1))], 1)
+    pick = np.arange(len(tail)), grades
+    like = np.maximum(above[pick] - below[pick], 1e-9)
+    slope = tail * (1 - tail) / like[:, None]
+    for k in range(tail.shape[1]):
+        slope[:, k] *= (grades == k + 1).astype(float) - (grades == k)
+    return -np.log(like).mean(), slope / len(tail)
+
+
+def _descend(at, row, grades, penalty, w, theta, steps, tolerance=1e-3):
+    """Weights and thresholds by accelerated proximal steps on the L1-penalised likelihood."""
+    n, p = len(grades), len(w)
+    x, size = np.ones(p), 1.0
+    for _ in range(12):  # the largest curvature, by power iteration
+        x = np.bincount(at, np.bincount(row, x[at], n)[row], p)
+        size = np.linalg.norm(x)
+        x = x / max(size, 1e-12)
+    bound = 0.25 * size / n + 0.25 * len(theta)
+    z, z_theta, t = w, theta, 1.0
+    for _ in range(steps):
+        _, slope = _losses(np.bincount(row, z[at], n), z_theta, grades)
+        new = z + np.bincount(at, slope.sum(1)[row], p) / bound
+        new = np.sign(new) * np.maximum(np.abs(new) - penalty / bound, 0)
+        new_theta = np.maximum.accumulate(z_theta - slope.sum(0) / bound + np.arange(len(theta)) * 1e-9)
+        t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        z, z_theta = new + (last - 1) / t * (new - w), np.maximum.accumulate(new_theta + (last - 1) / t * (new_theta - theta))
+        moved = np.abs(new - w).max(initial=0)
+        w, theta = new, new_theta
+        if moved < tolerance:
+            break
+    return w, theta
+
+
+def _flat(examples):
+    return np.concatenate(examples).astype(np.int64), np.repeat(np.arange(len(examples)), [len(e) for e in examples])
+
+
+def _start(grades, levels):
+    share = np.array([np.clip((grades > k).mean(), 0.01, 0.99) for k in range(levels)])
+    return np.maximum.accumulate(np.log((1 - share) / share) + np.arange(levels) * 1e-3)
+
+
+def _evidence(at, row, grades, levels):
+    """For each feature, the most standard deviations by which the examples that have it depart from the share above a grade."""
+    total, most = np.bincount(at, minlength=1 << BITS), np.zeros(1 << BITS)
+    for k in range(levels):
+        share = np.clip((grades > k).mean(), 1e-3, 1 - 1e-3)
+        apart = np.bincount(at, (grades > k)[row], 1 << BITS) - total * share
+        most = np.maximum(most, np.abs(apart) / np.sqrt(np.maximum(total, 1) * share * (1 - share)))
+    return most
 
-    Features are screened first: one stays when it is in at least ``min_docs`` examples and, for some grade,
-    at least ``min_z`` standard deviations more of them than usual are no better than that grade. So copies of
-    good documents do not make their rare words a sign of quality.
+
+def _path(examples, grades, levels, shares, steps, relaxed):
+    """(features, weights, thresholds) at each penalty in turn, refitted on their support with a share of the penalty.
+
+    A feature's penalty falls with its evidence (an adaptive lasso); ``shares`` are of the least that leaves none.
+    """
+    at, row = _flat(examples)
+    n, theta, w = len(examples), _start(grades, levels), np.zeros(1 << BITS)
+    varies = (np.bincount(at, minlength=1 << BITS) < n)[at]  # what every example has is the thresholds' part
+    at, row = at[varies], row[varies]
+    hard = 1 / np.maximum(_evidence(at, row, grades, levels), 1e-3)
+    most = None
+    for share in shares:
+        _, slope = _losses(np.bincount(row, w[at], n), theta, grades)
+        pull = np.abs(np.bincount(at, slope.sum(1)[row], 1 << BITS))
+        most = most or (pull / hard).max()
+        penalty = share * most * hard
+        active = ((pull >= 0.8 * penalty) | (w != 0))[at]
+        used, own = np.unique(at[active], return_inverse=True)
+        found, theta = _descend(own, row[active], grades, penalty[used], w[used], theta, steps)
+        w = np.zeros(1 << BITS)
+        w[used] = found
+        on = np.nonzero(w)[0]
+        place = np.full(1 << BITS, -1)
+        place[on] = np.arange(len(on))
+        kept = place[at] >= 0
+        yield on, *_descend(place[at[kept]], row[kept], grades, relaxed * penalty[on], w[on], theta, steps)
+
+
+def fit_ordinal(examples: list[np.ndarray], grades: np.ndarray, folds: int = 3, penalties: int = 16, steps: int = 150, relaxed: float = 0.3):
+    """Weights and ordered thresholds by L1-penalised maximum likelihood.
+
+    The penalty is chosen on a falling path by cross-validation over ``folds`` parts (equal examples in one
+    part), so it follows from the sample at every size; the path ends where the validation loss has not
+    fallen five times in a row. Weights are refitted on their support with ``relaxed`` times the penalty.
     """
     levels = int(grades.max()) if len(grades) else 0
     if not levels or len(set(grades.tolist())) < 2:
         return np.zeros(1 << BITS), np.full(max(levels, 1), -4.0)
-    at = np.concatenate(examples)
-    row = np.repeat(np.arange(len(examples), dtype=np.int32), [len(e) for e in examples])
-    total = np.bincount(at, minlength=1 << BITS)
-    z = np.full(1 << BITS, -np.inf)
-    for k in range(levels):
-        low = np.bincount(at, weights=(grades <= k)[row], minlength=1 << BITS)
-        usual = np.clip((grades <= k).mean(), 1e-3, 1 - 1e-3)
-        z = np.maximum(z, (low - total * usual) / np.sqrt(np.maximum(total, 1) * usual * (1 - usual)))
-    seen = (total >= min_docs) & (z >= min_z)
-    at, row = at[seen[at]], row[seen[at]]
-    used, at = np.unique(at, return_inverse=True)
-    n = len(used)
-    p = np.zeros(n + levels)
-    share = np.array([np.clip((grades > k).mean(), 0.01, 0.99) for k in range(levels)])
-    theta = np.log((1 - share) / share)
-    theta = np.maximum.accumulate(theta + np.arange(levels) * 1e-3)
-    p[-levels] = theta[0]
-    p[len(p) - levels + 1 :] = np.log(np.maximum(np.diff(theta), 1e-2))
-    m, v = np.zeros_like(p), np.zeros_like(p)
-    for step in range(1, epochs + 1):
-        w, gaps = p[:n], np.exp(p[len(p) - levels + 1 :])
-        theta = p[-levels] + np.concatenate([[0], np.cumsum(gaps)])
-        score = np.bincount(row, weights=w[at], minlength=len(grades))
-        tail = 1 / (1 + np.exp(np.clip(theta - score[:, None], -30, 30)))
-        # The likelihood of grade g is tail_{g-1} - tail_g.
-        above = np.concatenate([np.ones((len(tail), 1)), tail], 1)
-        below = np.concatenate([tail, np.zeros((len(tail), 1))], 1)
-        pick = np.arange(len(tail)), grades
-        like = np.maximum(above[pick] - below[pick], 1e-9)
-        slope = tail * (1 - tail)  # of tail_k by score - theta_k
-        use = np.zeros_like(tail)
-        for k in range(levels):
-            use[:, k] = slope[:, k] * ((grades == k + 1).astype(float) - (grades == k)) / like
-        by_score = use.sum(1) / len(tail)
-        g = np.zeros_like(p)
-        g[:n] = -np.bincount(at, weights=by_score[row], minlength=n) + ridge * w
-        by_theta = use.sum(0) / len(tail)
-        g[-levels] = by_theta.sum()
-        for k in range(1, levels):
-            g[len(p) - levels + k] = by_theta[k:].sum() * gaps[k - 1]
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        p -= rate * (0.5 + 0.5 * np.cos(np.pi * step / epochs)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    theta = p[-levels] + np.concatenate([[0], np.cumsum(np.exp(p[len(p) - levels + 1 :]))])
+    path = 0.7 ** np.arange(1, penalties + 1)
+    part = np.array([zlib.crc32(e.tobytes()) % folds for e in examples])
+    tests, ways = [], []
+    for f in range(folds):
+        inner, outer = np.nonzero(part != f)[0], np.nonzero(part == f)[0]
+        if len(inner) and len(outer):
+            tests.append((*_flat([examples[i] for i in outer]), grades[outer]))
+            ways.append(_path([examples[i] for i in inner], grades[inner], levels, path, steps, relaxed))
+    losses: list[float] = []
+    for models in zip(*ways):
+        loss = 0.0
+        for (on, found, theta), (at, row, own) in zip(models, tests):
+            w = np.zeros(1 << BITS)
+            w[on] = found
+            loss += _losses(np.bincount(row, w[at], len(own)), theta, own)[0] * len(own)
+        losses.append(loss)
+        if len(losses) - int(np.argmin(losses)) > 5:
+            break
+    best = int(np.argmin(losses)) + 1 if losses else penalties
+    *_, (on, found, theta) = _path(examples, grades, levels, path[:best], steps, relaxed)
     w = np.zeros(1 << BITS)
-    w[used] = p[:n]
+    w[on] = found
     return w, theta
 
 
-def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_examples: int = 8000):
-    """Fit on at most ``max_examples`` rated documents, the first by a hash of their id.
+def train(
+    docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_examples: int = 8000, max_chars: int = 1 << 26
+):
+    """Fit on at most ``max_examples`` rated documents, the first by a hash of their id that together have up to ``max_chars``
+    (single texts over a sixteenth of that are no examples).
 
     ``ratings`` has the id and an integer grade from 0; null grades are left out and repeated ids take
-    their lowest grade. Ids and features of the sample, bounded by that parameter, pass the driver.
+    their lowest grade. Features of the sample, bounded by these two parameters, pass the driver.
     """
     rated = ratings.where(f"grade is not null and {id_col} is not null").groupBy(id_col).agg(F.min("grade").cast("int").alias("grade"))
     sample = rated.orderBy(F.xxhash64(id_col), id_col).limit(max_examples)
-    rows = docs.select(id_col, text_col).join(F.broadcast(sample), id_col)
+    long = F.coalesce(F.length(text_col), F.lit(0))
+    sizes = docs.select(id_col, long.alias("_chars")).join(F.broadcast(sample), id_col).groupBy(id_col, "grade").agg(F.sum("_chars").alias("_chars"))
+    order = Window.orderBy(F.xxhash64(id_col), id_col).rowsBetween(Window.unboundedPreceding, 0)  # over max_examples rows
+    sizes = sizes.where(F.col("_chars") <= max_chars // 16).withColumn("_so_far", F.sum("_chars").over(order))
+    chosen = sizes.where(F.col("_so_far") <= max_chars).select(id_col, "grade")
+    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
 
     def make():
         return lambda grades, texts: (grades, [features(t).tobytes() for t in texts])
