@@ -21,7 +21,15 @@ from greenlake.llm.common import bitmap_of, connected_components, map_batches, w
 WORDS = 5
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _S29, _S32 = np.uint64(29), np.uint64(32)
-_WORD_HASH: dict[bytes, int] = {}
+#: Byte values and an odd base of the word hash ``sum(value(byte i) * BASE**i)`` modulo 2**64, and the base's inverse.
+_VALUE = np.random.default_rng(5).integers(1, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+#: Odd factors of a shingle's words by place.
+_PLACE = np.random.default_rng(6).integers(1, 1 << 63, WORDS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C1B
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Longer texts are hashed in pieces that end in white space.
+PIECE_BYTES = 1 << 20
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -30,22 +38,46 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S32)
 
 
+def _powers(n: int):
+    """At least ``n`` powers of the base and of its inverse."""
+    if len(_POWERS[0]) < n:
+        size = max(4096, 1 << (n - 1).bit_length())
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            _POWERS[i] = np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, base, np.uint64))])
+    return _POWERS
+
+
+def _word_hashes(said: bytes) -> np.ndarray:
+    b = np.frombuffer(said, np.uint8)
+    space = np.ones(len(b) + 2, bool)
+    space[1:-1] = _SPACE[b]
+    ends = np.flatnonzero(space[1:] != space[:-1])
+    start, end = ends[::2], ends[1::2]
+    power, inverse = _powers(len(b) + 1)
+    total = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_VALUE[b] * power[: len(b)], out=total[1:])
+    return _mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * _M1)
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's five-word shingles (A-Z lower-cased, ASCII white space)."""
-    said = text.encode("utf-8", "replace").lower().split() if text else []
-    if not said:
-        return np.zeros(0, np.uint64)
-    known = _WORD_HASH
-    if len(known) > 400_000:
-        known.clear()
-    for w in set(said).difference(known):
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    x = np.fromiter(map(known.__getitem__, said), np.uint64, len(said))
-    size = min(WORDS, len(said))
+    said = text.encode("utf-8", "replace").lower() if text else b""
+    parts, at = [], 0
+    while at < len(said):
+        end = at + PIECE_BYTES
+        while end < len(said) and not _SPACE[said[end]]:
+            end += 1
+        parts.append(_word_hashes(said[at:end]))
+        at = end
+    x = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    if not len(x):
+        return x
+    size = min(WORDS, len(x))
     h = np.full(len(x) - size + 1, size, np.uint64)
     for k in range(size):
-        h = _mix(h + x[k : len(x) - size + 1 + k])
-    return np.unique(h)
+        h += x[k : len(x) - size + 1 + k] * _PLACE[k]
+    h = np.sort(_mix(h))
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def class_of(sh: np.ndarray) -> int:
@@ -68,6 +100,8 @@ def _bands(n: int):
 SKETCH_BYTES = 2048
 #: Buckets up to this size are paired by a join; larger ones are compared in blocks of BLOCK.
 SMALL, BLOCK = 32, 512
+#: Rows for each component's smallest id when documents are joined to it.
+COPIES = 32
 
 
 def slack_of(band: int) -> int:
@@ -121,10 +155,14 @@ def _segment_rows(docs: DataFrame, text_col: str) -> DataFrame:
     return map_batches(docs.select(text_col), make, "segment bigint, class bigint")
 
 
-def _candidates(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, bits: int) -> DataFrame:
-    """One row for each document: its class, and for each band its segments that may be shared."""
-    bitmap = bitmap_of(shared, "segment", bits)
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)  # 2**bits / 8 bytes, whatever the input
+def _candidates(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
+    """One row for each document: its class, and for each band its segments that may be shared.
+
+    A bitmap of the shared segments, 16 bits or more for each, thins out the others; where that would take
+    more than ``2**max_bits`` bits it is left out, and the join with the shared segments does all the work.
+    """
+    bits = max(16, (16 * shared.count()).bit_length())
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(shared, "segment", bits) if bits <= max_bits else b"")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
@@ -144,7 +182,7 @@ def _candidates(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str,
                 if c is not None and c not in done:
                     for band, slack, s, sketch in segments(sh):
                         at = s & mask
-                        hit = s[(table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+                        hit = s[(table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1] if len(table) else s
                         if len(hit) >= slack:
                             own.append({"band": band, "slack": slack, "segments": hit, "sketch": sketch})
                     done.add(c)
@@ -207,7 +245,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4, bits: int = 26
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4, bits: int = 28
 ) -> DataFrame:
     """Every row's id, n_shingles and component_id under links of Jaccard 0.8 or more.
 
@@ -282,5 +320,7 @@ def similar_documents(
     roots = rows.select("id", "n", "class").join(component.withColumnRenamed("id", "c_id"), F.col("class") == F.col("c_id"), "left")
     roots = roots.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "class").alias("root"))
     least = roots.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
-    out = roots.join(least, "root", "left")
+    # A component may hold a third of all rows: each row looks for one of several copies of its root's row.
+    least = least.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    out = roots.withColumn("copy", F.pmod(F.xxhash64("id", "n_shingles"), F.lit(COPIES)).cast("int")).join(least, ["root", "copy"], "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
