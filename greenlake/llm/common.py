@@ -21,6 +21,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, lengthened by ``_`` until no column has it (column names ignore case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, make, schema: str | T.StructType) -> DataFrame:
     """Apply ``make()(*columns) -> output columns`` to each Arrow batch of ``df``.
 

@@ -2,9 +2,11 @@
 
 The protected entities are the values that the patterns find. For a term t within a few words of an
 entity e, ``PMI(e, t) / IC(e) = ln(N n_et / (n_e n_t)) / ln(N / n_e)`` is the share of the entity's
-information that the term gives away, with all counts in documents of the whole corpus. Terms at or
-above the threshold are disclosing: they become their three-letter prefix class where that class stays
-below the threshold, and are removed otherwise, wherever they occur.
+information that the term gives away, with all counts in distinct documents of the whole corpus. A term is
+disclosing where that share reaches the threshold even with one more document counted that has the term and
+only the usual chance of the entity; so a term beside values seen once, or in many other places, is left alone.
+Disclosing terms become their class (words of the same first three letters) where the class itself stays
+below the threshold for every such entity, and are removed otherwise, wherever they occur.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenlake.llm.common import map_batches, written
+from greenlake.llm.common import fresh, map_batches, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -86,8 +88,13 @@ def _near(text: str, spans, window: int):
     return near
 
 
+def class_of(term: str) -> str:
+    """The class that a term is generalised to."""
+    return term[:3] + "*"
+
+
 def term_counts(docs: DataFrame, text_col: str = "text", window: int = 8, flush: int = 200_000) -> DataFrame:
-    """Document counts of entities, terms and entity-term pairs: columns entity, term, n.
+    """Document counts of entities, terms, classes of terms (ending in ``*``) and their pairs: columns entity, term, n.
 
     A null term counts an entity, a null entity counts a term, both null count the documents. Each task
     adds up before the shuffle and hands on its table whenever it holds ``flush`` keys.
@@ -106,11 +113,14 @@ def term_counts(docs: DataFrame, text_col: str = "text", window: int = 8, flush:
             held[None, None] += len(texts)
             for text in texts:
                 text = text or ""
-                terms.update(set(WORD.findall(text.lower())))
+                said = set(WORD.findall(text.lower()))
+                terms.update(said)
+                terms.update({class_of(w) for w in said})
                 if spans := base_spans(text):
                     for entity, near in _near(text, spans, window).items():
                         held[entity, None] += 1
                         held.update((entity, w) for w in near)
+                        held.update((entity, c) for c in {class_of(w) for w in near})
             return rest() if len(terms) + len(held) > flush else ([], [], [])
 
         return fn, rest
@@ -119,28 +129,34 @@ def term_counts(docs: DataFrame, text_col: str = "text", window: int = 8, flush:
     return df.groupBy("entity", "term").agg(F.sum("n").alias("n"))
 
 
-def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, min_support: int = 5, threshold: float = 0.9) -> DataFrame:
+def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, min_support: int = 2, threshold: float = 0.9) -> DataFrame:
     """Terms that give away at least ``threshold`` of an entity's information: term, disclosure, replacement.
 
-    Pairs seen in fewer than ``min_support`` documents carry no estimate and are left alone.
+    Pairs seen in fewer than ``min_support`` documents carry no estimate and are left alone; two are the
+    least at which a term and an entity return together.
     """
     counts = written(term_counts(docs, text_col, window), "pii-counts")
     pairs = counts.where("entity is not null and term is not null").where(F.col("n") >= min_support)
     entities = counts.where("entity is not null and term is null").select("entity", F.col("n").alias("n_e"))
     terms = counts.where("entity is null and term is not null").select("term", F.col("n").alias("n_t"))
-    total = counts.where("entity is null and term is null").agg(F.sum("n")).first()[0] or 0
-    prefixes = terms.groupBy(F.substring("term", 1, 3).alias("prefix")).agg(F.least(F.sum("n_t"), F.lit(total)).alias("n_p"))
+    total = float(counts.where("entity is null and term is null").agg(F.sum("n")).first()[0] or 0)
 
-    def share(n):
-        return F.log(F.lit(float(total)) * F.col("n") / (F.col("n_e") * F.col(n))) / F.log(F.lit(float(total)) / F.col("n_e"))
+    def share(chance):
+        return F.log(chance * total / F.col("n_e")) / F.log(total / F.col("n_e"))
 
-    found = pairs.join(entities, "entity").where(F.col("n_e") < total).join(terms, "term")
-    found = found.where(share("n_t") >= threshold).withColumn("prefix", F.substring("term", 1, 3)).join(prefixes, "prefix")
-    wide = F.max(share("n_p"))
+    x = pairs.join(entities, "entity").where(F.col("n_e") < total).join(terms, "term")
+    x = x.select(
+        "entity", "term", share(F.col("n") / F.col("n_t")).alias("disclosure"),
+        share((F.col("n") + F.col("n_e") / total) / (F.col("n_t") + 1)).alias("sure"),
+    )
+    x = written(x, "pii-shares")
+    wide = x.where(F.col("term").endswith("*")).select("entity", F.col("term").alias("class"), F.col("disclosure").alias("wide"))
+    found = x.where(~F.col("term").endswith("*") & (F.col("sure") >= threshold))
+    found = found.withColumn("class", F.concat(F.substring("term", 1, 3), F.lit("*"))).join(wide, ["entity", "class"], "left")
     return (
-        found.groupBy("term", "prefix")
-        .agg(F.max(share("n_t")).alias("disclosure"), wide.alias("wide"))
-        .select("term", "disclosure", F.when(F.col("wide") < threshold, F.concat("prefix", F.lit("*"))).otherwise("[REMOVED]").alias("replacement"))
+        found.groupBy("term", "class")
+        .agg(F.max("disclosure").alias("disclosure"), F.max("wide").alias("wide"))
+        .select("term", "disclosure", F.when(F.col("wide") < threshold, F.col("class")).otherwise("[REMOVED]").alias("replacement"))
     )
 
 
@@ -171,7 +187,7 @@ def _redacted(text: str, spans, terms: dict) -> str:
 
 
 def sanitise(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, min_support: int = 5,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, min_support: int = 2,
     threshold: float = 0.9, broadcast_terms: int = 200_000, with_text: bool = True,
 ) -> DataFrame:
     """Find and remove personal data in every whole text.
@@ -189,7 +205,8 @@ def sanitise(
     keep = [c for c in docs.columns if c != text_col and c.lower() not in new]
     rows = docs.select(*keep, text_col)
     if not few:
-        rows = rows.withColumns({"_id": F.col(id_col), "_hash": F.xxhash64(text_col)})
+        ident, digest, own_terms = (fresh(docs.columns, c) for c in ("_id", "_hash", "_terms"))
+        rows = rows.withColumns({ident: F.col(id_col), digest: F.xxhash64(text_col)})
 
         def words():
             def fn(ids, hashes, texts):
@@ -199,13 +216,13 @@ def sanitise(
             return fn
 
         kind = docs.schema[id_col].dataType.simpleString()
-        said = map_batches(rows.select("_id", "_hash", text_col), words, f"_id {kind}, _hash bigint, term string")
+        said = map_batches(rows.select(ident, digest, text_col), words, f"_id {kind}, _hash bigint, term string")
         said = said.join(terms, "term").groupBy("_id", "_hash").agg(
             F.map_from_entries(F.collect_set(F.struct("term", "replacement"))).alias("_terms")
         )
         rows = rows.alias("r").join(
-            said.alias("s"), F.expr("r._id <=> s._id and r._hash <=> s._hash"), "left"
-        ).select(*(f"r.`{c}`" for c in keep), f"r.`{text_col}`", "s._terms")
+            said.alias("s"), F.col(f"r.{ident}").eqNullSafe(F.col("s._id")) & F.col(f"r.{digest}").eqNullSafe(F.col("s._hash")), "left"
+        ).select(*(f"r.`{c}`" for c in keep), f"r.`{text_col}`", F.col("s._terms").alias(own_terms))
     n = len(keep)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
     schema += ", ".join(f"{c} bigint" for c in new[:5]) + ", base_spans string, spans string"

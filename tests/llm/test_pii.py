@@ -73,3 +73,44 @@ def test_empty_and_repeated(frame):
     docs = frame([(1, "a@b.co"), (1, "a@b.co"), (None, "1.1.1.1")], "doc_id long, text string")
     assert sorted(r["text"] for r in pii.sanitise(docs).collect()) == ["[EMAIL]", "[EMAIL]", "[IP]"]
     assert pii.sanitise(docs.where("false")).count() == 0
+
+
+def test_shares_against_brute_force(spark):
+    """Every pair's share over the whole table, counted document by document."""
+    import math
+    from collections import Counter
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = [r["text"] or "" for r in docs.collect()]
+    terms, entities, pairs = Counter(), Counter(), Counter()
+    for t in texts:
+        said = set(pii.WORD.findall(t.lower()))
+        terms.update(said | {w[:3] + "*" for w in said})
+        for e, near in pii._near(t, pii.base_spans(t), 8).items():
+            entities[e] += 1
+            pairs.update((e, w) for w in near | {w[:3] + "*" for w in near})
+    n, want = len(texts), {}
+    for (e, w), both in pairs.items():
+        chance = (both + entities[e] / n) / (terms[w] + 1)
+        if both >= 2 and not w.endswith("*") and math.log(chance * n / entities[e]) / math.log(n / entities[e]) >= 0.9:
+            c = w[:3] + "*"
+            wide = math.log(pairs[e, c] / terms[c] * n / entities[e]) / math.log(n / entities[e])
+            want[w] = want.get(w, True) and wide < 0.9
+    got = {r["term"]: r["replacement"] for r in pii.disclosing_terms(docs).collect()}
+    assert got == {w: w[:3] + "*" if narrow else "[REMOVED]" for w, narrow in want.items()}
+
+
+def test_terms_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rows = pii.sanitise(docs, with_text=False).where("n_term > 0").collect()
+    assert rows and all(r["spans"] != r["base_spans"] for r in rows)
+    # Terms go where a value is: clean documents are left alone but for a few.
+    clean = sum(not r["base_spans"] for r in rows)
+    assert clean <= docs.count() // 200
+
+
+def test_very_long_text_and_clashing_names(frame):
+    docs = frame([(1, "zebrafish me@x.co " + "word " * 400_000, 1, "a"), (2, "zebrafish me@x.co", 2, "b"), (3, "other", 3, "c")], "doc_id long, text string, _id int, _hash string")
+    for few in (200_000, 0):
+        rows = {r["doc_id"]: r for r in pii.sanitise(docs, broadcast_terms=few).collect()}
+        assert rows[1]["_id"] == 1 and rows[2]["_hash"] == "b" and rows[1]["n_email"] == 1 and len(rows[1]["text"]) > 1_900_000
