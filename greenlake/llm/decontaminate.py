@@ -1,32 +1,50 @@
-"""Benchmark decontamination by word-run hashing (DataFrame functions only).
+"""Benchmark decontamination by spaced-seed hashing (DataFrame functions only).
 
-Where m of w consecutive words agree, the w - m others part them into at most w - m + 1 runs, so one run
-has at least ceil(m / (w - m + 1)) words: 4 where 16 of 20 agree, and 3 or 4 for shorter items. Items and
-documents are hashed over so many words at every position, so no alignment that passes is without a hit;
-each hit's alignment is then verified word by word.
+A seed is a fixed mask over consecutive words whose zeros are ignored. For each compared width the masks are chosen
+so that every way in which the allowed share of words may differ leaves all selected words of some mask at
+some position alike. Items and documents are hashed by these masks at every position, so no alignment that
+passes is without a hit; each hit's alignment is then verified word by word.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greenlake.llm.common import written
+from greenlake.llm.common import fresh, written
 
-#: Fewest words of an item.
+#: Shorter items must agree in every word.
 LEAST = 7
+#: Masks by the fewest words compared; tests try every pattern of differences at 80 percent.
+MASKS = ((15, ("111011", "11111")), (10, ("11101", "1111")), (LEAST, ("11011",)))
 
 
-def families(overlap: int, similarity: float) -> dict[int, list[int]]:
-    """Compared widths by the length of the run that agrees wherever the share does."""
-    out = defaultdict(list)
-    for wide in range(min(LEAST, overlap), overlap + 1):
-        need = math.ceil(wide * similarity)
-        out[max(1, math.ceil(need / (wide - need + 1)))].append(wide)
-    return dict(out)
+def needed(width: int, similarity: float) -> int:
+    return width if width < LEAST else math.ceil(width * similarity)
+
+
+def always_hit(masks: tuple[str, ...], width: int, need: int) -> bool:
+    """Whether every choice of ``width - need`` differing words leaves some mask's words alike."""
+    placed = [{at + i for i, c in enumerate(m) if c == "1"} for m in masks for at in range(width - len(m) + 1)]
+    return all(any(p.isdisjoint(off) for p in placed) for off in combinations(range(width), width - need))
+
+
+def families(overlap: int, similarity: float) -> dict[tuple[str, ...], list[int]]:
+    """Compared widths by the masks that serve them; where the fixed ones don't, a run that must agree by pigeonhole."""
+    out: dict[tuple[str, ...], list[int]] = {}
+    for width in range(1, overlap + 1):
+        need = needed(width, similarity)
+        masks = next((m for least, m in MASKS if width >= least), ())
+        few = math.comb(width, need) <= 5000
+        if need == width:
+            masks = ("1" * width,)
+        elif not masks or not few or not always_hit(masks, width, need):
+            masks = ("1" * max(1, math.ceil(need / (width - need + 1))),)
+        out.setdefault(masks, []).append(width)
+    return out
 
 
 def words(text) -> Column:
@@ -38,13 +56,15 @@ def word_hashes(text) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: str, window: int) -> Column:
-    """Hashes of the ``window`` words from every position."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - window)
-    return F.when(
-        F.size(hashes) >= window,
-        F.transform(starts, lambda i: F.xxhash64(F.lit(window), *(F.get(hashes, i + k) for k in range(window)))),
-    )
+def _seeds(hashes: str, masks: tuple[str, ...]) -> Column:
+    """(position, hash) of the words that each mask selects from every position."""
+    def of(mask):
+        at = [k for k, c in enumerate(mask) if c == "1"]
+        starts = F.sequence(F.lit(0), F.size(hashes) - len(mask))
+        made = F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(mask), *(F.get(hashes, i + k) for k in at)).alias("seed")))
+        return F.when(F.size(hashes) >= len(mask), made).otherwise(F.expr("cast(array() as array<struct<at: int, seed: bigint>>)"))
+
+    return of(masks[0]) if len(masks) == 1 else F.concat(*map(of, masks))
 
 
 def contaminated(
@@ -55,57 +75,58 @@ def contaminated(
     """Rows (id, text_hash, item, n_match, n_words, doc_word) of documents that hold benchmark text.
 
     A document holds an item when, on one alignment, some ``overlap`` consecutive words of the item (all
-    of a shorter one) agree in at least the share ``similarity`` of positions. Items of under 7 words are
-    too short to tell and are left out. n_match is the most agreeing words on an alignment, n_words the
+    of a shorter one) agree in at least the share ``similarity`` of positions, and in all of them for items of
+    under 7 words. n_match is the most agreeing words on an alignment, n_words the
     item's length and doc_word the first such alignment's position in the document's words. Null or
     empty texts and items hold nothing; repeated rows give one row; null ids are kept apart by their
     text; other columns are not read. The seeds of the benchmark are broadcast up to
     ``broadcast_seeds`` rows and joined by shuffle beyond; so are the documents with hits, up to
-    ``broadcast_hits`` of them, when their texts are fetched again.
+    ``broadcast_hits`` of them with one alignment each or fewer with more, when their texts are fetched again.
     """
     items = benchmark.where(F.col(item_text_col).isNotNull()).select(
         F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("i_hashes")
     )
-    items = items.withColumn("n_words", F.size("i_hashes"))
+    items = items.withColumn("n_words", F.size("i_hashes")).where("n_words > 0")
     d = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("body")
     )
+    width = F.least(F.lit(overlap), F.col("n_words"))
+    present = {r[0] for r in items.select(width).distinct().collect()}  # at most ``overlap`` values
+    hashed = d.select("id", "text_hash", word_hashes(F.col("body")).alias("hashes"))
     hits = None
-    for window, widths in families(overlap, similarity).items():
-        own = items.where((F.col("n_words") >= LEAST) & F.least(F.lit(overlap), F.col("n_words")).isin(widths))
-        seeds = own.select("item", F.posexplode(_seeds("i_hashes", window)).alias("j", "seed"))
-        n = seeds.limit(broadcast_seeds + 1).count()
-        if not n:
+    for masks, widths in families(overlap, similarity).items():
+        if present.isdisjoint(widths):
             continue
-        hashed = d.select("id", "text_hash", word_hashes(F.col("body")).alias("hashes"))
-        x = hashed.select("id", "text_hash", F.posexplode(_seeds("hashes", window)).alias("p", "seed"))
-        found = x.join(F.broadcast(seeds) if n <= broadcast_seeds else seeds, "seed").select(
-            "id", "text_hash", "item", (F.col("p") - F.col("j")).alias("shift")
-        )
+        own = items.where(width.isin(widths)).select("item", "n_words", F.explode(_seeds("i_hashes", masks)).alias("s"))
+        seeds = own.select("item", "n_words", F.col("s.at").alias("j"), F.col("s.seed").alias("seed"))
+        x = hashed.select("id", "text_hash", F.explode(_seeds("hashes", masks)).alias("s")).select("id", "text_hash", "s.at", "s.seed")
+        few = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
+        found = x.join(F.broadcast(seeds) if few else seeds, "seed").select("id", "text_hash", "item", "n_words", (F.col("at") - F.col("j")).alias("shift"))
         hits = found if hits is None else hits.unionByName(found)
     kind = docs.schema[id_col].dataType.simpleString()
     if hits is None:
-        hits = d.where("false").join(items.where("false"), F.lit(True)).select("id", "text_hash", "item", F.lit(0).alias("shift"))
+        hits = d.where("false").join(items.where("false"), F.lit(True)).select("id", "text_hash", "item", "n_words", F.lit(0).alias("shift"))
     # A document's alignments are bounded by its own length; its text is fetched once for all of them.
-    hits = hits.groupBy("id", "text_hash", "item", "shift").agg(F.lit(1).alias("_"))
-    hits = written(hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "shift")).alias("aligned")), "seed-hits")
-    if hits.limit(broadcast_hits + 1).count() <= broadcast_hits:
+    hits = hits.groupBy("id", "text_hash", "item", "n_words", "shift").agg(F.lit(1).alias("_"))
+    hits = written(hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "n_words", "shift")).alias("aligned")), "seed-hits")
+    if (hits.agg(F.sum(F.size("aligned") + 4)).first()[0] or 0) <= broadcast_hits * 5:
         hits = F.broadcast(hits)  # then no text is shuffled
     at = d.alias("d").join(hits.alias("h"), F.expr("d.id <=> h.id and d.text_hash = h.text_hash"))
     at = at.select("d.id", "d.text_hash", "h.aligned", word_hashes(F.col("d.body")).alias("hashes"))
-    at = at.select("id", "text_hash", "hashes", F.explode("aligned").alias("a"))
-    at = at.select("id", "text_hash", F.col("a.item").alias("item"), F.col("a.shift").alias("shift"), "hashes")
+    # Of the document, only the words of each alignment go along with it.
+    part = F.transform("aligned", lambda a: F.struct(
+        a["item"].alias("item"), a["shift"].alias("shift"),
+        F.transform(F.sequence(F.lit(0), a["n_words"] - 1), lambda j: F.get("hashes", a["shift"] + j)).alias("said"),
+    ))
+    at = at.select("id", "text_hash", F.explode(part).alias("a")).select("id", "text_hash", "a.item", "a.shift", "a.said")
     at = at.join(items, "item")
-    at = at.withColumn(
-        "same",
-        F.transform(F.sequence(F.lit(0), F.col("n_words") - 1), lambda j: F.when(F.get("hashes", F.col("shift") + j) == F.get("i_hashes", j), 1).otherwise(0)),
-    )
+    at = at.withColumn("same", F.zip_with("said", "i_hashes", lambda a, b: F.when(a == b, 1).otherwise(0)))
     wide = F.least(F.lit(overlap), F.col("n_words"))
     runs = F.transform(
         F.sequence(F.lit(1), F.col("n_words") - wide + 1),
         lambda s: F.aggregate(F.slice("same", s, wide), F.lit(0), lambda a, b: a + b),
     )
-    at = at.where(F.array_max(runs) >= F.ceil(wide * similarity))
+    at = at.where(F.array_max(runs) >= F.when(wide < LEAST, wide).otherwise(F.ceil(wide * similarity)))
     total = F.aggregate("same", F.lit(0), lambda a, b: a + b)
     return (
         at.groupBy("id", "text_hash", "item")
@@ -116,7 +137,8 @@ def contaminated(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark text, with all their columns; null texts stay."""
-    bad = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_b"), F.col("text_hash").alias("_h")).distinct()
+    ident, digest = fresh(docs.columns, "_b"), fresh(docs.columns, "_h")
+    bad = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias(ident), F.col("text_hash").alias(digest)).distinct()
     bad, most = written(bad, "contaminated"), options.get("broadcast_hits", 100_000)
     bad = F.broadcast(bad) if bad.limit(most + 1).count() <= most else bad
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_b")) & (F.xxhash64(docs[text_col]) == F.col("_h")), "left_anti")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad[ident]) & (F.xxhash64(docs[text_col]) == bad[digest]), "left_anti")

@@ -17,12 +17,12 @@ def brute(docs, items, overlap=20, similarity=0.8):
         w = split(t)
         for i, x in items:
             v = split(x)
-            if len(v) < 7:
+            if not v:
                 continue
             for shift in range(-len(v), len(w)):
                 same = [0 <= shift + j < len(w) and w[shift + j] == v[j] for j in range(len(v))]
                 wide = min(overlap, len(v))
-                if max(sum(same[s : s + wide]) for s in range(len(v) - wide + 1)) >= math.ceil(wide * similarity):
+                if max(sum(same[s : s + wide]) for s in range(len(v) - wide + 1)) >= (wide if len(v) < 7 else math.ceil(wide * similarity)):
                     found.add((k, i))
     return found
 
@@ -86,11 +86,20 @@ def test_substitutions_at_every_offset(frame):
     assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
 
 
-def test_every_pattern_has_a_run():
-    for window, widths in d.families(20, 0.8).items():
+def test_every_accepted_pattern_has_a_hit():
+    """So recall is 1 at every accepted rate and width."""
+    served = d.families(20, 0.8)
+    assert sorted(w for x in served.values() for w in x) == list(range(1, 21))
+    for masks, widths in served.items():
         for wide in widths:
-            need = -(-wide * 4 // 5)
+            need = wide if wide < 7 else -(-wide * 4 // 5)
+            assert any("0" in m for m in masks) or need == wide
             for off in combinations(range(wide), wide - need):
-                ends = (-1, *off, wide)
-                assert max(b - a - 1 for a, b in zip(ends, ends[1:])) >= window
-    assert sorted(w for x in d.families(20, 0.8).values() for w in x) == list(range(7, 21))
+                same = "".join("0" if i in off else "1" for i in range(wide))
+                assert any(all(same[at + i] == "1" for i, c in enumerate(m) if c == "1") for m in masks for at in range(wide - len(m) + 1))
+
+
+def test_clashing_names(frame):
+    docs = frame([(1, " ".join(VOCAB[:20]), "x", "y"), (2, "clean", "x", "y")], "doc_id long, text string, _b string, _h string")
+    left = d.decontaminate(docs, frame([(7, " ".join(VOCAB[:20]))], "item_id long, text string"))
+    assert left.columns == docs.columns and [tuple(r) for r in left.collect()] == [(2, "clean", "x", "y")]
