@@ -14,18 +14,32 @@ from greenlake.llm.common import map_batches
 #: Longer texts are cut before encoding, at places where every match of the split pattern ends.
 PIECE_CHARS = 1 << 16
 _BOUNDARY = re.compile(r"[A-Za-z0-9](?=[ \n])")
+#: Runs of Unicode white space on which the pattern's look-ahead would have to go back too far.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 _LOADED: dict = {}
 
 
-def encoding(path: str, pattern: str):
-    """The tiktoken encoding of a rank file, loaded once in each Python worker."""
+def encoding(ranks: str | bytes, pattern: str):
+    """The tiktoken encoding of a rank file's path or bytes, loaded once in each Python worker."""
     import tiktoken
 
-    if (path, pattern) not in _LOADED:
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, map(bytes.strip, f)))}
-        _LOADED[path, pattern] = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _LOADED[path, pattern]
+    if isinstance(ranks, str):
+        with open(ranks, "rb") as f:
+            ranks = f.read()
+    key = hashlib.sha256(ranks).digest(), pattern
+    if key not in _LOADED:
+        table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
+        _LOADED[key] = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return _LOADED[key]
+
+
+def _whole(enc):
+    """The same vocabulary with a pattern that takes any text as one match."""
+    import tiktoken
+
+    if id(enc) not in _LOADED:
+        _LOADED[id(enc)] = tiktoken.Encoding("whole", pat_str=r"(?s:.+)", mergeable_ranks=enc._mergeable_ranks, special_tokens={})
+    return _LOADED[id(enc)]
 
 
 def pieces(text: str, size: int = PIECE_CHARS):
@@ -45,9 +59,23 @@ def pieces(text: str, size: int = PIECE_CHARS):
 
 
 def encode_text(text: str, enc) -> list[int]:
-    if len(text) <= PIECE_CHARS:
+    """Token ids of a text of any length.
+
+    Of a very long run of white space the pattern takes all but the last character as one match, as that one
+    belongs to what follows; the run is cut out there and encoded whole.
+    """
+    if len(text) < 4096:
         return enc.encode_ordinary(text)
-    return [t for p in pieces(text) for t in enc.encode_ordinary(p)]
+    out, at = [], 0
+    for m in _LONG_SPACE.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        for p in pieces(text[at : m.start()]):
+            out += enc.encode_ordinary(p)
+        out += _whole(enc).encode_ordinary(text[m.start() : end])
+        at = end
+    for p in pieces(text[at:]):
+        out += enc.encode_ordinary(p)
+    return out
 
 
 def encode_documents(
@@ -61,9 +89,11 @@ def encode_documents(
     other columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    with open(rank_file, "rb") as f:
+        sent = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary's ranks
 
     def make():
-        enc = encoding(rank_file, pattern)
+        enc = encoding(sent.value, pattern)
         names = [str(i) for i in range(enc.n_vocab + 1)]
         vocabulary = np.array(names, dtype=object)
 

@@ -34,3 +34,18 @@ def test_rows(frame, enc):
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
     assert bpe.encode_documents(docs.where("false"), PATH, PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("run", [" ", "\n", " \t\u3000", "\r\n"])
+def test_long_runs_of_white_space(enc, run):
+    for n in (2000, 5000, 30_000):
+        for text in (run * n, f"a{run * n}b", f"a.{run * n}", f"{run * n}'s {run * n}9"):
+            assert bpe.encode_text(text, enc) == enc.encode_ordinary(text)
+    for text in (run * 1_000_000, f"a{run * 1_000_000}b"):
+        assert enc.decode_bytes(bpe.encode_text(text, enc)) == text.encode()
+
+
+@pytest.mark.parametrize("text", ["." * 1_000_000, "漢字" * 300_000, "a" * 1_000_000, "é1" * 300_000])
+def test_long_runs_without_a_cut(enc, text):
+    ids = bpe.encode_text(text, enc)
+    assert ids == enc.encode_ordinary(text) and enc.decode_bytes(ids) == text.encode()
