@@ -91,7 +91,14 @@ def _descend(at, row, grades, penalty, w, theta, steps, tolerance=1e-3):
 
 
 def _flat(examples):
-    return np.concatenate(examples).astype(np.int64), np.repeat(np.arange(len(examples)), [len(e) for e in examples])
+    """(features, their numbers by entry, examples by entry), of those that more than one and not all examples have."""
+    at = np.concatenate(examples)
+    count = np.bincount(at, minlength=1 << BITS)
+    some = np.nonzero((count > 1) & (count < len(examples)))[0]  # one alone can't be validated, what all have is the thresholds' part
+    place = np.full(1 << BITS, -1, np.int32)
+    place[some] = np.arange(len(some))
+    at, row = place[at], np.repeat(np.arange(len(examples), dtype=np.int32), [len(e) for e in examples])
+    return some, at[at >= 0], row[at >= 0]
 
 
 def _start(grades, levels):
@@ -99,42 +106,39 @@ def _start(grades, levels):
     return np.maximum.accumulate(np.log((1 - share) / share) + np.arange(levels) * 1e-3)
 
 
-def _evidence(at, row, grades, levels):
+def _evidence(at, row, size, grades, levels):
     """For each feature, the most standard deviations by which the examples that have it depart from the share above a grade."""
-    total, most = np.bincount(at, minlength=1 << BITS), np.zeros(1 << BITS)
+    total, most = np.bincount(at, minlength=size), np.full(size, 1e-3)
     for k in range(levels):
         share = np.clip((grades > k).mean(), 1e-3, 1 - 1e-3)
-        apart = np.bincount(at, (grades > k)[row], 1 << BITS) - total * share
+        apart = np.bincount(at, (grades > k)[row], size) - total * share
         most = np.maximum(most, np.abs(apart) / np.sqrt(np.maximum(total, 1) * share * (1 - share)))
     return most
 
 
-def _path(examples, grades, levels, shares, steps, relaxed):
+def _path(at, row, size, grades, levels, shares, steps, relaxed):
     """(features, weights, thresholds) at each penalty in turn, refitted on their support with a share of the penalty.
 
     A feature's penalty falls with its evidence (an adaptive lasso); ``shares`` are of the least that leaves none.
     """
-    at, row = _flat(examples)
-    n, theta, w = len(examples), _start(grades, levels), np.zeros(1 << BITS)
-    varies = (np.bincount(at, minlength=1 << BITS) < n)[at]  # what every example has is the thresholds' part
-    at, row = at[varies], row[varies]
-    hard = 1 / np.maximum(_evidence(at, row, grades, levels), 1e-3)
+    n, theta, w = len(grades), _start(grades, levels), np.zeros(size)
+    hard = 1 / _evidence(at, row, size, grades, levels)
     most = None
     for share in shares:
         _, slope = _losses(np.bincount(row, w[at], n), theta, grades)
-        pull = np.abs(np.bincount(at, slope.sum(1)[row], 1 << BITS))
-        most = most or (pull / hard).max()
+        pull = np.abs(np.bincount(at, slope.sum(1)[row], size))
+        most = most or (pull / hard).max(initial=0)
         penalty = share * most * hard
         active = ((pull >= 0.8 * penalty) | (w != 0))[at]
         used, own = np.unique(at[active], return_inverse=True)
         found, theta = _descend(own, row[active], grades, penalty[used], w[used], theta, steps)
-        w = np.zeros(1 << BITS)
+        w = np.zeros(size)
         w[used] = found
         on = np.nonzero(w)[0]
-        place = np.full(1 << BITS, -1)
+        place = np.full(size, -1)
         place[on] = np.arange(len(on))
-        kept = place[at] >= 0
-        yield on, *_descend(place[at[kept]], row[kept], grades, relaxed * penalty[on], w[on], theta, steps)
+        own = place[at]
+        yield on, *_descend(own[own >= 0], row[own >= 0], grades, relaxed * penalty[on], w[on], theta, steps)
 
 
 def fit_ordinal(examples: list[np.ndarray], grades: np.ndarray, folds: int = 3, penalties: int = 16, steps: int = 150, relaxed: float = 0.3):
@@ -147,28 +151,32 @@ def fit_ordinal(examples: list[np.ndarray], grades: np.ndarray, folds: int = 3,
     levels = int(grades.max()) if len(grades) else 0
     if not levels or len(set(grades.tolist())) < 2:
         return np.zeros(1 << BITS), np.full(max(levels, 1), -4.0)
+    some, at, row = _flat(examples)
+    size, n = len(some), len(examples)
     path = 0.7 ** np.arange(1, penalties + 1)
     part = np.array([zlib.crc32(e.tobytes()) % folds for e in examples])
-    tests, ways = [], []
+    ways, tests = [], []
     for f in range(folds):
-        inner, outer = np.nonzero(part != f)[0], np.nonzero(part == f)[0]
-        if len(inner) and len(outer):
-            tests.append((*_flat([examples[i] for i in outer]), grades[outer]))
-            ways.append(_path([examples[i] for i in inner], grades[inner], levels, path, steps, relaxed))
+        inner = part != f
+        if 0 < inner.sum() < n:
+            order, entries = np.cumsum(inner, dtype=np.int32) - 1, inner[row]
+            ways.append(_path(at[entries], order[row[entries]], size, grades[inner], levels, path, steps, relaxed))
+            tests.append(~inner)
     losses: list[float] = []
     for models in zip(*ways):
         loss = 0.0
-        for (on, found, theta), (at, row, own) in zip(models, tests):
-            w = np.zeros(1 << BITS)
+        for (on, found, theta), outer in zip(models, tests):
+            w = np.zeros(size)
             w[on] = found
-            loss += _losses(np.bincount(row, w[at], len(own)), theta, own)[0] * len(own)
+            loss += _losses(np.bincount(row, w[at], n)[outer], theta, grades[outer])[0] * outer.sum()
         losses.append(loss)
         if len(losses) - int(np.argmin(losses)) > 5:
             break
+    del ways
     best = int(np.argmin(losses)) + 1 if losses else penalties
-    *_, (on, found, theta) = _path(examples, grades, levels, path[:best], steps, relaxed)
+    *_, (on, found, theta) = _path(at, row, size, grades, levels, path[:best], steps, relaxed)
     w = np.zeros(1 << BITS)
-    w[on] = found
+    w[some[on]] = found
     return w, theta
 
 
