@@ -31,8 +31,10 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def clean(value) -> Column:
-    """White space collapsed and trimmed; a placeholder becomes null."""
+def clean(value, ready: bool = False) -> Column:
+    """White space collapsed and trimmed; a placeholder becomes null. With ``ready`` the value has been through this already."""
+    if ready:
+        return col(value)
     text = F.trim(F.regexp_replace(col(value).cast("string"), r"\s+", " "))
     return F.when(~F.lower(text).isin(*PLACEHOLDERS), text)
 
@@ -43,25 +45,25 @@ def number(value) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
 
 
-def positive_float(value, scale: float = 1.0) -> Column:
-    x = number(F.regexp_replace(clean(value), ",", "")) * F.lit(scale)
+def positive_float(value, scale: float = 1.0, ready: bool = False) -> Column:
+    x = number(F.regexp_replace(clean(value, ready), ",", "")) * F.lit(scale)
     return F.when(x > 0, F.round(x, 4))
 
 
-def numeric_range(value, scale: float = 1.0) -> Column:
+def numeric_range(value, scale: float = 1.0, ready: bool = False) -> Column:
     """Struct (minimum, maximum) of the positive numbers in a text."""
-    found = F.regexp_extract_all(clean(value), F.lit(r"(\d+(?:\.\d+)?)"), 1)
+    found = F.regexp_extract_all(clean(value, ready), F.lit(r"(\d+(?:\.\d+)?)"), 1)
     some = F.filter(F.transform(found, lambda x: x.cast("double") * scale), lambda x: x > 0)
     return F.struct(F.round(F.array_min(some), 4).alias("minimum"), F.round(F.array_max(some), 4).alias("maximum"))
 
 
-def iso_date(value) -> Column:
-    return F.try_to_date(F.substring(clean(value), 1, 10), "yyyy-MM-dd")
+def iso_date(value, ready: bool = False) -> Column:
+    return F.try_to_date(F.substring(clean(value, ready), 1, 10), "yyyy-MM-dd")
 
 
-def scientific_name(genus, species) -> Column:
+def scientific_name(genus, species, ready: bool = False) -> Column:
     """Struct (name, precision) from a genus and a species text."""
-    g, s = clean(genus), clean(species)
+    g, s = clean(genus, ready), clean(species, ready)
     bare = s.isNull() | F.lower(s).isin("sp", "sp.", "species")
     expanded = F.regexp_replace(s, r"^[A-Za-z]\.\s*(?=.)", "")
     name = (

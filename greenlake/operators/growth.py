@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ MOST = {"width_m": 30.0, "height_m": 50.0, "dbh_cm": 500.0}
 SIZE_YEARS = {"S": 0, "M": 5, "L": 10}
 MATURE = ("mature", "over mature", "over-mature", "overmature")
 FEWEST = 30
+TARGETS = ("canopy_m2", "height_m", "dbh_cm")
 LINES = "species string, target string, n int, p10_a double, p10_b double, p50_a double, p50_b double, p90_a double, p90_b double, max_age double"
 
 
@@ -29,6 +31,11 @@ def training_set(trees: DataFrame) -> DataFrame:
     return enough(x)
 
 
+def fit_all_lines(train: DataFrame, cells: int = 64) -> DataFrame:
+    """Lines of every target that the table has."""
+    return reduce(DataFrame.unionByName, (fit_lines(train, t, cells) for t in TARGETS if t in train.columns))
+
+
 def enough(x: DataFrame, fewest: int = FEWEST) -> DataFrame:
     """Rows of species with enough rows, counted and joined back."""
     n = x.groupBy("species").agg(F.count("*").alias("_n")).where(F.col("_n") >= fewest)
@@ -42,11 +49,21 @@ def polygon_training_set(hits: DataFrame) -> DataFrame:
 
 
 def split(df: DataFrame, id_col: str, share: float = 0.8, seed: int = 42) -> DataFrame:
-    """``df`` with is_train: the first ``share`` of each species in an order set by a hash of the id."""
-    w = Window.partitionBy("species").orderBy(F.xxhash64(id_col, F.lit(seed)), id_col)
-    n = df.groupBy("species").agg(F.count("*").alias("_n"))
-    x = df.join(n, "species").withColumn("_rn", F.row_number().over(w))
-    return x.withColumn("is_train", F.col("_rn") <= F.ceil(F.col("_n") * share)).drop("_rn", "_n")
+    """``df`` with is_train: the first ``share`` of each species in an order set by a hash of the id, then by id.
+
+    The hash is cut into ranges that are counted first; only the range in which a species' share ends is ranked, so
+    no species is gathered.
+    """
+    ranges = 4096
+    x = df.withColumn("_b", F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(ranges)).cast("int"))
+    n = x.groupBy("species", "_b").agg(F.count("*").alias("_n"))
+    up = Window.partitionBy("species").orderBy("_b")  # over counts, ``ranges`` rows at most
+    n = n.withColumns({"_to": F.sum("_n").over(up), "_all": F.sum("_n").over(Window.partitionBy("species"))})
+    n = n.withColumn("_room", F.ceil(F.col("_all") * share) - (F.col("_to") - F.col("_n"))).select("species", "_b", "_n", "_room")
+    x = x.join(n, ["species", "_b"])
+    at_end = (F.col("_room") > 0) & (F.col("_room") < F.col("_n"))
+    rank = F.row_number().over(Window.partitionBy("species", "_b").orderBy(F.xxhash64(id_col, F.lit(seed)), id_col))
+    return x.withColumn("is_train", F.when(at_end, rank <= F.col("_room")).otherwise(F.col("_room") > 0)).drop("_b", "_n", "_room")
 
 
 def fit_lines(train: DataFrame, target: str, cells: int = 64) -> DataFrame:
@@ -92,30 +109,36 @@ def _weighted_line(x: np.ndarray, y: np.ndarray, n: np.ndarray, q: float, rounds
 
 
 def predict(requests: DataFrame, lines: DataFrame) -> DataFrame:
-    """Ranges of crown, height and trunk for requests of species, years, and a size or a start width.
+    """Ranges of crown area and width, height and trunk for requests of species, years, and a size or a start width.
 
-    ``status`` says why a request has none: unsupported species, bad years, not exactly one of size and
-    width, or an age beyond the training range.
+    Species meet their lines whatever their case. A target without a line is null; the crown's width is the
+    diameter of its area. ``status`` says why a request has no answer: unknown species, bad years, not exactly one
+    of size and width, or an age beyond the training range.
     """
-    crown = lines.where("target = 'canopy_m2'").select("species", "max_age", F.col("p50_a").alias("_a"), F.col("p50_b").alias("_b"))
-    r = requests.withColumn("species", F.lower(F.trim("species"))).join(crown, "species", "left")
+    key = F.lower(F.trim("species"))
+    named = lines.withColumn("_key", key).drop("species", "n")
+    crown = named.where("target = 'canopy_m2'").select("_key", "max_age", F.col("p50_a").alias("_a"), F.col("p50_b").alias("_b"))
+    r = requests.withColumns({"species": key, "_key": key}).join(crown, "_key", "left")
     start = F.when(F.upper("size") == "S", 0.0).when(F.upper("size") == "M", 5.0).when(F.upper("size") == "L", 10.0)
     t = (math.log(math.pi / 4) + 2 * F.log("start_width_m") - F.col("_a")) / F.col("_b")
     age0 = F.when(F.col("size").isNotNull(), start).otherwise(F.greatest(F.lit(0.0), F.expm1(F.least(t, F.lit(50.0)))))
     age = age0 + F.col("years")
     status = (
-        F.when(F.col("_a").isNull(), "unsupported species").when(~F.coalesce(F.col("years") >= 0, F.lit(False)), "years must be >= 0")
-        .when(F.col("size").isNull() == F.col("start_width_m").isNull(), "give exactly one of size or start_width_m")
-        .when(F.col("size").isNotNull() & start.isNull(), "size must be S, M or L").when(F.col("start_width_m") <= 0, "start_width_m must be > 0")
-        .when(age > F.col("max_age"), "past the training range").otherwise("ok")
+        F.when(F.col("_a").isNull(), "unknown_species").when(~F.coalesce((F.col("years") >= 0) & ~F.isnan("years"), F.lit(False)), "bad_years")
+        .when(F.col("size").isNull() == F.col("start_width_m").isNull(), "not_one_of_size_and_width")
+        .when(F.col("size").isNotNull() & start.isNull(), "unknown_size").when((F.col("start_width_m") <= 0) | F.isnan("start_width_m"), "bad_start_width")
+        .when(age > F.col("max_age"), "beyond_training_ages").otherwise("ok")
     )
     r = r.withColumns({"status": status, "age": F.when(status == "ok", age)}).drop("_a", "_b", "max_age")
-    at = lambda k: F.round(F.exp(F.col(f"{k}_a") + F.col(f"{k}_b") * F.log1p(F.col("age"))), 1)
     out = r
-    for target in ("canopy_m2", "height_m", "dbh_cm"):
-        own = lines.where(F.col("target") == target).drop("target", "n", "max_age")
-        out = out.join(own, "species", "left").withColumns({f"{target}_{k}": at(k) for k, _ in QUANTILES}).drop(*own.columns[1:])
-    return out.withColumn("age", F.round("age", 1))
+    for target in TARGETS:
+        own = named.where(F.col("target") == target).drop("target", "max_age")
+        at = {k: F.exp(F.col(f"{k}_a") + F.col(f"{k}_b") * F.log1p(F.col("age"))) for k, _ in QUANTILES}
+        told = {f"{target}_{k}": F.round(v, 1) for k, v in at.items()}
+        if target == "canopy_m2":
+            told |= {f"crown_width_m_{k}": F.round(2 * F.sqrt(v / math.pi), 1) for k, v in at.items()}
+        out = out.join(own, "_key", "left").withColumns(told).drop(*own.columns[:-1])
+    return out.withColumn("age", F.round("age", 1)).drop("_key")
 
 
 def pinball(y, predicted, q: float) -> Column:

@@ -12,21 +12,32 @@ from greenlake.operators.spatial_join import BUCKET, count_in_areas
 PREFIX = 6
 
 
-def address_matches(requests: DataFrame, addresses: DataFrame, typed: bool = False) -> DataFrame:
-    """Pairs of requests and addresses whose upper-cased text starts with the request's.
+#: Requests up to this many go to every task; a request and its forms take some hundred bytes.
+MOST_REQUESTS = 50_000
+
+
+def address_matches(requests: DataFrame, addresses: DataFrame, typed: bool = False, most_requests: int = MOST_REQUESTS) -> DataFrame:
+    """Pairs of requests and addresses whose upper-cased text starts with the request's, and whether they are equal.
 
     Requests are normalised, or with ``typed`` tried as typed and with street types spelled out. The join is
-    an equi-join on the first PREFIX characters; shorter requests, few by nature, join on their own length.
+    an equi-join on the first PREFIX characters, or on all of a shorter form. Requests are broadcast up to
+    ``most_requests``; addresses are then not shuffled. They are keyed by the lengths that requests have, and a
+    pair is found by the shortest of its forms alone.
     """
     forms = prefix_candidates(F.col("request")) if typed else F.array(normalize_address("request"))
-    r = requests.select("request_id", "request", F.explode(forms).alias("form")).where("form <> ''")
-    r = r.withColumns({"_n": F.least(F.length("form"), F.lit(PREFIX)), "_p": F.substring("form", 1, PREFIX)})
+    r = requests.select("request_id", "request", F.filter(forms, lambda f: f != "").alias("_forms"))
+    reach = lambda f: F.least(F.length(f), F.lit(PREFIX))
+    keys = F.array_distinct(F.transform("_forms", lambda f: F.struct(reach(f).alias("n"), F.substring(f, 1, PREFIX).alias("p"))))
+    r = r.withColumn("_k", F.explode(keys)).select("request_id", "request", "_forms", F.col("_k.n").alias("_n"), F.col("_k.p").alias("_p"))
+    lengths = sorted(row[0] for row in r.select("_n").distinct().collect())  # at most PREFIX
+    if r.limit(most_requests + 1).count() <= most_requests:
+        r = F.broadcast(r)
     a = addresses.withColumn("_text", F.upper("full_address"))
-    a = a.withColumn("_n", F.explode(F.sequence(F.lit(1), F.least(F.length("_text"), F.lit(PREFIX))))).withColumn("_p", F.substring("_text", F.lit(1), F.col("_n")))
-    x = r.join(a, ["_n", "_p"]).where(F.startswith("_text", F.col("form")))
-    x = x.withColumn("exact", F.col("_text") == F.col("form")).drop("_n", "_p", "_text", "form")
-    keys = [c for c in x.columns if c != "exact"]
-    return x.groupBy(*keys).agg(F.max("exact").alias("exact"))
+    a = a.withColumn("_n", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>"))).where(F.length("_text") >= F.col("_n"))
+    x = a.withColumn("_p", F.substring(F.col("_text"), F.lit(1), F.col("_n"))).join(r, ["_n", "_p"])
+    meets = F.filter("_forms", lambda f: F.startswith(F.col("_text"), f))
+    x = x.where((F.size(meets) > 0) & (F.array_min(F.transform(meets, reach)) == F.col("_n")))
+    return x.withColumn("exact", F.array_contains("_forms", F.col("_text"))).drop("_n", "_p", "_text", "_forms")
 
 
 def autocomplete(requests: DataFrame, addresses: DataFrame, limit: int = 10) -> DataFrame:

@@ -6,10 +6,14 @@ and an area meet at most once. Hot buckets are left to the adaptive skew join, w
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenlake.functions import geo
+from greenlake.sources.scratch import written
 
 BUCKET = 1000.0
 
@@ -101,26 +105,44 @@ def smallest_area(points: DataFrame, areas: DataFrame, key: str, take: str, size
     return x.groupBy(key).agg(F.min_by(take, order).alias(take))
 
 
-def nearest(queries: DataFrame, sites: DataFrame, key: str, site_key: str, most_broadcast: int = 100_000, start: float = 1000.0, rings: int = 12) -> DataFrame:
+#: So many sites are searched as a list of literals, without a join.
+FEW_SITES = 64
+
+
+def nearest(queries: DataFrame, sites: DataFrame, key: str, site_key: str, start: float = 1000.0, few: int = FEW_SITES) -> DataFrame:
     """The nearest site of each query, ties by site: columns key, site_key and distance_m.
 
-    Few sites, by count, go to every task. More are met through buckets whose size doubles until every
-    query has a site within its bucket's reach, and the rest by the bucket size that holds all.
+    Up to ``few`` sites become literals. More are met through buckets whose size doubles, each round for the
+    queries that no site within the last size was found for, until one size spans all sites and queries; what is left
+    after each round is written, so the plan does not grow. Queries without a place have no row.
     """
+    s = sites.select(site_key, "x", "y").where("x is not null and y is not null")
+    q = queries.select(key, F.col("x").alias("qx"), F.col("y").alias("qy")).where("qx is not null and qy is not null")
+    at_hand = s.limit(few + 1).collect()
+    if not at_hand:
+        return q.where("false").select(key, F.lit(None).cast(s.schema[site_key].dataType).alias(site_key), F.lit(0.0).alias("distance_m"))
+    if len(at_hand) <= few:
+        kind = s.schema[site_key].dataType
+        each = (F.struct(geo.distance("qx", "qy", F.lit(r["x"]), F.lit(r["y"])).alias("distance_m"), F.lit(r[site_key]).cast(kind).alias(site_key)) for r in at_hand)
+        x = q.withColumn("b", F.array_min(F.array(*each)))
+        return x.select(key, f"b.{site_key}", "b.distance_m")
     d = geo.distance("qx", "qy", "x", "y")
-    s, q = sites.select(site_key, "x", "y"), queries.select(key, F.col("x").alias("qx"), F.col("y").alias("qy"))
     best = F.min(F.struct(d.alias("distance_m"), F.col(site_key))).alias("b")
-    if s.limit(most_broadcast + 1).count() <= most_broadcast:
-        x = q.join(F.broadcast(s), F.lit(True)).groupBy(key).agg(best)
-        return x.select(key, f"b.{site_key}", "b.distance_m")
-    done, size = None, start
-    for _ in range(rings):
+    ends = q.selectExpr("qx AS x", "qy AS y").unionByName(s.select("x", "y")).agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    span = math.hypot(float((ends[1] or 0) - (ends[0] or 0)), float((ends[3] or 0) - (ends[2] or 0))) + 1.0
+    parts, size = [], min(start, span)
+    while True:
         c = q.withColumns({"xmin": F.col("qx") - size, "xmax": F.col("qx") + size, "ymin": F.col("qy") - size, "ymax": F.col("qy") + size})
         c = bucketed_boxes(c, size).drop("xmin", "xmax", "ymin", "ymax")
         x = c.join(bucketed_points(s, size), ["bx", "by"]).where(d <= size).groupBy(key).agg(best).select(key, f"b.{site_key}", "b.distance_m")
-        done = x if done is None else done.unionByName(x)
-        q, size = q.join(x.select(key), key, "left_anti"), size * 4
-    return done
+        parts.append(written(x, "nearest"))
+        if size >= span:
+            break
+        q = written(q.join(parts[-1].select(key), key, "left_anti"), "nearest-rest")
+        if q.isEmpty():
+            break
+        size = min(size * 2, span)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def polygons_hit_once(points: DataFrame, areas: DataFrame, point_key: str, area_key: str, size: float = BUCKET, polygon: str | None = None) -> DataFrame:

@@ -131,7 +131,9 @@ def planting_catalogue(popular: DataFrame, costs: DataFrame) -> DataFrame:
     c = exact_costs(costs)
     p = popular.select("lga_code", F.lower("scientific_name").alias("species_key"), "popularity_rank", "list_category")
     listed = p.join(c, "species_key", "left")
-    other = popular.select("lga_code").distinct().join(c, F.lit(True)).join(p.select("lga_code", "species_key"), ["lga_code", "species_key"], "left_anti")
+    # Each priced species beside each council is the result's own size; the councils, some tens, travel in one row.
+    lgas = popular.agg(F.collect_set("lga_code").alias("lga_code"))
+    other = c.join(F.broadcast(lgas), F.lit(True)).withColumn("lga_code", F.explode("lga_code")).join(p.select("lga_code", "species_key"), ["lga_code", "species_key"], "left_anti")
     return listed.unionByName(other, allowMissingColumns=True)
 
 

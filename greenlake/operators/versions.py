@@ -10,12 +10,6 @@ from pyspark.sql import functions as F
 READY_QUALITY = ("passed", "passed_with_limitations")
 
 
-def first_by(df: DataFrame, keys: Sequence[str], *order) -> DataFrame:
-    """One row for each key, the first by ``order``, as a partially aggregated minimum where all of it ascends."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def latest_version(versions: DataFrame, by: Sequence[str] = ("source_id",), order: Sequence[str] = ("extracted_at", "version_id")) -> DataFrame:
     """The newest version of each source: the greatest struct of the order, so a hot source combines before the shuffle."""
     rest = [c for c in versions.columns if c not in by]

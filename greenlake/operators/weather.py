@@ -18,15 +18,15 @@ def latest_by_station(observations: DataFrame, as_of: Column) -> DataFrame:
     return x.groupBy("station_code").agg(F.max_by(F.struct(*rest), order).alias("o")).select("station_code", "o.*")
 
 
-def nearest_recent(places: DataFrame, observations: DataFrame, as_of: Column, key: str = "parcel_id", most_broadcast: int = 10_000) -> DataFrame:
+def nearest_recent(places: DataFrame, observations: DataFrame, as_of: Column, key: str = "parcel_id") -> DataFrame:
     """Each place's nearest station with a recent observation, its age and distance; beyond 25 km the values are withheld.
 
-    Stations are a registry of bounded size; a count checks it, and more are met through grid buckets.
+    Some tens of stations are searched as literals, more through grid buckets.
     """
     from greenlake.operators.spatial_join import nearest
 
     s = latest_by_station(observations, as_of)
-    near = nearest(places.select(key, "x", "y"), s, key, "station_code", most_broadcast)
+    near = nearest(places.select(key, "x", "y"), s, key, "station_code")
     x = near.join(s.drop("x", "y"), "station_code")
     age = F.greatest((F.unix_timestamp(as_of) - F.unix_timestamp("observed_at")) / 60, F.lit(0.0))
     shown = F.col("distance_m") <= 25_000

@@ -93,21 +93,38 @@ def coverage_gaps(scenarios: DataFrame, column: str, required: Sequence[str]) ->
 
 
 def property_sanity(x: DataFrame, as_of: Column) -> DataFrame:
-    """Failures and warnings of every property's answers, and PASS, WARN or FAIL."""
-    age = F.date_diff(as_of, "heat_observed_on")
-    bad = lambda c, s: F.when(F.coalesce(c, F.lit(True)), F.lit(s))
-    failures = F.array_compact(F.array(
-        bad(~F.col("inside_boundary"), "address point is not covered by the boundary"), bad(F.col("area_m2") <= 0, "parcel geometry/area is missing or invalid"),
-        bad(~(F.col("longitude").between(144.0, 146.0) & F.col("latitude").between(-39.5, -37.0)), "coordinates fall outside the reasonableness box"),
-        bad(~F.col("heat_value").between(-20, 80), "heat baseline is missing or implausible"), bad(~F.col("canopy_pct").between(0, 100), "canopy baseline is missing or outside 0-100"),
-        bad(age < 0, "heat observation date is missing or in the future"),
-        F.when(F.col("heat_value").isNull() != (F.col("heat_class") == "Unavailable"), F.lit("missing heat is not classified as Unavailable")),
-    ))
-    warnings = F.array_compact(F.array(
-        F.when(age > 365, F.lit("heat observation is over a year old")), F.when((F.col("canopy_pct") <= 1) | (F.col("canopy_pct") >= 90), F.lit("extreme canopy value")),
-    ))
-    status = F.when(F.size(failures) > 0, "FAIL").when(F.size(warnings) > 0, "WARN").otherwise("PASS")
-    return x.withColumns({"failures": F.array_join(failures, "; "), "warnings": F.array_join(warnings, "; "), "status": status})
+    """Failures and warnings of every property's answers as codes, and PASS, WARN or FAIL.
+
+    Reads n_matches, inside_boundary, area_m2, lot_size, expected_lot_size, longitude, latitude, heat_value, heat_class,
+    heat_observed_on, canopy_pct, canopy_class, property_canopy_pct, is_proxy, scheme_version, n_trees, weather_status,
+    distance_km and air_temperature_c. What is missing fails; a class must be Unavailable exactly where its value is null.
+    """
+    age, km, weather = F.date_diff(as_of, "heat_observed_on"), F.col("distance_km"), F.col("weather_status")
+    canopy, own, air = F.col("canopy_pct"), F.col("property_canopy_pct"), F.col("air_temperature_c")
+    bands = ("Low", "Medium", "High")
+
+    def bad_class(value, name):
+        return F.when(F.col(value).isNull(), ~F.col(name).eqNullSafe("Unavailable")).otherwise(~F.coalesce(F.col(name).isin(*bands), F.lit(False)))
+
+    weather_fits = (
+        F.when(weather == "good_local_context", (km <= 10) & air.isNotNull()).when(weather == "regional_context_warning", (km > 10) & (km <= 25))
+        .when(weather == "too_distant_temperature_suppressed", (km > 25) & air.isNull()).when(weather == "unavailable_no_observation_within_3_hours", air.isNull())
+    )
+    wrong = {
+        "not_one_match": F.col("n_matches") != 1, "outside_boundary": ~F.col("inside_boundary"), "bad_area": F.col("area_m2") <= 0, "other_lot_size": F.col("lot_size") != F.col("expected_lot_size"),
+        "bad_coordinates": ~(F.col("longitude").between(144.0, 146.0) & F.col("latitude").between(-39.5, -37.0)), "bad_heat": ~F.col("heat_value").between(-20, 80),
+        "bad_heat_class": bad_class("heat_value", "heat_class"), "bad_heat_date": age < 0, "bad_canopy": ~canopy.between(0, 100), "bad_canopy_class": bad_class("canopy_pct", "canopy_class"),
+        "bad_property_canopy": ~own.between(0, 100), "property_canopy_is_proxy": F.col("is_proxy"), "no_scheme_version": F.col("scheme_version") == "", "bad_tree_count": F.col("n_trees") < 0,
+        "weather_contradiction": ~weather_fits,
+    }
+    odd = {
+        "old_heat": age > 365, "extreme_canopy": (canopy <= 1) | (canopy >= 90), "extreme_property_canopy": (own <= 1) | (own >= 90), "no_trees": F.col("n_trees") == 0,
+        "distant_weather": ((weather == "regional_context_warning") & (km > 10) & (km <= 25)) | ((weather == "too_distant_temperature_suppressed") & (km > 25)), "no_recent_weather": weather == "unavailable_no_observation_within_3_hours",
+    }
+    failures = F.concat_ws(",", *(F.when(F.coalesce(c, F.lit(True)), F.lit(k)) for k, c in wrong.items()))
+    warnings = F.concat_ws(",", *(F.when(c, F.lit(k)) for k, c in odd.items()))
+    x = x.withColumns({"failures": failures, "warnings": warnings})
+    return x.withColumn("status", F.when(F.col("failures") != "", "FAIL").when(F.col("warnings") != "", "WARN").otherwise("PASS"))
 
 
 def prepare_vector(features: DataFrame, polygon: str = "polygon", clip_to: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -263,14 +263,14 @@ def effective_costs(t):
 
 
 @query("partial:l, complete:l", """
-    WITH f AS (SELECT DISTINCT l_suppkey version_id, l_partkey % 3 k, 1 v FROM lineitem WHERE l_suppkey < 60 AND l_partkey % (l_suppkey % 3 + 1) = 0),
-    s AS (SELECT s_suppkey version_id, s_nationkey % 4 source_id, s_suppkey % 5 a, 5 + s_suppkey % 7 b FROM supplier WHERE s_suppkey < 60),
+    WITH f AS (SELECT DISTINCT l_suppkey version_id, l_partkey % 3 k, 1 v FROM lineitem WHERE l_partkey % (l_suppkey % 3 + 1) = 0),
+    s AS (SELECT s_suppkey version_id, s_suppkey % 20 source_id, s_suppkey % 5 a, 5 + s_suppkey % 7 b FROM supplier),
     p AS (SELECT x.version_id AS "partial", y.version_id complete, y.b "to" FROM s x JOIN s y ON x.source_id = y.source_id AND x.version_id <> y.version_id AND y.a <= x.a AND y.b >= x.b AND (y.a < x.a OR y.b > x.b)
           WHERE EXISTS (SELECT 1 FROM f WHERE version_id = x.version_id) AND NOT EXISTS (SELECT 1 FROM f WHERE version_id = x.version_id AND NOT EXISTS (SELECT 1 FROM f g WHERE g.version_id = y.version_id AND g.k = f.k)))
     SELECT "partial", max_by(complete, "to" * 100000 + complete) complete FROM p GROUP BY "partial" """)
 def superseded_versions(t):
-    f = t("lineitem").where("l_suppkey < 60 AND l_partkey % (l_suppkey % 3 + 1) = 0").selectExpr("l_suppkey AS version_id", "l_partkey % 3 AS k", "1 AS v").distinct()
-    s = t("supplier").where("s_suppkey < 60").selectExpr("s_suppkey AS version_id", "s_nationkey % 4 AS source_id", "s_suppkey % 5 AS observed_from", "5 + s_suppkey % 7 AS observed_to", "0 AS extracted_at")
+    f = t("lineitem").where("l_partkey % (l_suppkey % 3 + 1) = 0").selectExpr("l_suppkey AS version_id", "l_partkey % 3 AS k", "1 AS v").distinct()
+    s = t("supplier").selectExpr("s_suppkey AS version_id", "s_suppkey % 20 AS source_id", "s_suppkey % 5 AS observed_from", "5 + s_suppkey % 7 AS observed_to", "0 AS extracted_at")
     return versions.superseded(s, f, ["v"], ["k"])
 
 
@@ -323,7 +323,7 @@ def lga_lookup(t):
 
 
 @query("centre_id:l, layer:s, id:s, distance_m:d, rank:l", """
-    WITH c AS (SELECT parcel_id centre_id, x cx, y cy FROM parcel WHERE parcel_id % 10 = 0),
+    WITH c AS (SELECT parcel_id centre_id, x cx, y cy FROM parcel),
     p AS (SELECT centre_id, 'trees' layer, CAST(l_orderkey * 1000000 + l_partkey * 1000 + l_suppkey AS VARCHAR) id, sqrt((cx - x) * (cx - x) + (cy - y) * (cy - y)) distance_m
           FROM c JOIN (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, x, y FROM tree) ON abs(cx - x) <= 1500 AND abs(cy - y) <= 1500
           UNION ALL SELECT centre_id, 'parcels', CAST(parcel_id AS VARCHAR), sqrt(greatest(xmin - cx, 0, cx - xmax) ** 2 + greatest(ymin - cy, 0, cy - ymax) ** 2) FROM c JOIN parcel ON xmin - cx <= 1500 AND cx - xmax <= 1500)
@@ -331,7 +331,7 @@ def lga_lookup(t):
 def radius_topk(t):
     trees = t("tree").selectExpr("l_orderkey * 1000000 + l_partkey * 1000 + l_suppkey AS id", "x", "y").distinct()
     parcels = t("parcel").selectExpr("parcel_id AS id", "xmin", "ymin", "xmax", "ymax")
-    centres = t("parcel").where("parcel_id % 10 = 0").selectExpr("parcel_id AS centre_id", "x AS cx", "y AS cy")
+    centres = t("parcel").selectExpr("parcel_id AS centre_id", "x AS cx", "y AS cy")
     return property.environment_context(centres, {"trees": trees, "parcels": parcels}, 1500.0, 5)
 
 
@@ -376,11 +376,11 @@ def nearest_station(t):
 
 # -- address and property -------------------------------------------------------------------------------------------
 
-_REQUESTS = "SELECT c_custkey request_id, concat(CAST(c_custkey % 200 AS VARCHAR), ' ', substr(c_mktsegment, 1, 4)) request FROM customer WHERE c_custkey % 25 = 0"
+_REQUESTS = "SELECT c_custkey request_id, concat(CAST(c_custkey % 200 AS VARCHAR), ' ', substr(c_mktsegment, 1, 4)) request FROM customer"
 
 
 def _requests(t):
-    return t("customer").where("c_custkey % 25 = 0").selectExpr("c_custkey AS request_id", "concat(c_custkey % 200, ' ', lower(substr(c_mktsegment, 1, 4))) AS request")
+    return t("customer").selectExpr("c_custkey AS request_id", "concat(c_custkey % 200, ' ', lower(substr(c_mktsegment, 1, 4))) AS request")
 
 
 @query("request_id:l, address_id:l, rank:l", f"""
@@ -419,8 +419,10 @@ _HEAT_CELL = "SELECT cell_id, arg_max(heat_value, (observed_on, source_scene_id,
                 WHEN a.v IS NULL THEN '{{"heat":"no heat cell covers the property"}}' WHEN b.v IS NULL THEN '{{"canopy":"no canopy cell covers the property; this is not zero canopy"}}' ELSE '{{}}' END limitations
     FROM parcel p LEFT JOIN h a ON a.cell_id = floor(p.x / 500) * 120 + floor(p.y / 500) LEFT JOIN h b ON b.cell_id = floor(p.x / 500) * 5 + floor(p.y / 500) JOIN t USING (parcel_id) JOIN w USING (parcel_id)""", "parcel heat urban_tree weather")
 def property_baseline(t):
+    latest = t("heat").groupBy("cell_id").agg(F.max(F.struct("observed_on", "source_scene_id", "heat_value")).alias("h"))  # before cells are multiplied
+
     def cells(rows, factor):
-        x = t("heat").selectExpr(f"floor(cell_id / {rows}) AS q", "cell_id", "observed_on", f"heat_value * {factor} AS v", "struct(source_scene_id, heat_value) AS k")
+        x = latest.selectExpr(f"floor(cell_id / {rows}) AS q", "cell_id", "h.observed_on AS observed_on", f"h.heat_value * {factor} AS v", "struct(h.source_scene_id, h.heat_value) AS k")
         # A cell number stands for each pair of column and row that it can come from.
         x = x.withColumn("cell_x", F.explode(F.sequence(F.lit(0), F.least(F.col("q"), F.lit(119))))).withColumn("cell_y", F.col("cell_id") - F.col("cell_x") * rows)
         return x.where("cell_y between 0 and 119").select("cell_x", "cell_y", "observed_on", F.col("v"), F.col("k").alias("cell_id"))
@@ -733,20 +735,28 @@ def parcel_polygons(t):
     )
 
 
-@query("c_custkey:l, easting:d, northing:d")
+# Kruger's series written out for GRS80 (third flattening 0.00167922039462874) and the zone around 147 E.
+@query("c_custkey:l, easting:d, northing:d", """
+    WITH p AS (SELECT c_custkey, radians(-38.2::DOUBLE + c_custkey % 997 / 1000.0::DOUBLE) phi, radians(144.5::DOUBLE + c_custkey % 1000 / 1000.0::DOUBLE - 147) lam, 0.0818191910428158::DOUBLE e FROM customer),
+    q AS (SELECT c_custkey, lam, sinh(atanh(sin(phi)) - e * atanh(e * sin(phi))) t FROM p), r AS (SELECT c_custkey, atan2(t, cos(lam)) xi, atanh(sin(lam) / sqrt(1 + t * t)) eta FROM q),
+    k AS (SELECT *, 0.00167922039462874::DOUBLE n FROM r),
+    a AS (SELECT *, n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16 + 41 * n ** 4 / 180 a1, 13 * n ** 2 / 48 - 3 * n ** 3 / 5 + 557 * n ** 4 / 1440 a2, 61 * n ** 3 / 240 - 103 * n ** 4 / 140 a3, 49561 * n ** 4 / 161280 a4,
+                 0.9996 * 6378137 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) scale FROM k)
+    SELECT c_custkey, round(500000 + scale * (eta + a1 * cos(2 * xi) * sinh(2 * eta) + a2 * cos(4 * xi) * sinh(4 * eta) + a3 * cos(6 * xi) * sinh(6 * eta) + a4 * cos(8 * xi) * sinh(8 * eta)), 3) easting,
+           round(10000000 + scale * (xi + a1 * sin(2 * xi) * cosh(2 * eta) + a2 * sin(4 * xi) * cosh(4 * eta) + a3 * sin(6 * xi) * cosh(6 * eta) + a4 * sin(8 * xi) * cosh(8 * eta)), 3) northing FROM a""")
 def map_grid(t):
     x, y = geo.to_map_grid(F.expr("144.5D + c_custkey % 1000 / 1000D"), F.expr("-38.2D + c_custkey % 997 / 1000D"))
-    return t("customer").select("c_custkey", x.alias("easting"), y.alias("northing"))
+    return t("customer").select("c_custkey", F.round(x, 3).alias("easting"), F.round(y, 3).alias("northing"))
 
 
 @query("model_code:s, missing:s, unlicensed:s, n_blockers:l, ready:b", """
-    WITH d AS (SELECT DISTINCT p_type dataset, p_type <> 'STANDARD' available, p_type <> 'PROMO' licensed FROM part), m AS (SELECT DISTINCT p_brand model_code, p_type dataset FROM part WHERE p_size < 3)
+    WITH d AS (SELECT DISTINCT p_type dataset, p_type <> 'STANDARD' available, p_type <> 'PROMO' licensed FROM part), m AS (SELECT DISTINCT p_brand model_code, p_type dataset FROM part)
     SELECT model_code, string_agg(DISTINCT CASE WHEN NOT available THEN dataset END, ',' ORDER BY CASE WHEN NOT available THEN dataset END) missing, string_agg(DISTINCT CASE WHEN available AND NOT licensed THEN dataset END, ',' ORDER BY CASE WHEN available AND NOT licensed THEN dataset END) unlicensed,
            count_if(NOT available OR NOT licensed) n_blockers, count_if(NOT available OR NOT licensed) = 0 ready FROM m JOIN d USING (dataset) GROUP BY 1""")
 def model_readiness(t):
     part = t("part")
     d = part.selectExpr("p_type AS dataset", "p_type <> 'STANDARD' AS available", "p_type <> 'PROMO' AS licensed").distinct()
-    m = part.where("p_size < 3").groupBy(F.col("p_brand").alias("model_code")).agg(F.collect_set("p_type").alias("required"))
+    m = part.groupBy(F.col("p_brand").alias("model_code")).agg(F.collect_set("p_type").alias("required"))
     r = scenarios.readiness(m, d)
     return r.withColumns({"missing": F.nullif("missing", F.lit("")), "unlicensed": F.nullif("unlicensed", F.lit(""))})
 
@@ -796,15 +806,26 @@ def lot_canopy(t):
 
 
 @query("parcel_id:l, failures:s, warnings:s, status:s", """
-    WITH x AS (SELECT parcel_id, parcel_id % 11 > 0 i, area_m2 - 500 a, 144.2 + parcel_id % 100 / 50.0 lon, parcel_id % 90 h, parcel_id % 101 c, DATE '2023-01-01' + CAST(parcel_id % 500 AS INTEGER) d FROM parcel),
-    y AS (SELECT parcel_id, concat_ws('; ', CASE WHEN NOT i THEN 'address point is not covered by the boundary' END, CASE WHEN a <= 0 THEN 'parcel geometry/area is missing or invalid' END, CASE WHEN lon > 146 THEN 'coordinates fall outside the reasonableness box' END,
-                 CASE WHEN h > 80 THEN 'heat baseline is missing or implausible' END, CASE WHEN d > DATE '2024-02-01' THEN 'heat observation date is missing or in the future' END) failures,
-                 concat_ws('; ', CASE WHEN DATE '2024-02-01' - d > 365 THEN 'heat observation is over a year old' END, CASE WHEN c <= 1 OR c >= 90 THEN 'extreme canopy value' END) warnings FROM x)
+    WITH x AS (SELECT parcel_id, parcel_id % 23 matches, parcel_id % 11 > 0 inside, area_m2 - 500 a, CASE WHEN area_m2 <= 800 THEN 'medium' ELSE 'large' END lot, 144.2 + parcel_id % 100 / 50.0 lon, nullif(parcel_id % 90, 7) h,
+                      CASE parcel_id % 13 WHEN 0 THEN 'Unavailable' WHEN 1 THEN 'Odd' ELSE 'Low' END hc, nullif(parcel_id % 101, 50) c, nullif(parcel_id % 103, 51) pc, parcel_id % 17 = 0 proxy, CASE WHEN parcel_id % 19 > 0 THEN 'v1' END v,
+                      nullif(parcel_id % 4, 3) n, parcel_id % 30 km, DATE '2023-01-01' + CAST(parcel_id % 500 AS INTEGER) d FROM parcel),
+    s AS (SELECT *, CASE WHEN km <= 10 THEN 'good_local_context' WHEN km < 25 THEN 'regional_context_warning' WHEN km < 28 THEN 'too_distant_temperature_suppressed' ELSE 'odd' END w, CASE WHEN km < 27 AND km <> 4 THEN 20 END air FROM x),
+    y AS (SELECT parcel_id, concat_ws(',', CASE WHEN matches = 0 THEN 'not_one_match' END, CASE WHEN NOT inside THEN 'outside_boundary' END, CASE WHEN a <= 0 THEN 'bad_area' END, CASE WHEN lot <> 'medium' THEN 'other_lot_size' END, CASE WHEN lon > 146 THEN 'bad_coordinates' END,
+                 CASE WHEN h IS NULL OR h > 80 THEN 'bad_heat' END, CASE WHEN h IS NULL AND hc <> 'Unavailable' OR h IS NOT NULL AND hc NOT IN ('Low', 'Medium', 'High') THEN 'bad_heat_class' END, CASE WHEN d > DATE '2024-02-01' THEN 'bad_heat_date' END,
+                 CASE WHEN c IS NULL OR c > 100 THEN 'bad_canopy' END, CASE WHEN c IS NULL THEN 'bad_canopy_class' END, CASE WHEN pc IS NULL OR pc > 100 THEN 'bad_property_canopy' END, CASE WHEN proxy THEN 'property_canopy_is_proxy' END, CASE WHEN v IS NULL THEN 'no_scheme_version' END,
+                 CASE WHEN n IS NULL THEN 'bad_tree_count' END, CASE WHEN w = 'odd' OR w = 'good_local_context' AND air IS NULL OR w = 'too_distant_temperature_suppressed' AND (air IS NOT NULL OR km <= 25) OR w = 'regional_context_warning' AND km <= 10 THEN 'weather_contradiction' END) failures,
+                 concat_ws(',', CASE WHEN DATE '2024-02-01' - d > 365 THEN 'old_heat' END, CASE WHEN c <= 1 OR c >= 90 THEN 'extreme_canopy' END, CASE WHEN pc <= 1 OR pc >= 90 THEN 'extreme_property_canopy' END, CASE WHEN n = 0 THEN 'no_trees' END,
+                 CASE WHEN w = 'regional_context_warning' AND km > 10 OR w = 'too_distant_temperature_suppressed' AND km > 25 THEN 'distant_weather' END) warnings FROM s)
     SELECT *, CASE WHEN failures <> '' THEN 'FAIL' WHEN warnings <> '' THEN 'WARN' ELSE 'PASS' END status FROM y""", "parcel")
 def property_sanity(t):
     x = t("parcel").selectExpr(
-        "parcel_id", "parcel_id % 11 > 0 AS inside_boundary", "CAST(area_m2 - 500 AS DOUBLE) AS area_m2", "144.2D + parcel_id % 100 / 50D AS longitude", "-38D AS latitude", "CAST(parcel_id % 90 AS DOUBLE) AS heat_value", "CAST(parcel_id % 101 AS DOUBLE) AS canopy_pct",
-        "date_add(DATE '2023-01-01', CAST(parcel_id % 500 AS INT)) AS heat_observed_on", "'Low' AS heat_class",
+        "parcel_id", "CAST(IF(parcel_id % 23 = 0, 2, 1) AS BIGINT) AS n_matches", "parcel_id % 11 > 0 AS inside_boundary", "CAST(area_m2 - 500 AS DOUBLE) AS area_m2", "IF(area_m2 <= 800, 'medium', 'large') AS lot_size", "'medium' AS expected_lot_size",
+        "144.2D + parcel_id % 100 / 50D AS longitude", "-38D AS latitude", "CAST(nullif(parcel_id % 90, 7) AS DOUBLE) AS heat_value", "CASE parcel_id % 13 WHEN 0 THEN 'Unavailable' WHEN 1 THEN 'Odd' ELSE 'Low' END AS heat_class",
+        "CAST(nullif(parcel_id % 101, 50) AS DOUBLE) AS canopy_pct", "'Low' AS canopy_class", "CAST(nullif(parcel_id % 103, 51) AS DOUBLE) AS property_canopy_pct", "parcel_id % 17 = 0 AS is_proxy", "CASE WHEN parcel_id % 19 > 0 THEN 'v1' END AS scheme_version",
+        "nullif(parcel_id % 4, 3) AS n_trees", "CAST(parcel_id % 30 AS DOUBLE) AS distance_km", "date_add(DATE '2023-01-01', CAST(parcel_id % 500 AS INT)) AS heat_observed_on",
+    ).selectExpr(
+        "*", "CASE WHEN distance_km <= 10 THEN 'good_local_context' WHEN distance_km < 25 THEN 'regional_context_warning' WHEN distance_km < 28 THEN 'too_distant_temperature_suppressed' ELSE 'odd' END AS weather_status",
+        "CASE WHEN distance_km < 27 AND distance_km <> 4 THEN 20D END AS air_temperature_c",
     )
     return pipelines.property_sanity(x, F.lit("2024-02-01").cast("date"))
 
@@ -825,10 +846,10 @@ def lga_features(t):
 
 
 @query("lga_code:l, species_key:s, guidance_status:s, n_trees:l", """
-    WITH g AS (SELECT p_size % 25 lga_code, 'scientific:' || lower(p_name) species_key, CASE p_partkey % 2 WHEN 0 THEN 'approved' ELSE 'conditional' END s FROM part WHERE p_partkey % 9 = 0), o AS (SELECT l_partkey % 30 lga_code, 'scientific:' || lower(scientific_name) species_key, count(*) n FROM tree GROUP BY ALL)
+    WITH g AS (SELECT p_size % 25 lga_code, 'scientific:' || lower(p_name) species_key, CASE p_partkey % 2 WHEN 0 THEN 'approved' ELSE 'conditional' END s FROM part), o AS (SELECT l_partkey % 30 lga_code, 'scientific:' || lower(scientific_name) species_key, count(*) n FROM tree GROUP BY ALL)
     SELECT g.lga_code, g.species_key, s guidance_status, coalesce(n, 0) n_trees FROM g LEFT JOIN o USING (lga_code, species_key) UNION ALL SELECT lga_code, species_key, 'not_in_loaded_guidance', n FROM o WHERE (lga_code, species_key) NOT IN (SELECT lga_code, species_key FROM g)""", "tree")
 def guidance_options(t):
-    g = t("part").where("p_partkey % 9 = 0").selectExpr("CAST(p_size % 25 AS BIGINT) AS lga_code", "p_name AS scientific_name", "p_brand AS common_name", "CASE p_partkey % 2 WHEN 0 THEN 'approved' ELSE 'conditional' END AS guidance_status")
+    g = t("part").selectExpr("CAST(p_size % 25 AS BIGINT) AS lga_code", "p_name AS scientific_name", "p_brand AS common_name", "CASE p_partkey % 2 WHEN 0 THEN 'approved' ELSE 'conditional' END AS guidance_status")
     o = t("tree").groupBy((F.col("l_partkey") % 30).alias("lga_code"), species.species_key().alias("species_key")).agg(F.count("*").alias("n_trees"))
     return species.species_options(g, o)
 

@@ -24,18 +24,37 @@ def p(name: str) -> Column:
     return F.try_element_at("properties", F.lit(name))
 
 
-def _joined(*names: str) -> Column:
-    return F.nullif(F.concat_ws(" ", *(clean(p(n)) for n in names)), F.lit(""))
+class Cleaned:
+    """Cleaned properties by name; notes those that are asked for, so that each is projected once."""
 
+    def __init__(self):
+        self.asked: set[str] = set()
 
-def _spread(name: str, low: str, high: str, scale: float = 1.0) -> dict[str, Column]:
-    r = numeric_range(p(name), scale)
-    return {low: r["minimum"], high: r["maximum"]}
+    def __call__(self, name: str) -> Column:
+        self.asked.add(name)
+        return F.col(f"`_{name}`")
 
+    def number(self, name: str) -> Column:
+        return positive_float(self(name), ready=True)
 
-def _named(genus: str, species: str) -> dict[str, Column]:
-    n = scientific_name(p(genus), p(species))
-    return {"scientific_name": n["name"], "taxonomic_precision": n["precision"], "genus": clean(p(genus))}
+    def day(self, name: str) -> Column:
+        return iso_date(self(name), ready=True)
+
+    def joined(self, *names: str) -> Column:
+        return F.nullif(F.concat_ws(" ", *map(self, names)), F.lit(""))
+
+    def spread(self, name: str, low: str, high: str, scale: float = 1.0) -> dict[str, Column]:
+        r = numeric_range(self(name), scale, ready=True)
+        return {low: r["minimum"], high: r["maximum"]}
+
+    def named(self, genus: str, species: str) -> dict[str, Column]:
+        n = scientific_name(self(genus), self(species), ready=True)
+        return {"scientific_name": n["name"], "taxonomic_precision": n["precision"], "genus": self(genus)}
+
+    def keyed(self, source: str, *ids: str, otherwise: tuple = ()) -> Column:
+        """``source:id`` by the first id there is, else a digest of the rest."""
+        other = stable_id(source, "longitude", "latitude", *otherwise)
+        return F.coalesce(F.concat(F.lit(f"{source}:"), F.coalesce(*map(self, ids))), other) if ids else other
 
 
 def _labelled(botanical: Column, common: Column | None = None, precision: Column | None = None) -> dict[str, Column]:
@@ -44,84 +63,78 @@ def _labelled(botanical: Column, common: Column | None = None, precision: Column
     return {"scientific_name": botanical, "genus": F.split(botanical, " ")[0], "taxonomic_precision": known if common is None else F.coalesce(known, F.when(common.isNotNull(), "common_name"))}
 
 
-def _keyed(source: str, *ids: str, otherwise: tuple = ()) -> Column:
-    """``source:id`` by the first id there is, else a digest of the rest."""
-    own = F.coalesce(*(clean(p(i)) for i in ids)) if ids else F.lit(None)
-    return F.coalesce(F.concat(F.lit(f"{source}:"), own), stable_id(source, "longitude", "latitude", *otherwise))
-
-
-def _brimbank():
-    n = _named("Genus", "Species")
-    return n | _spread("height", "height_min_m", "height_max_m") | _spread("canopy", "canopy_width_min_m", "canopy_width_max_m") | _spread("dbh", "dbh_min_cm", "dbh_max_cm") | {
-        "source_tree_id": _keyed("brimbank", otherwise=(p("Location"), n["scientific_name"])), "located_in": clean(p("Type")), "address": clean(p("Location")),
-        "active_record": F.coalesce(F.lower(clean(p("Status"))) == "existing", F.lit(False)),
+def _brimbank(c: Cleaned):
+    n = c.named("Genus", "Species")
+    return n | c.spread("height", "height_min_m", "height_max_m") | c.spread("canopy", "canopy_width_min_m", "canopy_width_max_m") | c.spread("dbh", "dbh_min_cm", "dbh_max_cm") | {
+        "source_tree_id": c.keyed("brimbank", otherwise=(p("Location"), n["scientific_name"])), "located_in": c("Type"), "address": c("Location"),
+        "active_record": F.coalesce(F.lower(c("Status")) == "existing", F.lit(False)),
     }
 
 
-def _yarra():
-    n, common = _named("genus", "species"), clean(p("common"))
+def _yarra(c: Cleaned):
+    n, common = c.named("genus", "species"), c("common")
     return n | {
-        "source_tree_id": _keyed("yarra", "ref", otherwise=(common, n["scientific_name"])), "common_name": common, "family": clean(p("family")),
-        "taxonomic_precision": F.coalesce(n["taxonomic_precision"], F.when(common.isNotNull(), "common_name")), "diameter_breast_height_cm": positive_float(p("dbh")), "height_m": positive_float(p("height")),
-        "age_description": clean(p("maturity")), "useful_life_expectancy": clean(p("ule_min, ule_max")), "health_status": clean(p("health")), "structure_status": clean(p("structure")),
-        "located_in": clean(p("location")), "address": clean(p("address")), "source_observed_on": iso_date(p("updated")),
+        "source_tree_id": c.keyed("yarra", "ref", otherwise=(common, n["scientific_name"])), "common_name": common, "family": c("family"),
+        "taxonomic_precision": F.coalesce(n["taxonomic_precision"], F.when(common.isNotNull(), "common_name")), "diameter_breast_height_cm": c.number("dbh"), "height_m": c.number("height"),
+        "age_description": c("maturity"), "useful_life_expectancy": c("ule_min, ule_max"), "health_status": c("health"), "structure_status": c("structure"),
+        "located_in": c("location"), "address": c("address"), "source_observed_on": c.day("updated"),
     }
 
 
-def _casey():
-    common, full, told = clean(p("commonname")), clean(p("botanicname")), clean(p("description"))
-    family = scientific_name(p("familygenus"), F.lit(None).cast("string"))
+def _casey(c: Cleaned):
+    common, full, told = c("commonname"), c("botanicname"), c("description")
+    family = scientific_name(c("familygenus"), F.lit(None).cast("string"), ready=True)
     genus, rest = F.regexp_extract(told, r"^([A-Z][A-Za-z.-]+)\s+(.+)$", 1), F.lower(F.regexp_extract(told, r"^([A-Z][A-Za-z.-]+)\s+(.+)$", 2))
     bare = rest.isin("species", "sp", "sp.")
     from_text = F.when(genus != "", F.when(bare, F.concat(genus, F.lit(" sp."))).otherwise(told))
     botanical = F.coalesce(full, family["name"], from_text)
     precision = F.when(full.isNotNull(), "species").when(family["name"].isNotNull(), family["precision"]).when(from_text.isNotNull(), F.when(bare, "genus").otherwise("species"))
-    ew, ns = positive_float(p("canopyewwidth_m")), positive_float(p("canopynswidth_m"))
+    ew, ns = c.number("canopyewwidth_m"), c.number("canopynswidth_m")
     return _labelled(botanical, common, precision) | {
-        "source_tree_id": _keyed("casey", "assetnumber", "legacyassetnumber", otherwise=(common, botanical)), "common_name": common, "family": clean(p("details")),
-        "diameter_breast_height_cm": positive_float(p("diameterbreast_hcm")), "height_m": positive_float(p("treeheight_m")), "canopy_width_m": F.coalesce(F.round((ew + ns) / 2, 4), ew, ns),
-        "canopy_width_ew_m": ew, "canopy_width_ns_m": ns, "age_description": clean(p("treeage")), "useful_life_expectancy": clean(p("expectedusefullife")), "health_status": clean(p("treehealth")),
-        "structure_status": clean(p("treestructure")), "precinct": clean(p("ward")), "located_in": clean(p("treetype")), "address": _joined("address", "suburb", "postcode"), "date_planted": iso_date(p("acquisitiondate")),
+        "source_tree_id": c.keyed("casey", "assetnumber", "legacyassetnumber", otherwise=(common, botanical)), "common_name": common, "family": c("details"),
+        "diameter_breast_height_cm": c.number("diameterbreast_hcm"), "height_m": c.number("treeheight_m"), "canopy_width_m": F.coalesce(F.round((ew + ns) / 2, 4), ew, ns),
+        "canopy_width_ew_m": ew, "canopy_width_ns_m": ns, "age_description": c("treeage"), "useful_life_expectancy": c("expectedusefullife"), "health_status": c("treehealth"),
+        "structure_status": c("treestructure"), "precinct": c("ward"), "located_in": c("treetype"), "address": c.joined("address", "suburb", "postcode"), "date_planted": c.day("acquisitiondate"),
     }
 
 
-def _hobsons_bay():
-    n = _named("Genus", "Species")
-    return n | _spread("dbh_mm", "dbh_min_cm", "dbh_max_cm", 0.1) | {
-        "source_tree_id": _keyed("hobsons_bay", otherwise=(p("type"), n["scientific_name"])), "precinct": clean(p("ward_name")), "located_in": clean(p("type")), "address": clean(p("suburb")),
+def _hobsons_bay(c: Cleaned):
+    n = c.named("Genus", "Species")
+    return n | c.spread("dbh_mm", "dbh_min_cm", "dbh_max_cm", 0.1) | {
+        "source_tree_id": c.keyed("hobsons_bay", otherwise=(p("type"), n["scientific_name"])), "precinct": c("ward_name"), "located_in": c("type"), "address": c("suburb"),
     }
 
 
-def _wyndham():
-    common = clean(p("tree_common"))
+def _wyndham(c: Cleaned):
+    common = c("tree_common")
     return {
-        "source_tree_id": _keyed("wyndham", "tree_id", otherwise=(common,)), "common_name": common, "taxonomic_precision": F.when(common.isNotNull(), "common_name"), "diameter_breast_height_cm": positive_float(p("diameter_breast_height")),
-        "height_m": positive_float(p("height")), "canopy_width_m": positive_float(p("canopy_width")), "age_description": clean(p("tree_age")), "useful_life_expectancy": clean(p("useful_life_expectancy")),
-        "health_status": clean(p("health")), "structure_status": clean(p("structure")), "source_observed_on": iso_date(p("inspection_date")),
+        "source_tree_id": c.keyed("wyndham", "tree_id", otherwise=(common,)), "common_name": common, "taxonomic_precision": F.when(common.isNotNull(), "common_name"), "diameter_breast_height_cm": c.number("diameter_breast_height"),
+        "height_m": c.number("height"), "canopy_width_m": c.number("canopy_width"), "age_description": c("tree_age"), "useful_life_expectancy": c("useful_life_expectancy"),
+        "health_status": c("health"), "structure_status": c("structure"), "source_observed_on": c.day("inspection_date"),
     }
 
 
-def _port_phillip():
-    common, botanical, planted = clean(p("common")), clean(p("species")), iso_date(p("planted"))
+def _port_phillip(c: Cleaned):
+    common, botanical, planted = c("common"), c("species"), c.day("planted")
     return _labelled(botanical, common) | {
-        "source_tree_id": _keyed("port_phillip", "ref", otherwise=(common, botanical)), "common_name": common, "diameter_breast_height_cm": positive_float(p("dbh")), "height_m": positive_float(p("height")),
-        "canopy_width_m": positive_float(p("crown")), "canopy_width_min_m": positive_float(p("crown_min")), "canopy_width_max_m": positive_float(p("crown_max")), "year_planted": F.year(planted), "date_planted": planted,
-        "located_in": clean(p("location")), "source_observed_on": iso_date(p("updated")),
+        "source_tree_id": c.keyed("port_phillip", "ref", otherwise=(common, botanical)), "common_name": common, "diameter_breast_height_cm": c.number("dbh"), "height_m": c.number("height"),
+        "canopy_width_m": c.number("crown"), "canopy_width_min_m": c.number("crown_min"), "canopy_width_max_m": c.number("crown_max"), "year_planted": F.year(planted), "date_planted": planted,
+        "located_in": c("location"), "source_observed_on": c.day("updated"),
     }
 
 
-def _manningham():
-    botanical, address = clean(p("species")), _joined("house", "street", "str_type", "suburb", "pcode")
-    return _labelled(botanical) | _spread("height", "height_min_m", "height_max_m") | _spread("dbh", "dbh_min_cm", "dbh_max_cm", 0.1) | {
-        "source_tree_id": _keyed("manningham", otherwise=(botanical, address)), "precinct": clean(p("treearea")), "located_in": F.lit("street"), "address": address, "source_observed_on": iso_date(p("date1")),
+def _manningham(c: Cleaned):
+    botanical, address = c("species"), c.joined("house", "street", "str_type", "suburb", "pcode")
+    return _labelled(botanical) | c.spread("height", "height_min_m", "height_max_m") | c.spread("dbh", "dbh_min_cm", "dbh_max_cm", 0.1) | {
+        "source_tree_id": c.keyed("manningham", otherwise=(botanical, address)), "precinct": c("treearea"), "located_in": F.lit("street"), "address": address, "source_observed_on": c.day("date1"),
     }
 
 
-def _glen_eira():
-    common, botanical = clean(p("Common_Name")), clean(p("Botanical"))
+def _glen_eira(c: Cleaned):
+    common, botanical = c("Common_Name"), c("Botanical")
     return _labelled(botanical, common) | {
-        "source_tree_id": _keyed("glen_eira", "feature_id", otherwise=(common, botanical)), "common_name": common, "diameter_breast_height_cm": positive_float(p("DBH")), "height_m": positive_float(p("Height")),
-        "canopy_width_m": positive_float(p("Spread")), "located_in": clean(p("LocationType")),
+        "source_tree_id": c.keyed("glen_eira", "feature_id", otherwise=(common, botanical)), "common_name": common, "diameter_breast_height_cm": c.number("DBH"), "height_m": c.number("Height"),
+        "canopy_width_m": c.number("Spread"), "located_in": c("LocationType"),
     }
 
 
@@ -136,9 +149,12 @@ def normalise_council(features: DataFrame, source: str) -> DataFrame:
     if source not in COUNCILS:
         raise ValueError(f"Unsupported council tree source: {source}")
     municipality, columns = COUNCILS[source]
-    own = {"inventory_source_key": F.lit(source), "municipality": F.lit(municipality), "longitude": F.col("longitude"), "latitude": F.col("latitude"), "active_record": F.lit(True)} | columns()
+    c = Cleaned()
+    named = columns(c)
+    own = {"inventory_source_key": F.lit(source), "municipality": F.lit(municipality), "longitude": F.col("longitude"), "latitude": F.col("latitude"), "active_record": F.lit(True)} | named
     own.setdefault("display_name", F.coalesce(*(own[c] for c in ("common_name", "scientific_name") if c in own)))
-    return features.select(*((own[c] if c in own else F.lit(None)).cast(k).alias(c) for c, k in CONTRACT.items()))
+    features = features.select("longitude", "latitude", "properties", *(clean(p(n)).alias(f"_{n}") for n in sorted(c.asked)))
+    return features.select(*((own[n] if n in own else F.lit(None)).cast(k).alias(n) for n, k in CONTRACT.items()))
 
 
 def normalise_councils(feeds: dict[str, DataFrame]) -> DataFrame:

@@ -69,7 +69,7 @@ def test_versions(spark):
 def test_nearest_by_buckets_equals_broadcast(spark):
     q = spark.range(40).selectExpr("id AS k", "CAST((id * 7919) % 60000 AS DOUBLE) AS x", "CAST((id * 104729) % 60000 AS DOUBLE) AS y")
     s = spark.range(25).selectExpr("id AS site", "CAST((id * 1511) % 60000 AS DOUBLE) AS x", "CAST((id * 2503) % 60000 AS DOUBLE) AS y")
-    assert rows(spatial_join.nearest(q, s, "k", "site"), "k", "site") == rows(spatial_join.nearest(q, s, "k", "site", most_broadcast=0, rings=5), "k", "site")
+    assert rows(spatial_join.nearest(q, s, "k", "site"), "k", "site") == rows(spatial_join.nearest(q, s, "k", "site", few=0), "k", "site")
 
 
 def test_pixels_and_parcels(spark):
@@ -157,7 +157,7 @@ def test_growth(spark):
     assert {(r["species"], r["is_train"]): r["count"] for r in parts}["s0", True] == 320
     ask = spark.createDataFrame([("S0 ", 5.0, "M", None), ("s0", 5.0, None, 2.0), ("s9", 1.0, "S", None), ("s0", -1.0, "S", None), ("s0", 1.0, None, None), ("s0", 90.0, "S", None), ("s0", 1.0, "X", None)], "species string, years double, size string, start_width_m double")
     status = [r["status"] for r in growth.predict(ask, lines).collect()]
-    assert status.count("ok") == 2 and {"unsupported species", "years must be >= 0", "give exactly one of size or start_width_m", "past the training range", "size must be S, M or L"} <= set(status)
+    assert status.count("ok") == 2 and {"unknown_species", "bad_years", "not_one_of_size_and_width", "beyond_training_ages", "unknown_size"} <= set(status)
     m = spark.createDataFrame([("1", "Mature", 4.0, 5.0, None, "A b", 1), ("1", "Mature", 6.0, 5.0, None, "A b", 2), ("2", "Young", 4.0, 5.0, None, "A b", 3), ("3", "Over mature", 9.0, None, 40.0, None, 4), ("3", "Over mature", 9.0, None, 40.0, "C d", 5)], "source_tree_id string, age_description string, canopy_width_m double, height_m double, dbh_cm double, scientific_name string, row_number int")
     assert rows(growth.mature_rows(m), "source_tree_id", "width_m") == [("1", 4.0), ("3", 9.0)]
     gain = spark.sql("SELECT 2D a, 4D b").select(growth.added_area("a", "b"), growth.added_area("b", "a")).first()
