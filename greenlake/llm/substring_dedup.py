@@ -13,11 +13,12 @@ from __future__ import annotations
 import re
 from zlib import crc32
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenlake.llm.common import map_batches, written
+from greenlake.llm.common import bitmap_of, fresh, map_batches, written
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\S+")
@@ -74,32 +75,50 @@ def spans(parts, min_sentences: int = 3, min_words: int = 24, both_ends: bool =
             start += 1
         if words >= min_words and j + 1 - start >= min_sentences and (start, j + 1) not in own:
             found.append((start, j + 1))
-    for i, end in found:
-        said = "\n".join(p[2] for p in parts[i:end])
-        yield i, end - i, xxhash.xxh3_64_intdigest(said.encode("utf-8", "replace")) - (1 << 63)
+    names = b"".join([xxhash.xxh3_64_digest(p[2].encode("utf-8", "replace")) for p in parts]) if found else b""
+    for i, end in found:  # a span's hash is that of its sentences' hashes
+        yield i, end - i, xxhash.xxh3_64_intdigest(names[8 * i : 8 * end]) - (1 << 63)
 
 
 def repeated_sentences(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_sentences: int = 3, min_words: int = 24, piece_words: int = 16,
-    both_ends: bool = False,
+    both_ends: bool = False, bits: int = 30,
 ) -> DataFrame:
     """Rows (id, text_hash, removed) of the documents that lose sentences, with their sentence numbers from 0, sorted.
 
     The first of equal spans is the one with the smallest id, then position; rows with null ids come
     last. Rows that share an id are told apart by the hash of their text; those that share both count as one
     document. Null, empty and short texts have no
-    span. Other columns are not read. A span on very many documents is counted by a partial aggregate
-    and joined back by its hash; only the numbers of one document's sentences are ever gathered.
+    span. Other columns are not read. A span on very many documents is counted by a partial aggregate. A bitmap of
+    the repeated spans, 16 bits or more for each, then tells which spans are worth a row; where it would take more than
+    ``2**bits`` bits every span gets one. Firsts and their repeats are written before they are joined by hash, so
+    the adaptive skew join can split a span on very many documents; only the numbers of one document's sentences are ever gathered.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    options = (min_sentences, min_words, both_ends)
+
+    def names():
+        def fn(texts):
+            own = [h for text in texts for _, _, h in spans(sentences(text, piece_words), *options)]
+            return [np.array(own, np.int64)]
+
+        return fn
+
+    counted = map_batches(docs.select(text_col), names, "span bigint").groupBy("span").agg(F.count("*").alias("times"))
+    repeated = written(counted.where("times > 1").select("span"), "repeated-spans")
+    size = max(16, (16 * repeated.count()).bit_length())
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(repeated, "span", size) if size <= bits else b"")
 
     def make():
+        table, mask = sent.value, (1 << size) - 1
+
         def fn(ids, hashes, texts):
             out = ([], [], [], [], [])
             for i, key, text in zip(ids, hashes, texts):
-                for at, n, h in spans(sentences(text, piece_words), min_sentences, min_words, both_ends):
-                    for column, x in zip(out, (i, key, at, n, h)):
-                        column.append(x)
+                for at, n, h in spans(sentences(text, piece_words), *options):
+                    if not table or table[(h & mask) >> 3] >> (h & 7) & 1:
+                        for column, x in zip(out, (i, key, at, n, h)):
+                            column.append(x)
             return out
 
         return fn
@@ -108,7 +127,7 @@ def repeated_sentences(
     found = written(map_batches(rows, make, f"id {kind}, text_hash bigint, at int, n int, span bigint"), "sentence-spans")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "at")
     first = found.groupBy("span").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
-    later = found.join(first, "span").where(~place.eqNullSafe(F.col("first"))).drop("first")
+    later = found.join(written(first, "first-spans"), "span").where(~place.eqNullSafe(F.col("first"))).drop("first")
     covered = later.select("id", "text_hash", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("at"))
     gone = covered.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("removed"))
     return gone.select(F.col("id").alias(id_col), "text_hash", "removed")
@@ -121,10 +140,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with ``only_changed`` they are left out. Spans run from and up to every sentence. See :func:`repeated_sentences`.
     """
     piece_words = options.get("piece_words", 16)
-    gone = repeated_sentences(docs, id_col, text_col, **{"both_ends": True} | options).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "removed")
+    ident, digest, cut = (fresh(docs.columns, c) for c in ("_id", "_hash", "_removed"))
+    gone = repeated_sentences(docs, id_col, text_col, **{"both_ends": True} | options)
+    gone = gone.select(F.col(id_col).alias(ident), F.col("text_hash").alias(digest), F.col("removed").alias(cut))
     keep = [c for c in docs.columns if c.lower() not in ("n_sentences", "n_removed")]
-    same = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_hash"))
-    rows = docs.select(*keep).join(gone, same, "inner" if only_changed else "left").select(*keep, "removed")
+    same = F.col(id_col).eqNullSafe(F.col(ident)) & (F.xxhash64(text_col) == F.col(digest))
+    rows = docs.select(*keep).join(gone, same, "inner" if only_changed else "left").select(*keep, cut)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema) + "n_sentences bigint, n_removed bigint"
     at = keep.index(text_col)
 

@@ -39,6 +39,8 @@ def test_against_brute_force(frame):
     want = brute(docs)
     got = {r["doc_id"]: r["removed"] for r in s.repeated_sentences(frame(docs, "doc_id long, text string")).collect()}
     assert got == want and len(want) > 10
+    bare = s.repeated_sentences(frame(docs, "doc_id long, text string"), bits=0)  # without a bitmap
+    assert {r["doc_id"]: r["removed"] for r in bare.collect()} == want
 
 
 def test_texts(frame):
@@ -80,3 +82,10 @@ def test_runs_end_where_the_repeat_ends(frame):
     run = " ".join([said("a", 16), said("b", 5), said("c", 4), said("d", 3)])
     rows = frame([(1, f"{run} {said('x', 9)}"), (2, f"{run} {said('y', 9)}")], "doc_id long, text string")
     assert {r["doc_id"]: r["n_removed"] for r in s.remove_repeats(rows).collect()} == {1: 0, 2: 4}
+
+
+def test_clashing_names(frame):
+    passage = "The first sentence has eight words in it. The second one also has some more words. And then a third follows with yet more words."
+    docs = frame([(1, passage, "a", "b", "c"), (2, passage, "d", "e", "f")], "doc_id long, text string, removed string, _id string, _hash string")
+    rows = {r["doc_id"]: r for r in s.remove_repeats(docs).collect()}
+    assert rows[1]["removed"] == "a" and rows[2]["_id"] == "e" and rows[2]["n_removed"] == 3
