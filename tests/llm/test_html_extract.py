@@ -77,3 +77,37 @@ def test_wrapped_articles_stay(frame):
 )
 def test_raw_tags_end_where_they_end(page, text):
     assert h.main_text(page) == text
+
+
+def test_the_tree_decides_on_the_given_pages(spark):
+    """Every block that goes, goes by its node's weighed importance; without a tree the texts are others."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    html = {r["page_id"]: r["html"] for r in pages.collect()}
+    got = {r["page_id"]: r["text"] for r in h.extract_main_text(pages).collect()}
+    assert all(got[i] != h.main_text(x, low=()) for i, x in html.items() if x)
+    # On these pages the article's blocks are what lies inside its tags.
+    for i, x in html.items():
+        inside = x[x.find("<article>") : x.find("</article>")] if x else ""
+        assert got[i] == h.main_text(inside)
+
+
+def test_strips_inside_articles_go_by_entropy(frame):
+    rows = [(i, f"http://h.com/{i}", f"<body><article><p>Own {i} a</p><div>Read our terms</div><p>{'Own more. ' * (1 + i % 7)}{i}</p></article></body>") for i in range(60)]
+    schema = "page_id long, url string, html string"
+    got = {r["page_id"]: r["text"] for r in h.extract_main_text(frame(rows, schema)).collect()}
+    assert all("terms" not in t and t.startswith(f"Own {i} a\n\nOwn more.") for i, t in got.items())
+    few = h.extract_main_text(frame(rows[:3], schema)).first()
+    assert "terms" in few["text"]
+
+
+def test_copies_of_an_article_stay(frame):
+    # Equal pages are one page to the tree, however many there are.
+    rows = [(i, f"http://h.com/{i}", f"<body><nav><a>Go {i % 3}</a></nav><article><p>The same article</p></article></body>") for i in range(80)]
+    rows += [(100 + i, f"http://h.com/x{i}", f"<body><nav><a>Go {i % 3}</a></nav><article><p>Own {i}</p></article></body>") for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in h.extract_main_text(frame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "The same article" if i < 100 else f"Own {i - 100}" for i in got} and len(got) == 100
+
+
+def test_very_long_page(frame):
+    page = "<body><article>" + "<p>word </p>" * 50_000 + "</article></body>"
+    assert h.extract_main_text(frame([(1, "http://a/", page)], "page_id long, url string, html string")).first()["n_chars"] == 50_000 * 6 - 2
