@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from greenlake.sources.scratch import scratch_path
+from greenlake.sources.scratch import written
 
-#: Rows in one Arrow batch. Texts may be long, so batches stay small.
-BATCH_ROWS = 512
+__all__ = ["bitmap_of", "connected_components", "fresh", "map_batches", "with_component_id", "written"]
 
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Bytes of one Arrow batch that a task gets at once; one text may be longer.
+BATCH_BYTES = 4 << 20
+#: Copies of each component's smallest id when rows are joined to it.
+COPIES = 32
 
 
 def fresh(columns: list[str], name: str) -> str:
@@ -34,8 +31,9 @@ def map_batches(df: DataFrame, make, schema: str | T.StructType) -> DataFrame:
 
     ``make`` runs once in each task and returns the function, so it may load tables once; it may also return
     a pair of that function and one that gives the columns that are left when the task's batches are over.
+    Sets the session's bytes of an Arrow batch, as texts may be long.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(kind)
 
@@ -104,3 +102,14 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         e = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)
     ends = e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ends.unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def with_component_id(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, root, ...) with the smallest id of their root, or their own without one, as component_id.
+
+    A component may hold a third of all rows, so each row looks for one of several copies of its root's row.
+    """
+    least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("_least"))
+    least = least.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    out = rows.withColumn("_copy", F.pmod(F.xxhash64("id"), F.lit(COPIES)).cast("int")).join(least, ["root", "_copy"], "left")
+    return out.withColumn("component_id", F.coalesce("_least", "id")).drop("_copy", "_least")

@@ -12,10 +12,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greenlake.llm.common import connected_components, map_batches, written
+from greenlake.llm.common import connected_components, map_batches, with_component_id, written
 
 WIDTH = 2.0
 BLOCK = 1024
@@ -78,8 +78,10 @@ def _forest(i: list[int], j: list[int]):
             yield p, q
 
 
-def _usable(v) -> bool:
-    return v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(x != 0 for x in v)
+def usable(v: str) -> Column:
+    """Whether a vector has parts, all of them finite and not all 0."""
+    fits = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return F.coalesce(F.forall(v, fits) & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
 def block_pairs(x: DataFrame, buckets: DataFrame, seed: int = 7) -> DataFrame:
@@ -113,14 +115,9 @@ def near_duplicates(
     """
     kind = vectors.schema[id_col].dataType.simpleString()
 
-    def usable():
-        return lambda ids, labels, vs: (ids, [g if _usable(v) else None for g, v in zip(labels, vs)], [v if _usable(v) else None for v in vs])
-
-    label_kind = vectors.schema[label_col].dataType.simpleString()
-    rows = map_batches(
-        vectors.select(id_col, label_col, F.col(vector_col).cast("array<double>")), usable, f"id {kind}, label {label_kind}, v array<double>"
-    )
-    rows = written(rows.withColumn("class", F.when(F.col("label").isNotNull(), F.xxhash64("label", "v"))), "vectors")
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = rows.withColumn("class", F.when(F.col("label").isNotNull() & usable("v"), F.xxhash64("label", "v")))
+    rows = written(rows.select("id", "label", F.when(F.col("class").isNotNull(), F.col("v")).alias("v"), "class"), "vectors")
     classes = rows.where("class is not null").groupBy("class", "label").agg(F.count("*").alias("weight"), F.first("v").alias("v"))
     classes = written(classes, "vector-classes")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
@@ -128,24 +125,25 @@ def near_duplicates(
 
     def hashed():
         def fn(names, labels, weights, vs):
-            out: list = [[] for _ in range(7)]
+            keys: list = [None] * len(vs)
             for size in sorted({len(v) for v in vs}):
                 own = [i for i, v in enumerate(vs) if len(v) == size]
-                keys = keys_of(_unit([vs[i] for i in own]), k, tables, seed)
-                for i, row in zip(own, keys.tolist()):
-                    for t in range(tables):
-                        for c, value in zip(out, (labels[i], t, row[t], names[i], weights[i], vs[i], row)):
-                            c.append(value)
-            return out
+                for i, row in zip(own, keys_of(_unit([vs[i] for i in own]), k, tables, seed).tolist()):
+                    keys[i] = row
+            return names, labels, weights, vs, keys
 
         return fn
 
-    x = map_batches(
+    label_kind = vectors.schema[label_col].dataType.simpleString()
+    keyed = map_batches(
         classes.select("class", "label", "weight", "v"), hashed,
-        f"label {label_kind}, t int, key int, class bigint, weight bigint, v array<double>, keys array<int>",
+        f"class bigint, label {label_kind}, weight bigint, v array<double>, keys array<int>",
     )
+    keyed = written(keyed, "vector-keys")
+    # Buckets are counted and paired by class alone; vectors join the block pairs that need them.
+    x = keyed.select("class", "label", F.posexplode("keys").alias("t", "key"))
     slim = written(x.groupBy("label", "t", "key").agg(F.count("*").alias("size")).where("size > 1"), "vector-buckets")
-    x = block_pairs(x, slim, seed)
+    x = block_pairs(x, slim, seed).join(keyed.select("class", "weight", "v", "keys"), "class")
 
     def compare(key, batch):
         names, own, weights = (batch[c].to_numpy() for c in ("class", "own", "weight"))
@@ -199,8 +197,7 @@ def near_duplicates(
     per = classes.select("class", "weight").join(counts, F.col("class") == F.col("a"), "left").join(component, F.col("class") == F.col("id"), "left")
     per = per.select("class", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "class").alias("root"))
     out = rows.select("id", "class").join(per, "class", "left")
-    least = out.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    out = out.join(least, "root", "left").withColumn("component_id", F.coalesce("least", "id"))
+    out = with_component_id(out)
     return out.select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),

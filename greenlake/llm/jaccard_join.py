@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from greenlake.llm.common import bitmap_of, connected_components, map_batches, written
+from greenlake.llm.common import bitmap_of, connected_components, map_batches, with_component_id, written
 
 WORDS = 5
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -100,8 +100,6 @@ def _bands(n: int):
 SKETCH_BYTES = 2048
 #: Buckets up to this size are paired by a join; larger ones are compared in blocks of BLOCK.
 SMALL, BLOCK = 32, 512
-#: Rows for each component's smallest id when documents are joined to it.
-COPIES = 32
 
 
 def slack_of(band: int) -> int:
@@ -319,8 +317,5 @@ def similar_documents(
 
     roots = rows.select("id", "n", "class").join(component.withColumnRenamed("id", "c_id"), F.col("class") == F.col("c_id"), "left")
     roots = roots.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "class").alias("root"))
-    least = roots.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
-    # A component may hold a third of all rows: each row looks for one of several copies of its root's row.
-    least = least.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
-    out = roots.withColumn("copy", F.pmod(F.xxhash64("id", "n_shingles"), F.lit(COPIES)).cast("int")).join(least, ["root", "copy"], "left")
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    out = with_component_id(roots)
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id")
