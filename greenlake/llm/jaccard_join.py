@@ -17,58 +17,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenlake.llm.common import bitmap_of, connected_components, map_batches, with_component_id, written
+from greenlake.llm.hashing import SPACE, byte_ranges, mix, pieces
 
 WORDS = 5
-_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_S29, _S32 = np.uint64(29), np.uint64(32)
-#: Byte values and an odd base of the word hash ``sum(value(byte i) * BASE**i)`` modulo 2**64, and the base's inverse.
-_VALUE = np.random.default_rng(5).integers(1, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_S32 = np.uint64(32)
 #: Odd factors of a shingle's words by place.
 _PLACE = np.random.default_rng(6).integers(1, 1 << 63, WORDS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C1B
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-#: Longer texts are hashed in pieces that end in white space.
-PIECE_BYTES = 1 << 20
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _S32)) * _M1
-    x = (x ^ (x >> _S29)) * _M2
-    return x ^ (x >> _S32)
-
-
-def _powers(n: int):
-    """At least ``n`` powers of the base and of its inverse."""
-    if len(_POWERS[0]) < n:
-        size = max(4096, 1 << (n - 1).bit_length())
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            _POWERS[i] = np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, base, np.uint64))])
-    return _POWERS
 
 
 def _word_hashes(said: bytes) -> np.ndarray:
     b = np.frombuffer(said, np.uint8)
     space = np.ones(len(b) + 2, bool)
-    space[1:-1] = _SPACE[b]
+    space[1:-1] = SPACE[b]
     ends = np.flatnonzero(space[1:] != space[:-1])
-    start, end = ends[::2], ends[1::2]
-    power, inverse = _powers(len(b) + 1)
-    total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_VALUE[b] * power[: len(b)], out=total[1:])
-    return _mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * _M1)
+    return byte_ranges(b, ends[::2], ends[1::2])
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's five-word shingles (A-Z lower-cased, ASCII white space)."""
     said = text.encode("utf-8", "replace").lower() if text else b""
-    parts, at = [], 0
-    while at < len(said):
-        end = at + PIECE_BYTES
-        while end < len(said) and not _SPACE[said[end]]:
-            end += 1
-        parts.append(_word_hashes(said[at:end]))
-        at = end
+    parts = [_word_hashes(piece) for _, piece in pieces(said)]
     x = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
     if not len(x):
         return x
@@ -76,7 +44,7 @@ def shingles(text: str | None) -> np.ndarray:
     h = np.full(len(x) - size + 1, size, np.uint64)
     for k in range(size):
         h += x[k : len(x) - size + 1 + k] * _PLACE[k]
-    h = np.sort(_mix(h))
+    h = np.sort(mix(h))
     return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
@@ -116,7 +84,7 @@ def segments(sh: np.ndarray, with_sketch: bool = True):
         count = -(-8 * top // 25) + 2
         slack = slack_of(band)
         seg = ((sh >> _S32) * np.uint64(count)) >> _S32
-        bit = _mix(sh ^ np.uint64(band))
+        bit = mix(sh ^ np.uint64(band))
         order = np.argsort(seg, kind="stable")
         seg, bit = seg[order], bit[order]
         starts = np.nonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))[0]
@@ -125,14 +93,14 @@ def segments(sh: np.ndarray, with_sketch: bool = True):
         seg, value = seg[full], value[full]
         sketch = np.zeros(min(3 * top, SKETCH_BYTES) * with_sketch, np.uint8)
         if with_sketch:
-            np.bitwise_xor.at(sketch, (_mix(sh + np.uint64(band)) >> np.uint64(8)) % np.uint64(len(sketch)), sh.astype(np.uint8))
+            np.bitwise_xor.at(sketch, (mix(sh + np.uint64(band)) >> np.uint64(8)) % np.uint64(len(sketch)), sh.astype(np.uint8))
         want = d + slack
         if len(seg) < want:  # small sets also hand on their empty segments
             bare = np.setdiff1d(np.arange(count, dtype=np.uint64), seg)
             seg, value = np.concatenate([seg, bare]), np.concatenate([value, np.zeros(len(bare), np.uint64)])
         else:
             seg, value = seg[:want], value[:want]
-        yield band, slack, _mix(value ^ _mix(seg * np.uint64(64) + np.uint64(band))).view(np.int64), sketch.tobytes()
+        yield band, slack, mix(value ^ mix(seg * np.uint64(64) + np.uint64(band))).view(np.int64), sketch.tobytes()
 
 
 def _segment_rows(docs: DataFrame, text_col: str) -> DataFrame:

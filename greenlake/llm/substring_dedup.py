@@ -10,74 +10,105 @@ corpus; in order of document id and position, sentences that any span but the fi
 
 from __future__ import annotations
 
-import re
-from zlib import crc32
+from typing import NamedTuple
 
 import numpy as np
-import xxhash
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenlake.llm.common import bitmap_of, fresh, map_batches, written
-
-_SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
-_WORD = re.compile(r"\S+")
-
-
-def _cuts(words: list[str], window: int) -> list[int]:
-    """Positions after the last word of smallest hash in each window of words, in order."""
-    keys = [(crc32(w.encode("utf-8", "replace")) << 32) - i for i, w in enumerate(words)]
-    return sorted({1 + -min(keys[i : i + window]) % (1 << 32) for i in range(len(words) - window + 1)})
+from greenlake.llm.hashing import SPACE, byte_ranges, mix, pieces, ranges, running
+
+_STOP = np.isin(np.arange(256), [ord(c) for c in ".!?"])
+
+
+class Parts(NamedTuple):
+    """A text's parts: its bytes, where each part begins and ends in them, the first word of each and the number of words, words' hashes."""
+
+    said: bytes
+    begin: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    words: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+
+def _words(low: bytes):
+    """(start, end, hash, whether a sentence begins) of all words, and the places after which sentences end."""
+    out, stops = [], []
+    for at, piece in pieces(low):
+        b = np.frombuffer(piece, np.uint8)
+        stop, word = _STOP[b], ~SPACE[b]
+        over = np.zeros(len(b) + 1, bool)  # a sentence ends before this place
+        over[1:] = b == 10
+        over[1:] |= stop & ~np.append(stop[1:], False)
+        start = word.copy()
+        start[1:] &= SPACE[b[:-1]] | over[1:-1]
+        end = word.copy()
+        end[:-1] &= SPACE[b[1:]] | over[1:-1]
+        s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
+        out.append((s + at, e + at, byte_ranges(b, s, e)))
+        stops.append(np.flatnonzero(over) + at)
+    if not out:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    return tuple(np.concatenate(x) for x in zip(*out)) + (np.concatenate(stops),)
+
+
+def parts_of(text: str | None, piece_words: int = 16) -> Parts:
+    """Sentences of a text that hold a word, long ones cut into pieces.
+
+    Words are told apart by ASCII white space and compared in lower case.
+    """
+    said = (text or "").encode("utf-8", "replace")
+    low = (text or "").lower().encode("utf-8", "replace")
+    s, e, h, stops = _words(low if len(low) == len(said) else said.lower())
+    bounds = np.concatenate([[0], stops, [len(said)]])
+    sentence = np.searchsorted(stops, s, "right")
+    new = np.ones(len(s) + 1, bool)
+    new[1:-1] = sentence[1:] != sentence[:-1]
+    heads, window = new.copy(), piece_words // 2 + 1
+    long = np.repeat(np.diff(np.flatnonzero(heads)) > piece_words, np.diff(np.flatnonzero(heads)))
+    if long.any():
+        # Long sentences are cut after the last word of smallest hash in each window.
+        back = sliding_window_view(h[::-1], window).argmin(1)
+        cut = len(s) - (np.arange(len(back)) + back)
+        head = len(s) - window - np.arange(len(back))
+        cut = cut[long[head] & (sentence[head] == sentence[head + window - 1])]
+        new[cut] = True
+    first = np.flatnonzero(new)
+    begin, end = s[first[:-1]], e[first[1:] - 1]
+    lead, tail = heads[first[:-1]], heads[first[1:]]
+    begin[lead] = bounds[np.searchsorted(bounds, begin[lead], "right") - 1]
+    end[tail] = bounds[np.searchsorted(bounds, end[tail], "left")]
+    return Parts(said, begin, end, first, h, s, e)
 
 
 def sentences(text: str | None, piece_words: int = 16) -> list[tuple[int, int, str, int]]:
-    """(start, end, normal form, words) of a text's sentences, without those that hold no word."""
+    """(begin, end, normal form, words) of a text's parts; places count bytes."""
+    p = parts_of(text, piece_words)
     out = []
-    for m in _SENTENCE.finditer(text or ""):
-        body = m[0]
-        if not body or body.isspace():
-            continue
-        if body.count(" ") < piece_words:
-            said = body.lower().split()
-            if len(said) <= piece_words:
-                out.append((m.start(), m.end(), " ".join(said), len(said)))
-                continue
-        found = list(_WORD.finditer(body))
-        ends = [*_cuts([w[0].lower() for w in found], piece_words // 2 + 1), len(found)]
-        for i, j in zip([0, *ends], ends):
-            if i == j:
-                continue
-            part = found[i:j]
-            end = m.end() if j == len(found) else m.start() + part[-1].end()
-            out.append((m.start() + part[0].start(), end, " ".join(w[0].lower() for w in part), len(part)))
+    for k in range(len(p.begin)):
+        words = [p.said[p.starts[i] : p.ends[i]].decode().lower() for i in range(p.first[k], p.first[k + 1])]
+        out.append((int(p.begin[k]), int(p.end[k]), " ".join(words), len(words)))
     return out
 
 
-def spans(parts, min_sentences: int = 3, min_words: int = 24, both_ends: bool = False):
-    """(first sentence, sentences, hash) of the shortest spans from each sentence (and up to each), where the text is long enough."""
-    n, start, end, words = len(parts), 0, 0, 0
-    found = []
-    for i in range(n):  # from each sentence
-        if end < i:
-            end, words = i, 0
-        while end < n and (words < min_words or end - i < min_sentences):
-            words += parts[end][3]
-            end += 1
-        if words < min_words or end - i < min_sentences:
-            break
-        found.append((i, end))
-        words -= parts[i][3]
-    own, words = set(found), 0
-    for j in range(n if both_ends else 0):  # up to each sentence
-        words += parts[j][3]
-        while words - parts[start][3] >= min_words and j - start >= min_sentences:
-            words -= parts[start][3]
-            start += 1
-        if words >= min_words and j + 1 - start >= min_sentences and (start, j + 1) not in own:
-            found.append((start, j + 1))
-    names = b"".join([xxhash.xxh3_64_digest(p[2].encode("utf-8", "replace")) for p in parts]) if found else b""
-    for i, end in found:  # a span's hash is that of its sentences' hashes
-        yield i, end - i, xxhash.xxh3_64_intdigest(names[8 * i : 8 * end]) - (1 << 63)
+def spans(p: Parts, min_sentences: int = 3, min_words: int = 24, both_ends: bool = False):
+    """(first part, parts, hash) as arrays of the shortest spans from each part, and with ``both_ends`` up to each, where the text is long enough."""
+    first, n = p.first, len(p.begin)
+    start = np.arange(n)
+    end = np.maximum(start + min_sentences, np.searchsorted(first, first[:-1] + min_words, "left"))
+    start, end = start[end <= n], end[end <= n]
+    if both_ends:
+        last = np.arange(1, n + 1)
+        from_ = np.minimum(last - min_sentences, np.searchsorted(first, first[1:] - min_words, "right") - 1)
+        last, from_ = last[from_ >= 0], from_[from_ >= 0]
+        pair = np.unique(np.concatenate([start, from_]) * (n + 1) + np.concatenate([end, last]))
+        start, end = pair // (n + 1), pair % (n + 1)
+    names = ranges(running(mix(p.words)), first[:-1], first[1:])  # a span's hash is that of its parts' hashes
+    return start, end - start, ranges(running(names), start, end).view(np.int64)
 
 
 def repeated_sentences(
@@ -98,11 +129,7 @@ def repeated_sentences(
     options = (min_sentences, min_words, both_ends)
 
     def names():
-        def fn(texts):
-            own = [h for text in texts for _, _, h in spans(sentences(text, piece_words), *options)]
-            return [np.array(own, np.int64)]
-
-        return fn
+        return lambda texts: [np.concatenate([np.zeros(0, np.int64), *(spans(parts_of(t, piece_words), *options)[2] for t in texts)])]
 
     counted = map_batches(docs.select(text_col), names, "span bigint").groupBy("span").agg(F.count("*").alias("times"))
     repeated = written(counted.where("times > 1").select("span"), "repeated-spans")
@@ -110,16 +137,20 @@ def repeated_sentences(
     sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(repeated, "span", size) if size <= bits else b"")
 
     def make():
-        table, mask = sent.value, (1 << size) - 1
+        table = np.frombuffer(sent.value, np.uint8)
 
         def fn(ids, hashes, texts):
             out = ([], [], [], [], [])
             for i, key, text in zip(ids, hashes, texts):
-                for at, n, h in spans(sentences(text, piece_words), *options):
-                    if not table or table[(h & mask) >> 3] >> (h & 7) & 1:
-                        for column, x in zip(out, (i, key, at, n, h)):
-                            column.append(x)
-            return out
+                at, n, h = spans(parts_of(text, piece_words), *options)
+                if len(table):
+                    place = h & ((1 << size) - 1)
+                    some = (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                    at, n, h = at[some], n[some], h[some]
+                for column, x in zip(out, ([i] * len(at), [key] * len(at), at, n, h)):
+                    column.append(x)
+            ids, hashes = ([v for part in column for v in part] for column in out[:2])
+            return ids, hashes, *(np.concatenate([np.zeros(0, np.int64), *column]) for column in out[2:])
 
         return fn
 
@@ -154,14 +185,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             *cols, removed = cols
             texts, total, lost = [], [], []
             for text, numbers in zip(cols[at], removed):
-                parts = sentences(text, piece_words)
+                p = parts_of(text, piece_words)
                 out, last = [], 0
-                cut = [k for k in numbers or () if k < len(parts)]
+                cut = [k for k in numbers or () if k < len(p.begin)]
                 for k in cut:
-                    out.append(text[last : parts[k][0]])
-                    last = parts[k][1]
-                texts.append("".join([*out, text[last:]]) if cut else text)
-                total.append(len(parts))
+                    out.append(p.said[last : p.begin[k]])
+                    last = p.end[k]
+                texts.append(b"".join([*out, p.said[last:]]).decode() if cut else text)
+                total.append(len(p.begin))
                 lost.append(len(cut))
             cols[at] = texts
             return [*cols, total, lost]
