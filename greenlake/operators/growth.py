@@ -194,3 +194,24 @@ def added_area(current, mature) -> Column:
     """Crown area that a tree still gains, never below 0."""
     area = lambda w: F.pi() * (w / 2) ** 2
     return F.greatest(F.lit(0.0), area(F.col(mature)) - area(F.col(current)))
+
+
+def fill_from_profile(requests: DataFrame, trees: DataFrame, values: list[str]) -> DataFrame:
+    """Requests by species with each missing value filled by the median of that species' trees, and which were filled."""
+    key = F.lower(F.trim("species"))
+    medians = trees.groupBy(key.alias("_key")).agg(*(F.percentile(v, F.lit(0.5)).alias(f"_{v}") for v in values))
+    x = requests.withColumn("_key", key).join(medians, "_key", "left")
+    filled = F.array_compact(F.array(*(F.when(F.col(v).isNull() & F.col(f"_{v}").isNotNull(), F.lit(v)) for v in values)))
+    x = x.withColumn("filled", F.array_join(filled, ","))
+    return x.withColumns({v: F.coalesce(v, f"_{v}") for v in values}).drop("_key", *(f"_{v}" for v in values))
+
+
+def name_suggestions(requests: DataFrame, names: DataFrame, limit: int = 5, least: float = 0.6) -> DataFrame:
+    """Known names like each request: equal first, then by edit distance among names of the same first letter."""
+    r = requests.select("request_id", F.lower(F.trim("request")).alias("_r"))
+    n = names.select(F.lower(F.trim("name")).alias("name")).distinct()
+    x = r.join(n, F.substring("_r", 1, 1) == F.substring("name", 1, 1))
+    like = 1 - F.levenshtein("_r", "name") / F.greatest(F.length("_r"), F.length("name"))
+    x = x.withColumn("similarity", like).where(F.col("similarity") >= least)
+    w = Window.partitionBy("request_id").orderBy(F.desc("similarity"), "name")
+    return x.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit).select("request_id", "name", "similarity", "rank")

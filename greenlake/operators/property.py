@@ -158,6 +158,13 @@ def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius
     return top_k(out, ["centre_id", "layer"], limit, "distance_m", "id")
 
 
+def context_by_address(requests: DataFrame, addresses: DataFrame, layers: dict[str, DataFrame], radius: float, limit: int) -> tuple[DataFrame, DataFrame]:
+    """What is around the address that each request resolves to, and the state of each request."""
+    found = resolve(requests, addresses)
+    centres = found.where("status = 'resolved'").select(F.col("request_id").alias("centre_id"), F.col("x").alias("cx"), F.col("y").alias("cy"))
+    return environment_context(centres, layers, radius, limit), found
+
+
 def geocoder_text(label) -> Column:
     """A geocoder's label as an address text: without country, state and commas, upper case."""
     x = F.regexp_replace(F.col(label) if isinstance(label, str) else label, r"(?i),\s*Australia$", "")

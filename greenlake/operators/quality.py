@@ -126,7 +126,7 @@ def baseline_checks(df: DataFrame, key: Sequence[str], required: Sequence[str],
     rates = df.agg(
         n.alias("records"), (F.count_if(~F.exists(F.array(*(F.col(c).isNull() for c in required)), lambda x: x)) / n * 100).alias("required_rate"),
         (F.count_if(F.coalesce(F.col(value).between(low, high), F.lit(False))) / n * 100).alias("range_rate"),
-        (F.count_distinct(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]) / n * 100).alias("unique_rate"),
+        (F.count_distinct(F.struct(*key)) / n * 100).alias("unique_rate"),
     )
     return rates.select("records", *(F.round(c, 2).alias(c) for c in ("required_rate", "range_rate", "unique_rate")), F.round(F.least("required_rate", "range_rate", "unique_rate"), 2).alias("overall_rate"))
 

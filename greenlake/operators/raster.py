@@ -146,3 +146,14 @@ def green_rate(pixels: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 
 def top_colours(pixels: DataFrame, k: int = 10) -> DataFrame:
     return pixels.groupBy("r", "g", "b").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "r", "g", "b").limit(k)
+
+
+def tiles_for(tiles: DataFrame, area: DataFrame) -> DataFrame:
+    """Catalogue tiles (tile_id, box, updated_on) that the area's boxes touch, each id once by its newest entry, largest overlap first."""
+    t = tiles.groupBy("tile_id").agg(F.max_by(F.struct("xmin", "ymin", "xmax", "ymax", "updated_on"), "updated_on").alias("t")).select("tile_id", "t.*")
+    a = area.agg(F.min("xmin").alias("ax0"), F.min("ymin").alias("ay0"), F.max("xmax").alias("ax1"), F.max("ymax").alias("ay1"))
+    x = t.join(F.broadcast(a), F.lit(True))  # one row
+    wide = F.least("xmax", "ax1") - F.greatest("xmin", "ax0")
+    tall = F.least("ymax", "ay1") - F.greatest("ymin", "ay0")
+    x = x.withColumns({"_w": wide, "_h": tall}).where("_w > 0 and _h > 0")
+    return x.select("tile_id", "xmin", "ymin", "xmax", "ymax", "updated_on", (F.col("_w") * F.col("_h")).alias("overlap_m2"))

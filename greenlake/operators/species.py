@@ -137,6 +137,29 @@ def planting_catalogue(popular: DataFrame, costs: DataFrame) -> DataFrame:
     return listed.unionByName(other, allowMissingColumns=True)
 
 
+def sized_prices(costs: DataFrame) -> DataFrame:
+    """Prices that name a size, by species and size: (species_key, size, supply_min, supply_max, n)."""
+    c = costs.where(F.col("option_code").eqNullSafe(TREE_OPTIONS[0]) & F.col("size_price_status").isin(*SIZED) & _text("botanical_name").isNotNull())
+    return c.groupBy(F.lower(_text("botanical_name")).alias("species_key"), F.col("size_label").alias("size")).agg(
+        F.min("minimum_cost").alias("supply_min"), F.max("maximum_cost").alias("supply_max"), F.count("*").alias("n")
+    )
+
+
+def supply_projection(requests: DataFrame, prices: DataFrame) -> DataFrame:
+    """What a number of trees of a species and size costs to buy, or why that is not known."""
+    x = requests.withColumn("species_key", F.lower(_text("species"))).join(prices.drop("n"), ["species_key", "size"], "left")
+    good = F.coalesce(F.col("quantity") > 0, F.lit(False))
+    status = F.when(~good, "bad_quantity").when(F.col("supply_min").isNull(), "no_price_of_this_size").otherwise("priced")
+    total = lambda c: F.when(status == "priced", F.round(F.col(c) * F.col("quantity"), 2))
+    return x.withColumns({"status": status, "total_min": total("supply_min"), "total_max": total("supply_max")}).drop("species_key")
+
+
+def ordered_json(rows: DataFrame, by: list[str], order: list[str], fields: list[str], name: str = "items") -> DataFrame:
+    """One JSON array of objects for each key, in the given order."""
+    item = F.struct(*(F.col(c).alias(f"_{i}") for i, c in enumerate(order)), F.struct(*fields).alias("v"))
+    return rows.groupBy(*by).agg(F.to_json(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"])).alias(name))
+
+
 def top_species(trees: DataFrame, k: int = 10) -> DataFrame:
     """The most recorded species with their most frequent common name, or the preferred one."""
     t = trees.where(_text("scientific_name").isNotNull()).withColumn("species_key", F.lower("scientific_name"))

@@ -81,7 +81,7 @@ def fill_missing(old: DataFrame, new: DataFrame, keys: Sequence[str], row_order:
     values = [c for c in old.columns if c not in keys]
     first = new.groupBy(*keys).agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), F.col(row_order))).alias(c) for c in values if c in new.columns))
     a, b = old.alias("a"), first.alias("b")
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     pick = lambda c: F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")) if c in first.columns else F.col(f"a.{c}")
     return a.join(b, on, "full").select(*(pick(c).alias(c) for c in old.columns))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Names that hourly cubes give to each variable.
 CUBE_NAMES = {
@@ -41,9 +40,14 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, row_numb
         df = df.withColumnRenamed(df.columns[0], df.columns[0].lstrip("﻿"))
     if row_number is None:
         return df
-    # Numbering needs each partition's size only: the usual two passes, without moving rows.
-    kind = T.StructType([*df.schema.fields, T.StructField(row_number, T.LongType())])
-    return df.rdd.zipWithIndex().map(lambda r: (*r[0], r[1] + 2)).toDF(kind)
+    # Numbering needs each partition's size only; one count for each goes through the driver.
+    at = df.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    before, starts = 0, []
+    for part, n in sorted((r["_part"], r["count"]) for r in at.groupBy("_part").count().collect()):
+        starts.append((part, before))
+        before += n
+    starts = spark.createDataFrame(starts, "_part int, _before bigint")
+    return at.join(F.broadcast(starts), "_part").withColumn(row_number, F.col("_before") + F.col("_at") + 2).select(*df.columns, row_number)
 
 
 def select_traits(df: DataFrame, names: list[str], maximum: int | None = None) -> DataFrame:
@@ -92,5 +96,25 @@ def write_vector(df: DataFrame, path: str) -> None:
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of each file and, in every row, of all of them in name order."""
     x = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"))
+    # One name and digest for each file, not its content, comes together.
     parts = F.transform(F.array_sort(F.collect_list(F.struct("name", "sha256"))), lambda r: F.concat(r["name"], F.lit("\0"), r["sha256"], F.lit("\n")))
     return x.join(F.broadcast(x.agg(F.sha2(F.array_join(parts, ""), 256).alias("combined_sha256"))), F.lit(True))
+
+
+# Keys that a registered source must have, and what its licence may be.
+SOURCE_KEYS = ("key", "name", "publisher", "url", "category", "coverage", "licence", "licence_status")
+LICENCE_STATUSES = ("open_confirmed", "public_domain", "review_required", "restricted")
+
+
+def source_problems(registry: DataFrame) -> DataFrame:
+    """What is wrong with a source registry (a row for each data set, a null where a key is absent): key, problem.
+
+    An empty registry has the one problem ``no_datasets`` under a null key.
+    """
+    absent = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in SOURCE_KEYS)))
+    x = registry.withColumn("_absent", absent)
+    missing = x.where(F.size("_absent") > 0).select("key", F.concat(F.lit("missing:"), F.array_join("_absent", ",")).alias("problem"))
+    twice = registry.where("key is not null").groupBy("key").count().where("count > 1").select("key", F.lit("duplicate_key").alias("problem"))
+    odd = registry.where(~F.col("licence_status").isin(*LICENCE_STATUSES)).select("key", F.lit("unsupported_licence_status").alias("problem"))
+    none = registry.agg(F.count("*").alias("n")).where("n = 0").select(F.lit(None).cast(registry.schema["key"].dataType).alias("key"), F.lit("no_datasets").alias("problem"))
+    return missing.unionByName(twice).unionByName(odd).unionByName(none)
