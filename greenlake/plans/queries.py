@@ -919,16 +919,16 @@ def stream_gated(spark, x, out):
     return spark.read.parquet(f"{out}/facts").groupBy("station_code").agg(F.count("*").alias("n"))
 
 
-def _all() -> dict[str, Query]:
+def registered() -> dict[str, Query]:
     from greenlake.plans import more_queries  # noqa: F401  registers its own
 
     return QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: q.run for name, q in _all().items()}
+    return {name: q.run for name, q in registered().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: q.sql for name, q in _all().items() if q.sql}
+    return {name: q.sql for name, q in registered().items() if q.sql}
 

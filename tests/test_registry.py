@@ -22,9 +22,9 @@ def shown(rows):
     return sorted(tuple("" if v is None else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(core.QUERIES))
+@pytest.mark.parametrize("name", sorted(core.registered()))
 def test_query(spark, tables, name):
-    q = core.QUERIES[name]
+    q = core.registered()[name]
     df = q.run(spark, D)
     columns = sorted(df.columns)
     got = df.select(*columns).collect()
