@@ -167,6 +167,32 @@ def request_tiles(t):
     return x.groupBy("xmin", "ymin").agg(F.count("*").alias("n"))
 
 
+@query("source_tree_id:s, display_name:s, scientific_name:s, height_m:d, dbh_max_cm:d, canopy_width_m:d, address:s, year_planted:l, n:l", """
+    WITH r AS (SELECT l_orderkey k, l_orderkey % 6 c, l_partkey, p_name, p_brand, l_quantity q, 1 + l_orderkey % 9 w FROM lineitem JOIN part ON p_partkey = l_partkey),
+    u AS (SELECT 'brimbank:' || substr(sha256(CAST(l_partkey AS VARCHAR) || '.0|1.0|' || p_brand || '|' || p_name), 1, 32) source_tree_id, p_name display_name, p_name scientific_name, NULL::DOUBLE height_m, w + 9.0 dbh_max_cm, NULL::DOUBLE canopy_width_m, p_brand address, NULL::INT year_planted FROM r WHERE c = 0
+          UNION ALL SELECT 'casey:' || k, p_brand, p_name, q, NULL, w + 1.0, '1 A St Kew', NULL FROM r WHERE c = 1 UNION ALL SELECT 'wyndham:' || k, p_name, NULL, q, NULL, w, NULL, NULL FROM r WHERE c = 2
+          UNION ALL SELECT 'port_phillip:' || k, p_brand, p_name, q, NULL, w, NULL, 2000 + w FROM r WHERE c = 3
+          UNION ALL SELECT 'manningham:' || substr(sha256(CAST(l_partkey AS VARCHAR) || '.0|1.0|' || p_name || '|7 High'), 1, 32), p_name, p_name, NULL, round(w * 10 * 0.1::DOUBLE, 4), NULL, '7 High', NULL FROM r WHERE c = 4
+          UNION ALL SELECT 'glen_eira:' || k, p_brand, p_name, q, NULL, w, NULL, NULL FROM r WHERE c = 5)
+    SELECT *, count(*) n FROM u GROUP BY ALL""")
+def six_councils(t):
+    r = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+        "l_orderkey % 6 AS c", "CAST(l_partkey AS DOUBLE) AS longitude", "1D AS latitude", "CAST(l_orderkey AS STRING) AS k", "p_name", "p_brand", "CAST(l_quantity AS STRING) AS q", "1 + l_orderkey % 9 AS w",
+        "split_part(p_name, ' ', 1) AS g", "split_part(p_name, ' ', 2) AS e",
+    )
+    maps = {
+        "brimbank": "map('Genus', g, 'Species', concat(' ', e), 'Location', p_brand, 'Status', 'Existing', 'dbh', concat(w, '-', w + 9))",
+        "casey": "map('assetnumber', k, 'commonname', p_brand, 'botanicname', concat(p_name, '  '), 'treeheight_m', q, 'canopyewwidth_m', CAST(w AS STRING), 'canopynswidth_m', CAST(w + 2 AS STRING), 'address', '1  A St', 'suburb', 'Kew', 'postcode', 'n/a')",
+        "wyndham": "map('tree_id', k, 'tree_common', p_name, 'height', q, 'canopy_width', CAST(w AS STRING))",
+        "port_phillip": "map('ref', k, 'common', p_brand, 'species', p_name, 'height', q, 'crown', CAST(w AS STRING), 'planted', concat(2000 + w, '-05-06T00:00'))",
+        "manningham": "map('species', p_name, 'house', '7', 'street', 'High', 'suburb', 'unknown', 'dbh', CAST(w * 10 AS STRING))",
+        "glen_eira": "map('feature_id', k, 'Common_Name', p_brand, 'Botanical', p_name, 'Height', q, 'Spread', CAST(w AS STRING))",
+    }
+    feeds = {name: r.where(F.col("c") == i).selectExpr(f"{m} AS properties", "longitude", "latitude") for i, (name, m) in enumerate(maps.items())}
+    keys = ["source_tree_id", "display_name", "scientific_name", "height_m", "dbh_max_cm", "canopy_width_m", "address", "year_planted"]
+    return inventories.normalise_councils(feeds).groupBy(*keys).agg(F.count("*").alias("n"))
+
+
 @query("role:s, source_type:s, is_proxy:b, n:l", """
     SELECT r AS role, CASE WHEN r = 'canopy_api_tile_mosaic' THEN 'api_tile_proxy' ELSE 'analytical_geotiff' END source_type, r = 'canopy_api_tile_mosaic' is_proxy, count(*) n
     FROM (SELECT CASE p_size % 3 WHEN 0 THEN 'canopy_api_tile_mosaic' WHEN 1 THEN 'canopy_source_raster' ELSE 'canopy_analytical_geotiff' END r FROM part) GROUP BY ALL""")
