@@ -2,133 +2,137 @@
 
 from __future__ import annotations
 
-
-def _required(code, fields):
-    return {"code": code, "type": "required", "fields": fields.split()}
-
-
-def _unique(code, fields):
-    return {"code": code, "type": "unique", "fields": fields.split()}
-
-
-def _range(code, field, minimum=None, maximum=None, above=False, blank=False):
-    return {"code": code, "type": "range", "field": field, "minimum": minimum, "maximum": maximum, "inclusive_minimum": not above, "allow_blank": blank}
-
-
-def _allowed(code, field, values):
-    return {"code": code, "type": "allowed", "field": field, "values": values}
-
-
-def _order(code, lower, upper):
-    return {"code": code, "type": "field_order", "lower_field": lower, "upper_field": upper}
-
-
-def _positive(codes, blank=True):
-    return [_range(c, f, 0, above=True, blank=blank) for c, f in codes]
-
-
 # Rule codes, fields and limits by data set.
 RULES: dict[str, list[dict]] = {
     "analysis_area": [
-        _required("ANALYSIS_AREA_REQUIRED", "source_area_code area_name source_year geometry_wkt"),
-        _unique("ANALYSIS_AREA_CODE_UNIQUE", "source_area_code source_year"),
-        _range("ANALYSIS_AREA_SIZE_POSITIVE", "area_m2", 0, above=True),
+        {"code": "ANALYSIS_AREA_REQUIRED", "type": "required", "fields": ["source_area_code", "area_name", "source_year", "geometry_wkt"]},
+        {"code": "ANALYSIS_AREA_CODE_UNIQUE", "type": "unique", "fields": ["source_area_code", "source_year"]},
+        {"code": "ANALYSIS_AREA_SIZE_POSITIVE", "type": "range", "field": "area_m2", "minimum": 0, "inclusive_minimum": False},
     ],
     "local_government_area": [
-        _required("LGA_REQUIRED", "source_feature_id lga_code lga_name lga_official_name geometry_wkt"),
-        _unique("LGA_CODE_UNIQUE", "lga_code"),
+        {"code": "LGA_REQUIRED", "type": "required", "fields": ["source_feature_id", "lga_code", "lga_name", "lga_official_name", "geometry_wkt"]},
+        {"code": "LGA_CODE_UNIQUE", "type": "unique", "fields": ["lga_code"]},
     ],
     "council_species_guidance": [
-        _required("COUNCIL_GUIDANCE_REQUIRED", "source_name publisher lga_code mature_size_class guidance_status effective_from source_url licence limitation"),
-        _unique("COUNCIL_GUIDANCE_ROW_UNIQUE", "source_row_number"),
-        _allowed("COUNCIL_GUIDANCE_STATUS_ALLOWED", "guidance_status", ["approved", "recommended", "conditional", "approval_required", "not_recommended"]),
-        _allowed("COUNCIL_GUIDANCE_SIZE_ALLOWED", "mature_size_class", ["small", "medium", "large"]),
-        *_positive([
-            ("COUNCIL_GUIDANCE_HEIGHT_MIN_POSITIVE", "mature_height_min_m"), ("COUNCIL_GUIDANCE_HEIGHT_MAX_POSITIVE", "mature_height_max_m"),
-            ("COUNCIL_GUIDANCE_CANOPY_MIN_POSITIVE", "mature_canopy_width_min_m"), ("COUNCIL_GUIDANCE_CANOPY_MAX_POSITIVE", "mature_canopy_width_max_m"),
-            ("COUNCIL_GUIDANCE_PLANTING_AREA_POSITIVE", "minimum_planting_area_m2"),
-        ]),
-    ],
-    "address": [_required("ADDRESS_REQUIRED", "source_address_id full_address geometry_wkt"), _unique("ADDRESS_UNIQUE", "source_address_id")],
+        {"code": "COUNCIL_GUIDANCE_REQUIRED", "type": "required", "fields": ["source_name", "publisher", "lga_code", "mature_size_class", "guidance_status", "effective_from", "source_url", "licence", "limitation"]},
+        {"code": "COUNCIL_GUIDANCE_ROW_UNIQUE", "type": "unique", "fields": ["source_row_number"]},
+        {"code": "COUNCIL_GUIDANCE_STATUS_ALLOWED", "type": "allowed", "field": "guidance_status", "values": ["approved", "recommended", "conditional", "approval_required", "not_recommended"]},
+        {"code": "COUNCIL_GUIDANCE_SIZE_ALLOWED", "type": "allowed", "field": "mature_size_class", "values": ["small", "medium", "large"]},
+        {"code": "COUNCIL_GUIDANCE_HEIGHT_MIN_POSITIVE", "type": "range", "field": "mature_height_min_m", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
+        {"code": "COUNCIL_GUIDANCE_HEIGHT_MAX_POSITIVE", "type": "range", "field": "mature_height_max_m", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
+        {"code": "COUNCIL_GUIDANCE_CANOPY_MIN_POSITIVE", "type": "range", "field": "mature_canopy_width_min_m", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
+        {"code": "COUNCIL_GUIDANCE_CANOPY_MAX_POSITIVE", "type": "range", "field": "mature_canopy_width_max_m", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
+        {"code": "COUNCIL_GUIDANCE_PLANTING_AREA_POSITIVE", "type": "range", "field": "minimum_planting_area_m2", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
+    ],
+    "address": [
+        {"code": "ADDRESS_REQUIRED", "type": "required", "fields": ["source_address_id", "full_address", "geometry_wkt"]},
+        {"code": "ADDRESS_UNIQUE", "type": "unique", "fields": ["source_address_id"]},
+    ],
     "parcel": [
-        _required("PARCEL_REQUIRED", "source_parcel_id geometry_wkt"), _unique("PARCEL_UNIQUE", "source_parcel_id"),
-        *_positive([("PARCEL_AREA_POSITIVE", "parcel_area_m2")]),
+        {"code": "PARCEL_REQUIRED", "type": "required", "fields": ["source_parcel_id", "geometry_wkt"]},
+        {"code": "PARCEL_UNIQUE", "type": "unique", "fields": ["source_parcel_id"]},
+        {"code": "PARCEL_AREA_POSITIVE", "type": "range", "field": "parcel_area_m2", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
     ],
     "urban_tree": [
-        _required("URBAN_TREE_REQUIRED", "source_tree_id geometry_wkt"), _unique("URBAN_TREE_UNIQUE", "source_tree_id"),
-        *_positive([("URBAN_TREE_CANOPY_RADIUS_POSITIVE", "canopy_radius_m"), ("URBAN_TREE_HEIGHT_POSITIVE", "height_m")]),
+        {"code": "URBAN_TREE_REQUIRED", "type": "required", "fields": ["source_tree_id", "geometry_wkt"]},
+        {"code": "URBAN_TREE_UNIQUE", "type": "unique", "fields": ["source_tree_id"]},
+        {"code": "URBAN_TREE_CANOPY_RADIUS_POSITIVE", "type": "range", "field": "canopy_radius_m", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
+        {"code": "URBAN_TREE_HEIGHT_POSITIVE", "type": "range", "field": "height_m", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
     ],
     "named_tree_inventory": [
-        _required("NAMED_TREE_REQUIRED", "source_tree_id display_name geometry_wkt"), _unique("NAMED_TREE_UNIQUE", "source_tree_id"),
-        _range("NAMED_TREE_LATITUDE_RANGE", "latitude", -39.5, -37.0), _range("NAMED_TREE_LONGITUDE_RANGE", "longitude", 144.0, 146.0),
-        *_positive([("NAMED_TREE_DBH_POSITIVE", "diameter_breast_height_cm"), ("NAMED_TREE_HEIGHT_POSITIVE", "height_m"), ("NAMED_TREE_CANOPY_WIDTH_POSITIVE", "canopy_width_m")]),
+        {"code": "NAMED_TREE_REQUIRED", "type": "required", "fields": ["source_tree_id", "display_name", "geometry_wkt"]},
+        {"code": "NAMED_TREE_UNIQUE", "type": "unique", "fields": ["source_tree_id"]},
+        {"code": "NAMED_TREE_LATITUDE_RANGE", "type": "range", "field": "latitude", "minimum": -39.5, "maximum": -37.0},
+        {"code": "NAMED_TREE_LONGITUDE_RANGE", "type": "range", "field": "longitude", "minimum": 144.0, "maximum": 146.0},
+        {"code": "NAMED_TREE_DBH_POSITIVE", "type": "range", "field": "diameter_breast_height_cm", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
+        {"code": "NAMED_TREE_HEIGHT_POSITIVE", "type": "range", "field": "height_m", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
+        {"code": "NAMED_TREE_CANOPY_WIDTH_POSITIVE", "type": "range", "field": "canopy_width_m", "minimum": 0, "inclusive_minimum": False, "allow_blank": True},
     ],
     "weather_observation": [
-        _required("WEATHER_REQUIRED", "station_code station_name observed_at air_temperature_c geometry_wkt"),
-        _unique("WEATHER_UNIQUE", "station_code observed_at"), _range("HUMIDITY_RANGE", "humidity_pct", 0, 100, blank=True),
-        _range("WIND_NONNEGATIVE", "wind_speed_ms", 0, blank=True), _range("RAINFALL_NONNEGATIVE", "rainfall_since_9am_mm", 0, blank=True),
+        {"code": "WEATHER_REQUIRED", "type": "required", "fields": ["station_code", "station_name", "observed_at", "air_temperature_c", "geometry_wkt"]},
+        {"code": "WEATHER_UNIQUE", "type": "unique", "fields": ["station_code", "observed_at"]},
+        {"code": "HUMIDITY_RANGE", "type": "range", "field": "humidity_pct", "minimum": 0, "maximum": 100, "allow_blank": True},
+        {"code": "WIND_NONNEGATIVE", "type": "range", "field": "wind_speed_ms", "minimum": 0, "allow_blank": True},
+        {"code": "RAINFALL_NONNEGATIVE", "type": "range", "field": "rainfall_since_9am_mm", "minimum": 0, "allow_blank": True},
     ],
     "heat_observation": [
-        _required("HEAT_REQUIRED", "observed_on heat_value measurement_type unit geometry_wkt"),
-        _unique("HEAT_CELL_UNIQUE", "source_scene_id geometry_wkt"), _range("HEAT_TEMPERATURE_RANGE", "heat_value", -50, 80),
-        _range("CLOUD_RANGE", "cloud_cover_pct", 0, 100, blank=True),
+        {"code": "HEAT_REQUIRED", "type": "required", "fields": ["observed_on", "heat_value", "measurement_type", "unit", "geometry_wkt"]},
+        {"code": "HEAT_CELL_UNIQUE", "type": "unique", "fields": ["source_scene_id", "geometry_wkt"]},
+        {"code": "HEAT_TEMPERATURE_RANGE", "type": "range", "field": "heat_value", "minimum": -50, "maximum": 80},
+        {"code": "CLOUD_RANGE", "type": "range", "field": "cloud_cover_pct", "minimum": 0, "maximum": 100, "allow_blank": True},
     ],
     "vegetation_observation": [
-        _required("VEGETATION_REQUIRED", "observed_on vegetation_type vegetation_percentage geometry_wkt"),
-        _unique("VEGETATION_CELL_UNIQUE", "observed_on geometry_wkt"), _range("VEGETATION_PERCENT_RANGE", "vegetation_percentage", 0, 100, blank=True),
-        _range("CONFIDENCE_RANGE", "confidence_score", 0, 100, blank=True),
+        {"code": "VEGETATION_REQUIRED", "type": "required", "fields": ["observed_on", "vegetation_type", "vegetation_percentage", "geometry_wkt"]},
+        {"code": "VEGETATION_CELL_UNIQUE", "type": "unique", "fields": ["observed_on", "geometry_wkt"]},
+        {"code": "VEGETATION_PERCENT_RANGE", "type": "range", "field": "vegetation_percentage", "minimum": 0, "maximum": 100, "allow_blank": True},
+        {"code": "CONFIDENCE_RANGE", "type": "range", "field": "confidence_score", "minimum": 0, "maximum": 100, "allow_blank": True},
     ],
     "dea_land_cover_observation": [
-        _required("DEA_LAND_COVER_REQUIRED", "cell_key observed_year observed_on dominant_level3_code dominant_level3_name geometry_wkt"),
-        _unique("DEA_LAND_COVER_CELL_UNIQUE", "cell_key observed_year"),
-        _allowed("DEA_LAND_COVER_CLASS_ALLOWED", "dominant_level3_code", [111, 112, 124, 215, 216, 220]),
-        _range("DEA_CULTIVATED_PERCENT_RANGE", "cultivated_vegetation_pct", 0, 100), _range("DEA_NATURAL_TERRESTRIAL_PERCENT_RANGE", "natural_terrestrial_vegetation_pct", 0, 100),
-        _range("DEA_NATURAL_AQUATIC_PERCENT_RANGE", "natural_aquatic_vegetation_pct", 0, 100), _range("DEA_ARTIFICIAL_PERCENT_RANGE", "artificial_surface_pct", 0, 100),
-        _range("DEA_BARE_PERCENT_RANGE", "natural_bare_surface_pct", 0, 100), _range("DEA_WATER_PERCENT_RANGE", "water_pct", 0, 100),
-        _range("DEA_VALID_DATA_PERCENT_RANGE", "valid_data_pct", 0, 100, above=True),
+        {"code": "DEA_LAND_COVER_REQUIRED", "type": "required", "fields": ["cell_key", "observed_year", "observed_on", "dominant_level3_code", "dominant_level3_name", "geometry_wkt"]},
+        {"code": "DEA_LAND_COVER_CELL_UNIQUE", "type": "unique", "fields": ["cell_key", "observed_year"]},
+        {"code": "DEA_LAND_COVER_CLASS_ALLOWED", "type": "allowed", "field": "dominant_level3_code", "values": [111, 112, 124, 215, 216, 220]},
+        {"code": "DEA_CULTIVATED_PERCENT_RANGE", "type": "range", "field": "cultivated_vegetation_pct", "minimum": 0, "maximum": 100},
+        {"code": "DEA_NATURAL_TERRESTRIAL_PERCENT_RANGE", "type": "range", "field": "natural_terrestrial_vegetation_pct", "minimum": 0, "maximum": 100},
+        {"code": "DEA_NATURAL_AQUATIC_PERCENT_RANGE", "type": "range", "field": "natural_aquatic_vegetation_pct", "minimum": 0, "maximum": 100},
+        {"code": "DEA_ARTIFICIAL_PERCENT_RANGE", "type": "range", "field": "artificial_surface_pct", "minimum": 0, "maximum": 100},
+        {"code": "DEA_BARE_PERCENT_RANGE", "type": "range", "field": "natural_bare_surface_pct", "minimum": 0, "maximum": 100},
+        {"code": "DEA_WATER_PERCENT_RANGE", "type": "range", "field": "water_pct", "minimum": 0, "maximum": 100},
+        {"code": "DEA_VALID_DATA_PERCENT_RANGE", "type": "range", "field": "valid_data_pct", "minimum": 0, "maximum": 100, "inclusive_minimum": False},
     ],
     "era5_land_daily_observation": [
-        _required("ERA5_LAND_REQUIRED", "cell_key observed_on air_temperature_mean_c air_temperature_min_c air_temperature_max_c geometry_wkt hour_count"),
-        _unique("ERA5_LAND_CELL_DATE_UNIQUE", "cell_key observed_on"),
-        *(_range(f"ERA5_LAND_{x.upper()}_TEMPERATURE_PLAUSIBLE", f"air_temperature_{x}_c", -30, 60) for x in ("mean", "min", "max")),
-        _order("ERA5_LAND_TEMPERATURE_ORDER", "air_temperature_min_c", "air_temperature_max_c"),
-        _range("ERA5_LAND_PRECIPITATION_NONNEGATIVE", "precipitation_total_mm", 0, blank=True), _range("ERA5_LAND_SOIL_WATER_RANGE", "soil_water_layer_1_mean_m3_m3", 0, 1, blank=True),
-        _range("ERA5_LAND_SOLAR_NONNEGATIVE", "surface_solar_radiation_total_mj_m2", 0, blank=True), _range("ERA5_LAND_WIND_NONNEGATIVE", "wind_speed_mean_ms", 0, blank=True),
-        _range("ERA5_LAND_HOUR_COVERAGE", "hour_count", 18, 24),
+        {"code": "ERA5_LAND_REQUIRED", "type": "required", "fields": ["cell_key", "observed_on", "air_temperature_mean_c", "air_temperature_min_c", "air_temperature_max_c", "geometry_wkt", "hour_count"]},
+        {"code": "ERA5_LAND_CELL_DATE_UNIQUE", "type": "unique", "fields": ["cell_key", "observed_on"]},
+        {"code": "ERA5_LAND_MEAN_TEMPERATURE_PLAUSIBLE", "type": "range", "field": "air_temperature_mean_c", "minimum": -30, "maximum": 60},
+        {"code": "ERA5_LAND_MIN_TEMPERATURE_PLAUSIBLE", "type": "range", "field": "air_temperature_min_c", "minimum": -30, "maximum": 60},
+        {"code": "ERA5_LAND_MAX_TEMPERATURE_PLAUSIBLE", "type": "range", "field": "air_temperature_max_c", "minimum": -30, "maximum": 60},
+        {"code": "ERA5_LAND_TEMPERATURE_ORDER", "type": "field_order", "lower_field": "air_temperature_min_c", "upper_field": "air_temperature_max_c"},
+        {"code": "ERA5_LAND_PRECIPITATION_NONNEGATIVE", "type": "range", "field": "precipitation_total_mm", "minimum": 0, "allow_blank": True},
+        {"code": "ERA5_LAND_SOIL_WATER_RANGE", "type": "range", "field": "soil_water_layer_1_mean_m3_m3", "minimum": 0, "maximum": 1, "allow_blank": True},
+        {"code": "ERA5_LAND_SOLAR_NONNEGATIVE", "type": "range", "field": "surface_solar_radiation_total_mj_m2", "minimum": 0, "allow_blank": True},
+        {"code": "ERA5_LAND_WIND_NONNEGATIVE", "type": "range", "field": "wind_speed_mean_ms", "minimum": 0, "allow_blank": True},
+        {"code": "ERA5_LAND_HOUR_COVERAGE", "type": "range", "field": "hour_count", "minimum": 18, "maximum": 24},
     ],
     "canopy_snapshot_feature": [
-        _required("CANOPY_SNAPSHOT_REQUIRED", "source_feature_key observed_year observed_on geometry_wkt calculated_area_m2"),
-        _unique("CANOPY_SNAPSHOT_UNIQUE", "source_feature_key"), _allowed("CANOPY_SNAPSHOT_YEAR_ALLOWED", "observed_year", [2008, 2015, 2016, 2021]),
-        _range("CANOPY_SNAPSHOT_AREA_POSITIVE", "calculated_area_m2", 0, above=True), _range("CANOPY_SNAPSHOT_SOURCE_AREA_CONSISTENT", "source_area_difference_pct", 0, 2, blank=True),
+        {"code": "CANOPY_SNAPSHOT_REQUIRED", "type": "required", "fields": ["source_feature_key", "observed_year", "observed_on", "geometry_wkt", "calculated_area_m2"]},
+        {"code": "CANOPY_SNAPSHOT_UNIQUE", "type": "unique", "fields": ["source_feature_key"]},
+        {"code": "CANOPY_SNAPSHOT_YEAR_ALLOWED", "type": "allowed", "field": "observed_year", "values": [2008, 2015, 2016, 2021]},
+        {"code": "CANOPY_SNAPSHOT_AREA_POSITIVE", "type": "range", "field": "calculated_area_m2", "minimum": 0, "inclusive_minimum": False},
+        {"code": "CANOPY_SNAPSHOT_SOURCE_AREA_CONSISTENT", "type": "range", "field": "source_area_difference_pct", "minimum": 0, "maximum": 2, "allow_blank": True},
     ],
     "metropolitan_vegetation_change_feature": [
-        _required("VEGETATION_CHANGE_REQUIRED", "source_feature_key observed_from observed_to geometry_wkt has_change_measure"),
-        _unique("VEGETATION_CHANGE_UNIQUE", "source_feature_key"), _allowed("VEGETATION_CHANGE_MEASURE_RECOGNISED", "has_change_measure", [True]),
-        *(_range(f"{x.upper()}_CHANGE_RANGE", f"{x}_change_pct_points", -100, 100, blank=True) for x in ("tree", "shrub", "grass")),
-        _range("TOTAL_CHANGE_RANGE", "total_vegetation_change_pct_points", -100, 100, blank=True),
+        {"code": "VEGETATION_CHANGE_REQUIRED", "type": "required", "fields": ["source_feature_key", "observed_from", "observed_to", "geometry_wkt", "has_change_measure"]},
+        {"code": "VEGETATION_CHANGE_UNIQUE", "type": "unique", "fields": ["source_feature_key"]},
+        {"code": "VEGETATION_CHANGE_MEASURE_RECOGNISED", "type": "allowed", "field": "has_change_measure", "values": [True]},
+        {"code": "TREE_CHANGE_RANGE", "type": "range", "field": "tree_change_pct_points", "minimum": -100, "maximum": 100, "allow_blank": True},
+        {"code": "SHRUB_CHANGE_RANGE", "type": "range", "field": "shrub_change_pct_points", "minimum": -100, "maximum": 100, "allow_blank": True},
+        {"code": "GRASS_CHANGE_RANGE", "type": "range", "field": "grass_change_pct_points", "minimum": -100, "maximum": 100, "allow_blank": True},
+        {"code": "TOTAL_CHANGE_RANGE", "type": "range", "field": "total_vegetation_change_pct_points", "minimum": -100, "maximum": 100, "allow_blank": True},
     ],
     "plant_trait_observation": [
-        _required("PLANT_TRAIT_REQUIRED", "source_row_number dataset_id taxon_name trait_name value_text"), _unique("PLANT_TRAIT_SOURCE_ROW_UNIQUE", "source_row_number"),
-        _allowed("PLANT_TRAIT_PROTOTYPE_SCOPE", "trait_name", [
-            "establishment_light_environment_index", "leaf_water_use_efficiency_instantaneous", "leaf_water_use_efficiency_integrated",
-            "leaf_water_use_efficiency_intrinsic", "lifespan", "plant_growth_form", "plant_height", "plant_tolerance_water_logged_soils",
-            "root_structure", "root_system_type", "stem_growth_habit",
-        ]),
+        {"code": "PLANT_TRAIT_REQUIRED", "type": "required", "fields": ["source_row_number", "dataset_id", "taxon_name", "trait_name", "value_text"]},
+        {"code": "PLANT_TRAIT_SOURCE_ROW_UNIQUE", "type": "unique", "fields": ["source_row_number"]},
+        {"code": "PLANT_TRAIT_PROTOTYPE_SCOPE", "type": "allowed", "field": "trait_name", "values": ["establishment_light_environment_index", "leaf_water_use_efficiency_instantaneous", "leaf_water_use_efficiency_integrated", "leaf_water_use_efficiency_intrinsic", "lifespan", "plant_growth_form", "plant_height", "plant_tolerance_water_logged_soils", "root_structure", "root_system_type", "stem_growth_habit"]},
     ],
     "urban_tree_growth_observation": [
-        _required("TREE_GROWTH_REQUIRED", "source_row_number city species_name tree_number ring_sequence tree_ring_width_mm"), _unique("TREE_GROWTH_SOURCE_ROW_UNIQUE", "source_row_number"),
-        _range("TREE_RING_WIDTH_PLAUSIBLE", "tree_ring_width_mm", 0, 10, above=True), _range("BASAL_AREA_INCREMENT_PLAUSIBLE", "basal_area_increment_cm2_year", 0, 100, blank=True),
+        {"code": "TREE_GROWTH_REQUIRED", "type": "required", "fields": ["source_row_number", "city", "species_name", "tree_number", "ring_sequence", "tree_ring_width_mm"]},
+        {"code": "TREE_GROWTH_SOURCE_ROW_UNIQUE", "type": "unique", "fields": ["source_row_number"]},
+        {"code": "TREE_RING_WIDTH_PLAUSIBLE", "type": "range", "field": "tree_ring_width_mm", "minimum": 0, "maximum": 10, "inclusive_minimum": False},
+        {"code": "BASAL_AREA_INCREMENT_PLAUSIBLE", "type": "range", "field": "basal_area_increment_cm2_year", "minimum": 0, "maximum": 100, "allow_blank": True},
     ],
     "urban_tree_growth_climate": [
-        _required("TREE_GROWTH_CLIMATE_REQUIRED", "source_row_number city year variant_number source_occurrence_count AP PDM PWM PDQ MTWM MAT MTCM IDM IP"),
-        _unique("TREE_GROWTH_CLIMATE_ROW_UNIQUE", "source_row_number"), _range("TREE_GROWTH_CLIMATE_YEAR_PLAUSIBLE", "year", 1900, 2100),
-        _range("TREE_GROWTH_CLIMATE_PRECIPITATION_PLAUSIBLE", "AP", 0, 10000),
+        {"code": "TREE_GROWTH_CLIMATE_REQUIRED", "type": "required", "fields": ["source_row_number", "city", "year", "variant_number", "source_occurrence_count", "AP", "PDM", "PWM", "PDQ", "MTWM", "MAT", "MTCM", "IDM", "IP"]},
+        {"code": "TREE_GROWTH_CLIMATE_ROW_UNIQUE", "type": "unique", "fields": ["source_row_number"]},
+        {"code": "TREE_GROWTH_CLIMATE_YEAR_PLAUSIBLE", "type": "range", "field": "year", "minimum": 1900, "maximum": 2100},
+        {"code": "TREE_GROWTH_CLIMATE_PRECIPITATION_PLAUSIBLE", "type": "range", "field": "AP", "minimum": 0, "maximum": 10000},
     ],
     "cost_estimate": [
-        _required("COST_REQUIRED", "option_code cost_context cost_basis minimum_cost maximum_cost currency includes_installation source_name source_reference source_url valid_from valid_to last_verified_at confidence_level"),
-        _unique("COST_UNIQUE", "option_code cost_context cost_basis source_name valid_from source_reference"),
-        _range("MINIMUM_COST_NONNEGATIVE", "minimum_cost", 0), _range("MAXIMUM_COST_NONNEGATIVE", "maximum_cost", 0), _order("COST_ORDER", "minimum_cost", "maximum_cost"),
-        _allowed("OPTION_CODE_ALLOWED", "option_code", ["backyard_tree_diy", "backyard_tree_installed", "container_tree", "potted_plants", "garden_bed", "green_wall", "green_roof", "community_tree"]),
-        _allowed("CURRENCY_AUD", "currency", ["AUD"]), _allowed("CONFIDENCE_ALLOWED", "confidence_level", ["low", "medium", "high"]),
+        {"code": "COST_REQUIRED", "type": "required", "fields": ["option_code", "cost_context", "cost_basis", "minimum_cost", "maximum_cost", "currency", "includes_installation", "source_name", "source_reference", "source_url", "valid_from", "valid_to", "last_verified_at", "confidence_level"]},
+        {"code": "COST_UNIQUE", "type": "unique", "fields": ["option_code", "cost_context", "cost_basis", "source_name", "valid_from", "source_reference"]},
+        {"code": "MINIMUM_COST_NONNEGATIVE", "type": "range", "field": "minimum_cost", "minimum": 0},
+        {"code": "MAXIMUM_COST_NONNEGATIVE", "type": "range", "field": "maximum_cost", "minimum": 0},
+        {"code": "COST_ORDER", "type": "field_order", "lower_field": "minimum_cost", "upper_field": "maximum_cost"},
+        {"code": "OPTION_CODE_ALLOWED", "type": "allowed", "field": "option_code", "values": ["backyard_tree_diy", "backyard_tree_installed", "container_tree", "potted_plants", "garden_bed", "green_wall", "green_roof", "community_tree"]},
+        {"code": "CURRENCY_AUD", "type": "allowed", "field": "currency", "values": ["AUD"]},
+        {"code": "CONFIDENCE_ALLOWED", "type": "allowed", "field": "confidence_level", "values": ["low", "medium", "high"]},
     ],
 }

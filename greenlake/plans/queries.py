@@ -892,8 +892,7 @@ def stream_latest(spark, x, out):
     q = weather_stream.without_repeats(weather_stream.timely(x)).writeStream.foreachBatch(weather_stream.latest_state(f"{out}/state"))
     q = q.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    last = q.lastProgress["batchId"] if q.lastProgress else 0
-    return spark.read.parquet(f"{out}/state/batch={last}")
+    return weather_stream.newest_state(spark, f"{out}/state")
 
 
 @_stream("stream_daily", """

@@ -42,7 +42,7 @@ def latest_state(path: str) -> Callable[[DataFrame, int], None]:
     """A batch writer that keeps each station's newest observation as one Parquet table for each batch.
 
     A batch reads its predecessor's table and writes its own under its number, so a retried batch writes the
-    same rows again.
+    same rows again. Older tables are removed; stations are few, so their whole state is one small table.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -53,10 +53,19 @@ def latest_state(path: str) -> Callable[[DataFrame, int], None]:
             known = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}"))
         best = known.groupBy("station_code").agg(F.max_by(F.struct(*rest), F.struct("observed_at", *[c for c in rest if c != "observed_at"])).alias("o"))
         best.select("station_code", "o.*").select(*batch.columns).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if number > 1:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={number - 2}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return write
 
 
+def newest_state(spark: SparkSession, path: str) -> DataFrame:
+    """The table of the last batch that :func:`latest_state` has written."""
+    x = spark.read.parquet(path)
+    return x.join(F.broadcast(x.agg(F.max("batch").alias("batch"))), "batch", "left_semi").drop("batch")
+
+
 def gated(rules: Sequence[dict], facts: str, evidence: str, dataset: str, threshold: float = 95.0) -> Callable[[DataFrame, int], None]:
     """A batch writer that keeps a batch's passing rows when it passes its gate, and its evidence always."""
 
