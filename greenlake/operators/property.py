@@ -88,6 +88,15 @@ def limitations(**parts: Column) -> Column:
     return F.to_json(m)
 
 
+def merged_limitations(*parts: Column | str) -> Column:
+    """One JSON object of several; a later part's entry replaces an earlier one's."""
+    maps = [F.coalesce(F.from_json(c, "map<string,string>"), F.create_map().cast("map<string,string>")) for c in parts]
+    entries = F.flatten(F.array(*(F.map_entries(m) for m in maps)))
+    names = F.array_sort(F.array_distinct(F.transform(entries, lambda e: e["key"])))
+    last = lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]
+    return F.to_json(F.map_from_arrays(names, F.transform(names, last)))
+
+
 def baseline(properties: DataFrame, heat: DataFrame, canopy: DataFrame, trees: DataFrame | None, weather: DataFrame | None, size: float = 500.0) -> DataFrame:
     """Heat, canopy, tree count, nearest weather and classes of every property, with the limits of each.
 
@@ -140,14 +149,17 @@ def code_label(column, labels: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*(F.lit(x) for pair in labels.items() for x in pair)), F.col(column))
 
 
-def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius: float, limit: int) -> DataFrame:
+def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius: float, limit: int, boundary: DataFrame | None = None) -> DataFrame:
     """The nearest ``limit`` things of each layer around each centre: (centre_id, layer, id, distance_m, rank).
 
     ``layers`` maps a name to a table of id with x, y, or with a box. Radius is within 0 and 2000, the limit
-    within 1 and 2000.
+    within 1 and 2000. With a ``boundary`` of boxes, centres outside it have no rows.
     """
-    from greenlake.operators.spatial_join import boxes_within_radius, top_k, within_radius
+    from greenlake.operators.spatial_join import boxes_within_radius, points_in_areas, top_k, within_radius
 
+    if boundary is not None:
+        inside = points_in_areas(centres.withColumns({"x": F.col("cx"), "y": F.col("cy")}), boundary.select("xmin", "ymin", "xmax", "ymax"), "left_semi")
+        centres = inside.select(*centres.columns)
     if not 0 < radius <= 2000 or not 1 <= limit <= 2000:
         raise ValueError("radius must be within 0 and 2000 metres and limit within 1 and 2000")
     out = None

@@ -266,8 +266,8 @@ def expected_cases(t):
 # -- versions -------------------------------------------------------------------------------------------------------
 
 
-@query("version_id:l, status:s, superseded_by:l", """
-    WITH s AS (SELECT s_suppkey version_id, CASE WHEN s_suppkey % 6 = 0 THEN s_suppkey + 1 END c FROM supplier) SELECT version_id, CASE WHEN c IS NULL THEN 'integrated' ELSE 'retired' END status, c superseded_by FROM s""")
+@query("version_id:l, status:s, superseded_by:l, limitation:s", """
+    WITH s AS (SELECT s_suppkey version_id, CASE WHEN s_suppkey % 6 = 0 THEN s_suppkey + 1 END c FROM supplier) SELECT version_id, CASE WHEN c IS NULL THEN 'integrated' ELSE 'retired' END status, c superseded_by, 'superseded_by:' || c limitation FROM s""")
 def closed_versions(t):
     v = t("supplier").selectExpr("s_suppkey AS version_id", "'integrated' AS integration_status")
     pairs = t("supplier").where("s_suppkey % 6 = 0").selectExpr("s_suppkey AS partial", "s_suppkey + 1 AS complete")
@@ -518,3 +518,51 @@ def distance_statuses(t):
 def representative_values(t):
     x = t("part").selectExpr("p_brand AS species", "CASE WHEN p_size % 2 = 0 THEN p_size END AS v", "p_size AS lo", "p_size * 3 AS hi")
     return x.groupBy("species").agg(F.sum(species.representative("v", "lo", "hi")).alias("mid"))
+
+
+# -- schemes, runs, limits ------------------------------------------------------------------------------------------
+
+
+@query("scheme_version:s, metric:s, status:s, valid_to:t", """
+    SELECT p_brand scheme_version, p_type metric, CASE WHEN min(p_size) % 2 = 0 THEN 'retired' ELSE 'draft' END status, CASE WHEN min(p_size) % 2 = 0 THEN DATE '2024-05-01' END valid_to FROM part WHERE p_brand <> 'Brand#7' GROUP BY 1, 2
+    UNION ALL SELECT 'Brand#7', p_type, 'active', NULL FROM part WHERE p_brand = 'Brand#7' GROUP BY p_type""")
+def published_schemes(t):
+    x = t("part").groupBy(F.col("p_brand").alias("scheme_version"), F.col("p_type").alias("metric")).agg(F.min("p_size").alias("s"))
+    old = x.selectExpr("scheme_version", "metric", "IF(s % 2 = 0, 'active', 'draft') AS status", "DATE '2023-01-01' AS valid_from", "CAST(NULL AS DATE) AS valid_to")
+    return pipelines.publish_scheme(old, x.where("scheme_version = 'Brand#7'").select("scheme_version", "metric"), F.lit("2024-05-01").cast("date"))
+
+
+@query("run_id:s, parent_version_id:l, job:s", "SELECT sha256('clip|' || sha256('clip|' || o_orderkey)) run_id, o_orderkey parent_version_id, 'clip' job FROM orders")
+def run_ledger(t):
+    v = t("orders").selectExpr("o_orderkey AS version_id", "o_custkey AS source_id")
+    return pipelines.run_rows(versions.child_version(v, "clip"), "clip", F.lit("2024-01-01").cast("date"))
+
+
+@query("cells:l, valid_rate:d, covered_rate:d", """
+    SELECT count(*) cells, round(count_if(parcel_id % 7 > 0) / count(*) * 100, 2) valid_rate, round(count_if(parcel_id % 7 > 0 AND EXISTS (SELECT 1 FROM lga WHERE lga_id < 9 AND p.x BETWEEN xmin AND xmax AND p.y BETWEEN ymin AND ymax)) / count_if(parcel_id % 7 > 0) * 100, 2) covered_rate FROM parcel p""", "parcel lga")
+def grid_geometry(t):
+    c = t("parcel").selectExpr("parcel_id AS cell_id", "xmin", "ymin", "IF(parcel_id % 7 = 0, xmin, xmax) AS xmax", "ymax")
+    return pipelines.geometry_checks(c, t("lga").where("lga_id < 9"))
+
+
+@query("centre_id:l, n:l", """
+    SELECT c.parcel_id centre_id, count(*) n FROM parcel c JOIN parcel p ON p.xmin - c.x <= 1000 AND c.x - p.xmax <= 1000 AND sqrt(greatest(p.xmin - c.x, 0, c.x - p.xmax) ** 2 + greatest(p.ymin - c.y, 0, c.y - p.ymax) ** 2) <= 1000
+    WHERE EXISTS (SELECT 1 FROM lga l WHERE lga_id % 2 = 0 AND c.x BETWEEN l.xmin AND l.xmax AND c.y BETWEEN l.ymin AND l.ymax) GROUP BY 1""", "parcel lga")
+def context_within_boundary(t):
+    p = t("parcel").selectExpr("parcel_id AS id", "xmin", "ymin", "xmax", "ymax")
+    near = property.environment_context(t("parcel").selectExpr("parcel_id AS centre_id", "x AS cx", "y AS cy"), {"parcels": p}, 1000.0, 2000, t("lga").where("lga_id % 2 = 0"))
+    return near.groupBy("centre_id").agg(F.count("*").alias("n"))
+
+
+@query("c_custkey:l, limitations:s", """
+    SELECT c_custkey, '{' || CASE WHEN c_custkey % 2 = 0 THEN '"heat":"' || CASE WHEN c_custkey % 3 = 0 THEN 'old' ELSE 'none' END || '"' || CASE WHEN c_custkey % 3 = 0 THEN ',"trees":"few"' ELSE '' END WHEN c_custkey % 3 = 0 THEN '"heat":"old","trees":"few"' ELSE '' END || '}' limitations FROM customer""")
+def joined_limitations(t):
+    x = t("customer").selectExpr("c_custkey", "IF(c_custkey % 2 = 0, '{\"heat\":\"none\"}', NULL) AS a", "IF(c_custkey % 3 = 0, '{\"trees\":\"few\",\"heat\":\"old\"}', '{}') AS b")
+    return x.select("c_custkey", property.merged_limitations("a", "b").alias("limitations"))
+
+
+@query("file:l, problem:s", """
+    WITH x AS (SELECT s_nationkey file, count(DISTINCT s_suppkey % 2) n, bool_and(s_suppkey % 9 > 0) ok FROM supplier GROUP BY 1) SELECT file, 'not_one_source' problem FROM x WHERE n <> 1 UNION ALL SELECT file, 'licence_not_allowed' FROM x WHERE NOT ok""")
+def guidance_files(t):
+    x = t("supplier").selectExpr("s_nationkey AS file", "concat('s', s_suppkey % 2) AS source_name", "IF(s_suppkey % 9 > 0, 'open_confirmed', 'restricted') AS licence_status")
+    return inventories.guidance_file_problems(x, ["open_confirmed", "public_domain"])

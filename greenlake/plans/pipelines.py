@@ -75,10 +75,38 @@ def by_scheme(cells: DataFrame, scheme: DataFrame, metric: str) -> DataFrame:
     return cells.join(F.broadcast(row), F.lit(True), "left").withColumn("band", classify.between_bounds(metric, "_lower", "_upper")).drop("_lower", "_upper")
 
 
+def publish_scheme(published: DataFrame, new: DataFrame, day: Column) -> DataFrame:
+    """Published scheme rows (scheme_version, metric, status, valid_from, valid_to, ...) with a new version in force from a day on.
+
+    Rows of other versions that are still active end on that day and are retired; the new version's are replaced.
+    """
+    own = new.select("scheme_version").distinct()
+    old = published.join(F.broadcast(own), "scheme_version", "left_anti")  # a new version's own name, one row
+    active = F.col("status") == "active"
+    old = old.withColumns({"valid_to": F.when(active, day).otherwise(F.col("valid_to")), "status": F.when(active, "retired").otherwise(F.col("status"))})
+    return old.unionByName(new.withColumns({"status": F.lit("active"), "valid_from": day, "valid_to": F.lit(None).cast("date")}), allowMissingColumns=True)
+
+
+def run_rows(children: DataFrame, job: str, started: Column) -> DataFrame:
+    """One run row for each derived version, under an id that follows from it, so a repeated run adds none."""
+    return children.select(F.sha2(F.concat_ws("|", F.lit(job), F.col("version_id").cast("string")), 256).alias("run_id"), "version_id", "parent_version_id", F.lit(job).alias("job"), started.alias("started_at"), F.lit("completed").alias("status"))
+
+
+def geometry_checks(cells: DataFrame, boundary: DataFrame) -> DataFrame:
+    """Share of a grid's boxes that have an area, and of those whose centre a boundary's boxes hold."""
+    ok = (F.col("xmin") < F.col("xmax")) & (F.col("ymin") < F.col("ymax"))
+    x = cells.select("cell_id", F.coalesce(ok, F.lit(False)).alias("_valid"), ((F.col("xmin") + F.col("xmax")) / 2).alias("x"), ((F.col("ymin") + F.col("ymax")) / 2).alias("y"))
+    inside = spatial_join.points_in_areas(x, boundary.select("xmin", "ymin", "xmax", "ymax"), "left_semi")
+    a = x.agg(F.count("*").alias("cells"), F.count_if("_valid").alias("n_valid"))
+    b = inside.agg(F.count_if("_valid").alias("n_covered"))
+    rate = lambda n, d: F.round(F.col(n) / F.nullif(F.col(d), F.lit(0)) * 100, 2)
+    return a.join(F.broadcast(b), F.lit(True)).select("cells", rate("n_valid", "cells").alias("valid_rate"), rate("n_covered", "n_valid").alias("covered_rate"))
+
+
 def close_superseded(all_versions: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Versions with the contained ones retired, and which version holds them."""
+    """Versions with the contained ones retired, which version holds them, and the limitation that says so."""
     x = all_versions.join(pairs, all_versions["version_id"] == pairs["partial"], "left")
-    return x.withColumns({"integration_status": F.when(F.col("partial").isNotNull(), "retired").otherwise(F.col("integration_status")), "superseded_by": F.col("complete")}).drop("partial", "complete")
+    return x.withColumns({"integration_status": F.when(F.col("partial").isNotNull(), "retired").otherwise(F.col("integration_status")), "superseded_by": F.col("complete"), "limitation": F.when(F.col("partial").isNotNull(), F.concat(F.lit("superseded_by:"), F.col("complete").cast("string")))}).drop("partial", "complete")
 
 
 def latest_case_results(results: DataFrame) -> DataFrame:

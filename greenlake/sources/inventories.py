@@ -239,6 +239,13 @@ def normalise_guidance(rows: DataFrame, lga: DataFrame, statuses: list[str], siz
     return x.withColumn("reject_reasons", why).drop("_known")
 
 
+def guidance_file_problems(rows: DataFrame, licences: list[str]) -> DataFrame:
+    """What is wrong with each guidance file (column file): more than one source in it, or a licence status that is not allowed."""
+    x = rows.groupBy("file").agg(F.count_distinct("source_name").alias("_sources"), F.every(F.coalesce(F.col("licence_status").isin(licences), F.lit(False))).alias("_allowed"))
+    said = F.array_compact(F.array(F.when(F.col("_sources") != 1, F.lit("not_one_source")), F.when(~F.col("_allowed"), F.lit("licence_not_allowed"))))
+    return x.select("file", F.explode(said).alias("problem"))
+
+
 def normalise_costs(rows: DataFrame) -> DataFrame:
     """Cost rows from text: blanks are null, money is decimal, flags are boolean, days are dates."""
     money, days, flags = ("minimum_cost", "maximum_cost"), ("valid_from", "valid_to", "last_verified_at"), ("includes_installation",)
