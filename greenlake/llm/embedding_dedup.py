@@ -110,7 +110,7 @@ def near_duplicates(
     with a null label or vectors of another length. Equal vectors are one class with a weight, so copies
     cost nothing beyond the first. A bucket is cut into blocks of about BLOCK classes that are compared
     two at a time, each block pair giving counts and a spanning forest, never its pairs. Rows that share
-    an id count as separate vectors; a null id is never the smallest while others are. Other columns are
+    an id count as separate vectors; a null id is never the smallest while others are, and its row is kept. Other columns are
     not read.
     """
     kind = vectors.schema[id_col].dataType.simpleString()

@@ -111,3 +111,8 @@ def test_copies_of_an_article_stay(frame):
 def test_very_long_page(frame):
     page = "<body><article>" + "<p>word </p>" * 50_000 + "</article></body>"
     assert h.extract_main_text(frame([(1, "http://a/", page)], "page_id long, url string, html string")).first()["n_chars"] == 50_000 * 6 - 2
+
+
+def test_equal_pages_are_judged_alike(frame):
+    rows = [(i, "http://h.com/1", "<body><div>Same</div><p>Own</p></body>") for i in range(30)]
+    assert {r["text"] for r in h.extract_main_text(frame(rows, "page_id long, url string, html string")).collect()} == {"Same\n\nOwn"}

@@ -50,3 +50,12 @@ def test_edge_rows(frame):
     free = quality.grade(docs, quality.train(docs, ratings.where("false"))).collect()
     assert all(r["kept"] for r in free)
     assert quality.grade(docs.where("false"), quality.train(docs.where("false"), ratings)).count() == 0
+
+
+def test_equal_texts_get_equal_grades(frame):
+    docs = frame([(i, f"some text {i % 2}") for i in range(20)], "doc_id long, text string")
+    ratings = frame([(i, i % 2) for i in range(20)], "doc_id long, grade int")
+    out = quality.grade(docs, quality.train(docs, ratings)).collect()
+    assert len({(r["text"], r["expected_grade"], r["kept"]) for r in out}) == 2
+    tied = quality.grade(docs, quality.train(docs, frame([(i, i % 2) for i in range(4)] + [(i, 1 - i % 2) for i in range(4, 8)], "doc_id long, grade int"))).collect()
+    assert len({r["tail_probability"] for r in tied}) <= 2
