@@ -31,7 +31,7 @@ def similarity(a, b) -> Column:
     return 1 - F.levenshtein(col(a), col(b)) / F.greatest(F.length(col(a)), F.length(col(b)))
 
 
-def fuzzy_matches(names: DataFrame, titles: DataFrame, least: float = 0.9, margin: float = 0.003) -> DataFrame:
+def fuzzy_matches(names: DataFrame, titles: DataFrame, least: float = 0.94, margin: float = 0.003) -> DataFrame:
     """The one title of the same genus and first two epithet letters that is similar enough and clearly the best."""
     block = lambda c: F.lower(F.regexp_extract(c, r"^(\S+\s+\S{2})", 1))
     n = names.select(F.lower("name").alias("name"), block("name").alias("_b")).where("_b <> ''").distinct()

@@ -566,3 +566,63 @@ def joined_limitations(t):
 def guidance_files(t):
     x = t("supplier").selectExpr("s_nationkey AS file", "concat('s', s_suppkey % 2) AS source_name", "IF(s_suppkey % 9 > 0, 'open_confirmed', 'restricted') AS licence_status")
     return inventories.guidance_file_problems(x, ["open_confirmed", "public_domain"])
+
+
+# -- further places, growth, prices ---------------------------------------------------------------------------------
+
+
+@query("parcel_id:l, lga_name:s", "SELECT parcel_id, arg_max(lga_name, a) lga_name FROM (SELECT parcel_id, lga_name, l.area_m2 a FROM parcel p JOIN lga l ON p.x BETWEEN l.xmin AND l.xmax AND p.y BETWEEN l.ymin AND l.ymax) GROUP BY ALL", "parcel lga")
+def largest_area(t):
+    return spatial_join.smallest_area(t("parcel").select("parcel_id", "x", "y"), t("lga"), "parcel_id", "lga_name", size=12000.0, largest=True)
+
+
+@query("parcel_id:l, px:d, py:d, inside:b", "SELECT parcel_id, CASE WHEN parcel_id % 2 = 0 THEN x ELSE xmin + (xmax - xmin) / 8.0 END px, CASE WHEN parcel_id % 2 = 0 THEN y ELSE ymin + (ymax - ymin) * 5 / 12.0 END py, true AS inside FROM parcel", "parcel")
+def interior_points(t):
+    """Points within squares (their centre) and within L shapes, whose vertex mean lies outside them."""
+    x = t("parcel").withColumns({"w": F.col("xmax") - F.col("xmin"), "h": F.col("ymax") - F.col("ymin")})
+    at = lambda i, j: F.struct((F.col("xmin") + F.col("w") * i).cast("double").alias("x"), (F.col("ymin") + F.col("h") * j).cast("double").alias("y"))
+    ell = F.array(at(0, 0), at(1, 0), at(1, 0.25), at(0.25, 0.25), at(0.25, 1), at(0, 1), at(0, 0))
+    square = geo.box_polygon("xmin", "ymin", "xmax", "ymax")[0]
+    x = x.withColumn("polygon", F.array(F.when(F.col("parcel_id") % 2 == 0, square).otherwise(ell)))
+    p = geo.interior_point(F.col("polygon"))
+    return x.select("parcel_id", p["x"].alias("px"), p["y"].alias("py"), "polygon").withColumn("inside", geo.in_polygon(F.col("polygon"), F.col("px"), F.col("py")))
+
+
+@query("species:s, coverage:d, mae:d, pinball_p10:d, pinball_p90:d", """
+    WITH x AS (SELECT p_brand species, p_size y, 10.0 a, 25.0 b, 40.0 c FROM part)
+    SELECT species, avg(CASE WHEN y BETWEEN a AND c THEN 1.0 ELSE 0.0 END) coverage, avg(abs(y - b)) mae, avg(greatest(0.1 * (y - a), -0.9 * (y - a))) pinball_p10, avg(greatest(0.9 * (y - c), (0.9::DOUBLE - 1) * (y - c))) pinball_p90 FROM x GROUP BY 1""")
+def growth_scores(t):
+    x = t("part").selectExpr("p_brand AS species", "CAST(p_size AS DOUBLE) AS y", "10D AS p10", "25D AS p50", "40D AS p90")
+    return growth.scores(x, "y", "species")
+
+
+@query("species:s, n:l, oldest:l", """
+    WITH x AS (SELECT p_name species, 2021 - (1990 + l_orderkey % 35) age, l_quantity * 5 a, 1990 + l_orderkey % 35 y FROM lineitem JOIN part ON p_partkey = l_partkey)
+    SELECT species, count(*) n, max(age) oldest FROM x WHERE y BETWEEN 2003 AND 2020 AND age >= 3 AND a > 0 AND a <= 200 GROUP BY 1 HAVING count(*) >= 30""")
+def polygon_training(t):
+    x = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).selectExpr("p_name AS species", "1990 + l_orderkey % 35 AS year_planted", "l_quantity * 5 AS area_m2")
+    return growth.polygon_training_set(x).groupBy("species").agg(F.count("*").alias("n"), F.max("age").alias("oldest"))
+
+
+@query("lga_code:l, n:l, n_listed:l, n_priced:l", """
+    WITH c AS (SELECT lower(botanical_name) k FROM cost WHERE option_code LIKE 'backyard%' GROUP BY 1), p AS (SELECT lga_id lga_code, lower('Plant ' || lga_id) k FROM lga UNION ALL SELECT lga_id, (SELECT min(k) FROM c) FROM lga)
+    SELECT lga_code, 1 + (SELECT count(*) FROM c) n, 2 n_listed, (SELECT count(*) FROM c) n_priced FROM p GROUP BY 1""", "cost lga")
+def planting_catalogue(t):
+    first = t("cost").where("option_code like 'backyard%'").agg(F.min(F.lower("botanical_name")).alias("scientific_name"))
+    p = t("lga").selectExpr("lga_id AS lga_code", "concat('Plant ', lga_id) AS scientific_name").unionByName(t("lga").selectExpr("lga_id AS lga_code").join(F.broadcast(first), F.lit(True)))
+    x = species.planting_catalogue(p.withColumns({"popularity_rank": F.lit(1), "list_category": F.lit("available_now")}), t("cost"))
+    return x.groupBy("lga_code").agg(F.count("*").alias("n"), F.count("popularity_rank").alias("n_listed"), F.count("cost_sources").alias("n_priced"))
+
+
+@query("cell_id:l, source_type:s, is_proxy:b", "SELECT parcel_id cell_id, 'api_tile_proxy' source_type, true is_proxy FROM parcel WHERE parcel_id % 3 = 0", "parcel")
+def canopy_cells_of_a_kind(t):
+    cells = t("parcel").selectExpr("parcel_id AS cell_id", "IF(parcel_id % 3 = 0, 'tree', 'grass') AS vegetation_type", "xmin", "ymin", "xmax", "ymax")
+    return pipelines.canopy_baseline(cells, cells, "tree", "api_tile_proxy")[0]
+
+
+@query("parcel_id:l, status:s, canopy_m2:d", """
+    WITH i AS (SELECT parcel_id, count(*) n, count_if(value = 1) t FROM parcel p JOIN pixel x ON value <> 255 AND x.x BETWEEN xmin AND xmax AND x.y BETWEEN ymin AND ymax GROUP BY 1)
+    SELECT parcel_id, CASE WHEN parcel_id % 5 = 0 THEN 'passed' WHEN coalesce(n, 0) * 400 / area_m2 * 100 >= 95 THEN 'passed' ELSE 'failed' END status, CASE WHEN parcel_id % 5 = 0 THEN 7 WHEN coalesce(n, 0) * 400 / area_m2 * 100 >= 95 THEN round(t * 400.0, 2) END canopy_m2 FROM parcel LEFT JOIN i USING (parcel_id)""", "parcel pixel")
+def resumed_canopy(t):
+    done = t("parcel").where("parcel_id % 5 = 0").selectExpr("parcel_id", "100D AS coverage_pct", "7D AS canopy_m2", "1D AS canopy_pct", "'passed' AS status")
+    return pipelines.parcel_canopy_build(t("parcel"), t("pixel"), done, 400.0)[0]

@@ -37,7 +37,7 @@ def membership_evidence(clipped: DataFrame, rule: str) -> DataFrame:
 
 def quality_summary(reports: DataFrame, threshold: float = 95.0) -> DataFrame:
     """The overall row of each report, with whether it passes the gate."""
-    return reports.where("rule_code is null").select("dataset", "assessed", "passed", "pass_rate", (F.col("pass_rate") >= threshold).alias("passed_kpi_1_gate"))
+    return reports.where("rule_code is null").select("dataset", "assessed", "passed", "pass_rate", ((F.col("assessed") > 0) & (F.col("passed") / F.nullif("assessed", F.lit(0)) * 100 >= threshold)).alias("passed_kpi_1_gate"))
 
 
 def heat_baseline(heat: DataFrame, low: float = -50.0, high: float = 80.0) -> tuple[DataFrame, DataFrame]:
