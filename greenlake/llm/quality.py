@@ -93,7 +93,9 @@ def _descend(at, row, grades, penalty, w, theta, steps, tolerance=1e-3):
 def _flat(examples):
     """(features, their numbers by entry, examples by entry), of those that more than one and not all examples have."""
     at = np.concatenate(examples)
-    count = np.bincount(at, minlength=1 << BITS)
+    count = np.zeros(1 << BITS, np.int32)
+    for e in examples:
+        count[e] += 1  # an example's features are distinct
     some = np.nonzero((count > 1) & (count < len(examples)))[0]  # one alone can't be validated, what all have is the thresholds' part
     place = np.full(1 << BITS, -1, np.int32)
     place[some] = np.arange(len(some))
@@ -106,12 +108,28 @@ def _start(grades, levels):
     return np.maximum.accumulate(np.log((1 - share) / share) + np.arange(levels) * 1e-3)
 
 
+def _summed(at, row, values, size, step=1 << 18):
+    """The sum of ``values[row]`` for each feature, in steps that keep copies small."""
+    out = np.zeros(size)
+    for i in range(0, len(at), step):
+        out += np.bincount(at[i : i + step], values[row[i : i + step]], size)
+    return out
+
+
+def _scores(at, row, w, n, step=1 << 18):
+    """The sum of the weights of each example's features."""
+    out = np.zeros(n)
+    for i in range(0, len(at), step):
+        out += np.bincount(row[i : i + step], w[at[i : i + step]], n)
+    return out
+
+
 def _evidence(at, row, size, grades, levels):
     """For each feature, the most standard deviations by which the examples that have it depart from the share above a grade."""
-    total, most = np.bincount(at, minlength=size), np.full(size, 1e-3)
+    total, most = _summed(at, row, np.ones(len(grades)), size), np.full(size, 1e-3)
     for k in range(levels):
         share = np.clip((grades > k).mean(), 1e-3, 1 - 1e-3)
-        apart = np.bincount(at, (grades > k)[row], size) - total * share
+        apart = _summed(at, row, (grades > k).astype(float), size) - total * share
         most = np.maximum(most, np.abs(apart) / np.sqrt(np.maximum(total, 1) * share * (1 - share)))
     return most
 
@@ -125,8 +143,8 @@ def _path(at, row, size, grades, levels, shares, steps, relaxed):
     hard = 1 / _evidence(at, row, size, grades, levels)
     most = None
     for share in shares:
-        _, slope = _losses(np.bincount(row, w[at], n), theta, grades)
-        pull = np.abs(np.bincount(at, slope.sum(1)[row], size))
+        _, slope = _losses(_scores(at, row, w, n), theta, grades)
+        pull = np.abs(_summed(at, row, slope.sum(1), size))
         most = most or (pull / hard).max(initial=0)
         penalty = share * most * hard
         active = ((pull >= 0.8 * penalty) | (w != 0))[at]
@@ -135,18 +153,18 @@ def _path(at, row, size, grades, levels, shares, steps, relaxed):
         w = np.zeros(size)
         w[used] = found
         on = np.nonzero(w)[0]
-        place = np.full(size, -1)
+        place = np.full(size, -1, np.int32)
         place[on] = np.arange(len(on))
-        own = place[at]
-        yield on, *_descend(own[own >= 0], row[own >= 0], grades, relaxed * penalty[on], w[on], theta, steps)
+        kept = (w != 0)[at]
+        yield on, *_descend(place[at[kept]], row[kept], grades, relaxed * penalty[on], w[on], theta, steps)
 
 
 def fit_ordinal(examples: list[np.ndarray], grades: np.ndarray, folds: int = 3, penalties: int = 16, steps: int = 150, relaxed: float = 0.3):
     """Weights and ordered thresholds by L1-penalised maximum likelihood.
 
     The penalty is chosen on a falling path by cross-validation over ``folds`` parts (equal examples in one
-    part), so it follows from the sample at every size; the path ends where the validation loss has not
-    fallen five times in a row. Weights are refitted on their support with ``relaxed`` times the penalty.
+    part), so it follows from the sample at every size; a part's path ends where its validation loss has not
+    fallen five times in a row, and penalties that all parts have reached are compared. Weights are refitted on their support with ``relaxed`` times the penalty.
     """
     levels = int(grades.max()) if len(grades) else 0
     if not levels or len(set(grades.tolist())) < 2:
@@ -155,25 +173,20 @@ def fit_ordinal(examples: list[np.ndarray], grades: np.ndarray, folds: int = 3,
     size, n = len(some), len(examples)
     path = 0.7 ** np.arange(1, penalties + 1)
     part = np.array([zlib.crc32(e.tobytes()) % folds for e in examples])
-    ways, tests = [], []
-    for f in range(folds):
-        inner = part != f
-        if 0 < inner.sum() < n:
-            order, entries = np.cumsum(inner, dtype=np.int32) - 1, inner[row]
-            ways.append(_path(at[entries], order[row[entries]], size, grades[inner], levels, path, steps, relaxed))
-            tests.append(~inner)
-    losses: list[float] = []
-    for models in zip(*ways):
-        loss = 0.0
-        for (on, found, theta), outer in zip(models, tests):
+    losses = np.zeros(penalties)
+    for f in range(folds):  # one after the other, as each copies its part of the sample
+        inner, outer = part != f, part == f
+        if not 0 < inner.sum() < n:
+            continue
+        order, entries, own = np.cumsum(inner, dtype=np.int32) - 1, inner[row], []
+        for on, found, theta in _path(at[entries], order[row[entries]], size, grades[inner], levels, path, steps, relaxed):
             w = np.zeros(size)
             w[on] = found
-            loss += _losses(np.bincount(row, w[at], n)[outer], theta, grades[outer])[0] * outer.sum()
-        losses.append(loss)
-        if len(losses) - int(np.argmin(losses)) > 5:
-            break
-    del ways
-    best = int(np.argmin(losses)) + 1 if losses else penalties
+            own.append(_losses(_scores(at, row, w, n)[outer], theta, grades[outer])[0] * outer.sum())
+            if len(own) - int(np.argmin(own)) > 5:
+                break
+        losses = losses[: len(own)] + own[: len(losses)]
+    best = int(np.argmin(losses)) + 1 if losses.any() else penalties
     *_, (on, found, theta) = _path(at, row, size, grades, levels, path[:best], steps, relaxed)
     w = np.zeros(1 << BITS)
     w[some[on]] = found
