@@ -58,6 +58,17 @@ def cube_columns(t):
     return c.groupBy("lat").agg(F.count("*").alias("n"), F.count("t2m").alias("n_t2m"), F.count("tp").alias("n_tp"), F.count("u10").alias("n_wind"))
 
 
+@query("segment:s, kind:s, n:l, n_ids:l, longitudes:d", """
+    SELECT c_mktsegment segment, CASE WHEN c_custkey % 9 > 0 THEN 'Point' END kind, count(*) n, count(DISTINCT c_custkey) n_ids, sum(CASE WHEN c_custkey % 9 > 0 THEN 144 + c_custkey % 100 / 100.0 END) longitudes FROM customer GROUP BY 1, 2""")
+def feature_collections(t):
+    x = t("customer").selectExpr("c_custkey", "c_mktsegment", "CASE WHEN c_custkey % 9 > 0 THEN 144D + c_custkey % 100 / 100D END AS longitude", "-37.5D AS latitude")
+    out = scratch_path(x.sparkSession, "features") + ".geojson"
+    readers.write_vector(x.repartition(3, "c_custkey"), out)
+    f = readers.read_features(x.sparkSession, out)
+    lon = F.element_at(F.from_json("coordinates", "array<double>"), 1)
+    return f.groupBy(F.col("properties")["c_mktsegment"].alias("segment"), F.col("geometry_type").alias("kind")).agg(F.count("*").alias("n"), F.count_distinct(F.col("properties")["c_custkey"]).alias("n_ids"), F.sum(lon).alias("longitudes"))
+
+
 @query("selected:l, total:l, first_rows:l", "SELECT count_if(p_type IN ('STANDARD', 'ECONOMY')) selected, count(*) total, least(7, count_if(p_type IN ('STANDARD', 'ECONOMY'))) first_rows FROM part")
 def trait_selection(t):
     x, names = t("part").selectExpr("p_type AS trait_name", "p_partkey AS source_row_number"), ["STANDARD", "ECONOMY"]

@@ -83,9 +83,34 @@ def write_version(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version_id").parquet(path)
 
 
+def write_features(df: DataFrame, path: str, lon: str = "longitude", lat: str = "latitude") -> None:
+    """Point features: each file of the folder is one feature collection, written line by line from its partition."""
+    rest = [c for c in df.columns if c not in (lon, lat)]
+    there = F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    point = F.when(there, F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")))
+    kept = {"ignoreNullFields": "false"}
+    features = df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*rest).alias("properties"), point.alias("geometry")), kept).alias("value"))
+
+    def document(batches):
+        import pyarrow as pa
+
+        lines = lambda x: pa.RecordBatch.from_arrays([pa.array(x, pa.string())], names=["value"])
+        yield lines(['{"type":"FeatureCollection","features":['])
+        comma = ""
+        for batch in batches:
+            said = batch.column(0).to_pylist()
+            yield lines([("" if i else comma) + v + ("," if i + 1 < len(said) else "") for i, v in enumerate(said)])
+            comma = "," if said else comma
+        yield lines(["]}"])
+
+    features.mapInArrow(document, "value string").write.mode("overwrite").text(path)
+
+
 def write_vector(df: DataFrame, path: str) -> None:
-    """Parquet, or JSON lines for a path that ends so."""
-    if path.endswith((".json", ".geojson", ".jsonl")):
+    """Parquet, feature collections or JSON lines, by the path's ending."""
+    if path.endswith(".geojson"):
+        write_features(df, path)
+    elif path.endswith((".json", ".jsonl")):
         df.write.mode("overwrite").json(path)
     elif path.endswith(".parquet"):
         df.write.mode("overwrite").parquet(path)
