@@ -76,46 +76,47 @@ def polygon_area(polygon: Column) -> Column:
     return ring_area(polygon[0]) - holes
 
 
-def on_edge(polygon: Column, x: Column, y: Column) -> Column:
-    def touches(e):
-        a, b = e["a"], e["b"]
-        cross = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
-        return (
-            (cross == 0) & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
-        )
+def touches(e: Column, x: Column, y: Column) -> Column:
+    """Whether a point is on a side."""
+    a, b = e["a"], e["b"]
+    cross = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
+    return (cross == 0) & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
 
-    return F.exists(F.flatten(F.transform(polygon, _edges)), touches)
+
+def crosses(e: Column, x: Column, y: Column) -> Column:
+    """Whether a ray from a point to the right crosses a side, which holds its lower end and not its upper one."""
+    a, b = e["a"], e["b"]
+    return ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"])
 
 
 def in_polygon(polygon: Column, x, y) -> Column:
     """Even-odd ray cast over all rings, so holes are outside; the boundary is inside."""
-    x, y = col(x), col(y)
+    x, y, all_ = col(x), col(y), sides(polygon)
+    odd = F.aggregate(all_, F.lit(0), lambda n, e: n + crosses(e, x, y).cast("int")) % 2 == 1
+    return F.exists(all_, lambda e: touches(e, x, y)) | odd
 
-    def crosses(n, e):
-        a, b = e["a"], e["b"]
-        hit = ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"])
-        return n + hit.cast("int")
 
-    odd = F.aggregate(F.flatten(F.transform(polygon, _edges)), F.lit(0), crosses) % 2 == 1
-    return on_edge(polygon, x, y) | odd
+def sides(polygon: Column) -> Column:
+    """All rings' sides as structs (a, b)."""
+    return F.flatten(F.transform(polygon, _edges))
 
 
-def polygons_meet(p: Column, q: Column) -> Column:
-    """A vertex of one in the other, or two sides that cross."""
-    points = lambda poly: F.flatten(poly)
+def _hand(a: Column, b: Column, c: Column) -> Column:
+    return (b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"])
+
 
-    def side(a, b, c):
-        return (b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"])
+def sides_meet(e: Column, f: Column) -> Column:
+    """Whether two sides share a point."""
+    apart = (_hand(e["a"], e["b"], f["a"]) * _hand(e["a"], e["b"], f["b"]) < 0) & (_hand(f["a"], f["b"], e["a"]) * _hand(f["a"], f["b"], e["b"]) < 0)
+    ends = touches(e, f["a"]["x"], f["a"]["y"]) | touches(e, f["b"]["x"], f["b"]["y"]) | touches(f, e["a"]["x"], e["a"]["y"]) | touches(f, e["b"]["x"], e["b"]["y"])
+    return apart | ends
 
-    def cross(e):
-        return F.exists(
-            F.flatten(F.transform(q, _edges)),
-            lambda f: (side(e["a"], e["b"], f["a"]) * side(e["a"], e["b"], f["b"]) < 0) & (side(f["a"], f["b"], e["a"]) * side(f["a"], f["b"], e["b"]) < 0),
-        )
 
+def polygons_meet(p: Column, q: Column) -> Column:
+    """A vertex of one in the other, or two sides that meet."""
     return (
-        F.exists(points(p), lambda v: in_polygon(q, v["x"], v["y"])) | F.exists(points(q), lambda v: in_polygon(p, v["x"], v["y"]))
-        | F.exists(F.flatten(F.transform(p, _edges)), cross)
+        F.exists(F.flatten(p), lambda v: in_polygon(q, v["x"], v["y"])) | F.exists(F.flatten(q), lambda v: in_polygon(p, v["x"], v["y"]))
+        | F.exists(sides(p), lambda e: F.exists(sides(q), lambda f: sides_meet(e, f)))
     )
 
 
@@ -139,13 +140,6 @@ def circle(x, y, radius, sides: int = 24) -> Column:
     return F.array(ring)
 
 
-def clip_box_to_circle_bounds(xmin, ymin, xmax, ymax, x, y, radius) -> Column:
-    """The part of a box within the square around a circle, as a box polygon; null where they do not meet."""
-    x0, x1 = F.greatest(col(xmin), col(x) - col(radius)), F.least(col(xmax), col(x) + col(radius))
-    y0, y1 = F.greatest(col(ymin), col(y) - col(radius)), F.least(col(ymax), col(y) + col(radius))
-    return F.when((x0 < x1) & (y0 < y1), box_polygon(x0, y0, x1, y1))
-
-
 def clip_to_convex(ring: Column, clip: Column) -> Column:
     """A ring clipped by a convex counter-clockwise ring (Sutherland-Hodgman), closed; null when nothing is left."""
 

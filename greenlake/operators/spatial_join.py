@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenlake.functions import geo
+from greenlake.operators import polygon_tiles
 from greenlake.sources.scratch import written
 
 BUCKET = 1000.0
@@ -40,33 +41,64 @@ def subdivide(areas: DataFrame, size: float = BUCKET) -> DataFrame:
 
 
 def points_in_areas(points: DataFrame, areas: DataFrame, how: str = "inner", size: float = BUCKET, polygon: str | None = None) -> DataFrame:
-    """Points with the areas that hold them, boundary included: boxes, or polygons with a box around.
+    """Points with the areas that hold them, boundary included: boxes, or polygons with or without holes.
 
-    ``how`` is inner, left, left_semi or left_anti. Area columns must not clash with the points'.
+    ``how`` is inner, left, left_semi or left_anti. Area columns must not clash with the points'. Polygons are met
+    through their tile index, and are not part of the result.
     """
+    if polygon:
+        return points_in_tiles(points, polygon_tiles.polygon_tiles(areas, polygon, size), how, size)
     p = bucketed_points(points, size)
     a = bucketed_boxes(areas, size).withColumnsRenamed({"bx": "a_bx", "by": "a_by"})
     exact = geo.in_box(F.col("x"), F.col("y"), "xmin", "ymin", "xmax", "ymax")
-    if polygon:
-        exact = exact & geo.in_polygon(F.col(polygon), F.col("x"), F.col("y"))
     # A point on the far edge of a box is in a bucket that the box also covers, as both ends take the floor.
     out = p.join(a, (F.col("bx") == F.col("a_bx")) & (F.col("by") == F.col("a_by")) & exact, how)
     return out.drop("bx", "by", "a_bx", "a_by")
 
 
+def points_in_tiles(points: DataFrame, tiles: DataFrame, how: str = "inner", size: float = BUCKET) -> DataFrame:
+    """Points with the areas of a polygon tile index (built for the same ``size``) that hold them; a point meets an area in one tile only."""
+    t = polygon_tiles.bucketed_tiles(tiles, size).withColumnsRenamed({"bx": "a_bx", "by": "a_by"})
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    out = bucketed_points(points, size).join(t, (F.col("bx") == F.col("a_bx")) & (F.col("by") == F.col("a_by")) & polygon_tiles.in_tile(x, y), how)
+    return out.drop("bx", "by", "a_bx", "a_by", *(c for c in tiles.columns if c.startswith("tile_")))
+
+
+def polygons_meet_tiles(left: DataFrame, tiles: DataFrame, polygon: str, size: float = BUCKET) -> DataFrame:
+    """Rows of ``left`` (polygon and the box around it) that meet an area of a tile index, boundaries included; equal rows are kept once.
+
+    They meet where a vertex lies in a tile's part of the area, where two sides meet, or where the area lies within the polygon.
+    """
+    p = lambda s, a: F.struct(s[f"{a}x"].alias("x"), s[f"{a}y"].alias("y"))
+    sides = F.transform("tile_sides", lambda s: F.struct(p(s, "a").alias("a"), p(s, "b").alias("b")))
+    mine = F.col(polygon).cast(geo.POLYGON)
+    meets = (
+        F.exists(F.flatten(mine), lambda v: polygon_tiles.in_tile(v["x"], v["y"])) | F.exists(geo.sides(mine), lambda e: F.exists(sides, lambda f: geo.sides_meet(e, f)))
+        | F.exists(sides, lambda f: geo.in_polygon(mine, f["a"]["x"], f["a"]["y"]))
+    )
+    t = polygon_tiles.bucketed_tiles(tiles, size).withColumnsRenamed({"bx": "a_bx", "by": "a_by"})
+    x = bucketed_boxes(left, size).join(t, (F.col("bx") == F.col("a_bx")) & (F.col("by") == F.col("a_by")) & meets, "left_semi")
+    return x.drop("bx", "by").dropDuplicates()
+
+
 def areas_meet(left: DataFrame, right: DataFrame, how: str = "left_semi", size: float = BUCKET, polygons: tuple[str, str] | None = None) -> DataFrame:
-    """Areas of ``left`` that meet one of ``right``; right's columns are renamed with ``r_`` first."""
+    """Areas of ``left`` that meet one of ``right``; right's columns are renamed with ``r_`` first.
+
+    With ``polygons``, the names of both sides' polygons, the right side's are met through their tile index, and ``how`` must be left_semi.
+    """
+    if polygons:
+        if how != "left_semi":
+            raise ValueError("polygons are met by left_semi only")
+        return polygons_meet_tiles(left, polygon_tiles.polygon_tiles(right.select(polygons[1]), polygons[1], size), polygons[0], size)
     r = bucketed_boxes(right, size).toDF(*(f"r_{c}" for c in [*right.columns, "bx", "by"]))
     meet = (F.col("xmin") <= F.col("r_xmax")) & (F.col("xmax") >= F.col("r_xmin")) & (F.col("ymin") <= F.col("r_ymax")) & (F.col("ymax") >= F.col("r_ymin"))
-    if polygons:
-        meet = meet & geo.polygons_meet(F.col(polygons[0]), F.col(f"r_{polygons[1]}"))
     x = bucketed_boxes(left, size).join(r, (F.col("bx") == F.col("r_bx")) & (F.col("by") == F.col("r_by")) & meet, how)
     return x.drop("bx", "by", "r_bx", "r_by").dropDuplicates()
 
 
 def count_in_areas(areas: DataFrame, points: DataFrame, key: str, name: str = "n_points", size: float = BUCKET, polygon: str | None = None) -> DataFrame:
     """Every area with the number of points in it, 0 where none are."""
-    n = points_in_areas(points.select("x", "y"), areas.select(key, "xmin", "ymin", "xmax", "ymax", *([polygon] if polygon else [])), "inner", size, polygon).groupBy(key).agg(F.count("*").alias(name))
+    n = points_in_areas(points.select("x", "y"), areas.select(key, *([polygon] if polygon else ["xmin", "ymin", "xmax", "ymax"])), "inner", size, polygon).groupBy(key).agg(F.count("*").alias(name))
     return areas.join(n, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 

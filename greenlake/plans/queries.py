@@ -919,7 +919,7 @@ def stream_gated(spark, x, out):
 
 
 def registered() -> dict[str, Query]:
-    from greenlake.plans import more_queries  # noqa: F401  registers its own
+    from greenlake.plans import more_queries, spatial_queries  # noqa: F401  register their own
 
     return QUERIES
 
