@@ -155,7 +155,7 @@ def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius
     ``layers`` maps a name to a table of id with x, y, or with a box. Radius is within 0 and 2000, the limit
     within 1 and 2000. With a ``boundary`` of boxes, centres outside it have no rows.
     """
-    from greenlake.operators.spatial_join import boxes_within_radius, points_in_areas, top_k, within_radius
+    from greenlake.operators.spatial_join import near_pairs, points_in_areas, top_k
 
     if boundary is not None:
         inside = points_in_areas(centres.withColumns({"x": F.col("cx"), "y": F.col("cy")}), boundary.select("xmin", "ymin", "xmax", "ymax"), "left_semi")
@@ -164,12 +164,19 @@ def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius
         raise ValueError("radius must be within 0 and 2000 metres and limit within 1 and 2000")
     out = None
     for name, df in layers.items():
-        near = boxes_within_radius(centres, df, radius) if "xmin" in df.columns else within_radius(centres, df, radius)
+        near = near_pairs(centres, df, float(radius), limit)
         x = near.select("centre_id", F.lit(name).alias("layer"), F.col("id").cast("string").alias("id"), "distance_m")
         out = x if out is None else out.unionByName(x)
     return top_k(out, ["centre_id", "layer"], limit, "distance_m", "id")
 
 
+def named_trees_near(centres: DataFrame, trees: DataFrame, radius: float = 100.0, limit: int = 100) -> DataFrame:
+    """The nearest named trees (id, x, y and what else they have) of each centre, by distance and then id, with a rank and what is known of such lists."""
+    near = environment_context(centres, {"trees": trees.select("id", "x", "y")}, radius, limit)
+    x = near.select("centre_id", F.col("id").alias("_id"), F.round("distance_m", 2).alias("distance_m"), "rank").join(trees.withColumn("_id", F.col("id").cast("string")), "_id").drop("_id")
+    return x.withColumns({"status": F.lit("observed_council_inventory"), "limitation": F.lit("public trees only; fields and dates differ by council")})
+
+
 def context_by_address(requests: DataFrame, addresses: DataFrame, layers: dict[str, DataFrame], radius: float, limit: int) -> tuple[DataFrame, DataFrame]:
     """What is around the address that each request resolves to, and the state of each request."""
     found = resolve(requests, addresses)

@@ -6,12 +6,14 @@ aggregates at most, plus one shuffle for each uniqueness rule.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from greenlake.functions.text import blank
+from greenlake.sources.scratch import scratch_path, written
 
 DECIMAL = "decimal(38,10)"
 
@@ -53,39 +55,34 @@ def _fails(rule: dict, df: DataFrame) -> Column:
     raise ValueError(f"Unsupported quality rule type: {kind}")
 
 
-def with_failures(df: DataFrame, rules: Sequence[dict]) -> DataFrame:
+def with_failures(df: DataFrame, rules: Sequence[dict], store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``df`` with a boolean column ``_fail_i`` for each rule and ``_failed`` for any of them.
 
     A uniqueness rule fails every member of a group of equal keys; a key with a blank part is left out.
-    Its counts are aggregated before they are joined back, so a very common key is never gathered.
+    Its counts are aggregated before they are joined back, so a very common key is never gathered. ``store`` is given the
+    rows with the other rules' columns before that, so that counting and joining read what it returns and not the source twice.
     """
-    out = df
-    for i, rule in enumerate(rules):
-        name = f"_fail_{i}"
-        if rule["type"] != "unique":
-            out = out.withColumn(name, _fails(rule, df))
-            continue
-        keys = [f"_key_{i}_{j}" for j in range(len(rule["fields"]))]
+    alone = [(i, r) for i, r in enumerate(rules) if r["type"] != "unique"]
+    shared = [(i, r, [f"_key_{i}_{j}" for j in range(len(r["fields"]))]) for i, r in enumerate(rules) if r["type"] == "unique"]
+    out = df.withColumns({f"_fail_{i}": _fails(r, df) for i, r in alone}) if alone else df
+    for _, rule, keys in shared:
         out = out.withColumns({k: F.when(~blank(f), _key(f, df)) for k, f in zip(keys, rule["fields"])})
+    out = store(out) if store and shared else out
+    for i, _, keys in shared:
         whole = F.expr(" and ".join(f"{k} is not null" for k in keys))
-        twice = out.where(whole).groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys, F.lit(True).alias(name))
-        out = out.join(twice, keys, "left").withColumn(name, F.coalesce(name, F.lit(False))).drop(*keys)
+        twice = out.where(whole).groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys, F.lit(True).alias(f"_fail_{i}"))
+        out = out.join(twice, keys, "left").withColumn(f"_fail_{i}", F.coalesce(f"_fail_{i}", F.lit(False))).drop(*keys)
     names = [f"_fail_{i}" for i in range(len(rules))]
     return out.withColumn("_failed", F.greatest(*names, F.lit(False), F.lit(False)) if names else F.lit(False))
 
 
-def validate(df: DataFrame, rules: Sequence[dict], dataset: str, threshold: float = 95.0) -> DataFrame:
-    """One row for each rule and one, with a null rule, for the records as a whole.
+def _counts(rules: Sequence[dict]) -> list[Column]:
+    return [F.count("*").alias("assessed"), *(F.count_if(f"_fail_{i}").alias(f"f{i}") for i in range(len(rules))), F.count_if("_failed").alias("f_all")]
 
-    Columns: dataset, rule_code, rule_type, assessed, passed, failed, pass_rate (two digits) and
-    passed_gate, which compares the unrounded rate and is false for an empty table.
-    """
+
+def _report(counts: DataFrame, rules: Sequence[dict], dataset: str, threshold: float) -> DataFrame:
     if not 0 <= threshold <= 100:
         raise ValueError("threshold must be between 0 and 100")
-    marked = with_failures(df, rules)
-    counts = marked.agg(
-        F.count("*").alias("assessed"), *(F.count_if(f"_fail_{i}").alias(f"f{i}") for i in range(len(rules))), F.count_if("_failed").alias("f_all")
-    )
     rows = [F.struct(F.lit(r["code"]).alias("rule_code"), F.lit(r["type"]).alias("rule_type"), F.col(f"f{i}").alias("failed")) for i, r in enumerate(rules)]
     rows.append(F.struct(F.lit(None).cast("string").alias("rule_code"), F.lit("all").alias("rule_type"), F.col("f_all").alias("failed")))
     x = counts.select("assessed", F.inline(F.array(*rows)))
@@ -96,11 +93,49 @@ def validate(df: DataFrame, rules: Sequence[dict], dataset: str, threshold: floa
     )
 
 
+def validate(df: DataFrame, rules: Sequence[dict], dataset: str, threshold: float = 95.0) -> DataFrame:
+    """One row for each rule and one, with a null rule, for the records as a whole.
+
+    Columns: dataset, rule_code, rule_type, assessed, passed, failed, pass_rate (two digits) and
+    passed_gate, which compares the unrounded rate and is false for an empty table.
+    """
+    return _report(with_failures(df, rules).agg(*_counts(rules)), rules, dataset, threshold)
+
+
+@dataclass(frozen=True)
+class Judged:
+    """Rows that were judged in one pass: ``marked`` is stored, with the columns of :func:`with_failures`."""
+
+    marked: DataFrame
+    columns: list[str]
+    report: DataFrame
+    passed: bool
+
+    def kept(self) -> DataFrame:
+        """The passing records when the data set passes its gate, else none."""
+        return self.marked.where(~F.col("_failed") if self.passed else F.lit(False)).select(*self.columns)
+
+
+def judge(df: DataFrame, rules: Sequence[dict], dataset: str, threshold: float = 95.0) -> Judged:
+    """Mark, count and store rows in one pass over ``df``; report, gate and kept rows then follow from what is stored.
+
+    The counts are observed by the tasks that write the marked rows; a task that is run again is counted once.
+    """
+    spark, seen = df.sparkSession, Observation()
+    marked = with_failures(df, rules, lambda rows: written(rows, "rows"))
+    path = scratch_path(spark, "marked")
+    marked.observe(seen, *_counts(rules)).write.parquet(path)
+    got = seen.get
+    names = ["assessed", *(f"f{i}" for i in range(len(rules))), "f_all"]
+    counts = spark.createDataFrame([tuple(got[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+    report = _report(counts, rules, dataset, threshold)
+    passed = got["assessed"] > 0 and (got["assessed"] - got["f_all"]) / got["assessed"] * 100 >= threshold
+    return Judged(spark.read.schema(marked.schema).parquet(path), df.columns, report, passed)
+
+
 def gate(df: DataFrame, rules: Sequence[dict], threshold: float = 95.0) -> DataFrame:
     """The passing records when the data set passes its gate, else none."""
-    marked = with_failures(df, rules)
-    rate = marked.agg((F.count_if(~F.col("_failed")) / F.nullif(F.count("*"), F.lit(0)) * 100).alias("_rate"))
-    return marked.where("not _failed").join(F.broadcast(rate.where(F.col("_rate") >= threshold)), F.lit(True)).select(*df.columns)
+    return judge(df, rules, "", threshold).kept()
 
 
 def evidence(df: DataFrame, rules: Sequence[dict], id_col: str, samples: int = 20) -> DataFrame:

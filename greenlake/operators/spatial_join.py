@@ -125,6 +125,56 @@ def boxes_within_radius(centres: DataFrame, boxes: DataFrame, radius: float, siz
     return x.withColumn("distance_m", d).drop("bx", "by", "c_bx", "c_by", "c_x0", "c_x1", "c_y0", "c_y1")
 
 
+#: Halvings of the radius down to which buckets are counted for :func:`near_pairs`; of boxes fewer, as they stand in each bucket they touch.
+POINT_LEVELS, BOX_LEVELS = 10, 3
+
+
+def near_pairs(centres: DataFrame, things: DataFrame, radius: float, k: int) -> DataFrame:
+    """Pairs of centres (centre_id, cx, cy) and things (id, and x, y or a box) with their distance: at least each centre's ``k`` nearest within the radius.
+
+    Things are counted in buckets of the radius, its half, its quarter and so on. A bucket with ``k`` things around a centre
+    proves that the k nearest are no further than its diagonal; the finest such bucket sets how far, and by buckets of which size,
+    a centre is searched. Where things are dense, pairs within the whole radius are therefore never made, and the k nearest, with all
+    that are as far as the last of them, always are.
+    """
+    boxes = "xmin" in things.columns
+    levels = BOX_LEVELS if boxes else POINT_LEVELS
+    span = ("xmin", "ymin", "xmax", "ymax") if boxes else ("x", "y", "x", "y")
+    t = things.select("id", *(F.col(c).cast("double").alias(n) for c, n in zip(span, ("x0", "y0", "x1", "y1")))).where("x0 is not null and y0 is not null and x1 is not null and y1 is not null")
+    c = centres.select("centre_id", F.col("cx").cast("double").alias("cx"), F.col("cy").cast("double").alias("cy")).where("cx is not null and cy is not null")
+    finest = radius / 2**levels
+    size = lambda level: F.lit(radius) / F.pow(F.lit(2.0), level)
+    at = lambda v, level: F.floor(v / size(level)).cast("long")
+    # Counts of the middle points: bottom up, so that all but the finest are sums of a few.
+    n = t.select(_bucket((F.col("x0") + F.col("x1")) / 2, finest).alias("fx"), _bucket((F.col("y0") + F.col("y1")) / 2, finest).alias("fy")).groupBy("fx", "fy").agg(F.count("*").alias("n"))
+    n = n.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    up = lambda v: F.floor(F.col(v) / F.pow(F.lit(2.0), levels - F.col("level"))).cast("long")
+    full = n.groupBy("level", up("fx").alias("bx"), up("fy").alias("by")).agg(F.sum("n").alias("n")).where(F.col("n") >= k).select("level", "bx", "by")
+    own = c.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    own = own.withColumns({"bx": _up_from(finest, F.col("cx"), levels), "by": _up_from(finest, F.col("cy"), levels)}).join(full, ["level", "bx", "by"])
+    best = own.groupBy("centre_id", "cx", "cy").agg(F.max("level").alias("best"))
+    c = c.join(best, ["centre_id", "cx", "cy"], "left")
+    reach = F.least(F.lit(float(radius)), F.coalesce(size(F.col("best")) * math.sqrt(2) * (1 + 1e-9), F.lit(float(radius))))
+    # Twice the proven bucket's size is more than its diagonal, so the search touches three buckets a side at most.
+    c = c.withColumns({"reach": reach, "level": F.greatest(F.coalesce(F.col("best"), F.lit(0)) - 1, F.lit(0))})
+    used = [r[0] for r in c.select("level").distinct().collect()]  # one for each level at most
+    low = {"lx": at(F.col("cx") - F.col("reach"), F.col("level")), "ly": at(F.col("cy") - F.col("reach"), F.col("level"))}
+    c = c.withColumns(low).withColumn("bx", F.explode(F.sequence("lx", at(F.col("cx") + F.col("reach"), F.col("level")))))
+    c = c.withColumn("by", F.explode(F.sequence("ly", at(F.col("cy") + F.col("reach"), F.col("level")))))
+    t = t.withColumn("level", F.explode(F.array(*map(F.lit, sorted(used))) if used else F.array().cast("array<int>")))
+    t = t.withColumns({"tx": at(F.col("x0"), F.col("level")), "ty": at(F.col("y0"), F.col("level"))})
+    t = t.withColumn("bx", F.explode(F.sequence("tx", at(F.col("x1"), F.col("level"))))).withColumn("by", F.explode(F.sequence("ty", at(F.col("y1"), F.col("level")))))
+    d = geo.distance_to_box("cx", "cy", "x0", "y0", "x1", "y1")
+    # A pair that shares several buckets counts in the first.
+    first = (F.col("bx") == F.greatest("lx", "tx")) & (F.col("by") == F.greatest("ly", "ty"))
+    return c.join(t, ["level", "bx", "by"]).where(first & (d <= F.col("reach"))).select("centre_id", "id", d.alias("distance_m"))
+
+
+def _up_from(finest: float, v: Column, levels: int) -> Column:
+    """A value's bucket at ``level``, by way of its finest bucket, so that counts and places agree to the last bit."""
+    return F.floor(_bucket(v, finest) / F.pow(F.lit(2.0), levels - F.col("level"))).cast("long")
+
+
 def top_k(pairs: DataFrame, by: list[str], k: int, *order) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(*order)
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

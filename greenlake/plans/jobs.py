@@ -12,7 +12,7 @@ from greenlake.functions import geo
 from greenlake.operators import grid, raster
 from greenlake.operators.quality_rules import RULES
 from greenlake.plans import pipelines
-from greenlake.sources import inventories, readers
+from greenlake.sources import inventories, publish, readers
 
 
 def _placed(df: DataFrame) -> DataFrame:
@@ -100,13 +100,14 @@ def run_job(name: str, rows: DataFrame, version_id: str, boundary: DataFrame | N
     """Facts of a new version and the quality report of its rows.
 
     Rows that fail a rule are left out, and all are where too few pass. With a ``boundary`` of boxes, points outside it
-    go too. With ``out`` both are written below it: facts by version, so that a repeated run replaces only its own.
+    go too. With ``out`` both are published below it; a run of the same job and version that was published already adds nothing.
     """
     job = JOBS[name]
     x = job.normalise(rows, **more)
     x = _placed(x) if job.placed else x
     facts, report = pipelines.ingest(x, RULES[job.rules], name, version_id, boundary if job.placed else None, threshold)
     if out:
-        readers.write_version(facts, f"{out}/facts/{name}")
-        readers.write_version(report, f"{out}/quality/{name}")
+        run = [{"run_id": f"{name}|{version_id}", "version_id": version_id}]
+        publish.publish(facts, f"{out}/facts/{name}", run)
+        publish.publish(report, f"{out}/quality/{name}", run)
     return facts, report

@@ -11,18 +11,19 @@ from greenlake.functions import classify, geo, text
 from greenlake.operators import growth, linkage, property, quality, raster, scenarios, spatial_join, species, versions
 from greenlake.plans import jobs, pipelines
 from greenlake.plans.queries import query
-from greenlake.sources import inventories, readers
+from greenlake.sources import inventories, publish, readers
 from greenlake.sources.scratch import scratch_path
 
 # -- readers and writers --------------------------------------------------------------------------------------------
 
 
-@query("row:l, s_suppkey:l, s_name:s", "SELECT row_number() OVER (ORDER BY s_suppkey) + 1 AS row, s_suppkey, s_name FROM supplier")
+@query("row:l, s_suppkey:l, s_name:s", "SELECT row_number() OVER (ORDER BY s_suppkey % 7, s_suppkey) + 1 AS row, s_suppkey, s_name FROM supplier")
 def csv_row_numbers(t):
-    x = t("supplier").selectExpr("CAST(s_suppkey AS STRING) AS s_suppkey", "s_name").orderBy("s_suppkey")
+    """Seven files of different sizes, numbered in the order of their names."""
+    x = t("supplier").selectExpr("CAST(s_suppkey AS STRING) AS s_suppkey", "s_name", "s_suppkey % 7 AS part")
     out = scratch_path(x.sparkSession, "csv")
-    x.orderBy(F.col("s_suppkey").cast("long")).coalesce(1).write.csv(out, header=True)
-    return readers.read_csv(x.sparkSession, out, "s_suppkey string, s_name string", "row")
+    x.repartition(1).sortWithinPartitions("part", F.col("s_suppkey").cast("long")).write.partitionBy("part").csv(out, header=True)
+    return readers.read_csv(x.sparkSession, f"{out}/part=*", "s_suppkey string, s_name string", "row")
 
 
 @query("p_type:s, n:l, total:d", "SELECT p_type, count(*) n, sum(p_retailprice) total FROM part GROUP BY 1")
@@ -37,18 +38,33 @@ def json_lines(t):
 def version_folders(t):
     x = t("orders").selectExpr("o_orderkey % 5 AS version_id", "o_orderkey", "'first' AS kind")
     out = scratch_path(x.sparkSession, "versions")
-    readers.write_version(x, out)
-    readers.write_version(x.where("version_id = 3").withColumn("kind", F.lit("second")), out)
-    return x.sparkSession.read.parquet(out).groupBy("version_id", "kind").agg(F.count("*").alias("n"))
-
-
-@query("n_files:l, n_digests:l, n_combined:l", "SELECT 5 n_files, 5 n_digests, 1 n_combined FROM (SELECT count(*) FROM region)")
+    publish.publish(x, out)
+    publish.publish(x.where("version_id = 3").withColumn("kind", F.lit("second")), out)
+    publish.stage(x.where("version_id = 2"), out)  # staged and never committed
+    return publish.read_published(x.sparkSession, out).groupBy("version_id", "kind").agg(F.count("*").alias("n"))
+
+
+@query("run_id:s, version_id:l, number:l, rows:l", "SELECT 'run-' || o_orderkey % 4 run_id, o_orderkey % 4 version_id, o_orderkey % 4 + 1 AS number, count(*) AS rows FROM orders GROUP BY ALL")
+def published_runs(t):
+    """Four runs, each made twice; the second time adds neither rows nor a run."""
+    x = t("orders").selectExpr("o_orderkey % 4 AS version_id", "o_orderkey")
+    out = scratch_path(x.sparkSession, "runs")
+    counts = {r["version_id"]: r["n"] for r in x.groupBy("version_id").agg(F.count("*").alias("n")).collect()}
+    for v in [*range(4), *range(4)]:
+        publish.publish(x.where(F.col("version_id") == v), out, [{"run_id": f"run-{v}", "version_id": str(v), "rows": counts.get(v, 0)}])
+    stored = publish.read_published(x.sparkSession, out).groupBy("version_id").agg(F.count("*").alias("rows"))
+    runs = publish.published_runs(x.sparkSession, out).select("run_id", F.col("version_id").cast("long").alias("version_id"), "number")
+    return runs.join(stored, "version_id")
+
+
+@query("sha256:s, n_combined:l", """SELECT sha256('{"r_regionkey":' || r_regionkey || ',"r_name":"' || r_name || '"}' || chr(10)) sha256, 1 n_combined FROM region""")
 def file_digests(t):
-    x = t("region")
+    """A file for each region; digests of what must stand in them."""
+    x = t("region").select("r_regionkey", "r_name")
     out = scratch_path(x.sparkSession, "files")
-    x.select("r_regionkey", "r_name").repartitionByRange(5, "r_regionkey").write.json(out)
-    d = readers.file_digests(x.sparkSession, f"{out}/part-*")
-    return d.agg(F.count("*").alias("n_files"), F.count_distinct("sha256").alias("n_digests"), F.count_distinct("combined_sha256").alias("n_combined"))
+    x.withColumn("part", F.col("r_regionkey")).repartition(1).write.partitionBy("part").json(out)
+    d = readers.file_digests(x.sparkSession, f"{out}/part=*/part-*")
+    return d.withColumn("n_combined", F.lit(d.select("combined_sha256").distinct().count()))
 
 
 @query("lat:l, n:l, n_t2m:l, n_tp:l, n_wind:l", "SELECT user_id % 5 lat, count(*) n, count_if(event_id % 7 <> 0) n_t2m, count(*) n_tp, 0 n_wind FROM events GROUP BY 1")

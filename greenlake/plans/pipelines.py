@@ -12,11 +12,12 @@ from greenlake.operators import grid, quality, raster, spatial_join, versions
 
 
 def ingest(rows: DataFrame, rules: Sequence[dict], dataset: str, version_id: str, boundary: DataFrame | None = None, threshold: float = 95.0) -> tuple[DataFrame, DataFrame]:
-    """Facts of a new version and its quality report: the passing rows, within the boundary where there is one, or none."""
-    kept = quality.gate(rows, rules, threshold)
+    """Facts of a new version and its quality report: the passing rows, within the boundary where there is one, or none. ``rows`` are read once."""
+    judged = quality.judge(rows, rules, dataset, threshold)
+    kept = judged.kept()
     if boundary is not None:
         kept = spatial_join.points_in_areas(kept, boundary, "left_semi")
-    return kept.withColumn("version_id", F.lit(version_id)), quality.validate(rows, rules, dataset, threshold).withColumn("version_id", F.lit(version_id))
+    return kept.withColumn("version_id", F.lit(version_id)), judged.report.withColumn("version_id", F.lit(version_id))
 
 
 def clip(facts: DataFrame, boundary: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:

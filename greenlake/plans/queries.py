@@ -889,12 +889,23 @@ def _stream(name: str, sql: str, columns: str):
 
 @_stream("stream_latest", "SELECT CAST(user_id % 40 AS VARCHAR) station_code, max(event_id) event_id FROM events e WHERE ts = (SELECT max(ts) FROM events g WHERE g.user_id % 40 = e.user_id % 40) GROUP BY 1", "station_code:s, event_id:l")
 def stream_latest(spark, x, out):
-    q = weather_stream.without_repeats(weather_stream.timely(x)).writeStream.foreachBatch(weather_stream.latest_state(f"{out}/state"))
-    q = q.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
+    with weather_stream.rocksdb_state(spark):
+        q = weather_stream.newest(x.where(F.col("observed_at") <= F.current_timestamp())).writeStream.outputMode("update").foreachBatch(weather_stream.changes(f"{out}/state"))
+        q.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return weather_stream.newest_state(spark, f"{out}/state")
 
 
+@_stream("stream_days_closed", """
+    WITH x AS (SELECT DISTINCT ON (user_id % 40, ts) user_id % 40 s, ts, value / 10 v FROM events)
+    SELECT CAST(s AS VARCHAR) station_code, CAST(ts AS DATE) observed_on, avg(v) mean_c, min(v) min_c, max(v) max_c, count(*) n FROM x
+    WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 3 HOUR FROM events) GROUP BY ALL""", "station_code:s, observed_on:t, mean_c:d, min_c:d, max_c:d, n:l")
+def stream_days_closed(spark, x, out):
+    """Days past the watermark only, each written once."""
+    days = weather_stream.daily(weather_stream.without_repeats(weather_stream.timely(x))).writeStream.outputMode("append").format("parquet")
+    days.option("path", f"{out}/days").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/days")
+
+
 @_stream("stream_daily", """
     WITH x AS (SELECT DISTINCT ON (user_id % 40, ts) user_id % 40 s, ts, value / 10 v FROM events)
     SELECT CAST(s AS VARCHAR) station_code, CAST(ts AS DATE) observed_on, avg(v) mean_c, min(v) min_c, max(v) max_c, count(*) n FROM x GROUP BY ALL""", "station_code:s, observed_on:t, mean_c:d, min_c:d, max_c:d, n:l")

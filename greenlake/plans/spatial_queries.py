@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenlake.functions import geo
-from greenlake.operators import polygon_tiles, spatial_join
+from greenlake.operators import polygon_tiles, property, spatial_join
 from greenlake.plans.adapters import TABLES
 from greenlake.plans.queries import query
 
@@ -103,3 +103,16 @@ def district_tiles(t):
     d = _districts(t)
     tiles = polygon_tiles.clipped(polygon_tiles.polygon_tiles(d, "polygon", 2000.0), d, "polygon", "district_id")
     return tiles.groupBy("district_id").agg(F.round(F.sum("tile_area_m2"), 3).alias("area_m2"))
+
+
+@query("centre_id:l, scientific_name:s, common_name:s, distance_m:d, rank:l", """
+    WITH t AS (SELECT x * 100000 + y AS id, x, y, any_value(scientific_name ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) scientific_name, any_value(common_name ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) common_name FROM tree GROUP BY x, y)
+    SELECT parcel_id centre_id, scientific_name, common_name, round(sqrt((t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y)), 2) distance_m,
+           row_number() OVER (PARTITION BY parcel_id ORDER BY sqrt((t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y)), CAST(id AS VARCHAR)) rank
+    FROM parcel p JOIN t ON t.x BETWEEN p.x - 800 AND p.x + 800 AND t.y BETWEEN p.y - 800 AND p.y + 800 AND (t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y) <= 640000
+    QUALIFY rank <= 3""", "parcel tree")
+def named_trees_near(t):
+    """One tree for each place, the first of those that stand there."""
+    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    trees = t("tree").groupBy("x", "y").agg(F.min_by(F.struct("scientific_name", "common_name"), order).alias("n")).selectExpr("x * 100000 + y AS id", "x", "y", "n.*")
+    return property.named_trees_near(t("parcel").selectExpr("parcel_id AS centre_id", "x AS cx", "y AS cy"), trees, 800.0, 3)

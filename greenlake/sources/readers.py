@@ -33,21 +33,25 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None, row_number: str | None = None) -> DataFrame:
-    """CSV with a header; with ``row_number`` the rows are numbered from 2 in file order."""
-    df = spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
-    if df.columns and df.columns[0].startswith("﻿"):
-        df = df.withColumnRenamed(df.columns[0], df.columns[0].lstrip("﻿"))
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, row_number: str | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with a header; with ``row_number`` the rows are numbered from 2, files in the order of their paths.
+
+    A value may hold line ends unless ``multi_line`` is off; large files are then read by several tasks.
+    """
+    df = spark.read.csv(path, header=True, schema=schema, multiLine=multi_line, escape='"')
+    bom = "\ufeff"
+    if df.columns and df.columns[0].startswith(bom):
+        df = df.withColumnRenamed(df.columns[0], df.columns[0].lstrip(bom))
     if row_number is None:
         return df
-    # Numbering needs each partition's size only; one count for each goes through the driver.
-    at = df.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
-    before, starts = 0, []
-    for part, n in sorted((r["_part"], r["count"]) for r in at.groupBy("_part").count().collect()):
-        starts.append((part, before))
-        before += n
-    starts = spark.createDataFrame(starts, "_part int, _before bigint")
-    return at.join(F.broadcast(starts), "_part").withColumn(row_number, F.col("_before") + F.col("_at") + 2).select(*df.columns, row_number)
+    # Numbering needs each block's place and size only; one row for each block of a file goes through the driver.
+    at = df.withColumns({"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()})
+    before, starts = 2, []
+    for r in sorted(at.groupBy("_file", "_block").agg(F.min("_at").alias("low"), F.count("*").alias("n")).collect()):
+        starts.append((r["_file"], r["_block"], before - r["low"]))
+        before += r["n"]
+    starts = spark.createDataFrame(starts, "_file string, _block bigint, _shift bigint")
+    return at.join(F.broadcast(starts), ["_file", "_block"]).withColumn(row_number, F.col("_at") + F.col("_shift")).select(*df.columns, row_number)
 
 
 def select_traits(df: DataFrame, names: list[str], maximum: int | None = None) -> DataFrame:
@@ -78,11 +82,6 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*(F.when(~F.isnan(c), F.col(c)).alias(c) if k in ("double", "float") else F.col(c) for c, k in df.dtypes))
 
 
-def write_version(df: DataFrame, path: str) -> None:
-    """Append facts under their version's folder; a version that is written again replaces only itself."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version_id").parquet(path)
-
-
 def write_features(df: DataFrame, path: str, lon: str = "longitude", lat: str = "latitude") -> None:
     """Point features: each file of the folder is one feature collection, written line by line from its partition."""
     rest = [c for c in df.columns if c not in (lon, lat)]

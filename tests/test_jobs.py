@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from greenlake.operators import growth, property, species, versions
 from greenlake.plans import jobs
-from greenlake.sources import readers, scratch
+from greenlake.sources import publish, readers, scratch
 
 
 def one(spark, **columns):
@@ -42,10 +42,10 @@ def test_every_job_keeps_a_good_row(spark, tmp_path):
         facts, report = jobs.run_job(name, rows, "v1", out=str(tmp_path))
         said = [(r["rule_code"], r["failed"]) for r in report.collect() if r["failed"]]
         assert not said and facts.count() == 1 and facts.first()["version_id"] == "v1", (name, said)
-    kept = spark.read.parquet(f"{tmp_path}/facts/weather")
-    assert kept.count() == 1
-    jobs.run_job("weather", feeds(spark)["weather"], "v1", out=str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/facts/weather").count() == 1
+    for version in ("v1", "v1", "v2"):
+        jobs.run_job("weather", feeds(spark)["weather"], version, out=str(tmp_path))
+    assert publish.read_published(spark, f"{tmp_path}/facts/weather").count() == 2
+    assert publish.published_runs(spark, f"{tmp_path}/quality/weather").count() == 2
 
 
 def test_jobs_with_more_inputs(spark):

@@ -80,3 +80,20 @@ def test_more_normalisers(spark):
     assert (str(c[0]), c[1], c[2]) in (("12.35", None, True), ("12.34", None, True))
     ch = inventories.normalise_change(spark.createDataFrame([({"Tree Change": "1.5", "MMB Unique": "4"}, "g"), ({"a": "b"}, "g")], "properties map<string,string>, geometry string"), {"tree_change_pct_points": ("tree_change",)})
     assert rows(ch, "has_change_measure", "tree_change_pct_points") == [(False, None), (True, 1.5)]
+
+
+def test_ingest_reads_its_source_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    x = spark.range(1000).selectExpr("CAST(id % 990 AS STRING) AS id", "CAST(id AS DOUBLE) AS x", "CAST(id AS DOUBLE) AS y").mapInPandas(counted, "id string, x double, y double")
+    box = spark.createDataFrame([(0.0, 0.0, 500.0, 500.0)], "xmin double, ymin double, xmax double, ymax double")
+    rules = [{"code": "U", "type": "unique", "fields": ["id"]}, {"code": "R", "type": "range", "field": "x", "maximum": 995}, {"code": "Q", "type": "required", "fields": ["id"]}]
+    facts, report = pipelines.ingest(x, rules, "points", "v1", box)
+    assert facts.count() == 491 and facts.where("x > 500").count() == 0
+    assert {(r["rule_code"], r["failed"]) for r in report.collect()} == {("U", 20), ("R", 4), ("Q", 0), (None, 20)}
+    assert seen.value == 1000

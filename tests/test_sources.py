@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from greenlake.sources import inventories, readers
+from greenlake.sources import inventories, publish, readers
 
 
 def features(spark, properties):
@@ -57,9 +57,9 @@ def test_files(spark, tmp_path):
     t = inventories.normalise_urban_tree(x).collect()
     assert len(t) == 1 and t[0]["canopy_radius_m"] is None and t[0]["height_m"] == 5
     v = df.withColumn("version_id", F.lit("v1"))
-    readers.write_version(v, str(tmp_path / "facts"))
-    readers.write_version(v.withColumn("version_id", F.lit("v2")), str(tmp_path / "facts"))
-    assert spark.read.parquet(str(tmp_path / "facts")).count() == 4
+    publish.publish(v, str(tmp_path / "facts"))
+    publish.publish(v.withColumn("version_id", F.lit("v2")), str(tmp_path / "facts"))
+    assert publish.read_published(spark, str(tmp_path / "facts")).count() == 4
     with pytest.raises(ValueError):
         readers.write_vector(df, str(tmp_path / "x.shp"))
     cube = readers.resolve_cube(spark.sql("SELECT 1D latitude, 2D longitude, timestamp'2024-01-01' valid_time, 280D t2m")).first()
@@ -70,3 +70,17 @@ def test_tiles(spark):
     t = inventories.tiles_of(spark, 0, 0, 25, 10, 10)
     assert t.count() == 3 and t.agg(F.max("xmax")).first()[0] == 25
     assert inventories.split_tiles(t).count() == 12
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_rows_of_several_files_are_numbered_in_file_order(spark, tmp_path, multi_line):
+    sizes = [3, 5000, 50]
+    for i, n in enumerate(sizes):
+        (tmp_path / f"{i}.csv").write_text("id,said\n" + "".join(f"{i}-{k},some words to fill the line\n" for k in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # the second file is read by several tasks
+    try:
+        rows = readers.read_csv(spark, str(tmp_path), "id string, said string", "row", multi_line).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    names = [f"{i}-{k}" for i, n in enumerate(sizes) for k in range(n)]
+    assert sorted((r["row"], r["id"]) for r in rows) == [(k + 2, name) for k, name in enumerate(names)]
