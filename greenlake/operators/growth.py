@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from greenlake.operators import linkage
+
 # Quantiles, bounds of measures, head starts of nursery sizes in years, and mature age labels.
 QUANTILES = (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))
 MOST = {"width_m": 30.0, "height_m": 50.0, "dbh_cm": 500.0}
@@ -207,11 +209,9 @@ def fill_from_profile(requests: DataFrame, trees: DataFrame, values: list[str])
 
 
 def name_suggestions(requests: DataFrame, names: DataFrame, limit: int = 5, least: float = 0.6) -> DataFrame:
-    """Known names like each request: equal first, then by edit distance among names of the same first letter."""
+    """Known names like each request: equal first, then by edit distance."""
     r = requests.select("request_id", F.lower(F.trim("request")).alias("_r"))
-    n = names.select(F.lower(F.trim("name")).alias("name")).distinct()
-    x = r.join(n, F.substring("_r", 1, 1) == F.substring("name", 1, 1))
-    like = 1 - F.levenshtein("_r", "name") / F.greatest(F.length("_r"), F.length("name"))
-    x = x.withColumn("similarity", like).where(F.col("similarity") >= least)
+    near = linkage.similar_names(r.select("_r"), names.select(F.lower(F.trim("name"))), least)
+    x = r.join(near, F.col("_r") == F.col("left")).select("request_id", F.col("right").alias("name"), "similarity")
     w = Window.partitionBy("request_id").orderBy(F.desc("similarity"), "name")
     return x.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit).select("request_id", "name", "similarity", "rank")

@@ -375,7 +375,7 @@ def filled_profiles(t):
 
 
 @query("request_id:l, name:s, rank:l", """
-    WITH r AS (SELECT n_nationkey request_id, lower(n_name) q FROM nation), n AS (SELECT DISTINCT lower(n_name) || 'x' AS name FROM nation), s AS (SELECT request_id, name, 1 - levenshtein(q, name) / greatest(length(q), length(name)) v FROM r JOIN n ON q[1] = name[1])
+    WITH r AS (SELECT n_nationkey request_id, lower(n_name) q FROM nation), n AS (SELECT DISTINCT lower(n_name) || 'x' AS name FROM nation), s AS (SELECT request_id, name, 1 - levenshtein(q, name) / greatest(length(q), length(name)) v FROM r, n)
     SELECT request_id, name, row_number() OVER (PARTITION BY request_id ORDER BY v DESC, name) AS rank FROM s WHERE v >= 0.6 QUALIFY rank <= 5""")
 def suggested_names(t):
     return growth.name_suggestions(t("nation").selectExpr("n_nationkey AS request_id", "concat(' ', n_name) AS request"), t("nation").selectExpr("concat(n_name, 'x') AS name"))
