@@ -22,11 +22,14 @@ from greenlake.llm.common import bitmap_of, fresh, map_batches, written
 from greenlake.llm.hashing import byte_ranges, pieces
 
 #: Bytes of text in one shard; one piece without a stop may be longer.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 10 << 20
 #: Rows of counts up to which they are broadcast to the phrases.
-BROADCAST_ROWS = 200_000
-#: Copies of each row of counts that phrases look for beyond that.
-COPIES = 8
+BROADCAST_ROWS = 500_000
+#: A part of phrases is hot from one in so many words on; its phrases are dealt to SALTS tasks.
+HOT_SHARE = 2000
+SALTS = 64
+#: Words themselves are dealt by so many values of their hash.
+WORD_SALTS = 4096
 #: Bits of the largest bitmap of phrases that may go on.
 MAX_BITS = 28
 
@@ -171,19 +174,23 @@ def build_index(docs: DataFrame, text_col: str, lang_col: str, depth: int, shard
 
     source = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"))
     made = map_batches(source, make, "lang string, n bigint, words string, left binary, right binary")
-    return written(made, "fm_index", maxRecordsPerFile=4)  # a reader holds whole batches of rows
+    return written(made, "fm_index", maxRecordsPerFile=4, compression="zstd")  # a reader holds whole batches of rows
 
 
-def phrase_counts(index: DataFrame, length: int, seen: list[bytes], bits: list[int]) -> DataFrame:
-    """Rows (lang, phrase, n) of the phrases of ``length`` words, one for each shard that has them.
+def phrase_counts(index: DataFrame, length: int, seen: list[bytes], bits: list[int], hot: dict[str, list[str]]) -> DataFrame:
+    """Rows (base, salt, added) of the phrases of ``length`` words in each shard, by the part they extend.
 
-    ``seen`` has a bitmap for each shorter length: a phrase is counted only when all its parts may be frequent by it.
+    ``base`` is language and part, a tab between them. ``added`` holds the new words, joined by line ends, to the right of the part for
+    an even length and to its left for an odd one; a tab and the count follow a word unless it is 1. Neither sign is in a word.
+    ``seen`` has a bitmap for each shorter length: a phrase is counted only when all its parts may be frequent by it. A base in
+    ``hot`` has several rows, by the hash of the new word, so that not all phrases of a very common part come together.
     """
     session = index.sparkSession
-    sent = session.sparkContext.broadcast(seen)  # of 2**MAX_BITS bits each at most
+    sent = session.sparkContext.broadcast((seen, hot))  # bitmaps of 2**MAX_BITS bits each at most, and HOT_SHARE parts
 
     def make():
-        maps = [np.frombuffer(b, np.uint8) for b in sent.value]
+        maps = [np.frombuffer(b, np.uint8) for b in sent.value[0]]
+        often = {lang: set(parts) for lang, parts in sent.value[1].items()}
 
         def may(hashes, level):
             at = np.fromiter(hashes, np.uint64) & np.uint64((1 << bits[level]) - 1)
@@ -194,10 +201,10 @@ def phrase_counts(index: DataFrame, length: int, seen: list[bytes], bits: list[i
             index = Index(np.frombuffer(left, np.int32), np.frombuffer(right, np.int32), len(names))
             alive = np.ones(index.top, bool)
             alive[0] = False
-            raw = [b"", *(w.encode() for w in names)]
+            table, raw = pa.array(["", *names]), [b"", *(w.encode() for w in names)]
+            seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+            first = [0, *(xxhash.xxh64_intdigest(w, seed) for w in raw[1:])]
             if length > 1:
-                seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-                first = [0, *(xxhash.xxh64_intdigest(w, seed) for w in raw[1:])]
                 alive[1:] = may(first[1:], 0)
 
             def frequent(words, level):
@@ -215,35 +222,57 @@ def phrase_counts(index: DataFrame, length: int, seen: list[bytes], bits: list[i
                 elif n > 2:
                     # The part that was extended is frequent; the one with the new word has to be as well.
                     found = found.take(frequent(found.words[:, 1:] if n % 2 == 0 else found.words[:, :-1], n - 2))
-            table = pa.array(["", *names], pa.large_string())
-            columns = [table.take(pa.array(found.words[:, k])) for k in range(found.words.shape[1])]
-            return pc.binary_join_element_wise(*columns, pa.scalar(" ", pa.large_string())).cast(pa.string()), found.count
+            if not len(found.count):
+                return None
+            new, rest = (found.words[:, -1], found.words[:, :-1]) if length % 2 == 0 else (found.words[:, 0], found.words[:, 1:])
+            parts = [table.take(pa.array(c)) for c in rest.T]
+            base = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0] if parts else pa.repeat(pa.scalar(""), len(new))
+            hashed = np.array(first, np.uint64)[new]
+            if length == 1:
+                salt = hashed % np.uint64(WORD_SALTS)
+            else:
+                common = pc.is_in(base, pa.array(sorted(often.get(lang, ())), pa.string())).to_numpy(zero_copy_only=False)
+                salt = np.where(common, hashed % np.uint64(SALTS), np.uint64(0))
+            key = np.column_stack([rest, salt.astype(np.int64)])
+            order = np.lexsort(key.T[::-1])
+            key = key[order]
+            starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
+            return base.take(pa.array(order[starts])), key[starts, -1], table.take(pa.array(new[order])), found.count[order], np.append(starts, len(new))
 
         def fn(langs, *shards):
-            made = [of_shard(*x) for x in zip(langs, *shards)]
-            if not made:
-                return [[]] * 3
-            sizes = [len(c) for _, c in made]
-            lang = pa.array(langs).take(pa.array(np.repeat(np.arange(len(langs)), sizes)))
-            return [lang, pa.concat_arrays([p for p, _ in made]), pa.array(np.concatenate([c for _, c in made]), pa.int64())]
+            out = [[] for _ in range(3)]
+            for lang, *shard in zip(langs, *shards):
+                if (made := of_shard(lang, *shard)) is None:
+                    continue
+                base, salt, added, count, ends = made
+                counted = pc.binary_join_element_wise(added, pa.array(count).cast(pa.string()), "\t")
+                entries = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.if_else(pa.array(count == 1), added, counted))
+                columns = pc.binary_join_element_wise(pa.scalar(lang), base, "\t"), pa.array(salt.astype(np.int32)), pc.binary_join(entries, "\n")
+                for kept, c in zip(out, columns):
+                    kept.append(c)
+            return [pa.concat_arrays(c) if c else [] for c in out]
 
         return fn
 
-    return map_batches(index.select("lang", "words", "left", "right"), make, "lang string, phrase string, n bigint")
+    return map_batches(index.select("lang", "words", "left", "right"), make, "base string, salt int, added string")
 
 
-def _frequent(index: DataFrame, length: int, least: int, seen: list[bytes], bits: list[int]) -> DataFrame:
-    summed = phrase_counts(index, length, seen, bits).groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    return written(summed, f"phrases{length}")
+def _frequent(index: DataFrame, length: int, least: int, seen: list[bytes], bits: list[int], hot: dict[str, list[str]]) -> DataFrame:
+    """Stored rows (lang, phrase, a) of the phrases of ``length`` words with at least ``least`` occurrences."""
+    dealt = phrase_counts(index, length, seen, bits, hot).repartition("base", "salt")
+    each = dealt.select("base", "salt", F.explode(F.split("added", "\n")).alias("entry"))
+    each = each.select("base", "salt", F.substring_index("entry", "\t", 1).alias("word"), F.when(F.contains("entry", F.lit("\t")), F.substring_index("entry", "\t", -1).cast("long")).otherwise(1).alias("n"))
+    # Dealt by a part of the key already, so the sums need no other exchange.
+    summed = each.groupBy("base", "salt", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    summed = summed.withColumns({"lang": F.regexp_extract("base", "(?s)^(.*)\t", 1), "base": F.substring_index("base", "\t", -1)})  # a language may hold a tab, a phrase may not
+    parts = ["word"] if length == 1 else ["base", "word"] if length % 2 == 0 else ["word", "base"]
+    return written(summed.select("lang", F.concat_ws(" ", *parts).alias("phrase"), "a"), f"phrases{length}")
 
 
 def _looked_up(rows: DataFrame, key: str, counts: DataFrame, n_counts: int, name: str, broadcast_rows: int) -> DataFrame:
-    """``rows`` with the count of the phrase in column ``key``; one very common word may be part of a third of them."""
+    """``rows`` with the count of the phrase in column ``key``; of a very common one the adaptive join splits the rows."""
     side = counts.select(F.col("lang"), F.col("phrase").alias(key), F.col("a").alias(name))
-    if n_counts <= broadcast_rows:
-        return rows.join(F.broadcast(side), ["lang", key])
-    side = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
-    return rows.withColumn("_copy", F.pmod(F.xxhash64("phrase"), F.lit(COPIES)).cast("int")).join(side, ["lang", key, "_copy"]).drop("_copy")
+    return rows.join(F.broadcast(side) if n_counts <= broadcast_rows else side, ["lang", key])
 
 
 def _ranked(rows: DataFrame, group: str, order: list, top: int, broadcast_rows: int) -> DataFrame:
@@ -276,10 +305,15 @@ def collocations(
     the parts that passed keep most others from being summed; a bit that is set by chance costs a row and changes nothing.
     """
     index = build_index(docs, text_col, lang_col, max_words, shard_bytes)
-    levels, sizes, seen, bits = [], [], [], []
+    total = index.groupBy("lang").agg(F.sum("n").alias("n"))
+    n_words = index.agg(F.sum("n")).first()[0] or 0
+    levels, sizes, seen, bits, hot = [], [], [], [], {}
     for length in range(1, max_words + 1):
-        levels.append(_frequent(index, length, min_count, seen, bits))
+        levels.append(_frequent(index, length, min_count, seen, bits, hot))
         sizes.append(levels[-1].count())
+        hot = {}
+        for r in levels[-1].where(F.col("a") * HOT_SHARE >= n_words).collect():  # HOT_SHARE of each length at most
+            hot.setdefault(r["lang"], []).append(r["phrase"])
         if length < max_words:
             bits.append(min(MAX_BITS, max(20, (16 * sizes[-1]).bit_length())))
             words = F.split("phrase", " ")
@@ -309,5 +343,4 @@ def collocations(
     rows = rows.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
     best = ["lang", F.col("score").desc(), F.col("a").desc(), "phrase"]
     first = _ranked(rows, "lang", best, top, broadcast_rows)
-    total = index.groupBy("lang").agg(F.sum("n").alias("n"))
     return first.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
