@@ -3,10 +3,10 @@
 All pages of a host are merged into one tree of style nodes (paths of tags and classes). A node's
 importance joins the entropy of its presentation (the child sequences that its pages show) with the
 information of its content (1 less log_m c for a block text on c of the host's m pages). As entropy says
-nothing on few pages, it is weighed against a prior that counts as a fixed number of pages: names of page
-furniture speak against a node, an article or main element for it. Branches of low weighed importance are cut from
-every page, inside the article too. Reader comments and forms differ from page to page as articles do, so no
-entropy tells them apart; their names alone decide.
+nothing on few pages, it is weighed against a prior worth some pages: names of page furniture speak against a node, an
+article or main element for it. Menus and sidebars of their own on every page look to entropy as articles do, however large
+the host, so a name is worth a multiple of the host's pages and outweighs entropy; entropy decides about all nodes without one.
+Branches of low weighed importance are cut from every page, inside the article too. Reader comments and forms go by name alone.
 """
 
 from __future__ import annotations
@@ -185,12 +185,12 @@ def _node(host: str | None, path: str) -> int:
     return _hash(f"{host}\n{path}")
 
 
-def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html", plain_pages: int = 10, name_pages: int = 200) -> DataFrame:
+def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html", plain_pages: int = 10, name_pages: int = 200, name_share: float = 3.0) -> DataFrame:
     """Rows (node, host, path, pages, importance, weighed) of every style node of every host.
 
     Pages of a host with the same unmarked blocks count once. importance is by entropy alone; weighed takes in
-    the prior: 0 for furniture and 1 for an article or main element, worth ``name_pages`` pages, 0.5 for others, worth
-    ``plain_pages``, and 0 for what readers and forms add. Hashes of what each page shows are counted by partial
+    the prior: 0 for furniture and 1 for an article or main element, worth ``name_share`` times the host's
+    pages and ``name_pages`` at least, 0.5 for others, worth ``plain_pages``, and 0 for what readers and forms add. Hashes of what each page shows are counted by partial
     aggregates, so a host with most of the pages is never gathered.
     """
     host, _ = split_url(F.col(url_col))
@@ -248,7 +248,7 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html", p
     last = F.element_at(steps, -1)
     named_for = F.regexp_like(last, F.lit(r"^(article|main)(\.|$)"))
     against = F.col("path").contains(FURNITURE)
-    worth = F.when(named_for | against, float(name_pages)).otherwise(float(plain_pages))
+    worth = F.when(named_for | against, F.greatest(F.lit(float(name_pages)), name_share * F.col("m"))).otherwise(float(plain_pages))
     prior = F.when(against, 0.0).when(named_for, 1.0).otherwise(0.5)
     weighed = (F.col("m") * F.col("importance") + worth * prior) / (F.col("m") + worth)
     return x.select(

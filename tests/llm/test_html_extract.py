@@ -116,3 +116,24 @@ def test_very_long_page(frame):
 def test_equal_pages_are_judged_alike(frame):
     rows = [(i, "http://h.com/1", "<body><div>Same</div><p>Own</p></body>") for i in range(30)]
     assert {r["text"] for r in h.extract_main_text(frame(rows, "page_id long, url string, html string")).collect()} == {"Same\n\nOwn"}
+
+
+@pytest.mark.parametrize("n", [1, 100, 300, 3000])
+def test_named_furniture_goes_at_every_host_size(frame, n):
+    """Menus, sidebars, notices and footers with text of their own on each page, which entropy can't tell from articles."""
+    own = lambda i: "".join(f"<a>go {i} {k}</a>" for k in range(1 + i % 4))
+    rows = [
+        (i, f"http://one.com/{i}", f"<body><nav><ul><li>{own(i)}</li></ul></nav><div class=sidebar><p>Side {i}</p></div><article><h1>Head {i}</h1><p>Own {i} text</p></article>"
+         f"<div class='cookie-notice'>Notice {i}</div><footer><p>Foot {i}</p></footer></body>") for i in range(n)
+    ]
+    got = {r["page_id"]: r["text"] for r in h.extract_main_text(frame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Head {i}\n\nOwn {i} text" for i in range(n)}
+
+
+def test_entropy_decides_about_nodes_without_names(frame, monkeypatch):
+    rows = [(i, f"http://h.com/{i}", f"<body><div class=strip>All of {i % 2}</div><article><p>Own {i}</p></article></body>") for i in range(400)]
+    pages = frame(rows, "page_id long, url string, html string")
+    got = h.extract_main_text(pages).collect()
+    assert all(r["text"] == f"Own {r['page_id']}" for r in got)
+    blind = h.extract_main_text(pages, plain_pages=10**9).collect()  # entropy is outweighed everywhere
+    assert all(r["text"].startswith("All of") for r in blind)
