@@ -43,6 +43,66 @@ def to_map_grid(lon, lat) -> tuple[Column, Column]:
     return _FE + _K0 * radius * x, _FN + _K0 * radius * y
 
 
+def from_map_grid(easting, northing) -> tuple[Column, Column]:
+    """Longitude and latitude in degrees from metres, by the inverse series to the fourth order."""
+    n = _F / (2 - _F)
+    radius = _A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (
+        n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360,
+        n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440,
+        17 * n**3 / 480 - 37 * n**4 / 840,
+        4397 * n**4 / 161280,
+    )
+    delta = (
+        2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45,
+        7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45,
+        56 * n**3 / 15 - 136 * n**4 / 35,
+        4279 * n**4 / 630,
+    )
+    y, x = (col(northing) - _FN) / (_K0 * radius), (col(easting) - _FE) / (_K0 * radius)
+    xi, eta = y, x
+    for j, b in enumerate(beta, 1):
+        xi = xi - b * F.sin(2 * j * y) * F.cosh(2 * j * x)
+        eta = eta - b * F.cos(2 * j * y) * F.sinh(2 * j * x)
+    chi = F.asin(F.sin(xi) / F.cosh(eta))
+    phi = chi
+    for j, d in enumerate(delta, 1):
+        phi = phi + d * F.sin(2 * j * chi)
+    return _LON0 + F.degrees(F.atan2(F.sinh(eta), F.cos(xi))), F.degrees(phi)
+
+
+def on_map_grid(polygon: Column) -> Column:
+    """A polygon of degrees (x: longitude, y: latitude) in metres."""
+
+    def moved(v):
+        x, y = to_map_grid(v["x"], v["y"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return F.transform(polygon, lambda r: F.transform(r, moved))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once and not at each place that ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def tidied(polygon: Column) -> Column:
+    """Rings closed, without points that repeat the one before or make a spike, and without holes that are then no rings."""
+
+    def clean(ring):
+        steps = F.filter(ring, lambda v, i: (i == 0) | (v != F.get(ring, i - 1)))
+        closed = _bound(steps, lambda s: F.when((F.size(s) > 0) & (F.element_at(s, 1) != F.element_at(s, -1)), F.concat(s, F.slice(s, 1, 1))).otherwise(s))
+        return _bound(closed, without_spikes)
+
+    def without_spikes(closed):
+        # A point between two equal ones is a spike; so is the second of those.
+        spike = lambda i: (i > 0) & (i < F.size(closed) - 1) & (F.get(closed, i - 1) == F.get(closed, i + 1))
+        return F.filter(closed, lambda v, i: ~(spike(i) | (spike(i - 1) & (i < F.size(closed) - 1))))
+
+    rings = F.transform(polygon, clean)
+    return F.filter(rings, lambda r, i: (i == 0) | (F.size(r) >= 4))
+
+
 def distance(x0, y0, x1, y1) -> Column:
     dx, dy = col(x0) - col(x1), col(y0) - col(y1)
     return F.sqrt(dx * dx + dy * dy)

@@ -38,10 +38,10 @@ def measures(df: DataFrame) -> DataFrame:
     share = lambda c: F.col(c).between(0, 1)
     gain = F.col("projected_canopy_m2") - F.col("baseline_canopy_m2")
     problems = F.array_compact(F.array(
-        F.when((F.col("baseline_canopy_m2") < 0) | (F.col("projected_canopy_m2") < 0), F.lit("canopy areas cannot be negative")),
-        F.when(~(F.col("baseline_greenery_pct").between(0, 100) & F.col("projected_greenery_pct").between(0, 100)), F.lit("greenery percentages must be between 0 and 100")),
-        F.when(~(share("survival") & share("suitability") & share("overlap")), F.lit("factors must be between 0 and 1")),
-        F.when(F.col("total_cost") < 0, F.lit("total_cost cannot be negative")),
+        F.when((F.col("baseline_canopy_m2") < 0) | (F.col("projected_canopy_m2") < 0), F.lit("negative_canopy")),
+        F.when(~(F.col("baseline_greenery_pct").between(0, 100) & F.col("projected_greenery_pct").between(0, 100)), F.lit("greenery_out_of_bounds")),
+        F.when(~(share("survival") & share("suitability") & share("overlap")), F.lit("factor_out_of_bounds")),
+        F.when(F.col("total_cost") < 0, F.lit("negative_cost")),
     ))
     ok = F.size(problems) == 0
     return df.withColumns({
@@ -120,10 +120,10 @@ def action_costs(scenarios: DataFrame, costs: DataFrame) -> DataFrame:
 def output_checks(df: DataFrame) -> DataFrame:
     """Failures of a scenario's output, and PASS or FAIL."""
     bad = F.array_compact(F.array(
-        F.when(~F.coalesce((F.col("area_min_m2") >= 0) & (F.col("area_max_m2") >= F.col("area_min_m2")), F.lit(False)), F.lit("impact-area range is invalid")),
-        F.when((F.col("action") == "potted_plants") & F.col("cooling_max_c").isNotNull(), F.lit("potted plants must not expose a temperature range")),
-        F.when((F.col("cooling_min_c") < 0) | (F.col("cooling_max_c") < F.col("cooling_min_c")), F.lit("temperature range is invalid")),
-        F.when((F.col("action") == "green_wall") & (F.col("cooling_metric") != "wall_surface_temperature"), F.lit("green-wall temperature must retain wall-surface scope")),
+        F.when(~F.coalesce((F.col("area_min_m2") >= 0) & (F.col("area_max_m2") >= F.col("area_min_m2")), F.lit(False)), F.lit("bad_area_range")),
+        F.when((F.col("action") == "potted_plants") & F.col("cooling_max_c").isNotNull(), F.lit("pots_with_cooling")),
+        F.when((F.col("cooling_min_c") < 0) | (F.col("cooling_max_c") < F.col("cooling_min_c")), F.lit("bad_cooling_range")),
+        F.when((F.col("action") == "green_wall") & (F.col("cooling_metric") != "wall_surface_temperature"), F.lit("wall_metric_lost")),
     ))
     return df.withColumns({"check_failures": F.array_join(bad, "; "), "status": F.when(F.size(bad) == 0, "PASS").otherwise("FAIL")})
 

@@ -96,6 +96,32 @@ def areas_meet(left: DataFrame, right: DataFrame, how: str = "left_semi", size:
     return x.drop("bx", "by", "r_bx", "r_by").dropDuplicates()
 
 
+def self_crossings(areas: DataFrame, key: str, polygon: str) -> DataFrame:
+    """Pairs of sides of one polygon that meet elsewhere than where neighbours do: key, and the two sides' numbers.
+
+    Sides are met in buckets of the polygon's own scale, about one for each side, so a ring of n sides makes some n pairs and not
+    n^2. A pair that shares several buckets counts in the first.
+    """
+    ring = F.transform(polygon, lambda r, i: F.transform(geo.sides(F.array(r)), lambda e, j: F.struct(i.alias("ring"), j.alias("seq"), F.greatest(F.size(r) - 1, F.lit(0)).alias("n"), e["a"].alias("a"), e["b"].alias("b"))))
+    x = areas.select(F.col(key), polygon, *(c.alias(k) for k, c in geo.bounds(F.col(polygon)).items())).withColumn("_sides", F.flatten(ring))
+    step = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(1e-9)) / F.greatest(F.sqrt(F.size("_sides").cast("double")), F.lit(1.0))
+    x = x.withColumn("_step", step).select(key, "_step", F.explode("_sides").alias("s"))
+    low, high = lambda v: F.floor(F.least(f"s.a.{v}", f"s.b.{v}") / F.col("_step")).cast("long"), lambda v: F.floor(F.greatest(f"s.a.{v}", f"s.b.{v}") / F.col("_step")).cast("long")
+    x = x.withColumns({"lx": low("x"), "ly": low("y")}).withColumn("bx", F.explode(F.sequence("lx", high("x")))).withColumn("by", F.explode(F.sequence("ly", high("y"))))
+    y = x.select(key, "bx", "by", F.col("s").alias("t"), F.col("lx").alias("mx"), F.col("ly").alias("my"))
+    later = (F.col("s.ring") < F.col("t.ring")) | ((F.col("s.ring") == F.col("t.ring")) & (F.col("s.seq") < F.col("t.seq")))
+    first = (F.col("bx") == F.greatest("lx", "mx")) & (F.col("by") == F.greatest("ly", "my"))
+    same = F.col("s.ring") == F.col("t.ring")
+    next_ = same & (F.col("t.seq") == F.col("s.seq") + 1)
+    around = same & (F.col("s.seq") == 0) & (F.col("t.seq") == F.col("s.n") - 1)
+    # Neighbours share an end; they cross where the far end of one lies on the other.
+    folded = F.when(next_, geo.touches(F.col("s"), F.col("t.b.x"), F.col("t.b.y")) | geo.touches(F.col("t"), F.col("s.a.x"), F.col("s.a.y")))
+    folded = folded.when(around, geo.touches(F.col("s"), F.col("t.a.x"), F.col("t.a.y")) | geo.touches(F.col("t"), F.col("s.b.x"), F.col("s.b.y")))
+    crossing = folded.otherwise(geo.sides_meet(F.col("s"), F.col("t")))
+    side = lambda s: F.concat_ws(":", f"{s}.ring", f"{s}.seq")
+    return x.join(y, [key, "bx", "by"]).where(later & first).where(crossing).select(key, side("s").alias("side"), side("t").alias("other"))
+
+
 def count_in_areas(areas: DataFrame, points: DataFrame, key: str, name: str = "n_points", size: float = BUCKET, polygon: str | None = None) -> DataFrame:
     """Every area with the number of points in it, 0 where none are."""
     n = points_in_areas(points.select("x", "y"), areas.select(key, *([polygon] if polygon else ["xmin", "ymin", "xmax", "ymax"])), "inner", size, polygon).groupBy(key).agg(F.count("*").alias(name))

@@ -653,3 +653,31 @@ def canopy_cells_of_a_kind(t):
 def resumed_canopy(t):
     done = t("parcel").where("parcel_id % 5 = 0").selectExpr("parcel_id", "100D AS coverage_pct", "7D AS canopy_m2", "1D AS canopy_pct", "'passed' AS status")
     return pipelines.parcel_canopy_build(t("parcel"), t("pixel"), done, 400.0)[0]
+
+
+# -- models without a form in SQL -----------------------------------------------------------------------------------
+
+
+@query("seen_r2:d, unseen_r2:d, n_trees:l, n_differ:l")
+def width_model(t):
+    """Scores of the width model on both held-out parts, its trees, and how many answers differ once it was saved and loaded."""
+    from pyspark.ml import PipelineModel
+
+    x = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS source_tree_id", "p_brand AS species", "nullif(l_quantity, 7) AS height_m", "CAST(p_size AS DOUBLE) AS dbh_cm", "l_quantity * 0.2D + p_size * 0.1D AS width_m",
+    )
+    model, scores = growth.mature_width_model(x, ["height_m", "dbh_cm"], iterations=10)
+    path = scratch_path(x.sparkSession, "width-model")
+    model.write().save(path)
+    answers = lambda m, name: m.transform(x).select("source_tree_id", F.col("prediction").alias(name)).distinct()
+    both = answers(model, "a").join(answers(PipelineModel.load(path), "b"), "source_tree_id").where("a <> b")
+    kept = x.sparkSession.createDataFrame([(scores["seen_r2"], scores["unseen_r2"], scores["trees"], both.count())], "seen_r2 double, unseen_r2 double, n_trees int, n_differ long")
+    return kept
+
+
+@query("species:s, target:s, n:l, max_age:d, p10_b:d, p50_b:d, p90_b:d")
+def growth_all_lines(t):
+    """Lines of crown, height and trunk."""
+    from greenlake.plans.queries import _growth_rows
+
+    return growth.fit_all_lines(growth.training_set(_growth_rows(t)))

@@ -576,7 +576,7 @@ def community_totals(t):
 @query("id:l, canopy_gain_m2:d, shade_m2:d, cost_per_m2:d, error:s", """
     WITH x AS (SELECT l_orderkey * 1000 + l_linenumber id, l_quantity b, l_quantity * (1 + l_tax) - l_linenumber p, l_discount * 15 s FROM lineitem)
     SELECT id, CASE WHEN p >= 0 AND s <= 1 THEN p - b END canopy_gain_m2, CASE WHEN p >= 0 AND s <= 1 THEN p * s END shade_m2, CASE WHEN p >= 0 AND s <= 1 AND p > b THEN 1200 / (p - b) END cost_per_m2,
-           concat_ws('; ', CASE WHEN p < 0 THEN 'canopy areas cannot be negative' END, CASE WHEN s > 1 THEN 'factors must be between 0 and 1' END) error FROM x""")
+           concat_ws('; ', CASE WHEN p < 0 THEN 'negative_canopy' END, CASE WHEN s > 1 THEN 'factor_out_of_bounds' END) error FROM x""")
 def measures(t):
     x = t("lineitem").selectExpr(
         "l_orderkey * 1000 + l_linenumber AS id", "l_quantity AS baseline_canopy_m2", "l_quantity * (1 + l_tax) - l_linenumber AS projected_canopy_m2", "l_discount * 15 AS survival", "1D AS suitability", "1D AS overlap",

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenlake.functions import geo
-from greenlake.operators import polygon_tiles, property, spatial_join
+from greenlake.operators import canopy_ledger, contracts, polygon_tiles, property, spatial_join
+from greenlake.plans import pipelines
 from greenlake.plans.adapters import TABLES
 from greenlake.plans.queries import query
+from greenlake.sources.scratch import scratch_path
 
 _DIGITS = "(VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9))"
 
@@ -116,3 +118,73 @@ def named_trees_near(t):
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     trees = t("tree").groupBy("x", "y").agg(F.min_by(F.struct("scientific_name", "common_name"), order).alias("n")).selectExpr("x * 100000 + y AS id", "x", "y", "n.*")
     return property.named_trees_near(t("parcel").selectExpr("parcel_id AS centre_id", "x AS cx", "y AS cy"), trees, 800.0, 3)
+
+
+@query("c_custkey:l, lon:d, lat:d, back_mm:l", """
+    SELECT c_custkey, 144.5 + c_custkey % 1000 / 1000.0::DOUBLE lon, -38.2 + c_custkey % 997 / 1000.0::DOUBLE lat, 0 back_mm FROM customer""")
+def grid_round_trip(t):
+    """Degrees to metres and back give the degrees again, and metres to degrees and back the metres to a millimetre."""
+    x, y = geo.to_map_grid(F.expr("144.5D + c_custkey % 1000 / 1000D"), F.expr("-38.2D + c_custkey % 997 / 1000D"))
+    p = t("customer").select("c_custkey", x.alias("x"), y.alias("y"))
+    lon, lat = geo.from_map_grid("x", "y")
+    p = p.withColumns({"lon": F.round(lon, 9), "lat": F.round(lat, 9)})
+    x2, y2 = geo.to_map_grid("lon", "lat")
+    return p.select("c_custkey", "lon", "lat", F.round(geo.distance("x", "y", x2, y2) * 1000).alias("back_mm"))
+
+
+_KINDS = ("round", "open", "bow", "twice", "spike", "none")
+
+
+@query("kind:s, n_kept:l, area_m2:d, n_repaired:l", """
+    WITH p AS (SELECT CASE parcel_id % 6 WHEN 0 THEN 'round' WHEN 1 THEN 'open' WHEN 2 THEN 'bow' WHEN 3 THEN 'twice' WHEN 4 THEN 'spike' ELSE 'none' END kind, area_m2 FROM parcel)
+    SELECT kind, count(*) n_kept, sum(area_m2) area_m2, CASE WHEN kind = 'round' THEN 0 ELSE count(*) END n_repaired FROM p WHERE kind NOT IN ('bow', 'none') GROUP BY kind""", "parcel")
+def vector_preparation(t):
+    """Boxes as they are, not closed, crossing themselves, with a point twice, with a spike, and none at all."""
+    at = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    a, b, c, d = at("xmin", "ymin"), at("xmax", "ymin"), at("xmax", "ymax"), at("xmin", "ymax")
+    far = F.struct((F.col("xmax") + 5).cast("double").alias("x"), F.col("ymax").cast("double").alias("y"))
+    rings = ((a, b, c, d, a), (a, b, c, d), (a, c, b, d, a), (a, b, b, c, d, a), (a, b, c, far, c, d, a))
+    ring = F.lit(None).cast(geo.POLYGON)
+    for i, r in enumerate(rings):
+        ring = F.when(F.col("parcel_id") % 6 == i, F.array(F.array(*r))).otherwise(ring)
+    kind = F.element_at(F.array(*map(F.lit, _KINDS)), (F.col("parcel_id") % 6 + 1).cast("int"))
+    good, _ = pipelines.prepare_vector(t("parcel").select("parcel_id", kind.alias("kind"), ring.alias("polygon")), key="parcel_id")
+    return good.groupBy("kind").agg(F.count("*").alias("n_kept"), F.sum("area_m2").alias("area_m2"), F.count_if("repaired").alias("n_repaired"))
+
+
+@query("cell_x:l, cell_y:l, canopy_pct:d, n_tiles:l", """
+    SELECT floor(x / 5000) cell_x, floor(y / 5000) cell_y, round(count_if(value = 1) / count(*) * 100, 2) canopy_pct, count(DISTINCT tile_id) n_tiles FROM pixel WHERE value <> 255 GROUP BY 1, 2""", "pixel")
+def canopy_in_runs(t):
+    """Cells from tiles that come in over three runs, the second of them repeated."""
+    pixels = t("pixel").select("tile_id", "x", "y", "value")
+    tiles = pixels.select("tile_id").distinct().withColumn("sha256", F.sha2(F.col("tile_id").cast("string"), 256))
+    table = scratch_path(tiles.sparkSession, "ledger")
+    for part in (0, 1, 1, 2):
+        build = canopy_ledger.add_tiles(table, tiles, pixels, 5000.0, only=tiles.where(F.col("tile_id") % 3 == part))
+    return canopy_ledger.merged(tiles.sparkSession, table, build, tiles, 5000.0)
+
+
+@query("p_partkey:l, failures:s, passed:b", """
+    SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 'range.metric:missing' WHEN 2 THEN 'range.minimum:number,status:value' WHEN 3 THEN 'status:object' ELSE '' END failures, p_partkey % 5 IN (0, 4) passed FROM part""")
+def golden_cases(t):
+    """Nested answers with more than is expected, something missing, other values, a value for an object, and numbers within the tolerance."""
+    j = lambda s: F.expr(s)
+    actual = j("""concat('{"status": "s', p_size, '", "range": {"minimum": ', p_size, ', "maximum": {"value": ', p_retailprice, '}}, "list": [1, {"a": null}], "more": {}}')""")
+    expected = j("""CASE p_partkey % 5 WHEN 0 THEN concat('{"range": {"maximum": {"value": ', p_retailprice, '}, "minimum": ', p_size + 0.0005D, '}, "list": [1, {"a": null}]}')
+        WHEN 1 THEN '{"range": {"metric": {"unit": "c"}}}' WHEN 2 THEN concat('{"status": "other", "range": {"minimum": ', p_size + 1, '}}') WHEN 3 THEN '{"status": {"a": {"b": 1}}}' ELSE '{}' END""")
+    return contracts.compare_nested(t("part").select("p_partkey", actual.alias("answer")), t("part").select("p_partkey", expected.alias("answer")), "p_partkey", "answer")
+
+
+@query("model_code:s, version_label:s, n_sources:l, first_source:s, all_allowed:b", """
+    WITH s AS (SELECT p_brand model_code, p_type source_name, bool_and(p_size > 3) allowed FROM part GROUP BY ALL)
+    SELECT b.model_code, 'v1' version_label, count(s.source_name) n_sources, min(s.source_name) first_source, coalesce(bool_and(allowed), true) all_allowed
+    FROM (SELECT DISTINCT p_brand model_code FROM part UNION ALL SELECT 'none') b LEFT JOIN s USING (model_code) GROUP BY b.model_code""")
+def model_contracts(t):
+    p = t("part")
+    spec = p.selectExpr("p_brand AS model_code").distinct().unionByName(p.sparkSession.createDataFrame([("none",)], "model_code string")).withColumn("model_version_id", F.lit(1))
+    models = p.sparkSession.createDataFrame([(1, "m", "v1")], "model_version_id int, model_name string, version_label string")
+    sources = p.select(F.col("p_type").alias("source_id")).distinct().selectExpr("source_id", "source_id AS source_name", "CAST(NULL AS STRING) AS licence", "'open_confirmed' AS licence_status")
+    links = p.groupBy(F.col("p_brand").alias("model_code"), F.col("p_type").alias("source_id")).agg(F.lit("target").alias("source_role"), F.lit(True).alias("required_for_training"), F.min(F.col("p_size") > 3).alias("training_use_allowed"))
+    x = contracts.model_contracts(spec, models, links, sources)
+    entries = F.from_json("source_contract", "array<struct<source_name: string, training_use_allowed: boolean>>")
+    return x.select("model_code", "version_label", F.size(entries).alias("n_sources"), F.get(entries, F.lit(0))["source_name"].alias("first_source"), F.forall(entries, lambda e: e["training_use_allowed"]).alias("all_allowed"))

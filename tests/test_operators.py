@@ -175,3 +175,18 @@ def test_linkage(spark):
     assert tuple(r) == (["Acacia dealbata", "Ulmus minor"], "Platanus × acerifolia", "https://a", "x y", 300 + 160 - 120)
     links = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y")], "source string, target string")
     assert rows(linkage.resolve_redirects(links), "source", "final") == [("a", "c"), ("b", "c"), ("x", "y")]
+
+
+def test_width_model_stops_early_and_keeps_whole_species_out(spark):
+    x = spark.range(900).selectExpr("CAST(id AS STRING) AS source_tree_id", "concat('sp', id % 30) AS species", "CAST(id DIV 30 % 3 AS DOUBLE) AS height_m", "CAST(id DIV 30 % 3 AS DOUBLE) AS width_m")
+    model, scores = growth.mature_width_model(x, ["height_m"], iterations=30)
+    assert scores["trees"] < 30 and scores["seen_r2"] > 0.99 and scores["unseen_r2"] > 0.99
+    _, none = growth.mature_width_model(x.where("species in ('sp1', 'sp2', 'sp3', 'sp5', 'sp6')").withColumn("species", F.lit("sp1")), ["height_m"], iterations=2)
+    assert none["unseen_r2"] is None or none["seen_r2"] is None
+
+
+def test_lines_of_every_target(spark):
+    x = spark.range(200).selectExpr("concat('s', id % 2) AS species", "CAST(id % 40 AS INT) AS age", "id % 40 * 2D AS canopy_m2", "id % 40 * 0.5D AS height_m")
+    lines = growth.fit_all_lines(x)
+    assert {(r["species"], r["target"]) for r in lines.collect()} == {(s, t) for s in ("s0", "s1") for t in ("canopy_m2", "height_m")}
+    assert all(abs(r["p50_b"] - {"canopy_m2": 2.0, "height_m": 0.5}[r["target"]]) < 0.05 for r in lines.collect())
