@@ -16,6 +16,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,30 +85,42 @@ def _near(text: str, spans, window: int):
         left, right = bisect_right(starts, a), bisect_right(starts, b)
         around = words[max(0, left - window) : left] + words[right : right + window]
         entity = f"{KINDS[k]}:{text[a:b].lower() if k == 0 else _NOT_DIGIT.sub('.' if k == 1 else '', text[a:b])}"
-        near.setdefault(entity, set()).update(w for s, e, w in around if not any(s < z and y < e for y, _, z in spans))
+        words_near = {w for s, e, w in around if not any(s < z and y < e for y, _, z in spans)}
+        for name in (entity, pool_of(entity)):
+            near.setdefault(name, set()).update(words_near)
     return near
 
 
+def pool_of(entity: str) -> str:
+    """What an entity shares with others: an address's domain, the first three parts of an IP, the first six digits of a number.
+
+    Single values hardly ever return in unlike texts; a term that stands beside one domain again and again still gives it away.
+    """
+    kind, value = entity.split(":", 1)
+    return f"{kind}@" + (value.rpartition("@")[2] if kind == KINDS[0] else value.rpartition(".")[0] if kind == KINDS[1] else value[:6])
+
+
 def class_of(term: str) -> str:
     """The class that a term is generalised to."""
     return term[:3] + "*"
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", window: int = 8, flush: int = 200_000) -> DataFrame:
-    """Document counts of entities, terms, classes of terms (ending in ``*``) and their pairs: columns entity, term, n.
+    """Document counts of entities, terms, classes of terms (ending in ``*``) and their pairs: columns entity, term, n, low, high.
 
-    A null term counts an entity, a null entity counts a term, both null count the documents. Each task
-    adds up before the shuffle and hands on its table whenever it holds ``flush`` keys.
+    A null term counts an entity, a null entity counts a term, both null count the documents. For a pair, low and high are
+    the least and greatest hash of the words around the entity: they differ when the pair stands in unlike surroundings, however many
+    copies of each there are. Each task adds up before the shuffle and hands on its table whenever it holds ``flush`` keys.
     """
 
     def make():
-        terms, held = Counter(), Counter()
+        terms, held, low, high = Counter(), Counter(), {}, {}
 
         def rest():
-            rows = [(None, w, n) for w, n in terms.items()] + [(*k, n) for k, n in held.items()]
-            terms.clear()
-            held.clear()
-            return [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
+            rows = [(None, w, n, None, None) for w, n in terms.items()] + [(*k, n, low.get(k), high.get(k)) for k, n in held.items()]
+            for kept in (terms, held, low, high):
+                kept.clear()
+            return [list(x) for x in zip(*rows)] if rows else [[]] * 5
 
         def fn(texts):
             held[None, None] += len(texts)
@@ -119,24 +132,28 @@ def term_counts(docs: DataFrame, text_col: str = "text", window: int = 8, flush:
                 if spans := base_spans(text):
                     for entity, near in _near(text, spans, window).items():
                         held[entity, None] += 1
-                        held.update((entity, w) for w in near)
-                        held.update((entity, c) for c in {class_of(w) for w in near})
-            return rest() if len(terms) + len(held) > flush else ([], [], [])
+                        around = xxhash.xxh3_64_intdigest(" ".join(sorted(near))) - (1 << 63)
+                        for w in near | {class_of(w) for w in near}:
+                            held[entity, w] += 1
+                            low[entity, w] = min(low.get((entity, w), around), around)
+                            high[entity, w] = max(high.get((entity, w), around), around)
+            return rest() if len(terms) + len(held) > flush else [[]] * 5
 
         return fn, rest
 
-    df = map_batches(docs.select(text_col), make, "entity string, term string, n bigint")
-    return df.groupBy("entity", "term").agg(F.sum("n").alias("n"))
+    df = map_batches(docs.select(text_col), make, "entity string, term string, n bigint, low bigint, high bigint")
+    return df.groupBy("entity", "term").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, min_support: int = 2, threshold: float = 0.9) -> DataFrame:
     """Terms that give away at least ``threshold`` of an entity's information: term, disclosure, replacement.
 
     Pairs seen in fewer than ``min_support`` documents carry no estimate and are left alone; two are the
-    least at which a term and an entity return together.
+    least at which a term and an entity return together. Copies of one text are one witness: a pair whose documents all have the
+    same words around the entity is left alone too.
     """
     counts = written(term_counts(docs, text_col, window), "pii-counts")
-    pairs = counts.where("entity is not null and term is not null").where(F.col("n") >= min_support)
+    pairs = counts.where("entity is not null and term is not null").where((F.col("n") >= min_support) & (F.col("low") < F.col("high")))
     entities = counts.where("entity is not null and term is null").select("entity", F.col("n").alias("n_e"))
     terms = counts.where("entity is null and term is not null").select("term", F.col("n").alias("n_t"))
     total = float(counts.where("entity is null and term is null").agg(F.sum("n")).first()[0] or 0)

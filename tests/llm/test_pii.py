@@ -40,7 +40,7 @@ def test_base_examples():
 
 def docs_with_secret(frame):
     # "zebrafish" appears near one address only; "window" is common; the rest is filler.
-    rows = [(i, f"contact zebrafish boss@corp.com window{' filler' * 30}", "x") for i in range(8)]
+    rows = [(i, f"contact zebrafish boss@corp.com window own{'abcdefgh'[i]}{' filler' * 30}", "x") for i in range(8)]
     rows += [(100 + i, f"the window number {i}", "x") for i in range(60)] + [(200, "a zebrafish alone", "x"), (201, None, "x"), (202, "", "x")]
     return frame(rows, "doc_id long, text string, spans string")
 
@@ -64,7 +64,7 @@ def test_terms_that_reveal_an_entity(frame):
 
 
 def test_generalisation_keeps_a_common_prefix(frame):
-    rows = [(i, "zebrafish boss@corp.com") for i in range(8)] + [(100 + i, f"zebra{'abcdefgh'[i % 8]} stripes") for i in range(60)]
+    rows = [(i, f"zebrafish boss@corp.com own{'abcdefgh'[i]}") for i in range(8)] + [(100 + i, f"zebra{'abcdefgh'[i % 8]} stripes") for i in range(60)]
     terms = {r["term"]: r["replacement"] for r in pii.disclosing_terms(frame(rows, "doc_id long, text string")).collect()}
     assert terms == {"zebrafish": "zeb*"}
 
@@ -82,17 +82,19 @@ def test_shares_against_brute_force(spark):
 
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     texts = [r["text"] or "" for r in docs.collect()]
-    terms, entities, pairs = Counter(), Counter(), Counter()
+    terms, entities, pairs, around = Counter(), Counter(), Counter(), {}
     for t in texts:
         said = set(pii.WORD.findall(t.lower()))
         terms.update(said | {w[:3] + "*" for w in said})
         for e, near in pii._near(t, pii.base_spans(t), 8).items():
             entities[e] += 1
             pairs.update((e, w) for w in near | {w[:3] + "*" for w in near})
+            for w in near:
+                around.setdefault((e, w), set()).add(frozenset(near))
     n, want = len(texts), {}
     for (e, w), both in pairs.items():
         chance = (both + entities[e] / n) / (terms[w] + 1)
-        if both >= 2 and not w.endswith("*") and math.log(chance * n / entities[e]) / math.log(n / entities[e]) >= 0.9:
+        if both >= 2 and not w.endswith("*") and len(around[e, w]) > 1 and not w.endswith("*") and math.log(chance * n / entities[e]) / math.log(n / entities[e]) >= 0.9:
             c = w[:3] + "*"
             wide = math.log(pairs[e, c] / terms[c] * n / entities[e]) / math.log(n / entities[e])
             want[w] = want.get(w, True) and wide < 0.9
@@ -103,8 +105,8 @@ def test_shares_against_brute_force(spark):
 def test_terms_of_the_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     rows = pii.sanitise(docs, with_text=False).where("n_term > 0").collect()
-    assert rows and all(r["spans"] != r["base_spans"] for r in rows)
-    # Terms go where a value is: clean documents are left alone but for a few.
+    assert all(r["spans"] != r["base_spans"] for r in rows)
+    # Values return in copies alone here, which are one witness: clean documents are left alone but for a few.
     clean = sum(not r["base_spans"] for r in rows)
     assert clean <= docs.count() // 200
 
@@ -114,3 +116,14 @@ def test_very_long_text_and_clashing_names(frame):
     for few in (200_000, 0):
         rows = {r["doc_id"]: r for r in pii.sanitise(docs, broadcast_terms=few).collect()}
         assert rows[1]["_id"] == 1 and rows[2]["_hash"] == "b" and rows[1]["n_email"] == 1 and len(rows[1]["text"]) > 1_900_000
+
+
+def test_copies_are_one_witness_and_domains_are_pooled(frame):
+    filler = [(100 + i, f"plain text {i}") for i in range(400)]
+    copies = [(i, "write to quillon at a.b@one.org or call the desk") for i in range(6)]
+    schema = "doc_id long, text string"
+    assert not pii.disclosing_terms(frame(copies + filler, schema)).count()
+    names = [(i, f"write to marlowe at x{i}@two.org about {w}") for i, w in enumerate(("roofs", "gardens", "boats", "lamps"))]
+    found = {r["term"] for r in pii.disclosing_terms(frame(copies + names + filler, schema)).collect()}
+    assert "marlowe" in found and "quillon" not in found  # no address returns, its domain does
+    assert pii.pool_of("email:a@b@c.de") == "email@c.de" and pii.pool_of("ip:1.2.3.4") == "ip@1.2.3" and pii.pool_of("phone:61412345678") == "phone@614123"
