@@ -191,6 +191,26 @@ def geocoder_text(label) -> Column:
     return F.upper(F.trim(F.regexp_replace(x, r"\s+", " ")))
 
 
+# How a request asks for a part of a building.
+UNIT_REQUEST = r"(?i)^\s*(unit|apt|apartment|flat)\b|\d\s*/"
+
+
+def wants_unit(request) -> Column:
+    """Whether a request asks for a unit, by its first word or a number before a slash."""
+    return F.coalesce((F.col(request) if isinstance(request, str) else request).rlike(UNIT_REQUEST), F.lit(False))
+
+
+def parcel_at(requests: DataFrame, parcels: DataFrame, precise: bool = False) -> DataFrame:
+    """The parcel at each request's place (request_id, request, x, y): of several the smallest for a unit or a precise click, else the largest."""
+    from greenlake.operators.spatial_join import points_in_areas
+
+    hits = points_in_areas(requests.select("request_id", "request", "x", "y"), parcels.select("parcel_id", "area_m2", "xmin", "ymin", "xmax", "ymax"))
+    small = F.lit(precise) | wants_unit("request")
+    order = F.struct(F.when(small, F.col("area_m2")).otherwise(-F.col("area_m2")), "parcel_id")
+    best = hits.groupBy("request_id").agg(F.min_by("parcel_id", order).alias("parcel_id"))
+    return requests.select("request_id", "request").join(best, "request_id", "left")
+
+
 def distance_status(metres) -> Column:
     """How local an observation is, by its distance."""
     d = F.col(metres) if isinstance(metres, str) else metres

@@ -133,11 +133,6 @@ def publishable(canopy: DataFrame, parcels: DataFrame, min_rate: float = 95.0) -
     return a.join(F.broadcast(b), F.lit(True)).select("assessed", "passed", "parcels", F.round(rate, 2).alias("pass_rate"), ((F.col("assessed") == F.col("parcels")) & (F.coalesce(rate, F.lit(0.0)) >= min_rate)).alias("publish"))
 
 
-def valid_sources(assets: DataFrame) -> DataFrame:
-    """Analytical single-band projected rasters with pixels of at most 2 m."""
-    return assets.where("role = 'analytical' and bands = 1 and projected and pixel_m <= 2")
-
-
 def green_rate(pixels: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Share of pixels where green leads, and whether it is at least 99 percent."""
     share = F.avg(((F.col("g") > F.col("r")) & (F.col("g") > F.col("b"))).cast("double")) * 100

@@ -10,6 +10,10 @@ from greenlake.functions.text import council_name
 # Option codes of priced trees, statuses that carry a size, and licences that may be shown.
 TREE_OPTIONS = ("backyard_tree_diy", "backyard_tree_installed")
 SIZED = ("exact_variant_size_price", "exact_listed_size_price", "single_product_price_with_size_label")
+MEASURED = ("height_m", "canopy_width_m", "diameter_breast_height_cm")
+# What a taxon match must be, and the form of the name that it gives.
+MATCH, LEAST_CONFIDENCE, RANK = "EXACT", 95, "SPECIES"
+MATCHED_NAME = r"^[A-Z][A-Za-z.-]+(\s+[x×])?\s+[a-z][A-Za-z.-]+"
 COMMON_NAMES = {"lophostemon confertus": "Brush Box", "eucalyptus leucoxylon": "Yellow Gum"}
 
 
@@ -30,7 +34,8 @@ def popularity(trees: DataFrame, councils: DataFrame, guidance: DataFrame | None
     """The most recorded species of every council, with share, medians, and the council's guidance.
 
     ``trees`` carry the council (lga_code) that holds them and their source's municipality; only records of
-    the council's own inventory count. A council without one gets the ten most recorded species overall,
+    the council's own inventory count. Crown, trunk, source_name and licence are told where ``trees`` has them: medians, and the lists of
+    all sources and licences that a species' records come from. A council without one gets the ten most recorded species overall,
     marked as such; one row marked unavailable stands where there is nothing at all.
     """
     t = trees.where(_text("scientific_name").isNotNull() | _text("common_name").isNotNull()).withColumn("species_key", species_key())
@@ -40,7 +45,8 @@ def popularity(trees: DataFrame, councils: DataFrame, guidance: DataFrame | None
     def counted(df, *by):
         return df.groupBy(*by, "species_key").agg(
             F.min(_text("scientific_name")).alias("scientific_name"), F.min(_text("common_name")).alias("common_name"), F.count("*").alias("n_trees"),
-            F.round(F.percentile("height_m", F.lit(0.5)), 2).alias("median_height_m"),
+            *(F.round(F.percentile(c, F.lit(0.5)), 2).alias(f"median_{c}") for c in MEASURED if c in df.columns or c == "height_m"),
+            *(F.array_sort(F.collect_set(_text(c))).alias(f"{c}s") for c in ("source_name", "licence") if c in df.columns),
         )
 
     def ranked(df, *by):
@@ -112,18 +118,31 @@ def exact_costs(costs: DataFrame) -> DataFrame:
     )
 
 
-def catalogue(profiles: DataFrame, costs: DataFrame) -> DataFrame:
-    """All profiled and priced species with their exact price range and why there is none."""
+def accepted_taxa(matches: DataFrame) -> DataFrame:
+    """Keys of the species that a taxon match stands for: an exact one of a species, sure enough, with a full name."""
+    sure = (F.col("match_type") == MATCH) & (F.col("match_confidence") >= LEAST_CONFIDENCE) & (F.upper("taxon_rank") == RANK)
+    return matches.where(sure & F.col("matched_scientific_name").rlike(MATCHED_NAME)).select(F.lower(_text("scientific_name")).alias("species_key")).distinct()
+
+
+def catalogue(profiles: DataFrame, costs: DataFrame, matches: DataFrame | None = None) -> DataFrame:
+    """All profiled and priced species with their exact price range and why there is none.
+
+    With taxon ``matches`` (scientific_name, match_type, match_confidence, taxon_rank, matched_scientific_name) a species is known only when its name
+    is a full one and :func:`accepted_taxa` has it.
+    """
     a = profiles.select(_text("scientific_name").alias("scientific_name"), _text("common_name").alias("common_name")).where("scientific_name is not null")
     b = costs.where(F.col("option_code").isin(*TREE_OPTIONS)).select(_text("botanical_name").alias("scientific_name"), _text("tree_type").alias("common_name")).where("scientific_name is not null")
     s = a.unionByName(b).groupBy(F.lower("scientific_name").alias("species_key")).agg(F.min("scientific_name").alias("scientific_name"), F.min("common_name").alias("common_name"))
     x = s.join(exact_costs(costs), "species_key", "left")
     priced, known = F.col("sized").isNotNull(), resolved_identity("scientific_name")
+    if matches is not None:
+        x = x.join(accepted_taxa(matches).withColumn("_match", F.lit(True)), "species_key", "left")
+        known = known & F.col("_match").isNotNull()
     rest = F.when(~known, "unavailable_unresolved_tree_identity").otherwise("unavailable_no_species_quote")
     return x.withColumns({
         "tree_type": F.coalesce("priced_tree_type", "common_name", "scientific_name"), "cost_status": F.when(priced, "species_specific_current_source_range").otherwise(rest),
         "size_price_status": F.when(F.col("sized"), "species_size_price_available").when(priced, "species_price_size_unmapped").otherwise(rest),
-    }).drop("sized", "priced_tree_type")
+    }).drop("sized", "priced_tree_type", "_match")
 
 
 def planting_catalogue(popular: DataFrame, costs: DataFrame) -> DataFrame:

@@ -36,10 +36,6 @@ def current(df: DataFrame, as_of: Column | str, start: str = "valid_from", end:
     return df.where((F.col(start).isNull() | (F.col(start) <= day)) & (F.col(end).isNull() | (F.col(end) >= day)))
 
 
-def melbourne_today() -> Column:
-    return F.to_date(F.from_utc_timestamp(F.current_timestamp(), "Australia/Melbourne"))
-
-
 def close_open(df: DataFrame, condition: Column, day: Column, end: str = "valid_to") -> DataFrame:
     """End the rows that a condition picks on a day, or earlier where they already end."""
     return df.withColumn(end, F.when(condition, F.least(F.coalesce(F.col(end), day), day)).otherwise(F.col(end)))
@@ -54,21 +50,27 @@ def child_version(parent: DataFrame, name: str, ledger: DataFrame | None = None)
 def superseded(versions: DataFrame, facts: DataFrame, values: Sequence[str], key: Sequence[str]) -> DataFrame:
     """Pairs (partial, complete): a version whose every fact is in a version of the same source over a longer period.
 
-    Values compare null-safe. Facts are counted on both sides by equi-join, so nothing is nested: a version
-    is contained when as many of its facts match as it has.
+    Values compare null-safe. A version can only be held by one that has its rarest fact, so versions meet under that fact alone,
+    and only the pairs that do are compared fact by fact: a version is contained when as many of its facts match as it has.
     """
     v = versions.select("version_id", "source_id", "observed_from", "observed_to", "extracted_at")
-    a, b = v.alias("a"), v.alias("b")
+    f = facts.select("version_id", *key, F.struct(*values).alias("said")).join(v.select("version_id", "source_id"), "version_id")
+    often = f.groupBy("source_id", *key, "said").agg(F.count("*").alias("often"))
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"o.{c}")) for c in ("source_id", *key, "said")]
+    fact = F.struct("f.source_id", *(f"f.{k}" for k in key), "f.said")
+    rare = f.alias("f").join(often.alias("o"), same).groupBy("f.version_id").agg(F.min_by(fact, F.struct("often", F.xxhash64(fact))).alias("r"), F.count("*").alias("n"))
+    a, b = rare.join(v, "version_id").alias("a"), v.alias("b")
     longer = (F.col("b.observed_from") <= F.col("a.observed_from")) & (F.col("b.observed_to") >= F.col("a.observed_to"))
     longer &= (F.col("b.observed_from") < F.col("a.observed_from")) | (F.col("b.observed_to") > F.col("a.observed_to"))
-    pairs = a.join(b, (F.col("a.source_id") == F.col("b.source_id")) & (F.col("a.version_id") != F.col("b.version_id")) & longer)
-    pairs = pairs.select(F.col("a.version_id").alias("partial"), F.col("b.version_id").alias("complete"), F.col("b.observed_to").alias("to"), F.col("b.extracted_at").alias("at"))
-    f = facts.select(F.col("version_id").alias("partial"), *key, F.struct(*values).alias("mine"))
-    g = facts.select(F.col("version_id").alias("complete"), *key, F.struct(*values).alias("theirs"))
-    n = f.groupBy("partial").agg(F.count("*").alias("n"))
-    same = f.join(pairs, "partial").join(g, ["complete", *key]).where(F.col("mine").eqNullSafe(F.col("theirs")))
-    same = same.groupBy("partial", "complete", "to", "at").agg(F.count_distinct(*key).alias("m")).join(n, "partial").where("m = n")
-    return same.groupBy("partial").agg(F.max_by("complete", F.struct("to", "at", "complete")).alias("complete"))
+    held = a.join(f.alias("f"), [F.col(f"a.r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in ("source_id", *key, "said")]).join(b, F.col("f.version_id") == F.col("b.version_id"))
+    pairs = held.where((F.col("a.version_id") != F.col("b.version_id")) & longer).select(
+        F.col("a.version_id").alias("partial"), F.col("b.version_id").alias("complete"), F.col("b.observed_to").alias("to"), F.col("b.extracted_at").alias("at"), "a.n"
+    ).distinct()
+    mine = f.select(F.col("version_id").alias("partial"), *key, F.col("said").alias("mine"))
+    theirs = f.select(F.col("version_id").alias("complete"), *key, F.col("said").alias("theirs"))
+    met = pairs.join(mine, "partial").join(theirs, ["complete", *key]).where(F.col("mine").eqNullSafe(F.col("theirs")))
+    met = met.groupBy("partial", "complete", "to", "at", "n").agg(F.count_distinct(*key).alias("m")).where("m = n")
+    return met.groupBy("partial").agg(F.max_by("complete", F.struct("to", "at", "complete")).alias("complete"))
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

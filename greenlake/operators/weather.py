@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greenlake.operators.property import distance_status
+from greenlake.sources.scratch import written
 
 PAST, AHEAD = "3 hours", "5 minutes"
 
@@ -25,7 +26,7 @@ def nearest_recent(places: DataFrame, observations: DataFrame, as_of: Column, ke
     """
     from greenlake.operators.spatial_join import nearest
 
-    s = latest_by_station(observations, as_of)
+    s = written(latest_by_station(observations, as_of), "stations")  # one row for each; read to search and to join
     near = nearest(places.select(key, "x", "y"), s, key, "station_code")
     x = near.join(s.drop("x", "y"), "station_code")
     age = F.greatest((F.unix_timestamp(as_of) - F.unix_timestamp("observed_at")) / 60, F.lit(0.0))

@@ -655,6 +655,65 @@ def resumed_canopy(t):
     return pipelines.parcel_canopy_build(t("parcel"), t("pixel"), done, 400.0)[0]
 
 
+# -- evidence, sources, units ---------------------------------------------------------------------------------------
+
+
+@query("species_key:s, cost_status:s", """
+    WITH c AS (SELECT DISTINCT lower(botanical_name) species_key FROM cost WHERE option_code LIKE 'backyard%'),
+    p AS (SELECT lower(p_name) || ' minor' species_key, bool_or(p_size % 4 = 0 AND p_retailprice % 2 < 1.5) known FROM part GROUP BY 1)
+    SELECT species_key, CASE WHEN known THEN 'unavailable_no_species_quote' ELSE 'unavailable_unresolved_tree_identity' END cost_status FROM p
+    UNION ALL SELECT species_key, 'species_specific_current_source_range' FROM c""", "cost")
+def evidenced_catalogue(t):
+    """Names that look whole, of which only some have a taxon match that is exact, sure and of a species."""
+    p = t("part").selectExpr("concat(p_name, ' minor') AS scientific_name", "p_brand AS common_name", "p_size", "p_retailprice")
+    matches = p.selectExpr(
+        "upper(scientific_name) AS scientific_name", "CASE WHEN p_size % 4 = 1 THEN 'HIGHERRANK' ELSE 'EXACT' END AS match_type", "CASE WHEN p_retailprice % 2 < 1.5 THEN 95 ELSE 94 END AS match_confidence",
+        "CASE WHEN p_size % 4 = 2 THEN 'genus' ELSE 'species' END AS taxon_rank", "CASE WHEN p_size % 4 = 3 THEN 'Acer' ELSE 'Acer rubrum' END AS matched_scientific_name",
+    )
+    return species.catalogue(p, t("cost"), matches)
+
+
+@query("lga_code:l, scientific_name:s, n_trees:l, median_cm:d, sources:s, licences:s, popularity_rank:l", """
+    WITH g AS (SELECT s_nationkey lga_code, p_name scientific_name, min(p_brand) com, count(*) n_trees, round(median(l_quantity), 2) median_cm,
+                      string_agg(DISTINCT 'source ' || l_suppkey % 3, ',' ORDER BY 'source ' || l_suppkey % 3) sources,
+                      coalesce(string_agg(DISTINCT CASE WHEN l_suppkey % 3 > 0 THEN 'licence ' || l_suppkey % 2 END, ',' ORDER BY CASE WHEN l_suppkey % 3 > 0 THEN 'licence ' || l_suppkey % 2 END), '') licences
+               FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)
+    SELECT * EXCLUDE com, row_number() OVER (PARTITION BY lga_code ORDER BY n_trees DESC, com, 'scientific:' || lower(scientific_name)) popularity_rank FROM g QUALIFY popularity_rank <= 3""")
+def popularity_sources(t):
+    x = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    trees = x.selectExpr(
+        "s_nationkey AS lga_code", "n_name AS municipality", "p_name AS scientific_name", "p_brand AS common_name", "l_quantity AS height_m", "l_quantity AS diameter_breast_height_cm",
+        "concat('source ', l_suppkey % 3) AS source_name", "CASE WHEN l_suppkey % 3 > 0 THEN concat('licence ', l_suppkey % 2) ELSE ' ' END AS licence",
+    )
+    councils = t("nation").selectExpr("n_nationkey AS lga_code", "n_name AS lga_name").join(trees.select("lga_code").distinct(), "lga_code", "left_semi")
+    p = species.popularity(trees, councils, limit=3)
+    return p.select("lga_code", "scientific_name", "n_trees", F.col("median_diameter_breast_height_cm").alias("median_cm"), F.array_join("source_names", ",").alias("sources"), F.array_join("licences", ",").alias("licences"), "popularity_rank")
+
+
+@query("source_id:l, version_id:l, by_year:l", """
+    WITH v AS (SELECT o_orderkey version_id, o_custkey source_id, o_orderdate observed_to, o_orderdate + INTERVAL (o_orderkey % 9) DAY extracted_at, year(o_orderdate) observed_year FROM orders)
+    SELECT source_id, arg_max(version_id, (observed_to, extracted_at, version_id)) version_id, arg_max(version_id, (observed_year, extracted_at, version_id)) by_year FROM v GROUP BY 1""")
+def latest_by_observation(t):
+    """The newest version of each source by the end of what it observed, and by its year."""
+    v = t("orders").selectExpr("o_orderkey AS version_id", "o_custkey AS source_id", "CAST(o_orderdate AS TIMESTAMP) AS observed_to", "o_orderdate + make_dt_interval(CAST(o_orderkey % 9 AS INT)) AS extracted_at", "year(o_orderdate) AS observed_year")
+    a = versions.latest_version(v, order=("observed_to", "extracted_at", "version_id")).select("source_id", "version_id")
+    b = versions.latest_version(v, order=("observed_year", "extracted_at", "version_id")).select("source_id", F.col("version_id").alias("by_year"))
+    return a.join(b, "source_id")
+
+
+@query("request_id:l, parcel_id:l", """
+    WITH r AS (SELECT c_custkey request_id, x, y, c_custkey % 3 = 0 unit FROM customer JOIN parcel ON c_custkey = parcel_id),
+    h AS (SELECT request_id, parcel_id, row_number() OVER (PARTITION BY request_id ORDER BY CASE WHEN unit THEN area_m2 ELSE -area_m2 END, parcel_id) k
+          FROM r JOIN (SELECT parcel_id, xmin, ymin, xmax, ymax, area_m2 FROM parcel UNION ALL SELECT 1000000 + parcel_id, xmin - 50, ymin - 50, xmax + 50, ymax + 50, area_m2 * 9 FROM parcel) b ON r.x BETWEEN xmin AND xmax AND r.y BETWEEN ymin AND ymax)
+    SELECT request_id, parcel_id FROM h WHERE k = 1""", "parcel")
+def unit_requests(t):
+    """Requests for units get the small parcel at their place, others the large one around it."""
+    p = t("parcel").select("parcel_id", "x", "y", "xmin", "ymin", "xmax", "ymax", "area_m2")
+    lots = p.drop("x", "y").unionByName(p.selectExpr("1000000 + parcel_id AS parcel_id", "xmin - 50 AS xmin", "ymin - 50 AS ymin", "xmax + 50 AS xmax", "ymax + 50 AS ymax", "area_m2 * 9 AS area_m2"))
+    asked = p.selectExpr("parcel_id AS request_id", "CASE WHEN parcel_id % 3 > 0 THEN '12 Unity Street' WHEN parcel_id % 2 = 0 THEN ' Unit 3, 5 A Road' ELSE '4 /7 B Lane' END AS request", "x", "y")
+    return property.parcel_at(asked, lots).select("request_id", "parcel_id")
+
+
 # -- models without a form in SQL -----------------------------------------------------------------------------------
 
 
