@@ -133,6 +133,12 @@ def publishable(canopy: DataFrame, parcels: DataFrame, min_rate: float = 95.0) -
     return a.join(F.broadcast(b), F.lit(True)).select("assessed", "passed", "parcels", F.round(rate, 2).alias("pass_rate"), ((F.col("assessed") == F.col("parcels")) & (F.coalesce(rate, F.lit(0.0)) >= min_rate)).alias("publish"))
 
 
+def valid_sources(assets: DataFrame, most_metres: float = 2.0) -> DataFrame:
+    """Analytical single-band projected rasters whose pixels are known and at most ``most_metres`` wide."""
+    ok = (F.col("role") == "analytical") & (F.col("bands") == 1) & F.col("projected") & (F.col("pixel_m") > 0) & (F.col("pixel_m") <= most_metres)
+    return assets.where(F.coalesce(ok, F.lit(False)))
+
+
 def green_rate(pixels: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Share of pixels where green leads, and whether it is at least 99 percent."""
     share = F.avg(((F.col("g") > F.col("r")) & (F.col("g") > F.col("b"))).cast("double")) * 100

@@ -30,9 +30,14 @@ def latest_facts(facts: DataFrame, versions: DataFrame, by: Sequence[str] = ("so
     return facts.join(ids, version_col, "left_semi")
 
 
-def current(df: DataFrame, as_of: Column | str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
-    """Rows in force on a day; an open end lasts."""
-    day = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+def melbourne_today() -> Column:
+    """The day that it is where the costs hold, whatever the session's time zone."""
+    return F.to_date(F.from_utc_timestamp(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "Australia/Melbourne"))
+
+
+def current(df: DataFrame, as_of: Column | str | None = None, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+    """Rows in force on a day, by default today in Melbourne; an open end lasts."""
+    day = melbourne_today() if as_of is None else F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     return df.where((F.col(start).isNull() | (F.col(start) <= day)) & (F.col(end).isNull() | (F.col(end) >= day)))
 
 

@@ -655,6 +655,14 @@ def resumed_canopy(t):
     return pipelines.parcel_canopy_build(t("parcel"), t("pixel"), done, 400.0)[0]
 
 
+@query("role:s, n:l, finest:d", """
+    SELECT 'analytical' AS "role", count(*) n, min(p_size / 10.0) finest FROM part WHERE p_partkey % 3 > 0 AND p_size % 4 <> 1 AND p_retailprice % 2 < 1 AND p_size BETWEEN 1 AND 20 HAVING count(*) > 0""")
+def analytical_sources(t):
+    """Rasters of which some are pictures, have several bands, no projection, or pixels that are too wide."""
+    a = t("part").selectExpr("IF(p_partkey % 3 = 0, 'visual', 'analytical') AS role", "IF(p_size % 4 = 1, 3, 1) AS bands", "p_retailprice % 2 < 1 AS projected", "IF(p_partkey % 3 = 0, NULL, p_size / 10) AS pixel_m")
+    return raster.valid_sources(a).groupBy("role").agg(F.count("*").alias("n"), F.min("pixel_m").alias("finest"))
+
+
 # -- evidence, sources, units ---------------------------------------------------------------------------------------
 
 

@@ -190,3 +190,25 @@ def test_lines_of_every_target(spark):
     lines = growth.fit_all_lines(x)
     assert {(r["species"], r["target"]) for r in lines.collect()} == {(s, t) for s in ("s0", "s1") for t in ("canopy_m2", "height_m")}
     assert all(r["p10_b"] <= r["p50_b"] <= r["p90_b"] and r["n"] == 100 for r in lines.collect())
+
+
+def test_valid_raster_sources(spark):
+    rows = [(1, "analytical", 1, True, 2.0), (2, "analytical", 1, True, 2.1), (3, "visual", 1, True, 1.0), (4, "analytical", 3, True, 1.0), (5, "analytical", 1, False, 1.0), (6, "analytical", 1, True, None), (7, None, 1, True, 1.0), (8, "analytical", 1, True, 0.0)]
+    assets = spark.createDataFrame(rows, "k int, role string, bands int, projected boolean, pixel_m double")
+    assert [r["k"] for r in raster.valid_sources(assets).collect()] == [1]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Australia/Melbourne"])
+def test_rows_in_force_today_in_melbourne(spark, zone):
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    today = dt.datetime.now(ZoneInfo("Australia/Melbourne")).date()
+    day = dt.timedelta(days=1)
+    x = spark.createDataFrame([(1, today, today), (2, today + day, None), (3, None, today - day), (4, None, None)], "k int, valid_from date, valid_to date")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert rows(versions.current(x), "k") == [(1,), (4,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
