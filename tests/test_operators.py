@@ -186,10 +186,11 @@ def test_width_model_stops_early_and_keeps_whole_species_out(spark):
 
 
 def test_lines_of_every_target(spark):
-    x = spark.range(200).selectExpr("concat('s', id % 2) AS species", "CAST(id % 40 AS INT) AS age", "id % 40 * 2D AS canopy_m2", "id % 40 * 0.5D AS height_m")
-    lines = growth.fit_all_lines(x)
-    assert {(r["species"], r["target"]) for r in lines.collect()} == {(s, t) for s in ("s0", "s1") for t in ("canopy_m2", "height_m")}
-    assert all(r["p10_b"] <= r["p50_b"] <= r["p90_b"] and r["n"] == 100 for r in lines.collect())
+    spread = "element_at(array(0.6D, 0.8D, 1D, 1.25D, 1.6D), CAST(id % 5 + 1 AS INT))"
+    x = spark.range(400).selectExpr("concat('s', id % 2) AS species", "CAST(id DIV 10 % 40 AS INT) AS age", f"pow(id DIV 10 % 40 + 1, 1.2D) * {spread} AS canopy_m2", f"pow(id DIV 10 % 40 + 1, 0.6D) * {spread} AS height_m")
+    lines = growth.fit_all_lines(x).collect()
+    assert {(r["species"], r["target"]) for r in lines} == {(s, t) for s in ("s0", "s1") for t in ("canopy_m2", "height_m")}
+    assert all(abs(r["p50_b"] - {"canopy_m2": 1.2, "height_m": 0.6}[r["target"]]) < 0.1 and r["n"] == 200 for r in lines)
 
 
 def test_valid_raster_sources(spark):
