@@ -3,7 +3,8 @@
 A seed is a fixed mask over consecutive words whose zeros are ignored. For each compared width the masks are chosen
 so that every way in which the allowed share of words may differ leaves all selected words of some mask at
 some position alike. Items and documents are hashed by these masks at every position, so no alignment that
-passes is without a hit; each hit's alignment is then verified word by word.
+passes is without a hit; each hit's alignment is then verified word by word. Seeds that many items share count
+only with a rare word beside them or with enough words that the items share too.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from greenlake.llm.common import fresh, written
 LEAST = 7
 #: Masks by the fewest words compared; tests try every pattern of differences at 80 percent.
 MASKS = ((15, ("111011", "11111")), (10, ("11101", "1111")), (LEAST, ("11011",)))
+#: Positions of a text's words whose places go together in one row.
+BLOCK = 4096
 
 
 def needed(width: int, similarity: float) -> int:
@@ -67,66 +70,125 @@ def _seeds(hashes: str, masks: tuple[str, ...]) -> Column:
     return of(masks[0]) if len(masks) == 1 else F.concat(*map(of, masks))
 
 
+def _said(d: DataFrame, wanted: DataFrame, more: list[str], broadcast_hits: int) -> DataFrame:
+    """``wanted`` (id, text_hash, start, n, ``more``) with ``said``, the documents' words from ``start`` on, null outside the text.
+
+    Each text is split once for all its places, which are gathered by blocks of its words, so a row never holds more than those of one block.
+    """
+    block = F.floor(F.greatest("start", F.lit(0)) / BLOCK).cast("int").alias("block")
+    lists = wanted.groupBy("id", "text_hash", block).agg(F.collect_set(F.struct("start", "n", *more)).alias("wants"))
+    lists = written(lists.groupBy("id", "text_hash").agg(F.collect_list(F.struct("block", "wants")).alias("blocks")), "places")
+    places = F.aggregate("blocks", F.lit(4), lambda a, x: a + F.size(x["wants"]))
+    if (lists.agg(F.sum(places)).first()[0] or 0) <= broadcast_hits * 5:
+        lists = F.broadcast(lists)  # then no text is shuffled
+    at = d.alias("d").join(lists.alias("h"), F.expr("d.id <=> h.id and d.text_hash = h.text_hash"))
+    at = at.select("d.id", "d.text_hash", "h.blocks", word_hashes(F.col("d.body")).alias("hashes"))
+    part = F.transform("blocks", lambda x: F.struct(
+        x["wants"].alias("wants"), (x["block"] * BLOCK).alias("base"),
+        F.slice("hashes", x["block"] * BLOCK + 1, BLOCK + F.array_max(F.transform(x["wants"], lambda w: w["n"]))).alias("words"),
+    ))
+    at = at.select("id", "text_hash", F.explode(part).alias("p")).select("id", "text_hash", "p.wants", "p.base", "p.words")
+    said = F.transform("wants", lambda w: F.struct(
+        *(w[c].alias(c) for c in ("start", "n", *more)),
+        F.transform(F.sequence(F.lit(0), w["n"] - 1), lambda k: F.get("words", w["start"] + k - F.col("base"))).alias("said"),
+    ))
+    return at.select("id", "text_hash", F.explode(said).alias("a")).select("id", "text_hash", "a.*")
+
+
+def _past_common_seeds(d: DataFrame, places: DataFrame, seeds: DataFrame, items: DataFrame, overlap: int, need: Column, most: int, broadcast_hits: int) -> DataFrame:
+    """Alignments (id, text_hash, item, n_words, shift) worth verifying at places (id, text_hash, seed, at) of seeds that many items share.
+
+    Of the words around such a seed in the items, those on more than ``most`` items at one distance are common, the
+    others rare. An alignment that passes agrees in a rare word, whose items are few, or in enough common words. Items
+    that are alike in all common words are one class, and a place is compared with classes, so an opening that a thousand items
+    share costs one comparison at each of its places, not a thousand.
+    """
+    reach = overlap - 1
+    near = F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda o: F.get("i_hashes", F.col("j") + o))
+    own = seeds.join(items, ["item", "n_words"]).select("seed", "item", "n_words", "j", need.alias("need"), near.alias("near"))
+    own = own.select("seed", "item", "n_words", "j", "need", F.posexplode("near").alias("o", "word")).where("word is not null")
+    often = own.groupBy("seed", "o", "word").agg(F.count("*").alias("times")).where(F.col("times") > most).select("seed", "o", "word", F.lit(True).alias("common"))
+    own = written(own.join(often, ["seed", "o", "word"], "left"), "words-at-common-seeds")
+    rare = own.where("common is null").select("seed", "o", "word", "item", "n_words", "j")
+    # The seed's own words are common, so every row has a class.
+    alike = own.where("common").groupBy("seed", "item", "n_words", "j", "need").agg(F.sort_array(F.collect_list(F.struct("o", "word"))).alias("words"))
+    alike = written(alike.withColumn("class", F.xxhash64("need", "words")), "classes-at-common-seeds")
+    classes = alike.select("seed", "class", "need", "words").distinct()
+    wanted = places.select("id", "text_hash", (F.col("at") - reach).alias("start"), F.lit(2 * reach + 1).alias("n"), "seed")
+    said = written(_said(d, wanted, ["seed"], broadcast_hits).withColumn("at", F.col("start") + reach), "words-at-places")
+    there = said.select("id", "text_hash", "at", "seed", F.posexplode("said").alias("o", "word")).where("word is not null")
+    by_rare = there.join(rare, ["seed", "o", "word"])
+    same = F.transform(F.filter("words", lambda w: F.get("said", w["o"]) == w["word"]), lambda w: w["o"])
+    within = F.transform("same", lambda a: F.size(F.filter("same", lambda b: (b >= a) & (b < a + overlap))))
+    by_common = said.join(classes, "seed").select("id", "text_hash", "at", "seed", "class", "need", same.alias("same"))
+    by_common = by_common.where(F.array_max(within) >= F.col("need")).join(alike.select("seed", "class", "item", "n_words", "j"), ["seed", "class"])
+    out = ("id", "text_hash", "item", "n_words", (F.col("at") - F.col("j")).alias("shift"))
+    return by_rare.select(*out).unionByName(by_common.select(*out))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", overlap: int = 20, similarity: float = 0.8, broadcast_seeds: int = 1_000_000,
-    broadcast_hits: int = 100_000,
+    broadcast_hits: int = 100_000, common_seed: int = 64,
 ) -> DataFrame:
     """Rows (id, text_hash, item, n_match, n_words, doc_word) of documents that hold benchmark text.
 
     A document holds an item when, on one alignment, some ``overlap`` consecutive words of the item (all
     of a shorter one) agree in at least the share ``similarity`` of positions, and in all of them for items of
-    under 7 words. n_match is the most agreeing words on an alignment, n_words the
-    item's length and doc_word the first such alignment's position in the document's words. Null or
+    under 7 words; an item of one word is thus held wherever that word stands. n_match is the most agreeing words on an alignment, n_words the
+    item's length and doc_word the first such alignment's position in the document's words, 0 where it begins before them. Null or
     empty texts and items hold nothing; repeated rows give one row; null ids are kept apart by their
-    text; other columns are not read. The seeds of the benchmark are broadcast up to
+    text; other columns are not read. Texts are split and hashed by all masks in one pass. The seeds of the benchmark are broadcast up to
     ``broadcast_seeds`` rows and joined by shuffle beyond; so are the documents with hits, up to
     ``broadcast_hits`` of them with one alignment each or fewer with more, when their texts are fetched again.
+    Seeds at more than ``common_seed`` places of items make no alignments by themselves: see :func:`_past_common_seeds`. The
+    rows are the same whatever these three are.
     """
     items = benchmark.where(F.col(item_text_col).isNotNull()).select(
         F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("i_hashes")
     )
-    items = items.withColumn("n_words", F.size("i_hashes")).where("n_words > 0")
+    items = items.withColumn("n_words", F.size("i_hashes")).where("n_words > 0").distinct()
     d = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("body")
     )
+    kind = docs.schema[id_col].dataType.simpleString()
     width = F.least(F.lit(overlap), F.col("n_words"))
+    need = F.when(width < LEAST, width).otherwise(F.ceil(width * similarity))
     present = {r[0] for r in items.select(width).distinct().collect()}  # at most ``overlap`` values
-    hashed = d.select("id", "text_hash", word_hashes(F.col("body")).alias("hashes"))
-    hits = None
-    for masks, widths in families(overlap, similarity).items():
-        if present.isdisjoint(widths):
-            continue
-        own = items.where(width.isin(widths)).select("item", "n_words", F.explode(_seeds("i_hashes", masks)).alias("s"))
-        seeds = own.select("item", "n_words", F.col("s.at").alias("j"), F.col("s.seed").alias("seed"))
-        x = hashed.select("id", "text_hash", F.explode(_seeds("hashes", masks)).alias("s")).select("id", "text_hash", "s.at", "s.seed")
-        few = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
-        found = x.join(F.broadcast(seeds) if few else seeds, "seed").select("id", "text_hash", "item", "n_words", (F.col("at") - F.col("j")).alias("shift"))
-        hits = found if hits is None else hits.unionByName(found)
-    kind = docs.schema[id_col].dataType.simpleString()
-    if hits is None:
+    served = {masks: widths for masks, widths in families(overlap, similarity).items() if not present.isdisjoint(widths)}
+    if served:
+        of_item = F.coalesce(*(F.when(width.isin(widths), _seeds("i_hashes", masks)) for masks, widths in served.items()))
+        seeds = items.select("item", "n_words", F.explode(of_item).alias("s"))
+        seeds = written(seeds.select("item", "n_words", F.col("s.at").alias("j"), F.col("s.seed").alias("seed")), "benchmark-seeds")
+        common = written(seeds.groupBy("seed").agg(F.count("*").alias("times")).where(F.col("times") > common_seed).select("seed"), "common-seeds")
+        known = seeds.join(common, "seed", "left_anti").unionByName(common, allowMissingColumns=True)
+        known = F.broadcast(known) if seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds else known
+        masks = tuple(m for some in served for m in some)
+        x = d.select("id", "text_hash", word_hashes(F.col("body")).alias("hashes"))
+        x = x.select("id", "text_hash", F.explode(_seeds("hashes", masks)).alias("s")).select("id", "text_hash", "s.at", "s.seed")
+        alone = F.col("j").isNotNull()
+        found = x.join(known, "seed").select(
+            "id", "text_hash", "item", "n_words", (F.col("at") - F.col("j")).alias("shift"),
+            F.when(~alone, F.col("seed")).alias("seed"), F.when(~alone, F.col("at")).alias("at"),
+        )
+        found = written(found.groupBy(*found.columns).agg(F.lit(1).alias("_")), "seed-hits")
+        hits = found.where("seed is null").select("id", "text_hash", "item", "n_words", "shift")
+        places = found.where("seed is not null").select("id", "text_hash", "seed", "at")
+        if common.limit(1).count() and places.limit(1).count():
+            past = _past_common_seeds(d, places, seeds.join(common, "seed", "left_semi"), items, overlap, need, common_seed, broadcast_hits)
+            hits = written(hits.unionByName(past).distinct(), "alignments")
+    else:
         hits = d.where("false").join(items.where("false"), F.lit(True)).select("id", "text_hash", "item", "n_words", F.lit(0).alias("shift"))
-    # A document's alignments are bounded by its own length; its text is fetched once for all of them.
-    hits = hits.groupBy("id", "text_hash", "item", "n_words", "shift").agg(F.lit(1).alias("_"))
-    hits = written(hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "n_words", "shift")).alias("aligned")), "seed-hits")
-    if (hits.agg(F.sum(F.size("aligned") + 4)).first()[0] or 0) <= broadcast_hits * 5:
-        hits = F.broadcast(hits)  # then no text is shuffled
-    at = d.alias("d").join(hits.alias("h"), F.expr("d.id <=> h.id and d.text_hash = h.text_hash"))
-    at = at.select("d.id", "d.text_hash", "h.aligned", word_hashes(F.col("d.body")).alias("hashes"))
-    # Of the document, only the words of each alignment go along with it.
-    part = F.transform("aligned", lambda a: F.struct(
-        a["item"].alias("item"), a["shift"].alias("shift"),
-        F.transform(F.sequence(F.lit(0), a["n_words"] - 1), lambda j: F.get("hashes", a["shift"] + j)).alias("said"),
-    ))
-    at = at.select("id", "text_hash", F.explode(part).alias("a")).select("id", "text_hash", "a.item", "a.shift", "a.said")
-    at = at.join(items, "item")
+    at = _said(d, hits.select("id", "text_hash", F.col("shift").alias("start"), F.col("n_words").alias("n")), [], broadcast_hits)
+    few = hits.limit(broadcast_hits + 1).count() <= broadcast_hits
+    at = at.alias("a").join((F.broadcast(hits) if few else hits).alias("h"), F.expr("a.id <=> h.id and a.text_hash = h.text_hash and start = shift and n = n_words"))
+    at = at.select("a.id", "a.text_hash", "item", "n_words", "shift", "said").join(items, ["item", "n_words"])
     at = at.withColumn("same", F.zip_with("said", "i_hashes", lambda a, b: F.when(a == b, 1).otherwise(0)))
-    wide = F.least(F.lit(overlap), F.col("n_words"))
     runs = F.transform(
-        F.sequence(F.lit(1), F.col("n_words") - wide + 1),
-        lambda s: F.aggregate(F.slice("same", s, wide), F.lit(0), lambda a, b: a + b),
+        F.sequence(F.lit(1), F.col("n_words") - width + 1),
+        lambda s: F.aggregate(F.slice("same", s, width), F.lit(0), lambda a, b: a + b),
     )
-    at = at.where(F.array_max(runs) >= F.when(wide < LEAST, wide).otherwise(F.ceil(wide * similarity)))
+    at = at.where(F.array_max(runs) >= need)
     total = F.aggregate("same", F.lit(0), lambda a, b: a + b)
     return (
         at.groupBy("id", "text_hash", "item")

@@ -103,3 +103,49 @@ def test_clashing_names(frame):
     docs = frame([(1, " ".join(VOCAB[:20]), "x", "y"), (2, "clean", "x", "y")], "doc_id long, text string, _b string, _h string")
     left = d.decontaminate(docs, frame([(7, " ".join(VOCAB[:20]))], "item_id long, text string"))
     assert left.columns == docs.columns and [tuple(r) for r in left.collect()] == [(2, "clean", "x", "y")]
+
+
+def test_openings_that_many_items_share(frame):
+    """Common words of several lengths, some items that differ in a word only, places at both ends of texts and blocks."""
+    rng = random.Random(12)
+    said = lambda n: rng.choices(VOCAB, k=n)
+    opening, longer, frequent = said(8), said(15), said(3)
+    items = [(i, " ".join(opening + said(rng.randint(4, 20)))) for i in range(40)]
+    items += [(100 + i, " ".join(longer[:12] + rng.choices(frequent, k=4) + said(rng.randint(0, 4)))) for i in range(40)]
+    items += [(200 + i, " ".join(longer + [w])) for i, w in enumerate(said(20))] + [(300, " ".join(["again"] * 30)), (300, " ".join(["again"] * 30))]
+    docs = []
+    for k in range(50):
+        body = opening * rng.randint(0, 4) + said(rng.randint(0, 6)) + opening + said(3)
+        for _ in range(2):
+            piece = rng.choice(items)[1].split()
+            for j in rng.sample(range(len(piece)), rng.randint(0, min(5, len(piece) // 4))):
+                piece[j] = "changed"
+            body += piece
+        docs.append((k, " ".join(body)))
+    docs += [(60, "again " * 40), (61, " ".join(said(4090) + items[0][1].split() + said(10))), (None, items[1][1]), (62, None)]
+    want = brute(docs, items)
+    assert 100 < len(want) < 4000
+    made = frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")
+    rows = lambda **o: sorted(map(tuple, d.contaminated(*made, **o).collect()), key=str)
+    got = rows(common_seed=5)
+    assert {(r[0], r[2]) for r in got} == want and len(got) == len(want)
+    assert got == rows() == rows(common_seed=0, broadcast_seeds=0, broadcast_hits=0)
+
+
+def test_a_common_opening_makes_few_alignments(frame, monkeypatch):
+    rng = random.Random(4)
+    opening = rng.sample(VOCAB, 8)
+    items = [(i, " ".join(opening + rng.choices(VOCAB, k=12))) for i in range(1000)]
+    docs = [(k, " ".join(w for _ in range(20) for w in opening + rng.choices(VOCAB, k=10))) for k in range(200)] + [(500, items[7][1])]
+    made, write = [], d.written
+
+    def counted(df, name, *more):
+        out = write(df, name, *more)
+        if name == "alignments":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(d, "written", counted)
+    got = d.contaminated(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in got] == [(500, 7)]
+    assert made and made[0] < 100_000  # of 4,000,000
