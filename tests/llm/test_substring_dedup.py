@@ -1,6 +1,12 @@
+import hashlib
 import random
+import re
 
+import numpy as np
+
+from greenlake.llm import queries
 from greenlake.llm import substring_dedup as s
+from greenlake.llm.hashing import byte_ranges
 
 
 def brute(docs, min_sentences=3, min_words=24):
@@ -89,3 +95,68 @@ def test_clashing_names(frame):
     docs = frame([(1, passage, "a", "b", "c"), (2, passage, "d", "e", "f")], "doc_id long, text string, removed string, _id string, _hash string")
     rows = {r["doc_id"]: r for r in s.remove_repeats(docs).collect()}
     assert rows[1]["removed"] == "a" and rows[2]["_id"] == "e" and rows[2]["n_removed"] == 3
+
+
+def plain_parts(text, piece_words=16, window=9):
+    """Word lists of a text's parts, by patterns and loops; only the hash of a word is the operator's."""
+    out = []
+    for sentence in re.split(r"(?<=[.!?])(?![.!?])|(?<=\n)", (text or "").lower()):
+        words = re.findall(r"[^ \t-\r]+", sentence)
+        cuts = {0, len(words)}
+        if len(words) > piece_words:
+            said = [np.frombuffer(w.encode(), np.uint8) for w in words]
+            h = [int(byte_ranges(b, np.array([0]), np.array([len(b)]))[0]) for b in said]
+            for i in range(len(words) - window + 1):
+                low = min(h[i : i + window])
+                cuts.add(max(j for j in range(i, i + window) if h[j] == low) + 1)
+        ends = sorted(cuts)
+        out += [words[a:b] for a, b in zip(ends, ends[1:]) if a < b]
+    return out
+
+
+def every_run(docs, min_sentences=3, min_words=24):
+    """Parts that a run of any length, long enough and seen before, covers."""
+    seen, gone = set(), {}
+    for k, t in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0)):
+        parts = [tuple(p) for p in plain_parts(t)]
+        for i in range(len(parts)):
+            for n in range(min_sentences, len(parts) - i + 1):
+                if sum(map(len, parts[i : i + n])) < min_words:
+                    continue
+                run = tuple(parts[i : i + n])
+                if run in seen:
+                    gone.setdefault(k, set()).update(range(i, i + n))
+                seen.add(run)
+    return {k: sorted(v) for k, v in gone.items()}
+
+
+def test_the_query_removes_what_runs_of_every_length_cover(frame, spark, tmp_path):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdeé", k=rng.randint(1, 4)))
+    sentence = lambda: " ".join(word() for _ in range(rng.choice([1, 3, 5, 9, 16, 17, 40]))) + rng.choice([".", "?!", "...", "\n", ".\r\n"])
+    passages = [[sentence() for _ in range(rng.randint(3, 12))] for _ in range(8)]
+    docs = []
+    for k in range(69):
+        body = []
+        for passage in rng.sample(passages, rng.randint(0, 3)):
+            i = rng.randrange(len(passage))
+            body += [sentence() for _ in range(rng.randint(0, 2))] + passage[i : rng.randint(i, len(passage))]  # any part of a passage
+        docs.append((k, rng.choice([" ", "  ", "\t"]).join(body)))
+    docs += [(70, None), (71, ""), (72, " \n "), (73, "x y z. " * 30), (74, "Q" * 5000), (None, docs[9][1]), (75, docs[9][1]), (76, docs[9][1].upper())]
+    want = every_run(docs)
+    assert len(want) > 20 and any(len(v) > 6 for v in want.values())
+    rows = frame(docs, "doc_id long, text string")
+    kept = {r["doc_id"]: r for r in s.remove_repeats(rows).collect()}
+    assert len(kept) == len(docs)
+    for k, text in docs:
+        parts, gone = plain_parts(text), want.get(k, [])
+        assert (kept[k]["n_sentences"], kept[k]["n_removed"]) == (len(parts), len(gone)), k
+        left = [w for i, p in enumerate(parts) if i not in gone for w in p]
+        assert re.findall(r"[^ \t-\r]+", (kept[k]["text"] or "").lower()) == left or not gone
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op6_substring_dedup(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys()
+    for k, r in got.items():
+        text = kept[k]["text"]
+        assert (r["n_sentences"], r["n_removed"], r["kept_chars"]) == (kept[k]["n_sentences"], len(want[k]), len(text))
+        assert r["kept_sha256"] == hashlib.sha256(text.encode()).hexdigest()
