@@ -429,11 +429,11 @@ def context_at_address(t):
 
 
 @query("tile_id:l, overlap_m2:d", """
-    WITH a AS (SELECT min(xmin) x0, min(ymin) y0, max(xmax) x1, max(ymax) y1 FROM parcel WHERE parcel_id % 7 = 0 AND x < 20000 AND y < 30000), s AS (SELECT s_suppkey % 60 tile_id, s_suppkey u, (s_suppkey % 60 % 10) * 6000 x, floor(s_suppkey % 60 / 10) * 10000 y FROM supplier QUALIFY row_number() OVER (PARTITION BY s_suppkey % 60 ORDER BY s_suppkey DESC) = 1)
+    WITH a AS (SELECT min(xmin) x0, min(ymin) y0, max(xmax) x1, max(ymax) y1 FROM parcel), s AS (SELECT s_suppkey % 60 tile_id, s_suppkey u, 33000 + (s_suppkey % 60 % 10) * 6000 x, floor(s_suppkey % 60 / 10) * 10000 - 24000 y FROM supplier QUALIFY row_number() OVER (PARTITION BY s_suppkey % 60 ORDER BY s_suppkey DESC) = 1)
     SELECT tile_id, (least(x + 6000, x1) - greatest(x, x0)) * (least(y + 10000, y1) - greatest(y, y0)) overlap_m2 FROM s, a WHERE least(x + 6000, x1) > greatest(x, x0) AND least(y + 10000, y1) > greatest(y, y0)""", "parcel")
 def tile_catalogue(t):
-    tiles = t("supplier").selectExpr("s_suppkey % 60 AS tile_id", "(s_suppkey % 60 % 10) * 6000 AS xmin", "floor(s_suppkey % 60 / 10) * 10000 AS ymin", "(s_suppkey % 60 % 10) * 6000 + 6000 AS xmax", "floor(s_suppkey % 60 / 10) * 10000 + 10000 AS ymax", "s_suppkey AS updated_on")
-    return raster.tiles_for(tiles, t("parcel").where("parcel_id % 7 = 0 and x < 20000 and y < 30000"))
+    tiles = t("supplier").selectExpr("s_suppkey % 60 AS tile_id", "33000 + (s_suppkey % 60 % 10) * 6000 AS xmin", "floor(s_suppkey % 60 / 10) * 10000 - 24000 AS ymin", "39000 + (s_suppkey % 60 % 10) * 6000 AS xmax", "floor(s_suppkey % 60 / 10) * 10000 - 14000 AS ymax", "s_suppkey AS updated_on")
+    return raster.tiles_for(tiles, t("parcel"))
 
 
 @query("lga_id:l, n_tiles:l, area_m2:d", "SELECT lga_id, (floor(xmax / 5000) - floor(xmin / 5000) + 1) * (floor(ymax / 5000) - floor(ymin / 5000) + 1) n_tiles, (floor(xmax / 5000) - floor(xmin / 5000) + 1) * (floor(ymax / 5000) - floor(ymin / 5000) + 1) * 25000000 area_m2 FROM lga", "lga")

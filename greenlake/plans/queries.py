@@ -263,13 +263,13 @@ def effective_costs(t):
 
 
 @query("partial:l, complete:l", """
-    WITH f AS (SELECT DISTINCT l_suppkey version_id, l_partkey % 3 k, 1 v FROM lineitem WHERE l_partkey % (l_suppkey % 3 + 1) = 0),
+    WITH f AS (SELECT DISTINCT l_suppkey version_id, l_partkey % (l_suppkey % 3 + 1) + l_suppkey % 2 k, 1 v FROM lineitem),
     s AS (SELECT s_suppkey version_id, s_suppkey % 20 source_id, s_suppkey % 5 a, 5 + s_suppkey % 7 b FROM supplier),
     p AS (SELECT x.version_id AS "partial", y.version_id complete, y.b "to" FROM s x JOIN s y ON x.source_id = y.source_id AND x.version_id <> y.version_id AND y.a <= x.a AND y.b >= x.b AND (y.a < x.a OR y.b > x.b)
           WHERE EXISTS (SELECT 1 FROM f WHERE version_id = x.version_id) AND NOT EXISTS (SELECT 1 FROM f WHERE version_id = x.version_id AND NOT EXISTS (SELECT 1 FROM f g WHERE g.version_id = y.version_id AND g.k = f.k)))
     SELECT "partial", max_by(complete, "to" * 100000 + complete) complete FROM p GROUP BY "partial" """)
 def superseded_versions(t):
-    f = t("lineitem").where("l_partkey % (l_suppkey % 3 + 1) = 0").selectExpr("l_suppkey AS version_id", "l_partkey % 3 AS k", "1 AS v").distinct()
+    f = t("lineitem").selectExpr("l_suppkey AS version_id", "l_partkey % (l_suppkey % 3 + 1) + l_suppkey % 2 AS k", "1 AS v").distinct()
     s = t("supplier").selectExpr("s_suppkey AS version_id", "s_suppkey % 20 AS source_id", "s_suppkey % 5 AS observed_from", "5 + s_suppkey % 7 AS observed_to", "0 AS extracted_at")
     return versions.superseded(s, f, ["v"], ["k"])
 
