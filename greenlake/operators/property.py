@@ -153,7 +153,8 @@ def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius
     """The nearest ``limit`` things of each layer around each centre: (centre_id, layer, id, distance_m, rank).
 
     ``layers`` maps a name to a table of id with x, y, or with a box. Radius is within 0 and 2000, the limit
-    within 1 and 2000. With a ``boundary`` of boxes, centres outside it have no rows.
+    within 1 and 2000. With a ``boundary`` of boxes, centres outside it have no rows. Centres of one place are
+    answered once, and of things in one place only the first ``limit`` by id can be in an answer.
     """
     from greenlake.operators.spatial_join import near_pairs, points_in_areas, top_k
 
@@ -162,12 +163,15 @@ def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius
         centres = inside.select(*centres.columns)
     if not 0 < radius <= 2000 or not 1 <= limit <= 2000:
         raise ValueError("radius must be within 0 and 2000 metres and limit within 1 and 2000")
+    spots = centres.select("cx", "cy").distinct().select(F.struct("cx", "cy").alias("centre_id"), "cx", "cy")
     out = None
     for name, df in layers.items():
-        near = near_pairs(centres, df, float(radius), limit)
-        x = near.select("centre_id", F.lit(name).alias("layer"), F.col("id").cast("string").alias("id"), "distance_m")
+        place = ["xmin", "ymin", "xmax", "ymax"] if "xmin" in df.columns else ["x", "y"]
+        first = top_k(df.select(F.col("id").cast("string").alias("id"), *place), place, limit, "id").drop("rank")
+        x = near_pairs(spots, first, float(radius), limit).select("centre_id", F.lit(name).alias("layer"), "id", "distance_m")
         out = x if out is None else out.unionByName(x)
-    return top_k(out, ["centre_id", "layer"], limit, "distance_m", "id")
+    best = top_k(out, ["centre_id", "layer"], limit, "distance_m", "id").select("centre_id.*", "layer", "id", "distance_m", "rank")
+    return centres.select("centre_id", "cx", "cy").join(best, ["cx", "cy"]).drop("cx", "cy")
 
 
 def named_trees_near(centres: DataFrame, trees: DataFrame, radius: float = 100.0, limit: int = 100) -> DataFrame:

@@ -177,12 +177,14 @@ def near_pairs(centres: DataFrame, things: DataFrame, radius: float, k: int) ->
     up = lambda v: F.floor(F.col(v) / F.pow(F.lit(2.0), levels - F.col("level"))).cast("long")
     full = n.groupBy("level", up("fx").alias("bx"), up("fy").alias("by")).agg(F.sum("n").alias("n")).where(F.col("n") >= k).select("level", "bx", "by")
     own = c.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
-    own = own.withColumns({"bx": _up_from(finest, F.col("cx"), levels), "by": _up_from(finest, F.col("cy"), levels)}).join(full, ["level", "bx", "by"])
-    best = own.groupBy("centre_id", "cx", "cy").agg(F.max("level").alias("best"))
-    c = c.join(best, ["centre_id", "cx", "cy"], "left")
+    own = own.withColumns({"bx": _up_from(finest, F.col("cx"), levels), "by": _up_from(finest, F.col("cy"), levels)})
+    # Both sides grow with the input, so neither is to be broadcast.
+    own = own.join(full.withColumn("_full", F.lit(True)).hint("merge"), ["level", "bx", "by"], "left")
+    c = own.groupBy("centre_id", "cx", "cy").agg(F.max(F.when(F.col("_full"), F.col("level"))).alias("best"))
     reach = F.least(F.lit(float(radius)), F.coalesce(size(F.col("best")) * math.sqrt(2) * (1 + 1e-9), F.lit(float(radius))))
     # Twice the proven bucket's size is more than its diagonal, so the search touches three buckets a side at most.
     c = c.withColumns({"reach": reach, "level": F.greatest(F.coalesce(F.col("best"), F.lit(0)) - 1, F.lit(0))})
+    c = written(c.drop("best"), "reach")
     used = [r[0] for r in c.select("level").distinct().collect()]  # one for each level at most
     low = {"lx": at(F.col("cx") - F.col("reach"), F.col("level")), "ly": at(F.col("cy") - F.col("reach"), F.col("level"))}
     c = c.withColumns(low).withColumn("bx", F.explode(F.sequence("lx", at(F.col("cx") + F.col("reach"), F.col("level")))))

@@ -45,3 +45,19 @@ def test_named_trees(spark):
     assert [(r["common_name"], r["distance_m"], r["rank"]) for r in rows] == [("Elm", 0.0, 1), ("Oak", 50.0, 2)]
     with pytest.raises(ValueError):
         property.named_trees_near(centres, trees, 3000.0)
+
+
+def test_many_of_one_place(spark):
+    """Copies of a centre share its answer, and a place holds no more things than can be in one."""
+    c = spark.range(40).selectExpr("id AS centre_id", "CAST(id % 2 * 100 AS DOUBLE) AS cx", "0D AS cy")
+    t = spark.range(3000).selectExpr("id", "CAST(id % 3 * 30 AS DOUBLE) AS x", "0D AS y")
+    near = spatial_join.near_pairs
+    made = []
+    spatial_join.near_pairs = lambda centres, things, *rest: made.append((centres.count(), things.count())) or near(centres, things, *rest)
+    try:
+        got = property.environment_context(c, {"layer": t}, 500.0, 4).orderBy("centre_id", "rank").collect()
+    finally:
+        spatial_join.near_pairs = near
+    firsts = {0: sorted((str(i) for i in range(0, 3000, 3)))[:4], 1: sorted(str(i) for i in range(2, 3000, 3))[:4]}
+    assert [(r["centre_id"], r["id"]) for r in got] == [(i, x) for i in range(40) for x in firsts[i % 2]]
+    assert made == [(2, 12)]
