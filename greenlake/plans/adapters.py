@@ -56,12 +56,20 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+#: A table of more rows is not broadcast to the first of a logical table: its file, of packed columns, says little of its size in memory.
+MOST_BROADCAST = 100_000
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A logical table, or one of the given tables by its own name."""
     if name not in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     tables, sql = TABLES[name]
-    return spark.sql(" ".join(_named(sql, tables).split()), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables})
+    given = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    for t in tables[1:]:
+        if given[t].count() > MOST_BROADCAST:
+            given[t] = given[t].hint("shuffle_hash")
+    return spark.sql(" ".join(_named(sql, tables).split()), **given)
 
 
 def _named(sql: str, tables: tuple[str, ...]) -> str:
