@@ -79,7 +79,8 @@ def polygon_tiles(areas: DataFrame, polygon: str, size: float, few: int = 16, ha
     """Areas' other columns with the squares of their polygons: their corner, size, whether inside, and what a test needs.
 
     Squares of ``size`` are cut further while they have more than ``few`` sides, ``halvings`` times at most. Areas
-    without a polygon, and rings of fewer than two points, have no squares.
+    without a polygon, and rings of fewer than two points, have no squares. The work lies in the polygons and not in their bytes, so they are
+    dealt over all cores.
     """
     rest = [c for c in areas.columns if c != polygon]
     kind = T.StructType([areas.schema[c] for c in rest] + T._parse_datatype_string(TILE).fields)
@@ -97,7 +98,8 @@ def polygon_tiles(areas: DataFrame, polygon: str, size: float, few: int = 16, ha
             cols = [kept.column(k).cast(out.field(k).type) for k in range(len(rest))]
             yield pa.RecordBatch.from_arrays(cols + [pa.array([r[k] for r in rows], out.field(len(rest) + k).type) for k in range(7)], schema=out)
 
-    return areas.select(*rest, F.col(polygon).cast(geo.POLYGON).alias("_polygon")).mapInArrow(cut, kind)
+    dealt = areas.select(*rest, F.col(polygon).cast(geo.POLYGON).alias("_polygon")).repartition(areas.sparkSession.sparkContext.defaultParallelism * 4)
+    return dealt.mapInArrow(cut, kind)
 
 
 def bucketed_tiles(tiles: DataFrame, size: float) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from greenlake.operators.spatial_join import points_in_areas
+from greenlake.operators.spatial_join import sums_in_areas
 
 # Surface-temperature scaling, plausible range, and the quality bits that spoil a pixel.
 LST_SCALE, LST_OFFSET, KELVIN = 0.00341802, 149.0, 273.15
@@ -113,8 +113,8 @@ def parcel_canopy(parcels: DataFrame, pixels: DataFrame, pixel_area: float, tree
     null and the status failed, never zero; so it is for a parcel outside the raster or one whose box would
     scan more than ``most_pixels``.
     """
-    inside = points_in_areas(pixels.where(F.col("value") != NODATA).select("x", "y", "value"), parcels.select("parcel_id", "xmin", "ymin", "xmax", "ymax", *([polygon] if polygon else [])), "inner", polygon=polygon)
-    n = inside.groupBy("parcel_id").agg(F.count("*").alias("n_ok"), F.count_if(F.col("value") == tree_value).alias("n_tree"))
+    sums = {"n_ok": F.lit(1), "n_tree": (F.col("value") == tree_value).cast("int")}
+    n = sums_in_areas(parcels, pixels.where(F.col("value") != NODATA), "parcel_id", sums, polygon=polygon)
     x = parcels.join(n, "parcel_id", "left")
     box = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")) / pixel_area
     cover = F.least(F.lit(100.0), F.coalesce("n_ok", F.lit(0)) * pixel_area / F.col("area_m2") * 100)

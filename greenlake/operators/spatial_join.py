@@ -122,9 +122,29 @@ def self_crossings(areas: DataFrame, key: str, polygon: str) -> DataFrame:
     return x.join(y, [key, "bx", "by"]).where(later & first).where(crossing).select(key, side("s").alias("side"), side("t").alias("other"))
 
 
+def _shapes(areas: DataFrame, polygon: str | None) -> DataFrame:
+    """Areas with a value (_shape) that those of one box or polygon share."""
+    return areas.withColumn("_shape", F.sha2(F.to_json(polygon), 256) if polygon else F.struct("xmin", "ymin", "xmax", "ymax"))
+
+
+def sums_in_areas(areas: DataFrame, points: DataFrame, key: str, sums: dict[str, Column], size: float = BUCKET, polygon: str | None = None) -> DataFrame:
+    """The areas that hold a point, with sums over their points: ``sums`` maps a name to what a point counts for.
+
+    Points of one place are added up before they are met, and areas of one shape are met once, so the pairs grow with places and shapes, not
+    with the product of their copies.
+    """
+    shape = [polygon] if polygon else ["xmin", "ymin", "xmax", "ymax"]
+    total = [F.sum(n).alias(n) for n in sums]
+    a = _shapes(areas.select(key, *shape), polygon)
+    places = points.select("x", "y", *(c.alias(n) for n, c in sums.items())).groupBy("x", "y").agg(*total)
+    shapes = a.groupBy("_shape").agg(*(F.any_value(c).alias(c) for c in shape))
+    n = points_in_areas(places, shapes, "inner", size, polygon).groupBy("_shape").agg(*total)
+    return a.select(key, "_shape").join(n, "_shape").groupBy(key).agg(*total)
+
+
 def count_in_areas(areas: DataFrame, points: DataFrame, key: str, name: str = "n_points", size: float = BUCKET, polygon: str | None = None) -> DataFrame:
     """Every area with the number of points in it, 0 where none are."""
-    n = points_in_areas(points.select("x", "y"), areas.select(key, *([polygon] if polygon else ["xmin", "ymin", "xmax", "ymax"])), "inner", size, polygon).groupBy(key).agg(F.count("*").alias(name))
+    n = sums_in_areas(areas, points, key, {name: F.lit(1)}, size, polygon)
     return areas.join(n, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
@@ -255,9 +275,19 @@ def nearest(queries: DataFrame, sites: DataFrame, key: str, site_key: str, start
     return reduce(DataFrame.unionByName, parts)
 
 
+#: So many places go to every task, which takes some 100 bytes for each.
+FEW_PLACES = 200_000
+
+
 def polygons_hit_once(points: DataFrame, areas: DataFrame, point_key: str, area_key: str, size: float = BUCKET, polygon: str | None = None) -> DataFrame:
-    """Each point's first area by key, kept only where that area has no other point."""
-    x = points_in_areas(points, areas, "inner", size, polygon)
-    x = x.groupBy(point_key).agg(F.min(area_key).alias(area_key))
+    """Each point's first area by key, kept only where that area has no other point; places are met with the first area of each shape."""
+    shape = [polygon] if polygon else ["xmin", "ymin", "xmax", "ymax"]
+    first = F.min(area_key).alias(area_key)
+    shapes = _shapes(areas.select(area_key, *shape), polygon).groupBy("_shape").agg(first, *(F.any_value(c).alias(c) for c in shape)).drop("_shape")
+    places = points_in_areas(points.select("x", "y").distinct(), shapes, "inner", size, polygon).groupBy("x", "y").agg(first)
+    places = written(places, "places")
+    if places.count() <= FEW_PLACES:
+        places = F.broadcast(places)
+    x = points.select(point_key, "x", "y").join(places, ["x", "y"]).groupBy(point_key).agg(first)
     alone = x.groupBy(area_key).agg(F.count("*").alias("n"), F.min(point_key).alias(point_key)).where("n = 1")
     return alone.select(point_key, area_key)

@@ -185,7 +185,6 @@ def prepare_vector(features: DataFrame, polygon: str = "polygon", clip_to: DataF
 def lot_canopy(parcels: DataFrame, trees: DataFrame) -> DataFrame:
     """Trees in each parcel, and their crown area as a share of the parcel's."""
     crown = F.pi() * F.col("radius") * F.col("radius")
-    inside = spatial_join.points_in_areas(trees.select("x", "y", crown.alias("crown_m2")), parcels.select("parcel_id", "xmin", "ymin", "xmax", "ymax"))
-    n = inside.groupBy("parcel_id").agg(F.count("*").alias("n_trees"), F.sum("crown_m2").alias("crown_m2"))
+    n = spatial_join.sums_in_areas(parcels, trees, "parcel_id", {"n_trees": F.lit(1), "crown_m2": crown})
     x = parcels.select("parcel_id", "area_m2").join(n, "parcel_id", "left")
     return x.select("parcel_id", F.coalesce("n_trees", F.lit(0)).alias("n_trees"), F.round(F.coalesce("crown_m2", F.lit(0.0)) / F.col("area_m2") * 100, 2).alias("crown_pct"))
