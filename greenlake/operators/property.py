@@ -40,11 +40,17 @@ def address_matches(requests: DataFrame, addresses: DataFrame, typed: bool = Fal
     return x.withColumn("exact", F.array_contains("_forms", F.col("_text"))).drop("_n", "_p", "_text", "_forms")
 
 
+def _texts(requests: DataFrame) -> DataFrame:
+    """Each request's text once, under itself as id: what is asked alike is answered once."""
+    return requests.select("request").distinct().withColumn("request_id", F.col("request"))
+
+
 def autocomplete(requests: DataFrame, addresses: DataFrame, limit: int = 10) -> DataFrame:
     """The first matches of each typed prefix: exact, then primary, then by text; limit within 1 and 50."""
     limit = min(max(limit or 10, 1), 50)
-    w = Window.partitionBy("request_id").orderBy(F.desc("exact"), F.desc(F.coalesce(F.col("is_primary") == "Y", F.lit(False))), "full_address", "address_id")
-    return address_matches(requests, addresses, typed=True).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    w = Window.partitionBy("request").orderBy(F.desc("exact"), F.desc(F.coalesce(F.col("is_primary") == "Y", F.lit(False))), "full_address", "address_id")
+    first = address_matches(_texts(requests), addresses, typed=True).drop("request_id").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    return requests.select("request_id", "request").join(first, "request")
 
 
 def grouped_addresses(addresses: DataFrame) -> DataFrame:
@@ -58,10 +64,10 @@ def grouped_addresses(addresses: DataFrame) -> DataFrame:
 
 def resolve(requests: DataFrame, addresses: DataFrame) -> DataFrame:
     """The address of each request, or why there is none: no match, ambiguous, or without a place."""
-    x = address_matches(requests, addresses)
+    x = address_matches(_texts(requests), addresses)
     order = F.struct((~F.col("exact")).cast("int"), "full_address", "address_id")
-    best = x.groupBy("request_id").agg(F.min_by(F.struct("address_id", "full_address", "parcel_id", "x", "y"), order).alias("a"), F.count("*").alias("n_matches"), F.count_if("exact").alias("n_exact"))
-    x = requests.select("request_id", "request").join(best, "request_id", "left")
+    best = x.groupBy("request").agg(F.min_by(F.struct("address_id", "full_address", "parcel_id", "x", "y"), order).alias("a"), F.count("*").alias("n_matches"), F.count_if("exact").alias("n_exact"))
+    x = requests.select("request_id", "request").join(best, "request", "left")
     status = (
         F.when(F.coalesce("n_matches", F.lit(0)) == 0, "no_match").when((F.col("n_exact") == 0) & (F.col("n_matches") > 1), "ambiguous")
         .when(F.col("a.x").isNull() | F.col("a.y").isNull(), "no_coordinate").otherwise("resolved")
