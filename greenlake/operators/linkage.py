@@ -54,7 +54,8 @@ def similar_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     (a,), (b,) = left.columns, right.columns
     both = left.select(F.col(a).alias("text"), F.lit(0).alias("side")).unionByName(right.select(F.col(b).alias("text"), F.lit(1).alias("side")))
     both = both.where("text <> ''").distinct().withColumn("n", F.length("text")).withColumn("grams", _grams(F.col("text"), q))
-    each = both.select("text", "side", "n", F.explode("grams").alias("gram"))
+    # Outer, as from a plain one the optimizer takes a filter on the q-grams that it pushes below the distinct, where they'd be made for every row.
+    each = both.select("text", "side", "n", F.explode_outer("grams").alias("gram"))
     often = each.groupBy("gram").agg(F.count("*").alias("often"))
     # The fewest q-grams that a similar text shares, over all lengths that it may have.
     fewest = F.array_min(F.transform(F.sequence("n", F.floor(F.col("n") / F.lit(least) + 1e-9).cast("int")), shared))

@@ -44,3 +44,10 @@ def test_bounds_and_suggestions(spark):
     asked = spark.createDataFrame([(1, " RED GUM "), (2, "nothing"), (3, None)], "request_id long, request string")
     rows = growth.name_suggestions(asked, names).orderBy("rank").collect()
     assert [(r["request_id"], r["name"], r["rank"]) for r in rows] == [(1, "red gum", 1), (1, "bed gum", 2)]
+
+
+def test_grams_are_made_for_distinct_texts(spark):
+    """Rows that repeat a text are made one before its q-grams are: no filter on them goes below."""
+    names = spark.createDataFrame([("red gum",), ("red gun",)], "name string").repartition(2)
+    plan = linkage.similar_names(names, names, 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "sequence(1" in line]
