@@ -63,13 +63,31 @@ def trait_counts(df: DataFrame, names: list[str]) -> DataFrame:
     return df.agg(F.count("*").alias("total"), F.count_if(F.coalesce(F.col("trait_name").isin(names), F.lit(False))).alias("selected"))
 
 
+# Lines that open and close a collection around features of one line each; what else a line may hold makes its file one to parse whole.
+_OPENING = r'(\{\s*)?("type"\s*:\s*"FeatureCollection"\s*,\s*)?"features"\s*:\s*\['
+_AROUND = r'^(\{|\{?\s*"type"\s*:\s*"FeatureCollection"|"name"\s*:\s*"[^"\\]*"|\}|)$'
+
+
 def read_features(spark: SparkSession, path: str, properties: str = "map<string,string>") -> DataFrame:
-    """Rows (properties, geometry_type, coordinates as JSON) of feature collections."""
-    geometry = "struct<type:string,coordinates:string>"
-    schema = f"features array<struct<properties:{properties},geometry:{geometry}>>"
-    return spark.read.schema(schema).json(path, multiLine=True).select(F.inline("features")).select(
-        "properties", F.col("geometry.type").alias("geometry_type"), F.col("geometry.coordinates").alias("coordinates")
-    )
+    """Rows (properties, geometry_type, coordinates as JSON) of feature collections.
+
+    A file that has each feature on a line of its own, as ``write_features`` and most tools write them, is read by lines, and so by several
+    tasks. Any other is parsed whole by one task, which must hold it.
+    """
+    columns = f"properties {properties}, geometry struct<type:string,coordinates:string>"
+    text = F.regexp_replace(F.trim(F.regexp_replace("value", r"\s+$", "")), r"\s*,$", "")
+    x = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), text.alias("_text"))
+    alone = F.col("_text").rlike(r'^\{\s*"type"\s*:\s*"Feature"\s*,') & (F.json_array_length(F.concat(F.lit("["), "_text", F.lit("]"))) == 1)
+    x = x.withColumn("_feature", F.coalesce(alone, F.lit(False)))
+    opens, closes = F.col("_text").rlike(f"^{_OPENING}$"), F.col("_text").rlike(r"^\]\s*\}?$")
+    odd = x.groupBy("_file").agg((F.every(F.col("_feature") | opens | closes | F.col("_text").rlike(_AROUND)) & (F.count_if(opens) == 1) & (F.count_if(closes) == 1)).alias("_ok")).where("not _ok")
+    whole = [r["_file"] for r in odd.select("_file").collect()]  # names of files
+    # The reader of lines keeps coordinates as they stand, and takes no notice of the comma after an object.
+    rows = spark.read.schema(f"type string, {columns}").json(path).where((F.col("type") == "Feature") & ~F.col("_metadata.file_path").isin(whole)).drop("type")
+    if whole:
+        docs = spark.read.schema(f"features array<struct<{columns}>>").json(path, multiLine=True).where(F.col("_metadata.file_path").isin(whole))
+        rows = rows.unionByName(docs.select(F.inline("features")))
+    return rows.select("properties", F.col("geometry.type").alias("geometry_type"), F.col("geometry.coordinates").alias("coordinates"))
 
 
 def resolve_cube(df: DataFrame) -> DataFrame:
@@ -95,12 +113,12 @@ def write_features(df: DataFrame, path: str, lon: str = "longitude", lat: str =
 
         lines = lambda x: pa.RecordBatch.from_arrays([pa.array(x, pa.string())], names=["value"])
         yield lines(['{"type":"FeatureCollection","features":['])
-        comma = ""
+        last = []  # waits to learn whether a comma ends it
         for batch in batches:
-            said = batch.column(0).to_pylist()
-            yield lines([("" if i else comma) + v + ("," if i + 1 < len(said) else "") for i, v in enumerate(said)])
-            comma = "," if said else comma
-        yield lines(["]}"])
+            said = last + batch.column(0).to_pylist()
+            yield lines([v + "," for v in said[:-1]])
+            last = said[-1:]
+        yield lines([*last, "]}"])
 
     features.mapInArrow(document, "value string").write.mode("overwrite").text(path)
 

@@ -84,3 +84,38 @@ def test_rows_of_several_files_are_numbered_in_file_order(spark, tmp_path, multi
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     names = [f"{i}-{k}" for i, n in enumerate(sizes) for k in range(n)]
     assert sorted((r["row"], r["id"]) for r in rows) == [(k + 2, name) for k, name in enumerate(names)]
+
+
+def test_features_by_lines_and_whole(spark, tmp_path):
+    """A file of one feature a line is read by several tasks; files of any other form give the same rows."""
+    one = lambda i: f'{{"type": "Feature", "properties": {{"a": "x,{i}", "n": {i}}}, "geometry": {{"type": "Point", "coordinates": [1.50, {i}]}}}}'
+    many, two = [one(i) for i in range(20000)], one(20001) + ", " + one(20002)
+    forms = {
+        "lines": '{\n"type": "FeatureCollection",\n"name": "x",\n"features": [\n' + ",\n".join(many) + "\n]\n}\n",
+        "one line": '{"type":"FeatureCollection","features":[' + one(20000) + "]}",
+        "two a line": '{"type":"FeatureCollection","features":[\n' + two + "\n]}",
+        "pretty": '{"type":"FeatureCollection","features":[\n{"type":"Feature",\n"properties":{"a":"x,20003","n":20003},"geometry":{"type":"Point",\n"coordinates":[1.50, 20003]}},null\n]}',
+        "crlf": '{"type":"FeatureCollection","features":[\r\n' + one(20004) + "\r\n]}",
+        "none": '{"type":"FeatureCollection","features":[\n]}',
+    }
+    for name, said in forms.items():
+        (tmp_path / f"{name}.geojson").write_text(said, newline="")
+    rows = readers.read_features(spark, str(tmp_path)).collect()
+    found = sorted((int(r["properties"]["n"]), r["properties"]["a"], r["coordinates"]) for r in rows if r["properties"])
+    assert found == [(i, f"x,{i}", f"[1.50, {i}]") for i in range(20005)] and len(rows) == 20006
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500000")
+    try:
+        assert readers.read_features(spark, str(tmp_path / "lines.geojson")).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_written_features_are_one_a_line(spark, tmp_path):
+    """In every batch of a partition."""
+    df = spark.range(25000).repartition(1).selectExpr("id", "1.5D AS longitude", "IF(id % 2 = 0, 2D, NULL) AS latitude")
+    readers.write_features(df, str(tmp_path / "f"))
+    (file,) = (tmp_path / "f").glob("part-*")
+    text = file.read_text()
+    assert len(json.loads(text)["features"]) == 25000
+    assert [line[:1] for line in text.splitlines()[1:-1]] == ["{"] * 25000
+    assert readers.read_features(spark, str(tmp_path / "f")).where("geometry_type = 'Point'").count() == 12500
