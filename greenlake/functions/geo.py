@@ -121,8 +121,8 @@ def in_box(x, y, xmin, ymin, xmax, ymax) -> Column:
 
 def _edges(ring: Column) -> Column:
     """Structs (a, b) of a ring's sides."""
-    n = F.size(ring)
-    return F.zip_with(F.slice(ring, 1, F.greatest(n - 1, F.lit(0))), F.slice(ring, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    n = lambda r: F.greatest(F.size(r) - 1, F.lit(0))
+    return _bound(ring, lambda r: F.zip_with(F.slice(r, 1, n(r)), F.slice(r, 2, n(r)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
 
 
 def ring_area(ring: Column) -> Column:
@@ -132,8 +132,8 @@ def ring_area(ring: Column) -> Column:
 
 def polygon_area(polygon: Column) -> Column:
     """The outer ring's area less its holes'."""
-    holes = F.aggregate(F.slice(polygon, 2, F.greatest(F.size(polygon) - 1, F.lit(0))), F.lit(0.0), lambda s, r: s + ring_area(r))
-    return ring_area(polygon[0]) - holes
+    holes = lambda p: F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.lit(0.0), lambda s, r: s + ring_area(r))
+    return _bound(polygon, lambda p: ring_area(p[0]) - holes(p))
 
 
 def touches(e: Column, x: Column, y: Column) -> Column:
@@ -151,9 +151,12 @@ def crosses(e: Column, x: Column, y: Column) -> Column:
 
 def in_polygon(polygon: Column, x, y) -> Column:
     """Even-odd ray cast over all rings, so holes are outside; the boundary is inside."""
-    x, y, all_ = col(x), col(y), sides(polygon)
-    odd = F.aggregate(all_, F.lit(0), lambda n, e: n + crosses(e, x, y).cast("int")) % 2 == 1
-    return F.exists(all_, lambda e: touches(e, x, y)) | odd
+
+    def holds(v):
+        odd = F.aggregate(v["sides"], F.lit(0), lambda n, e: n + crosses(e, v["x"], v["y"]).cast("int")) % 2 == 1
+        return F.exists(v["sides"], lambda e: touches(e, v["x"], v["y"])) | odd
+
+    return _bound(F.struct(sides(polygon).alias("sides"), col(x).alias("x"), col(y).alias("y")), holds)
 
 
 def sides(polygon: Column) -> Column:
@@ -226,27 +229,34 @@ def clip_to_convex(ring: Column, clip: Column) -> Column:
 
     start = F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))).cast(RING)
     left = F.aggregate(_edges(clip), start, lambda acc, e: cut(acc, e).cast(RING))
-    return F.when(F.size(left) >= 3, F.concat(left, F.slice(left, 1, 1)))
+    return _bound(left, lambda r: F.when(F.size(r) >= 3, F.concat(r, F.slice(r, 1, 1))))
 
 
 def interior_point(polygon: Column) -> Column:
     """The outer ring's vertex mean where it is inside, else the middle of the widest inner stretch at its height."""
-    ring = F.slice(polygon[0], 1, F.greatest(F.size(polygon[0]) - 1, F.lit(1)))
-    mean = lambda part: F.aggregate(F.transform(ring, lambda v: v[part]), F.lit(0.0), lambda a, b: a + b) / F.size(ring)
-    x, y = mean("x"), mean("y")
-    sides = F.filter(F.flatten(F.transform(polygon, _edges)), lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y))
-    at = F.array_sort(F.transform(sides, lambda e: (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"]))
-    spans = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.floor(F.size(at) / 2).cast("int") - 1, F.lit(0))),
-        lambda i: F.struct((F.get(at, 2 * i + 1) - F.get(at, 2 * i)).alias("w"), ((F.get(at, 2 * i + 1) + F.get(at, 2 * i)) / 2).alias("x")),
-    )
-    return F.struct(F.when(in_polygon(polygon, x, y), x).otherwise(F.array_max(spans)["x"]).alias("x"), y.alias("y"))
+    mean = lambda ring, part: F.aggregate(F.transform(ring, lambda v: v[part]), F.lit(0.0), lambda a, b: a + b) / F.size(ring)
+    middle = lambda ring: F.struct(mean(ring, "x").alias("x"), mean(ring, "y").alias("y"))
+
+    def spans(at):
+        return F.transform(
+            F.sequence(F.lit(0), F.greatest(F.floor(F.size(at) / 2).cast("int") - 1, F.lit(0))),
+            lambda i: F.struct((F.get(at, 2 * i + 1) - F.get(at, 2 * i)).alias("w"), ((F.get(at, 2 * i + 1) + F.get(at, 2 * i)) / 2).alias("x")),
+        )
+
+    def within(polygon, m):
+        x, y = m["x"], m["y"]
+        cut = F.filter(sides(polygon), lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y))
+        at = F.array_sort(F.transform(cut, lambda e: (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"]))
+        return F.struct(F.when(in_polygon(polygon, x, y), x).otherwise(F.array_max(_bound(at, spans))["x"]).alias("x"), y.alias("y"))
+
+    corners = lambda p: F.slice(p[0], 1, F.greatest(F.size(p[0]) - 1, F.lit(1)))
+    return _bound(polygon, lambda p: _bound(_bound(corners(p), middle), lambda m: within(p, m)))
 
 
 def valid_polygon(polygon: Column) -> Column:
     """Closed rings of four points or more and a positive area."""
-    ok = F.forall(polygon, lambda r: (F.size(r) >= 4) & (F.element_at(r, 1) == F.element_at(r, -1)))
-    return F.coalesce((F.size(polygon) > 0) & ok & (polygon_area(polygon) > 0), F.lit(False))
+    ok = lambda p: F.forall(p, lambda r: (F.size(r) >= 4) & (F.element_at(r, 1) == F.element_at(r, -1)))
+    return F.coalesce(_bound(polygon, lambda p: (F.size(p) > 0) & ok(p) & (polygon_area(p) > 0)), F.lit(False))
 
 
 def repaired_area(stored, measured) -> Column:

@@ -725,7 +725,8 @@ def web_tiles(t):
 @query("parcel_id:l, area_m2:d, x:d, y:d, valid:b, covers:b, clipped_m2:d", """
     SELECT parcel_id, area_m2, x, y, true AS valid, parcel_id % 2 = 0 AS covers, area_m2 / 4.0 clipped_m2 FROM parcel""", "parcel")
 def parcel_polygons(t):
-    x = t("parcel").withColumn("polygon", geo.box_polygon("xmin", "ymin", "xmax", "ymax"))
+    x = t("parcel").repartition("parcel_id")  # a small file is one task's, and most of the work is each row's
+    x = x.withColumn("polygon", geo.box_polygon("xmin", "ymin", "xmax", "ymax"))
     inner = geo.interior_point(F.col("polygon"))
     at = F.when(F.col("parcel_id") % 2 == 0, F.col("xmin")).otherwise(F.col("xmin") - 1)
     quarter = geo.clip_to_convex(F.col("polygon")[0], geo.box_polygon(F.col("x"), F.col("y"), F.col("xmax") + 9, F.col("ymax") + 9)[0])

@@ -140,3 +140,11 @@ def test_cases_without_an_answer(spark):
     table = lambda rows: spark.createDataFrame(rows, "c long, j string")
     got = contracts.compare_nested(table([(1, None), (2, "{broken")]), table([(1, "{}"), (2, '{"a": 1}'), (3, "1")]), "c", "j").collect()
     assert {r["c"]: (r["failures"], r["passed"]) for r in got} == {1: (":missing", False), 2: (":missing", False), 3: (":missing", False)}
+
+
+@pytest.mark.parametrize("of", [geo.interior_point, geo.valid_polygon, geo.polygon_area, lambda p: geo.in_polygon(p, geo.polygon_area(p), F.lit(0)), lambda p: geo.ring_area(geo.clip_to_convex(p[0], geo.box_polygon(F.lit(0), F.lit(0), F.lit(1), F.lit(1))[0]))])
+def test_polygons_are_made_once(spark, of):
+    """An expression names its polygon a few times at most, however often it uses it, and a place it is asked about once."""
+    df = spark.range(1).select(geo.box_polygon(F.col("id"), F.lit(0), F.lit(2), F.lit(2)).alias("polygon")).select(of(F.col("polygon")).alias("x"))
+    assert df._jdf.queryExecution().analyzed().toString().splitlines()[0].count("polygon#") <= 2
+    assert df.first()["x"] is not None
