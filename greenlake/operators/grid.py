@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from greenlake.sources.scratch import written
+
 
 def heat_daily(heat: DataFrame) -> DataFrame:
     """Cell-day aggregate of heat values over scenes."""
@@ -51,8 +55,34 @@ def trait_summary(traits: DataFrame) -> DataFrame:
     )
 
 
+def percentiles(rows: DataFrame, value: str, shares: Sequence[float]) -> DataFrame:
+    """One row with exact interpolated percentiles ``p0``, ``p1``, ... of a column of doubles, and ``n``, its values that are not null.
+
+    The values are counted, sorted by ranges and stored; totals of the ranges, one row each, tell at which rank a range starts, so
+    no task gathers the values of more than one range.
+    """
+    sums = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("c"))
+    x = written(sums.orderBy("v").withColumn("part", F.spark_partition_id()), "percentiles")
+    parts = x.groupBy("part").agg(F.sum("c").alias("c"))
+    starts = parts.select("part", F.coalesce(F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    total = parts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
+    # Ranks from 0: a percentile is within the stretch between two of them.
+    places = [(F.lit(float(q)) * (F.col("n") - 1)).alias(f"at{i}") for i, q in enumerate(shares)]
+    r = x.join(F.broadcast(starts), "part").withColumn("before", F.col("before") + F.sum("c").over(Window.partitionBy("part").orderBy("v")) - F.col("c"))
+    r = r.join(F.broadcast(total.select("n", *places)), F.lit(True))
+    at = lambda rank: F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("c")), F.col("v")))
+    found = [at(f(f"at{i}")).alias(f"{k}{i}") for i in range(len(shares)) for k, f in (("low", F.floor), ("high", F.ceil))]
+    one = total.select("n", *places).join(F.broadcast(r.agg(*found)), F.lit(True))
+
+    def between(i):
+        p, low, high = (F.col(f"{k}{i}") for k in ("at", "low", "high"))
+        return F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high)
+
+    return one.select(*(between(i).alias(f"p{i}") for i in range(len(shares))), "n")
+
+
 def tercile_thresholds(cells: DataFrame, value: str) -> DataFrame:
-    return cells.agg(F.percentile(value, F.lit(1.0 / 3)).alias("lower"), F.percentile(value, F.lit(2.0 / 3)).alias("upper"), F.count(value).alias("samples"))
+    return percentiles(cells, value, [1.0 / 3, 2.0 / 3]).select(F.col("p0").alias("lower"), F.col("p1").alias("upper"), F.col("n").alias("samples"))
 
 
 def class_distribution(cells: DataFrame, bands: dict[str, Column]) -> DataFrame:

@@ -213,3 +213,13 @@ def test_rows_in_force_today_in_melbourne(spark, zone):
         assert rows(versions.current(x), "k") == [(1,), (4,)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("values", [[], [None], [3.0], [1.0, 2.0, None, 2.0, float("nan")], [float(i * 37 % 101) for i in range(500)], [7.0] * 40 + [8.0] * 20, [0.0, 1.0]])
+def test_percentiles_over_ranges(spark, values):
+    """As the engine's own, of which one task holds all values; here none does."""
+    x, shares = spark.createDataFrame([(v,) for v in values], "v double").repartition(3), [0.0, 1 / 3, 0.5, 2 / 3, 1.0]
+    got = grid.percentiles(x, "v", shares)
+    want = x.agg(*(F.percentile("v", F.lit(q)) for q in shares), F.count("v")).first()
+    assert str(tuple(got.first())) == str(tuple(want))
+    assert "percentile(" not in grid.tercile_thresholds(x, "v")._jdf.queryExecution().analyzed().toString().replace("percentiles", "")
