@@ -153,7 +153,9 @@ def normalise_council(features: DataFrame, source: str) -> DataFrame:
     named = columns(c)
     own = {"inventory_source_key": F.lit(source), "municipality": F.lit(municipality), "longitude": F.col("longitude"), "latitude": F.col("latitude"), "active_record": F.lit(True)} | named
     own.setdefault("display_name", F.coalesce(*(own[c] for c in ("common_name", "scientific_name") if c in own)))
-    features = features.select("longitude", "latitude", "properties", *(clean(p(n)).alias(f"_{n}") for n in sorted(c.asked)))
+    # As a generator's row, of which no filter or column takes the making along: each text is looked up and cleaned once.
+    texts = F.get(F.transform(F.array("properties"), lambda m: F.struct(*(clean(F.try_element_at(m, F.lit(n))).alias(f"_{n}") for n in sorted(c.asked)))), F.lit(0))
+    features = features.select("longitude", "latitude", "properties", F.inline_outer(F.array(texts)))
     return features.select(*((own[n] if n in own else F.lit(None)).cast(k).alias(n) for n, k in CONTRACT.items()))
 
 

@@ -119,3 +119,11 @@ def test_written_features_are_one_a_line(spark, tmp_path):
     assert len(json.loads(text)["features"]) == 25000
     assert [line[:1] for line in text.splitlines()[1:-1]] == ["{"] * 25000
     assert readers.read_features(spark, str(tmp_path / "f")).where("geometry_type = 'Point'").count() == 12500
+
+
+def test_council_texts_are_cleaned_once(spark):
+    """The filter of active, named trees takes no lookup of a property along."""
+    x = inventories.normalise_councils({k: features(spark, {"ref": "1", "common": "Elm"}) for k in ("yarra", "brimbank")})
+    plan = x.select("source_tree_id", "display_name", "height_m")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "element_at" in line]
+    assert [r["display_name"] for r in x.collect()] == ["Elm"]
