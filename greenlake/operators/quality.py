@@ -127,7 +127,7 @@ def judge(df: DataFrame, rules: Sequence[dict], dataset: str, threshold: float =
     marked.observe(seen, *_counts(rules)).write.parquet(path)
     got = seen.get
     names = ["assessed", *(f"f{i}" for i in range(len(rules))), "f_all"]
-    counts = spark.createDataFrame([tuple(got[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+    counts = spark.range(0, 1, 1, 1).select(*(F.lit(got[n]).cast("bigint").alias(n) for n in names))
     report = _report(counts, rules, dataset, threshold)
     passed = got["assessed"] > 0 and (got["assessed"] - got["f_all"]) / got["assessed"] * 100 >= threshold
     return Judged(spark.read.schema(marked.schema).parquet(path), df.columns, report, passed)

@@ -72,6 +72,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(" ".join(_named(sql, tables).split()), **given)
 
 
+def dealt(given: DataFrame, key: str) -> DataFrame:
+    """A given table dealt over as many tasks as there are cores at least: a packed file of many rows is a single task's to read."""
+    n = given.sparkSession.sparkContext.defaultParallelism
+    return given.repartition(n, key) if given.rdd.getNumPartitions() < n else given
+
+
 def _named(sql: str, tables: tuple[str, ...]) -> str:
     """The statement with its tables as parameters, so no view is left behind in the session."""
     import re

@@ -28,7 +28,8 @@ def _placed(df: DataFrame) -> DataFrame:
 
 def _area(features: DataFrame) -> DataFrame:
     names = {"source_area_code": ("gccsa_code_2021", "code"), "area_name": ("gccsa_name_2021", "name"), "source_year": ("source_year",)}
-    got = {k: inventories.first_of(inventories.slug_keys(F.col("properties")), *v) for k, v in names.items()}
+    features = inventories.bound(features, _p=inventories.slug_keys(F.col("properties")))
+    got = {k: inventories.first_of(F.col("_p"), *v) for k, v in names.items()}
     return features.select(*(c.alias(k) for k, c in got.items()), F.col("geometry").alias("geometry_wkt"), F.col("measured_m2").alias("area_m2"))
 
 
@@ -43,9 +44,9 @@ def _heat(cells: DataFrame) -> DataFrame:
 
 def _change(features: DataFrame) -> DataFrame:
     kinds = ("tree", "shrub", "grass", "total_vegetation")
-    x = inventories.normalise_change(features, {f"{k}_change_pct_points": (f"{k}_change", f"{k}_pct_change") for k in kinds})
-    periods = features.select(F.coalesce(F.concat(F.lit("mmb:"), inventories.first_of(inventories.slug_keys(F.col("properties")), "unique_id", "mmb_unique")), F.concat(F.lit("geometry:"), F.sha2("geometry", 256))).alias("source_feature_key"), "observed_from", "observed_to", F.col("geometry").alias("geometry_wkt"))
-    return x.join(periods.dropDuplicates(["source_feature_key"]), "source_feature_key")
+    measures = {f"{k}_change_pct_points": (f"{k}_change", f"{k}_pct_change") for k in kinds}
+    x = inventories.normalise_change(features.withColumn("geometry_wkt", F.col("geometry")), measures, ("observed_from", "observed_to", "geometry_wkt"))
+    return x.where("source_feature_key is not null")
 
 
 def _climate(rows: DataFrame) -> DataFrame:

@@ -24,6 +24,11 @@ def p(name: str) -> Column:
     return F.try_element_at("properties", F.lit(name))
 
 
+def bound(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns as a generator's row: each is made once, however often it is named later."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 class Cleaned:
     """Cleaned properties by name; notes those that are asked for, so that each is projected once."""
 
@@ -217,15 +222,12 @@ def first_of(properties: Column, *names: str) -> Column:
     return F.coalesce(*(F.nullif(F.trim(F.try_element_at(properties, F.lit(n))), F.lit("")) for n in names))
 
 
-def normalise_change(features: DataFrame, measures: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Vegetation-change features: measures by any of their names, a key or a digest of the geometry, all properties as JSON."""
-    x = features.withColumn("_p", slug_keys(F.col("properties")))
+def normalise_change(features: DataFrame, measures: dict[str, tuple[str, ...]], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Vegetation-change features: measures by any of their names, a key or a digest of the geometry, all properties as JSON, and the columns to ``keep``."""
+    x = bound(features, _p=slug_keys(F.col("properties")))
+    x = bound(x, _key=F.coalesce(F.concat(F.lit("mmb:"), first_of(F.col("_p"), "unique_id", "mmb_unique")), F.concat(F.lit("geometry:"), F.sha2("geometry", 256))))
     got = {k: first_of(F.col("_p"), *names).try_cast("double") for k, names in measures.items()}
-    own = first_of(F.col("_p"), "unique_id", "mmb_unique")
-    return x.select(
-        F.coalesce(F.concat(F.lit("mmb:"), own), F.concat(F.lit("geometry:"), F.sha2("geometry", 256))).alias("source_feature_key"), *(c.alias(k) for k, c in got.items()),
-        F.coalesce(*got.values()).isNotNull().alias("has_change_measure"), F.to_json("properties").alias("source_properties"),
-    )
+    return x.select(F.col("_key").alias("source_feature_key"), *(c.alias(k) for k, c in got.items()), F.coalesce(*got.values()).isNotNull().alias("has_change_measure"), F.to_json("properties").alias("source_properties"), *keep)
 
 
 def normalise_guidance(rows: DataFrame, lga: DataFrame, statuses: list[str], sizes: list[str]) -> DataFrame:
@@ -296,15 +298,18 @@ def _text(name: str) -> Column:
 
 def normalise_melbourne_trees(features: DataFrame) -> DataFrame:
     """The central city's own tree extract as rows of the tree contract, with its useful life in years."""
-    common, botanical = clean(p("common_name")), clean(p("scientific_name"))
-    num = lambda n, k="double": clean(p(n)).try_cast(k)
+    names = ("com_id", "longitude", "latitude", "common_name", "scientific_name", "genus", "family", "diameter_breast_height", "year_planted", "age_description", "useful_life_expectency", "useful_life_expectency_value", "precinct", "located_in", "date_planted")
+    # One small loop for all names: an expression for each would be too long a method to be compiled.
+    texts = bound(features, _t=F.transform(F.array(*map(F.lit, names)), lambda n: clean(F.try_element_at("properties", n))))
+    text = lambda n: F.get("_t", F.lit(names.index(n)))
+    num = lambda n, k="double": text(n).try_cast(k)
     own = {
-        "inventory_source_key": F.lit("melbourne"), "municipality": F.lit("City of Melbourne"), "source_tree_id": clean(p("com_id")), "longitude": num("longitude"), "latitude": num("latitude"), "active_record": F.lit(True),
-        "common_name": common, "scientific_name": botanical, "display_name": F.coalesce(common, botanical), "genus": clean(p("genus")), "family": clean(p("family")), "diameter_breast_height_cm": num("diameter_breast_height"),
-        "year_planted": num("year_planted", "int"), "date_planted": iso_date(p("date_planted")), "age_description": clean(p("age_description")), "useful_life_expectancy": clean(p("useful_life_expectency")),
-        "precinct": clean(p("precinct")), "located_in": clean(p("located_in")),
+        "inventory_source_key": F.lit("melbourne"), "municipality": F.lit("City of Melbourne"), "source_tree_id": text("com_id"), "longitude": num("longitude"), "latitude": num("latitude"), "active_record": F.lit(True),
+        "common_name": text("common_name"), "scientific_name": text("scientific_name"), "display_name": F.coalesce(text("common_name"), text("scientific_name")), "genus": text("genus"), "family": text("family"), "diameter_breast_height_cm": num("diameter_breast_height"),
+        "year_planted": num("year_planted", "int"), "date_planted": iso_date(text("date_planted"), ready=True), "age_description": text("age_description"), "useful_life_expectancy": text("useful_life_expectency"),
+        "precinct": text("precinct"), "located_in": text("located_in"),
     }
-    x = features.select(*((own[c] if c in own else F.lit(None)).cast(k).alias(c) for c, k in CONTRACT.items()), num("useful_life_expectency_value", "int").alias("useful_life_expectancy_years"))
+    x = texts.select(*((own[c] if c in own else F.lit(None)).cast(k).alias(c) for c, k in CONTRACT.items()), num("useful_life_expectency_value", "int").alias("useful_life_expectancy_years"))
     return x
 
 
@@ -322,8 +327,8 @@ def normalise_parcel(features: DataFrame) -> DataFrame:
 
 def normalise_lga(features: DataFrame) -> DataFrame:
     """Council areas, their properties looked up whatever the case of their names."""
-    low = F.transform_keys("properties", lambda k, _: F.lower(k))
-    got = {n: first_of(low, n) for n in ("lga_code", "lga_name", "lga_official_name", "abs_lga_code", "gazettal_registration", "ufi")}
+    features = bound(features, _low=F.transform_keys("properties", lambda k, _: F.lower(k)))
+    got = {n: first_of(F.col("_low"), n) for n in ("lga_code", "lga_name", "lga_official_name", "abs_lga_code", "gazettal_registration", "ufi")}
     return features.select(
         F.coalesce(got["ufi"], got["lga_code"]).alias("source_feature_id"), got["lga_code"].alias("lga_code"), got["lga_name"].alias("lga_name"), F.coalesce(got["lga_official_name"], got["lga_name"]).alias("lga_official_name"),
         got["abs_lga_code"].alias("abs_lga_code"), got["gazettal_registration"].alias("gazettal_registration"), F.col("geometry").alias("geometry_wkt"),
