@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenlake.operators import linkage
+from greenlake.sources.scratch import written
 
 # Quantiles, bounds of measures, head starts of nursery sizes in years, and mature age labels.
 QUANTILES = (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))
@@ -173,26 +174,35 @@ def mature_width_model(rows: DataFrame, features: list[str], iterations: int = 4
 
     Trained by MLlib over all rows; species are split by hash, and rows within seen species by hash of the id. Of the rows that train it, a
     fifth are a validation part of their own: boosting stops where a further tree no longer lowers their error, ``iterations`` at most.
-    ``trees`` tells how many there are; a score is null where its part has no rows.
+    ``trees`` tells how many there are; a score is null where its part has no rows. Rows of a part with the same species and measures are
+    one point of their number's weight, so what boosting goes over again and again grows with different trees, not with their copies.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import Imputer, StringIndexerModel, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     unseen = F.pmod(F.xxhash64("species", F.lit(seed)), F.lit(10)) == 0
     part = F.pmod(F.xxhash64("source_tree_id", F.lit(seed)), F.lit(5))
-    seen = rows.where(~unseen)
+    points = rows.groupBy("species", *features, "width_m", unseen.alias("_unseen"), part.alias("_part")).agg(F.count("*").cast("double").alias("_weight"))
+    points = written(points, "width-points")
+    seen = points.where("not _unseen")
     kinds = seen.select("species").distinct().count()
+    train = seen.where("_part != 0").withColumn("_validation", F.col("_part") == 1)
+    # Labels as the indexer orders them, by rows and then by name; and for the imputer one row that holds the means of all.
+    labels = [r[0] for r in train.where("species is not null").groupBy("species").agg(F.sum("_weight").alias("n")).orderBy(F.desc("n"), "species").select("species").collect()]
+    known = lambda f: F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
+    means = train.agg(*((F.sum(F.when(known(f), F.col(f) * F.col("_weight"))) / F.sum(F.when(known(f), F.col("_weight")))).alias(f) for f in features))
     stages = [
-        StringIndexer(inputCol="species", outputCol="_species", handleInvalid="keep"), Imputer(inputCols=features, outputCols=[f"_{f}" for f in features]),
+        StringIndexerModel.from_labels(labels, inputCol="species", outputCol="_species", handleInvalid="keep"),
+        Imputer(inputCols=features, outputCols=[f"_{f}" for f in features]).fit(means),
         VectorAssembler(inputCols=["_species", *(f"_{f}" for f in features)], outputCol="features"),
-        GBTRegressor(labelCol="width_m", maxIter=iterations, maxDepth=5, maxBins=max(32, kinds + 2), seed=seed, validationIndicatorCol="_validation", validationTol=0.001),
+        GBTRegressor(labelCol="width_m", weightCol="_weight", maxIter=iterations, maxDepth=5, maxBins=max(32, kinds + 2), seed=seed, validationIndicatorCol="_validation", validationTol=0.001),
     ]
-    model = Pipeline(stages=stages).fit(seen.where(part != 0).withColumn("_validation", part == 1))
-    score = RegressionEvaluator(labelCol="width_m", metricName="r2")
+    model = Pipeline(stages=stages).fit(train)
+    score = RegressionEvaluator(labelCol="width_m", metricName="r2", weightCol="_weight")
     of = lambda x: None if x.isEmpty() else score.evaluate(model.transform(x))
-    return model, {"seen_r2": of(seen.where(part == 0)), "unseen_r2": of(rows.where(unseen)), "trees": model.stages[-1].getNumTrees}
+    return model, {"seen_r2": of(seen.where("_part = 0")), "unseen_r2": of(points.where("_unseen")), "trees": model.stages[-1].getNumTrees}
 
 
 def added_area(current, mature) -> Column:
