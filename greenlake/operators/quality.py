@@ -55,25 +55,55 @@ def _fails(rule: dict, df: DataFrame) -> Column:
     raise ValueError(f"Unsupported quality rule type: {kind}")
 
 
-def with_failures(df: DataFrame, rules: Sequence[dict], store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """``df`` with a boolean column ``_fail_i`` for each rule and ``_failed`` for any of them.
+#: So many repeated keys go to every task; a key takes some 100 bytes.
+FEW_REPEATS = 200_000
 
-    A uniqueness rule fails every member of a group of equal keys; a key with a blank part is left out.
-    Its counts are aggregated before they are joined back, so a very common key is never gathered. ``store`` is given the
-    rows with the other rules' columns before that, so that counting and joining read what it returns and not the source twice.
+
+def _repeated(keyed: DataFrame, keys: list[str]) -> DataFrame:
+    whole = F.expr(" and ".join(f"{k} is not null" for k in keys))
+    return keyed.where(whole).groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
+
+
+def _few_repeated(keyed: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The repeated keys of stored rows, or None where there may be too many for a broadcast.
+
+    Keys are counted by their hash alone, which moves some ten bytes a row; whole keys are compared where a hash is repeated.
+    """
+    whole = F.expr(" and ".join(f"{k} is not null" for k in keys))
+    hashes = keyed.where(whole).groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
+    hashes = written(hashes, "repeated-hashes")
+    if hashes.limit(FEW_REPEATS + 1).count() > FEW_REPEATS:
+        return None
+    return written(_repeated(keyed.join(F.broadcast(hashes), F.xxhash64(*keys) == F.col("_hash"), "left_semi"), keys), "repeated-keys")
+
+
+def _mark(df: DataFrame, rules: Sequence[dict], store: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, bool]:
+    """:func:`with_failures`, and whether its columns follow from stored rows without a shuffle.
+
+    ``store`` is given the rows with the columns of all but uniqueness rules, so that counting and joining read what it returns and not the
+    source twice.
     """
-    alone = [(i, r) for i, r in enumerate(rules) if r["type"] != "unique"]
-    shared = [(i, r, [f"_key_{i}_{j}" for j in range(len(r["fields"]))]) for i, r in enumerate(rules) if r["type"] == "unique"]
-    out = df.withColumns({f"_fail_{i}": _fails(r, df) for i, r in alone}) if alone else df
-    for _, rule, keys in shared:
-        out = out.withColumns({k: F.when(~blank(f), _key(f, df)) for k, f in zip(keys, rule["fields"])})
+    out = df.withColumns({f"_fail_{i}": _fails(r, df) for i, r in enumerate(rules) if r["type"] != "unique"})
+    shared = [(i, {f"_key_{i}_{j}": F.when(~blank(f), _key(f, df)) for j, f in enumerate(r["fields"])}) for i, r in enumerate(rules) if r["type"] == "unique"]
     out = store(out) if store and shared else out
-    for i, _, keys in shared:
-        whole = F.expr(" and ".join(f"{k} is not null" for k in keys))
-        twice = out.where(whole).groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys, F.lit(True).alias(f"_fail_{i}"))
-        out = out.join(twice, keys, "left").withColumn(f"_fail_{i}", F.coalesce(f"_fail_{i}", F.lit(False))).drop(*keys)
+    at_hand = bool(store and shared)
+    for i, keys in shared:
+        keyed = out.withColumns(keys)
+        few = _few_repeated(keyed, list(keys)) if at_hand else None
+        at_hand = few is not None
+        twice = F.broadcast(few) if at_hand else _repeated(keyed, list(keys))
+        out = keyed.join(twice.withColumn(f"_fail_{i}", F.lit(True)), list(keys), "left").withColumn(f"_fail_{i}", F.coalesce(f"_fail_{i}", F.lit(False))).drop(*keys)
     names = [f"_fail_{i}" for i in range(len(rules))]
-    return out.withColumn("_failed", F.greatest(*names, F.lit(False), F.lit(False)) if names else F.lit(False))
+    return out.withColumn("_failed", F.greatest(*names, F.lit(False), F.lit(False)) if names else F.lit(False)), at_hand
+
+
+def with_failures(df: DataFrame, rules: Sequence[dict]) -> DataFrame:
+    """``df`` with a boolean column ``_fail_i`` for each rule and ``_failed`` for any of them.
+
+    A uniqueness rule fails every member of a group of equal keys; a key with a blank part is left out.
+    Its counts are aggregated before they are joined back, so a very common key is never gathered.
+    """
+    return _mark(df, rules)[0]
 
 
 def _counts(rules: Sequence[dict]) -> list[Column]:
@@ -104,7 +134,7 @@ def validate(df: DataFrame, rules: Sequence[dict], dataset: str, threshold: floa
 
 @dataclass(frozen=True)
 class Judged:
-    """Rows that were judged in one pass: ``marked`` is stored, with the columns of :func:`with_failures`."""
+    """Rows that were judged in one pass: ``marked`` has the columns of :func:`with_failures` and reads stored rows."""
 
     marked: DataFrame
     columns: list[str]
@@ -119,18 +149,23 @@ class Judged:
 def judge(df: DataFrame, rules: Sequence[dict], dataset: str, threshold: float = 95.0) -> Judged:
     """Mark, count and store rows in one pass over ``df``; report, gate and kept rows then follow from what is stored.
 
-    The counts are observed by the tasks that write the marked rows; a task that is run again is counted once.
+    Rows with uniqueness rules are stored before these are judged. Few repeated keys are broadcast to the stored rows whenever they are read; with
+    more, and without such rules, the marked rows are stored, and counts are observed by the tasks that write them; a task that is run
+    again is counted once.
     """
-    spark, seen = df.sparkSession, Observation()
-    marked = with_failures(df, rules, lambda rows: written(rows, "rows"))
-    path = scratch_path(spark, "marked")
-    marked.observe(seen, *_counts(rules)).write.parquet(path)
-    got = seen.get
+    spark = df.sparkSession
+    marked, at_hand = _mark(df, rules, lambda rows: written(rows, "rows"))
+    if at_hand:
+        got = marked.agg(*_counts(rules)).first().asDict()
+    else:
+        seen, path = Observation(), scratch_path(spark, "marked")
+        marked.observe(seen, *_counts(rules)).write.parquet(path)
+        got, marked = seen.get, spark.read.schema(marked.schema).parquet(path)
     names = ["assessed", *(f"f{i}" for i in range(len(rules))), "f_all"]
     counts = spark.range(0, 1, 1, 1).select(*(F.lit(got[n]).cast("bigint").alias(n) for n in names))
     report = _report(counts, rules, dataset, threshold)
     passed = got["assessed"] > 0 and (got["assessed"] - got["f_all"]) / got["assessed"] * 100 >= threshold
-    return Judged(spark.read.schema(marked.schema).parquet(path), df.columns, report, passed)
+    return Judged(marked, df.columns, report, passed)
 
 
 def gate(df: DataFrame, rules: Sequence[dict], threshold: float = 95.0) -> DataFrame:
