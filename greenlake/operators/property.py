@@ -155,6 +155,16 @@ def code_label(column, labels: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*(F.lit(x) for pair in labels.items() for x in pair)), F.col(column))
 
 
+def _within(centres: DataFrame, boundary: DataFrame | None) -> DataFrame:
+    """The centres (cx, cy) that a boundary of boxes holds, or all without one."""
+    from greenlake.operators.spatial_join import points_in_areas
+
+    if boundary is None:
+        return centres
+    inside = points_in_areas(centres.withColumns({"x": F.col("cx"), "y": F.col("cy")}), boundary.select("xmin", "ymin", "xmax", "ymax"), "left_semi")
+    return inside.select(*centres.columns)
+
+
 def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius: float, limit: int, boundary: DataFrame | None = None) -> DataFrame:
     """The nearest ``limit`` things of each layer around each centre: (centre_id, layer, id, distance_m, rank).
 
@@ -162,11 +172,9 @@ def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius
     within 1 and 2000. With a ``boundary`` of boxes, centres outside it have no rows. Centres of one place are
     answered once, and of things in one place only the first ``limit`` by id can be in an answer.
     """
-    from greenlake.operators.spatial_join import near_pairs, points_in_areas, top_k
+    from greenlake.operators.spatial_join import near_pairs, top_k
 
-    if boundary is not None:
-        inside = points_in_areas(centres.withColumns({"x": F.col("cx"), "y": F.col("cy")}), boundary.select("xmin", "ymin", "xmax", "ymax"), "left_semi")
-        centres = inside.select(*centres.columns)
+    centres = _within(centres, boundary)
     if not 0 < radius <= 2000 or not 1 <= limit <= 2000:
         raise ValueError("radius must be within 0 and 2000 metres and limit within 1 and 2000")
     spots = centres.select("cx", "cy").distinct().select(F.struct("cx", "cy").alias("centre_id"), "cx", "cy")
@@ -180,6 +188,28 @@ def environment_context(centres: DataFrame, layers: dict[str, DataFrame], radius
     return centres.select("centre_id", "cx", "cy").join(best, ["cx", "cy"]).drop("cx", "cy")
 
 
+def environment_counts(centres: DataFrame, layers: dict[str, DataFrame], radius: float, boundary: DataFrame | None = None) -> DataFrame:
+    """How many things of each layer are around each centre, all of them: (centre_id, layer, n), without rows for none.
+
+    Takes what :func:`environment_context` takes, but has no limit. Places of centres meet places of things, which count for all
+    that share them; what meets is counted where it meets, so pairs are not shuffled.
+    """
+    from greenlake.operators.spatial_join import boxes_within_radius, within_radius
+
+    if not 0 < radius <= 2000:
+        raise ValueError("radius must be within 0 and 2000 metres")
+    number = lambda *names: [F.col(c).cast("double").alias(c) for c in names]
+    spots = _within(centres.select(*number("cx", "cy")).distinct(), boundary)
+    out = None
+    for name, df in layers.items():
+        met, place = (boxes_within_radius, ["xmin", "ymin", "xmax", "ymax"]) if "xmin" in df.columns else (within_radius, ["x", "y"])
+        # Both sides grow with the input, so neither is to be broadcast.
+        places = df.select(*number(*place)).groupBy(*place).agg(F.count("*").alias("n")).hint("merge")
+        x = met(spots, places, float(radius)).groupBy("cx", "cy").agg(F.sum("n").alias("n")).withColumn("layer", F.lit(name))
+        out = x if out is None else out.unionByName(x)
+    return centres.select("centre_id", *number("cx", "cy")).join(out.hint("merge"), ["cx", "cy"]).select("centre_id", "layer", "n")
+
+
 def named_trees_near(centres: DataFrame, trees: DataFrame, radius: float = 100.0, limit: int = 100) -> DataFrame:
     """The nearest named trees (id, x, y and what else they have) of each centre, by distance and then id, with a rank and what is known of such lists."""
     near = environment_context(centres, {"trees": trees.select("id", "x", "y")}, radius, limit)
