@@ -94,3 +94,17 @@ def test_repeated_ids_and_empty(frame):
     rows = j.similar_documents(docs).collect()
     assert sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in rows) == [(-1, -1), (-1, 2), (2, 2), (5, 2), (5, 2)]
     assert j.similar_documents(docs.where("false")).count() == 0
+
+
+def test_component_ids_are_not_broadcast(frame):
+    """The ids that rows are joined to are never made more than the rows are, nor sent to the driver."""
+    rows = frame([(i, i // 2 if i % 7 else None) for i in range(3000)] + [(None, 4)], "id long, root long")
+    out = common.with_component_id(rows)
+    got = {r["id"]: r["component_id"] for r in out.collect()}
+    least = {}
+    for i in range(3000):
+        if i % 7:
+            least.setdefault(i // 2, i)
+    assert got == {None: least[4]} | {i: least[i // 2] if i % 7 else i for i in range(3000)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "Generate" not in plan
