@@ -5,7 +5,7 @@ distance of two sketches is at most the sets' symmetric difference. At Jaccard 0
 most (n_a + n_b) / 9: within a band of sizes, at most d segments of two linked documents differ. Each
 document hands on its first d + slack non-empty segments; linked documents then have at least ``slack``
 of them in common, so each may drop all but one of that number of its most frequent ones (pigeonhole).
-Equal segments give candidates, whole shingle sets decide.
+Equal segments give candidates, sketches of parity bits thin them out, whole shingle sets decide.
 """
 
 from __future__ import annotations
@@ -64,21 +64,34 @@ def _bands(n: int):
         yield band + 1, 2 * top, (n + partner) // 9
 
 
-#: Most bytes of a sketch that goes along with a document into large buckets; small sets get three a shingle.
-SKETCH_BYTES = 2048
+#: Least and most bytes of a sketch; in between there are 16 bits for each shingle that a band's sets may have,
+#: and four in the brief one that goes along with pairs.
+SKETCH_LEAST, SKETCH_BYTES = 16, 2048
 #: Buckets up to this size are paired by a join; larger ones are compared in blocks of BLOCK.
-SMALL, BLOCK = 32, 512
+SMALL, BLOCK = 32, 1024
 
 
 def slack_of(band: int) -> int:
     return 1 + (3 << band) // 100
 
 
+def sketch_of(sh: np.ndarray, band: int, top: int) -> bytes:
+    bits = 8 * min(max(2 * top, SKETCH_LEAST), SKETCH_BYTES)
+    at = (mix(sh + np.uint64(band)) >> np.uint64(8)) % np.uint64(bits)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=bits) % 2 == 1).tobytes()
+
+
+def brief_of(sketch: bytes, top: int) -> bytes:
+    """The sketch folded to fewer bits, in which two differ in no more of them."""
+    width = min(max(top // 2, SKETCH_LEAST), SKETCH_BYTES)
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, width)).tobytes()
+
+
 def segments(sh: np.ndarray, with_sketch: bool = True):
     """(band, slack, segment names, sketch bytes) that a shingle set hands on.
 
-    The sketch folds the parities into bytes, each shingle into one of them, so two sketches differ in at
-    most as many bytes as their sets differ in shingles.
+    Each shingle flips one bit of the sketch, so two sketches differ in at most as many bits as their sets
+    differ in shingles.
     """
     for band, top, d in _bands(len(sh)):
         count = -(-8 * top // 25) + 2
@@ -91,16 +104,14 @@ def segments(sh: np.ndarray, with_sketch: bool = True):
         value, seg = np.bitwise_xor.reduceat(bit, starts), seg[starts]
         full = value != 0
         seg, value = seg[full], value[full]
-        sketch = np.zeros(min(3 * top, SKETCH_BYTES) * with_sketch, np.uint8)
-        if with_sketch:
-            np.bitwise_xor.at(sketch, (mix(sh + np.uint64(band)) >> np.uint64(8)) % np.uint64(len(sketch)), sh.astype(np.uint8))
         want = d + slack
         if len(seg) < want:  # small sets also hand on their empty segments
             bare = np.setdiff1d(np.arange(count, dtype=np.uint64), seg)
             seg, value = np.concatenate([seg, bare]), np.concatenate([value, np.zeros(len(bare), np.uint64)])
         else:
             seg, value = seg[:want], value[:want]
-        yield band, slack, mix(value ^ mix(seg * np.uint64(64) + np.uint64(band))).view(np.int64), sketch.tobytes()
+        names = mix(value ^ mix(seg * np.uint64(64) + np.uint64(band))).view(np.int64)
+        yield band, slack, names, sketch_of(sh, band, top) if with_sketch else b""
 
 
 def _segment_rows(docs: DataFrame, text_col: str) -> DataFrame:
@@ -121,22 +132,35 @@ def _segment_rows(docs: DataFrame, text_col: str) -> DataFrame:
     return map_batches(docs.select(text_col), make, "segment bigint, class bigint")
 
 
+def _marked(df: DataFrame, column: str, max_bits: int, each: int):
+    """A broadcast bitmap of the values of a long column, and the power of two that is its number of bits.
+
+    There are ``each`` bits or more for a value, but ``2**max_bits`` at most: more values than that allows
+    share bits, so it marks others too, but never misses one.
+    """
+    bits = max(16, min(max_bits, (each * df.count()).bit_length()))
+    return df.sparkSession.sparkContext.broadcast(bitmap_of(df, column, bits)), bits
+
+
+def _hits(table: np.ndarray, bits: int, values: np.ndarray) -> np.ndarray:
+    at = values & ((1 << bits) - 1)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
 def _candidates(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
     """One row for each document: its class, and for each band its segments that may be shared.
 
-    A bitmap of the shared segments, 16 bits or more for each, thins out the others; where that would take
-    more than ``2**max_bits`` bits it is left out, and the join with the shared segments does all the work.
+    A bitmap of the shared segments thins out the others; the join with the shared segments does the rest.
+    Neither sets nor sketches are handed on here. ``key`` names the row, so that they can be made again for few.
     """
-    bits = max(16, (16 * shared.count()).bit_length())
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(shared, "segment", bits) if bits <= max_bits else b"")
+    sent, bits = _marked(shared, "segment", max_bits, 16)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
-        table = np.frombuffer(sent.value, np.uint8)
-        mask, done = (1 << bits) - 1, set()
+        table, done = np.frombuffer(sent.value, np.uint8), set()
 
-        def fn(ids, texts):
-            sizes, classes, bands, sets = [], [], [], []
+        def fn(ids, texts, keys):
+            sizes, classes, bands = [], [], []
             if len(done) > 1_000_000:
                 done.clear()
             for text in texts:
@@ -146,41 +170,69 @@ def _candidates(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str,
                 classes.append(c)
                 own = []
                 if c is not None and c not in done:
-                    for band, slack, s, sketch in segments(sh):
-                        at = s & mask
-                        hit = s[(table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1] if len(table) else s
+                    for band, slack, s, _ in segments(sh, False):
+                        hit = s[_hits(table, bits, s)]
                         if len(hit) >= slack:
-                            own.append({"band": band, "slack": slack, "segments": hit, "sketch": sketch})
+                            own.append({"band": band, "slack": slack, "segments": hit})
                     done.add(c)
                 bands.append(own)
-                sets.append(sh.view(np.int64) if own else None)
-            return ids, sizes, classes, bands, sets
+            return ids, sizes, classes, [k if own else None for k, own in zip(keys, bands)], bands
+
+        return fn
+
+    return map_batches(
+        docs.select(id_col, text_col, F.xxhash64(id_col, text_col)), make,
+        f"id {kind}, n int, class bigint, key bigint, bands array<struct<band: int, slack: int, segments: array<bigint>>>",
+    )
+
+
+def _sets(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
+    """The class, sketches and shingle set of each row of one of the keys, of some other rows too; classes may be repeated."""
+    sent, bits = _marked(keys, "key", max_bits, 64)
+
+    def make():
+        table, done = np.frombuffer(sent.value, np.uint8), set()
+
+        def fn(names, texts):
+            classes, bands, sets = [], [], []
+            if len(done) > 1_000_000:
+                done.clear()
+            for i in np.flatnonzero(_hits(table, bits, np.array(names, np.int64))):
+                sh = shingles(texts[i])
+                c = class_of(sh) if len(sh) else None
+                if c is not None and c not in done:
+                    done.add(c)
+                    classes.append(c)
+                    own = [(band, top, sketch_of(sh, band, top)) for band, top, _ in _bands(len(sh))]
+                    bands.append([{"band": band, "size": len(sh), "sketch": s, "brief": brief_of(s, top)} for band, top, s in own])
+                    sets.append(sh.tobytes())
+            return classes, bands, sets
 
         return fn
 
     return map_batches(
-        docs.select(id_col, text_col), make,
-        f"id {kind}, n int, class bigint, bands array<struct<band: int, slack: int, segments: array<bigint>, sketch: binary>>, shingles array<bigint>",
+        docs.select(F.xxhash64(id_col, text_col), text_col), make,
+        "class bigint, bands array<struct<band: int, size: int, sketch: binary, brief: binary>>, shingles binary",
     )
 
 
 def _compared(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket's classes of different components whose sketches differ in few enough bytes.
+    """Pairs of a bucket's classes of different components whose sketches differ in few enough bits.
 
     Buckets are cut into blocks by their counted sizes, and each pair of blocks is a group of bounded size;
     only pairs that the sketches' bound lets pass are handed on.
     """
-    x = rows.join(sketches, ["class", "band"]).withColumn("blocks", F.ceil(F.col("bucket") / BLOCK).cast("int"))
+    x = rows.join(sketches.select("class", "band", "sketch").hint("merge"), ["class", "band"]).withColumn("blocks", F.ceil(F.col("bucket") / BLOCK).cast("int"))
     x = x.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     x = x.withColumns({"b0": F.least("own", "other"), "b1": F.greatest("own", "other")})
-    x = x.select("segment", "b0", "b1", "own", "class", "size", "component", "sketch")
+    x = x.select("segment", "b0", "b1", "own", "band", "class", "size", "component", "sketch")
 
     def compare(key, batch):
         b0, b1 = key[1].as_py(), key[2].as_py()
         names, sizes = batch["class"].to_numpy(), batch["size"].to_numpy().astype(np.int64)
         groups, own = batch["component"].to_numpy(), batch["own"].to_numpy()
-        sketch = np.frombuffer(b"".join(batch["sketch"].to_pylist()), np.uint8).reshape(len(names), -1)
+        sketch = np.frombuffer(b"".join(batch["sketch"].to_pylist()), np.uint64).reshape(len(names), -1)
         kinds, n = np.unique(groups, return_counts=True)
         major = kinds[np.argmax(n)]
         out_a, out_b = [], []
@@ -191,23 +243,65 @@ def _compared(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             low, high = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
             at = np.nonzero(there & (low * 100 >= high * percent))[0]
             if len(at):
-                far = (sketch[at] != sketch[i]).sum(1)
+                far = np.bitwise_count(sketch[at] ^ sketch[i]).sum(1, dtype=np.int64)
                 at = at[far * (100 + percent) <= (sizes[at] + sizes[i]) * (100 - percent)]
                 out_a.append(np.minimum(names[at], names[i]))
                 out_b.append(np.maximum(names[at], names[i]))
         none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
+        a, b = np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+        return pa.table({"a": a, "b": b, "band": np.full(len(a), batch["band"][0].as_py(), np.int32)})
+
+    return x.groupBy("segment", "b0", "b1").applyInArrow(compare, "a bigint, b bigint, band int")
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of the (a, b, band) of classes whose brief sketches differ in few enough bits."""
+
+    def make():
+        def fn(a, b, n_a, n_b, s_a, s_b):
+            far = [int(np.bitwise_count(np.frombuffer(p, np.uint64) ^ np.frombuffer(q, np.uint64)).sum()) for p, q in zip(s_a, s_b)]
+            few = [i for i, d in enumerate(far) if d * (100 + percent) <= (n_a[i] + n_b[i]) * (100 - percent)]
+            return [a[i] for i in few], [b[i] for i in few]
+
+        return fn
 
-    return x.groupBy("segment", "b0", "b1").applyInArrow(compare, "a bigint, b bigint")
+    brief = sketches.select("class", "band", "size", "brief")
+    x = pairs.groupBy("a", "b").agg(F.min("band").alias("band"))
+    x = x.join(brief.toDF("a", "band", "n_a", "s_a").hint("merge"), ["a", "band"])
+    x = x.join(brief.toDF("b", "band", "n_b", "s_b").hint("merge"), ["b", "band"])
+    return map_batches(x.select("a", "b", "n_a", "n_b", "s_a", "s_b"), make, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose shingle sets are similar enough."""
-    x = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("s_a")), "a")
-    x = x.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("s_b")), "b")
-    both = F.size(F.array_intersect("s_a", "s_b"))
-    union = F.size("s_a") + F.size("s_b") - both
-    return x.select("a", "b", (both * 100 >= union * percent).alias("linked")).where("linked").select("a", "b")
+def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int, max_bits: int) -> DataFrame:
+    """The pairs (a, b, band) of classes whose shingle sets are similar enough, as (a, b).
+
+    Sketches go along with the pairs first; only sets of pairs that these let pass are shuffled.
+    """
+    near = written(_near(pairs, sketches, percent), "near")
+    names = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
+    sent, bits = _marked(names, "class", max_bits, 64)
+
+    def asked():
+        table = np.frombuffer(sent.value, np.uint8)
+
+        def fn(classes, held):
+            at = np.flatnonzero(_hits(table, bits, np.array(classes, np.int64)))
+            return [classes[i] for i in at], [held[i] for i in at]
+
+        return fn
+
+    def compare():
+        def fn(a, b, s_a, s_b):
+            sizes = [(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) for p, q in zip(s_a, s_b)]
+            both = [(len(np.intersect1d(p, q, assume_unique=True)), len(p) + len(q)) for p, q in sizes]
+            at = [i for i, (n, of) in enumerate(both) if n * 100 >= (of - n) * percent]
+            return [a[i] for i in at], [b[i] for i in at]
+
+        return fn
+
+    own = map_batches(sets.select("class", "shingles"), asked, "class bigint, shingles binary").dropDuplicates(["class"])
+    x = near.join(own.toDF("a", "s_a").hint("merge"), "a").join(own.toDF("b", "s_b").hint("merge"), "b")
+    return map_batches(x.select("a", "b", "s_a", "s_b"), compare, "a bigint, b bigint")
 
 
 def similar_documents(
@@ -219,7 +313,7 @@ def similar_documents(
     empty set that links with nothing and has its own id as component. component_id is the smallest id
     that links reach. Equal sets are one class, so copies are never paired. Each segment's classes are
     checked against one of them, up to ``rounds`` times while that joins many; then only classes that no
-    chain of links has joined are paired with each other. Rows that share an id count as separate documents; null ids take part in
+    chain of links has joined are paired with each other. Bitmaps take ``2**bits`` bits at most. Rows that share an id count as separate documents; null ids take part in
     links but are smallest only among themselves. Other columns are not read.
     """
     percent = 80  # the bands above are made for it
@@ -227,20 +321,24 @@ def similar_documents(
         F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")
     )
     shared = written(all_segments.where("low <> high").select("segment", "n"), "segments")
-    rows = written(_candidates(docs, shared, id_col, text_col, bits), "sketches")
-    known = rows.where(F.size("bands") > 0).select("class", "n", "bands", "shingles").dropDuplicates(["class"])
+    rows = written(_candidates(docs, shared, id_col, text_col, bits), "documents")
+    known = rows.where("key is not null").select("class", "n", "key", "bands").dropDuplicates(["class"])
     known = written(known, "classes")
-    sets = known.select("class", "shingles")
     x = known.select("class", F.col("n").alias("size"), F.explode("bands").alias("b"))
-    sketches = x.select("class", F.col("b.band").alias("band"), F.col("b.sketch").alias("sketch"))
     x = x.select("class", "size", F.col("b.band").alias("band"), F.col("b.slack").alias("slack"), F.explode("b.segments").alias("segment"))
-    x = x.join(shared, "segment")
+    # Spark can't know how many rows an explode or a filter leaves, so nothing is broadcast after one.
+    x = x.join(shared.hint("merge"), "segment")
     rarest = Window.partitionBy("class", "band").orderBy(F.desc("n"), "segment")
     x = x.withColumn("place", F.row_number().over(rarest)).where(F.col("place") >= F.col("slack"))
     x = written(x.select("segment", "band", "class", "size"), "prefixes")
+    asked = x.select("class").distinct()
+    keys = written(known.select("class", "key").join(asked.hint("merge"), "class").select("key"), "keys")
+    total = keys.count()
+    sets = written(_sets(docs, keys, id_col, text_col, bits), "sets")
+    sketches = sets.select("class", F.explode("bands").alias("b")).select("class", "b.band", "b.size", "b.sketch", "b.brief")
+    sketches = written(sketches.dropDuplicates(["class", "band"]), "sketches")
 
     alike = F.least("size", "r_size") * 100 >= F.greatest("size", "r_size") * percent
-    total = known.count()
 
     def grouped(found, component):
         """Components after further links: only the links between components so far are worked on."""
@@ -259,14 +357,14 @@ def similar_documents(
             own = x.withColumn("component", F.col("class"))
         else:
             own = x.join(component, x["class"] == component["id"], "left").select(
-                "segment", "class", "size", F.coalesce("component", "class").alias("component")
+                "segment", "band", "class", "size", F.coalesce("component", "class").alias("component")
             )
         pick = F.struct(F.xxhash64("class", F.lit(r)), "class", "size", "component")
         ends = own.groupBy("segment").agg(F.min(pick).alias("p"), F.min("component").alias("c0"), F.max("component").alias("c1"))
         ends = ends.where("c0 <> c1").select("segment", F.col("p.class").alias("r_class"), F.col("p.size").alias("r_size"), F.col("p.component").alias("r_component"))
-        near = own.join(ends, "segment").where(F.col("component") != F.col("r_component")).where(alike)
-        pairs = near.select(F.least("class", "r_class").alias("a"), F.greatest("class", "r_class").alias("b")).distinct()
-        found = written(_verified(pairs, sets, percent), "links")
+        pairs = own.join(ends.hint("merge"), "segment").where(F.col("component") != F.col("r_component")).where(alike)
+        pairs = pairs.select(F.least("class", "r_class").alias("a"), F.greatest("class", "r_class").alias("b"), "band")
+        found = written(_verified(pairs, sketches, sets, percent, bits), "links")
         component = grouped(found, component)
         if found.count() * 20 < total:
             break  # few classes are joined this way; the rest is cheaper at once
@@ -275,13 +373,13 @@ def similar_documents(
         "segment", "band", "class", "size", F.coalesce("component", "class").alias("component")
     )
     open_ = own.groupBy("segment").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("bucket"))
-    own = written(own.join(open_.where("c0 <> c1").select("segment", "bucket"), "segment"), "open")
+    own = written(own.join(open_.where("c0 <> c1").select("segment", "bucket").hint("merge"), "segment"), "open")
     small, large = own.where(F.col("bucket") <= SMALL), own.where(F.col("bucket") > SMALL)
     other = small.select("segment", F.col("class").alias("r_class"), F.col("size").alias("r_size"), F.col("component").alias("r_component"))
-    pairs = small.join(other, "segment").where("class < r_class and component <> r_component").where(alike)
-    pairs = pairs.select(F.col("class").alias("a"), F.col("r_class").alias("b"))
-    pairs = pairs.unionByName(_compared(large, sketches, percent)).distinct()
-    component = grouped(written(_verified(pairs, sets, percent), "links"), component)
+    pairs = small.join(other.hint("merge"), "segment").where("class < r_class and component <> r_component").where(alike)
+    pairs = pairs.select(F.col("class").alias("a"), F.col("r_class").alias("b"), "band")
+    pairs = pairs.unionByName(_compared(large, sketches, percent))
+    component = grouped(written(_verified(pairs, sketches, sets, percent, bits), "links"), component)
 
     roots = rows.select("id", "n", "class").join(component.withColumnRenamed("id", "c_id"), F.col("class") == F.col("c_id"), "left")
     roots = roots.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "class").alias("root"))

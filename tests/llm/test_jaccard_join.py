@@ -96,6 +96,32 @@ def test_repeated_ids_and_empty(frame):
     assert j.similar_documents(docs.where("false")).count() == 0
 
 
+def test_a_full_bitmap_still_thins_out(frame, monkeypatch):
+    """More shared segments than the bitmap has room for: documents that are like no other hand on few segments, and no set of theirs is stored."""
+    rng, stored = random.Random(3), {}
+    real = j.written
+
+    def kept(df, name, **options):
+        stored.setdefault(name, []).append(real(df, name, **options))
+        return stored[name][-1]
+
+    monkeypatch.setattr(j, "written", kept)
+    docs = []
+    for k in range(120):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(500)]
+        docs.append((k, " ".join(words)))
+        if k < 25:
+            docs.append((1000 + k, " ".join([*words[:490], "x"])))
+    got = {r["doc_id"]: r["component_id"] for r in j.similar_documents(frame(docs, "doc_id long, text string"), bits=16).collect()}
+    assert got == {k: k % 1000 for k, _ in docs}
+    assert 16 * stored["segments"][0].count() > 1 << 16
+    alone = [f.where("size(bands) > 0 and id between 25 and 119").count() for fs in stored.values() for f in fs if {"id", "bands"} <= set(f.columns)]
+    assert len(alone) == 1 and alone[0] < 50
+    assert [f.columns for fs in stored.values() for f in fs if {"id", "shingles"} <= set(f.columns)] == []
+    (sets,) = stored["sets"]
+    assert 50 <= sets.count() < 60
+
+
 def test_component_ids_are_not_broadcast(frame):
     """The ids that rows are joined to are never made more than the rows are, nor sent to the driver."""
     rows = frame([(i, i // 2 if i % 7 else None) for i in range(3000)] + [(None, 4)], "id long, root long")
